@@ -6,14 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rasterloom.llm import line_dedup, quality, sentencepiece_codec, simhash, toxicity
+from rasterloom.llm import line_dedup, mixing, quality, sentencepiece_codec, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": line_dedup.op1_query,
     "op2_simhash_near_dedup": simhash.op2_query,
     "op4_toxicity": toxicity.op4_query,
     "op8_quality_classifier": quality.op8_query,
+    "op9_mixing_sources": mixing.op9_query,
     "op10_sentencepiece": sentencepiece_codec.op10_query,
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_line_dedup": line_dedup.OP1_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_line_dedup": line_dedup.OP1_SQL, "op9_mixing_sources": mixing.op9_sql()}
