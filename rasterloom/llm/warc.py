@@ -146,7 +146,7 @@ def write_warc(
             if state["writer"] is None:
                 state["name"] = f"pages-{task.partitionId():06d}-{task.taskAttemptId()}-{state['n']:04d}.warc.zst"
                 state["n"] += 1
-                state["out"] = files.open_output_stream(f"{root}/.{state['name']}")
+                state["out"] = files.open_output_stream(f"{root}/.{state['name']}", compression=None)
                 state["writer"] = BundleWriter(state["out"])
                 info = warc_record("warcinfo", [("WARC-Record-ID", f"<urn:bundle:{state['name']}>"), ("WARC-Date", date), ("Content-Type", "application/warc-fields")], b"format: WARC File Format 1.1\r\n")
                 state["writer"].frame(info)
