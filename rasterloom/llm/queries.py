@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rasterloom.llm import ann, embedding_dedup, line_dedup, mixing, quality, sentencepiece_codec, simhash, toxicity, warc
+from rasterloom.llm import ann, embedding_dedup, line_dedup, mixing, quality, sentencepiece_codec, simhash, suffix_dedup, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": line_dedup.op1_query,
     "op2_simhash_near_dedup": simhash.op2_query,
     "op3_embedding_near_dedup": embedding_dedup.op3_query,
     "op4_toxicity": toxicity.op4_query,
+    "op5_suffix_array_dedup": suffix_dedup.op5_query,
     "op6_nearest_neighbours": ann.op6_query,
     "op7_warc": warc.op7_query,
     "op8_quality_classifier": quality.op8_query,
