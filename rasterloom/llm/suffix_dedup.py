@@ -5,8 +5,9 @@ inside each string of ``length`` bytes the one with the least hash, the leftmost
 strings have their anchor at the same offset, so strings need comparing only with those of anchors with an equal gram.
 An anchor's run is all starts that it is the anchor of, and its context the bytes that their strings cover.
 
-1. Contexts that occur twice, in any documents, are counted by digest: all starts in their runs repeat.
-2. Where an anchor's gram has several contexts, at least one of them single, the suffixes at those anchors are dealt
+1. Grams found once are left out. Contexts that occur twice, in any documents, are counted by digest: all starts in
+   their runs repeat.
+2. Where a gram has several contexts, at least one of them single, the suffixes at those anchors are dealt
    by range, with splitters that Spark samples, on their leading bytes; each bucket is sorted by multikey quicksort,
    and neighbours give the length r that two suffixes share. What two contexts share before the anchor, l, comes from
    the order of the reversed bytes before it. A start o bytes before the anchor repeats if some other context has
@@ -28,19 +29,16 @@ from rasterloom.llm.common import fresh_folder, fresh_name, needs, pair_blocks
 
 GRAM = 32
 _PIECE = 1 << 22  # starts looked at together; positions in a piece fit 24 bits
-_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-_TABLES = np.random.default_rng(20).integers(0, 1 << 63, (2, 256), dtype=np.uint64)
-_powers: list[tuple[np.ndarray, np.ndarray]] = []
+_BASE = 0x9E3779B97F4A7C15
+_TABLE = np.random.default_rng(20).integers(0, 1 << 63, 256, dtype=np.uint64)
+_powers: list[np.ndarray] = []
 
 
-def _power_tables(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Powers of the two bases, and of their inverses, modulo 2^64."""
-    if not _powers or len(_powers[0][0]) < n:
+def _power_tables(n: int) -> list[np.ndarray]:
+    """Powers of the base, and of its inverse, modulo 2^64."""
+    if not _powers or len(_powers[0]) < n:
         size = max(n, 1 << 18)
-        _powers[:] = [
-            tuple(np.concatenate(([np.uint64(1)], np.cumprod(np.full(size - 1, x, np.uint64)))) for x in (base, pow(base, -1, 1 << 64)))
-            for base in _BASES
-        ]
+        _powers[:] = [np.concatenate(([np.uint64(1)], np.cumprod(np.full(size - 1, x, np.uint64)))) for x in (_BASE, pow(_BASE, -1, 1 << 64))]
     return _powers
 
 
@@ -51,22 +49,19 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 def anchors(data: bytes, length: int = 400) -> tuple[np.ndarray, ...]:
-    """(anchor, first start, last start, gram digest, context digests 1 and 2) of each run of the bytes, in order."""
+    """(anchor, first start, last start, gram digest, context digest) of each run of the bytes, in order."""
     starts_in_all = len(data) - length + 1
     parts = [_piece(data[s : s + _PIECE + length - 1], length, s) for s in range(0, max(0, starts_in_all), _PIECE)]
-    return tuple(np.concatenate(x) for x in zip(*parts, strict=True)) if parts else tuple(np.zeros(0, np.int64) for _ in range(6))
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True)) if parts else tuple(np.zeros(0, np.int64) for _ in range(5))
 
 
 def _piece(data: bytes, length: int, shift: int) -> tuple[np.ndarray, ...]:
     n = len(data)
     text, width = np.frombuffer(data, np.uint8), length - GRAM + 1
-    sums, inverse = [], []
-    for table, (power, back) in zip(_TABLES, _power_tables(n + 1), strict=True):
-        s = np.zeros(n + 1, np.uint64)
-        np.cumsum(table[text] * power[:n], out=s[1:])
-        sums.append(s)
-        inverse.append(back)
-    grams = _mixed((sums[0][GRAM:] - sums[0][: n - GRAM + 1]) * inverse[0][: n - GRAM + 1])
+    power, inverse = _power_tables(n + 1)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(_TABLE[text] * power[:n], out=sums[1:])
+    grams = _mixed((sums[GRAM:] - sums[: n - GRAM + 1]) * inverse[: n - GRAM + 1])
     value = (grams & ~np.uint64(0xFFFFFF)) | np.arange(len(grams), dtype=np.uint64)
     padded = np.full(-(-len(value) // width) * width, np.uint64(0xFFFFFFFFFFFFFFFF))
     padded[: len(value)] = value
@@ -80,8 +75,8 @@ def _piece(data: bytes, length: int, shift: int) -> tuple[np.ndarray, ...]:
     hi = np.append(lo[1:], starts) - 1
     anchor, end = at[lo], hi + length
     seal = ((end - lo) * 1024 + anchor - lo).astype(np.uint64)
-    c1, c2 = (_mixed((s[end] - s[lo]) * back[lo] + seal * np.uint64(2 * k + 3)) for k, (s, back) in enumerate(zip(sums, inverse, strict=True)))
-    return anchor + shift, lo + shift, hi + shift, grams[anchor].view(np.int64), c1.view(np.int64), c2.view(np.int64)
+    whole = _mixed((sums[end] - sums[lo]) * inverse[lo] + seal * np.uint64(3))
+    return anchor + shift, lo + shift, hi + shift, grams[anchor].view(np.int64), whole.view(np.int64)
 
 
 def multikey_sort(strings: list[bytes], order: list[int] | None = None, depth: int = 0, word: int = 8) -> list[int]:
@@ -170,7 +165,7 @@ def repeated_starts(before: list[bytes], after: list[bytes], length: int) -> Ite
 
 
 def _key(id_col: Column, text: Column) -> Column:
-    return F.unhex(F.md5(F.concat(F.coalesce(id_col.cast("string"), F.lit("null")), F.lit("|"), F.md5(text))))
+    return F.substring(F.unhex(F.md5(F.concat(F.coalesce(id_col.cast("string"), F.lit("null")), F.lit("|"), F.md5(text)))), 1, 12)
 
 
 def suffix_dedup(
@@ -195,36 +190,48 @@ def suffix_dedup(
     base = docs.withColumn(key, _key(F.col(id_col), text))
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["key", "anchor", "lo", "hi", "gram", "c1", "c2", "n"]
+        names = ["key", "lo", "size", "off", "gram", "whole", "n"]
         for batch in batches:
             out: list[list[np.ndarray]] = [[] for _ in names]
+            inside: list[tuple] = []
             for k, data in zip(batch["key"], batch["data"], strict=True):
-                at, lo, hi, gram, c1, c2 = anchors(bytes(data), length)
+                at, lo, hi, gram, whole = anchors(bytes(data), length)
                 if not len(at):
                     continue
-                _, first, which, n = np.unique(c1 ^ c2, return_index=True, return_inverse=True, return_counts=True)
-                once = np.zeros(len(at), np.int64)
-                once[first] = n
-                keep = (once > 0) | (n[which] > 1)
-                for column, values in zip(out, (np.array([k] * int(keep.sum()), dtype=object), *(x[keep] for x in (at, lo, hi, gram, c1, c2, once))), strict=True):
+                _, first, which, n = np.unique(whole, return_index=True, return_inverse=True, return_counts=True)
+                again = n[which] > 1
+                begin = np.flatnonzero(again & np.concatenate(([True], ~again[:-1])))
+                finish = np.flatnonzero(again & np.concatenate((~again[1:], [True])))
+                inside += [(k, int(a), int(b - a)) for a, b in zip(lo[begin], hi[finish], strict=True)]
+                for column, values in zip(out, (np.array([k] * len(first), dtype=object), *(x[first] for x in (lo, hi - lo, at - lo, gram, whole)), n), strict=True):
                     column.append(values)
             if out[0]:
                 yield pd.DataFrame({c: np.concatenate(x) for c, x in zip(names, out, strict=True)})
+            if inside:
+                yield pd.DataFrame(inside, columns=names[:3]).assign(off=0, gram=0, whole=0, n=0)
 
     whole = base.select(F.col(key).alias("key"), text.cast("binary").alias("data")).filter(F.octet_length("data") >= length)
     where = fresh_folder(spark, "anchors")
-    whole.mapInPandas(scan, "key binary, anchor long, lo long, hi long, gram long, c1 long, c2 long, n long").write.parquet(where)
+    whole.mapInPandas(scan, "key binary, lo long, size int, off int, gram long, whole long, n int").write.parquet(where)
     runs = spark.read.parquet(where)
-
-    context = ["gram", "c1", "c2"]
-    counted = runs.groupBy(*context).agg(F.sum("n").alias("n"))
-    repeated = runs.join(counted.filter("n > 1").select(*context), context, "left_semi").select("key", "lo", "hi")
-    mixed = counted.groupBy("gram").agg(F.count(F.lit(1)).alias("contexts"), F.min("n").alias("fewest")).filter("contexts > 1 AND fewest = 1")
-    one_each = (
-        runs.filter("n > 0").join(mixed.select("gram"), "gram", "left_semi")
-        .groupBy(*context).agg(F.sum("n").alias("n"), F.first(F.struct("key", "anchor", "lo", "hi")).alias("at"))
+    starts = [F.col("key"), F.col("lo"), (F.col("lo") + F.col("size")).alias("hi")]
+
+    grams = runs.filter("n > 0").groupBy("gram").agg(F.sum("n").alias("all"), F.min("whole").alias("least"), F.max("whole").alias("most"))
+    common = grams.filter("all > 1").select("gram", (F.col("least") != F.col("most")).alias("mixed"))
+    found_folder = fresh_folder(spark, "shared-anchors")
+    runs.filter("n > 0").join(common, "gram").write.parquet(found_folder)
+    found = spark.read.parquet(found_folder)
+
+    context = ["gram", "whole"]
+    mixed = found.filter("mixed")
+    counted = mixed.groupBy(*context).agg(F.sum("n").alias("all"), F.first(F.struct("key", "lo", "size", "off")).alias("at"))
+    repeated = runs.filter("n = 0").select(*starts).unionByName(found.filter("NOT mixed").select(*starts)).unionByName(
+        mixed.join(counted.filter("all > 1").select(*context), context, "left_semi").select(*starts)
     )
-    wanted = one_each.select("n", "gram", "at.*").groupBy("key").agg(F.collect_list(F.struct("anchor", "lo", "hi", "gram", "n")).alias("want"))
+    single = counted.groupBy("gram").agg(F.min("all").alias("fewest")).filter("fewest = 1").select("gram")
+    one_each = counted.join(single, "gram", "left_semi").select("gram", F.col("all").alias("n"), "at.*")
+    dealt = pair_blocks(one_each.withColumn("pick", F.struct("key", "lo")), ["gram"], "pick", block_rows).drop("pick", "block")
+    wanted = dealt.groupBy("key").agg(F.collect_list(F.struct("lo", "size", "off", "n", "block_i", "block_j")).alias("want"))
 
     def cut_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -232,15 +239,14 @@ def suffix_dedup(
             for k, data, want in zip(batch["key"], batch["data"], batch["want"], strict=True):
                 data = bytes(data)
                 for w in want:
-                    a, lo, hi = w["anchor"], w["lo"], w["hi"]
-                    rows.append((k, a, w["gram"], w["n"], data[lo:a][::-1], data[a : hi + length], data[a : a + GRAM]))
-            yield pd.DataFrame(rows, columns=["key", "anchor", "gram", "n", "before", "after", "lead"])
+                    lo, a = w["lo"], w["lo"] + w["off"]
+                    rows.append((k, a, w["n"], data[lo:a][::-1], data[a : lo + w["size"] + length], data[a : a + GRAM], w["block_i"], w["block_j"]))
+            yield pd.DataFrame(rows, columns=["key", "anchor", "n", "before", "after", "lead", "block_i", "block_j"])
 
     contexts = whole.join(wanted, "key").mapInPandas(
-        cut_out, "key binary, anchor long, gram long, n long, before binary, after binary, lead binary"
+        cut_out, "key binary, anchor long, n long, before binary, after binary, lead binary, block_i int, block_j int"
     )
-    dealt = pair_blocks(contexts.withColumn("pick", F.struct("key", "anchor")), ["gram"], "pick", block_rows).drop("pick", "block")
-    ranged = dealt.repartitionByRange("lead", "block_i", "block_j").sortWithinPartitions("lead", "block_i", "block_j")
+    ranged = contexts.repartitionByRange("lead", "block_i", "block_j").sortWithinPartitions("lead", "block_i", "block_j")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[tuple] = []
@@ -268,8 +274,8 @@ def suffix_dedup(
         if len(out := solve()):
             yield out
 
-    found = ranged.mapInPandas(compare, "key binary, lo long, hi long")
-    spans = repeated.unionByName(found).groupBy("key").agg(F.collect_list(F.struct("lo", "hi")).alias("starts"))
+    compared = ranged.mapInPandas(compare, "key binary, lo long, hi long")
+    spans = repeated.unionByName(compared).groupBy("key").agg(F.collect_list(F.struct("lo", "hi")).alias("starts"))
     names = {c: fresh_name(docs.columns, c) for c in ("n_bytes", "removed_spans", "kept")}
 
     def remove(data: pd.Series, starts: pd.Series) -> pd.DataFrame:
