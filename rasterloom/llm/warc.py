@@ -80,14 +80,14 @@ class BundleWriter:
         self.out.write(struct.pack("<II", SKIPPABLE_MAGIC, len(table)) + table)
 
 
-def seek_table(data: bytes) -> list[tuple[int, int, int]]:
-    """(offset, packed bytes, unpacked bytes) of each frame, from the footer of a bundle."""
-    count, flags, magic = struct.unpack("<IBI", data[-9:])
+def seek_table(file) -> list[tuple[int, int, int]]:
+    """(offset, packed bytes, unpacked bytes) of each frame, from the footer of an open bundle."""
+    end = file.size()
+    count, flags, magic = struct.unpack("<IBI", file.read_at(9, end - 9))
     if magic != SEEKABLE_MAGIC or flags & 0x80:
         raise ValueError("not a seekable bundle")
-    sizes = list(struct.iter_unpack("<II", data[-9 - 8 * count : -9]))
     out, at = [], 0
-    for packed, size in sizes:
+    for packed, size in struct.iter_unpack("<II", file.read_at(8 * count, end - 9 - 8 * count)):
         out.append((at, packed, size))
         at += packed
     return out
@@ -122,6 +122,9 @@ def write_warc(
         rows.filter(F.col("size") >= least_bytes).groupBy("sha1", "size")
         .agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     )
+    repeats = f"{folder.rstrip('/')}/repeats"
+    firsts.write.parquet(repeats)  # its size is known before the join, so that payloads move only if it is large
+    firsts = spark.read.parquet(repeats)
     marked = rows.join(firsts, ["sha1", "size"], "left").withColumn(
         "refers", F.when(F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first")), F.col("first").cast("string"))
     )
@@ -201,30 +204,27 @@ def _parsed(headers: dict[str, str], block: bytes, with_payload: bool) -> tuple
 def read_warc(spark: SparkSession, folder: str, with_payload: bool = True) -> DataFrame:
     """Every page record of the bundles that the index names, checked against its digest. Revisits have a null payload."""
     folder = folder.rstrip("/")
-    named = spark.read.parquet(f"{folder}/index").select("bundle").distinct()
-    files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "pages-*.warc.zst").load(f"{folder}/bundles")
-        .select(F.element_at(F.split("path", "/"), -1).alias("bundle"), "content").join(named, "bundle", "left_semi")
-    )
+    where, slots = f"{folder}/bundles", max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    named = spark.read.parquet(f"{folder}/index").select("bundle").distinct().repartition(slots, "bundle")
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        files, root = _files(where)
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
-            for content in batch["content"]:
-                data, held = bytes(content), []
-                for at, packed, size in seek_table(data):
-                    for headers, block in read_records(unpack.decompress(data[at : at + packed], max_output_size=size)):
-                        if row := _parsed(headers, block, with_payload):
-                            held.append(row)
-                    if len(held) >= 1000:
-                        yield pd.DataFrame(held, columns=[x.split()[0] for x in PARSED.split(", ")])
-                        held = []
+            for bundle in batch["bundle"]:
+                held = []
+                with files.open_input_file(f"{root}/{bundle}") as f:
+                    for at, packed, size in seek_table(f):
+                        for headers, block in read_records(unpack.decompress(f.read_at(packed, at), max_output_size=size)):
+                            if row := _parsed(headers, block, with_payload):
+                                held.append(row)
+                        if len(held) >= 1000:
+                            yield pd.DataFrame(held, columns=[x.split()[0] for x in PARSED.split(", ")])
+                            held = []
                 if held:
                     yield pd.DataFrame(held, columns=[x.split()[0] for x in PARSED.split(", ")])
 
-    if not spark.read.parquet(f"{folder}/index").take(1):
-        return spark.createDataFrame([], PARSED)
-    return files.mapInPandas(parse, PARSED)
+    return named.mapInPandas(parse, PARSED)
 
 
 def fetch_records(index: DataFrame, folder: str, wanted: DataFrame, id_col: str) -> DataFrame:
