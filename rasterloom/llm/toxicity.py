@@ -138,7 +138,7 @@ def train(
         )
         m, v = 0.9 * m + 0.1 * gradient, 0.99 * v + 0.01 * gradient**2
         step = rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-9)
-        weights, bias = weights - step[:-1], bias - step[-1]
+        weights, bias = np.maximum(weights - step[:-1], 0.0), bias - step[-1]
     return ToxicityModel(dict(zip(names, weights.tolist(), strict=True)), float(bias))
 
 
