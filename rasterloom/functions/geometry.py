@@ -112,3 +112,31 @@ def checked_bbox(west: Column, south: Column, east: Column, north: Column) -> Co
         F.greatest(west.cast("double"), F.lit(-180.0)).alias("west"), F.greatest(south.cast("double"), F.lit(-90.0)).alias("south"),
         F.least(east.cast("double"), F.lit(180.0)).alias("east"), F.least(north.cast("double"), F.lit(90.0)).alias("north"),
     ))
+
+
+def segment_meets_box(p: Column, q: Column, box: Column) -> Column:
+    """Whether the line from p to q has a point in the box (west, south, east, north), edges included.
+
+    The part of the line inside each pair of sides is a range of its length from 0 to 1; the line meets the box if the
+    two ranges overlap.
+    """
+    def inside(start: Column, end: Column, low: Column, high: Column) -> tuple[Column, Column]:
+        step = F.nullif(end - start, F.lit(0.0))
+        a, b = (low - start) / step, (high - start) / step
+        level = F.when((start >= low) & (start <= high), 0.0).otherwise(2.0)
+        return F.coalesce(F.least(a, b), level), F.coalesce(F.greatest(a, b), F.lit(1.0))
+
+    (x0, x1), (y0, y1) = inside(p["x"], q["x"], box["west"], box["east"]), inside(p["y"], q["y"], box["south"], box["north"])
+    return F.greatest(x0, y0, F.lit(0.0)) <= F.least(x1, y1, F.lit(1.0))
+
+
+def box_meets_polygon(box: Column, rings: Column) -> Column:
+    """Whether a box and a polygon, outer ring and holes, share a point; touching counts."""
+    def crossed(ring: Column) -> Column:
+        return F.exists(F.zip_with(
+            F.slice(ring, F.lit(1), F.size(ring) - 1), F.slice(ring, F.lit(2), F.size(ring) - 1), lambda p, q: segment_meets_box(p, q, box)
+        ), lambda hit: hit)
+
+    corner = lambda ring: contains(ring, box["west"], box["south"])
+    holes = F.exists(F.slice(rings, F.lit(2), F.size(rings)), corner)
+    return F.exists(rings, crossed) | (corner(F.element_at(rings, 1)) & ~holes)

@@ -7,6 +7,9 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rasterloom.functions.crs import reproject_bounds
+from rasterloom.functions.geometry import checked_bbox
+
 FEATURE_SCHEMA = "source_tile string, class_name string, confidence double, geometry array<array<array<struct<x:double,y:double>>>>"
 
 
@@ -117,3 +120,35 @@ def footprints(scenes: DataFrame) -> DataFrame:
     return scenes.select(
         "scene_id", F.array_min("xs").alias("west"), F.array_min("ys").alias("south"), F.array_max("xs").alias("east"), F.array_max("ys").alias("north")
     )
+
+
+def scene_footprints(scenes: DataFrame) -> DataFrame:
+    """Catalog rows of scanned scenes: names, source tags (empty where missing), sizes and the WGS 84 box around the outline.
+
+    Scenes without a known CRS are an error.
+    """
+    t = F.col("transform")
+    west, north = t["c"], t["f"]
+    east, south = west + t["a"] * F.col("width"), north + t["e"] * F.col("height")
+    box = F.lit(None)
+    for code in (4326, 3857, 26913):
+        box = F.when(F.col("crs_epsg") == code, reproject_bounds(west, south, east, north, code, 4326)).otherwise(box)
+    unknown = F.raise_error(F.concat(F.lit("no known CRS: "), F.col("path")))
+    tag = lambda k: F.coalesce(F.try_element_at("tags", F.lit(k)), F.lit("")).alias(k)
+    return scenes.filter(F.col("crs_epsg").isin(4326, 3857, 26913) | unknown.cast("boolean")).select(
+        F.col("scene_id").alias("cog_id"), F.element_at(F.split("path", "/"), -1).alias("file_name"), F.col("path").alias("file_path"),
+        tag("source_collection"), tag("source_item"), tag("source_href"), F.concat(F.lit("EPSG:"), F.col("crs_epsg")).alias("native_crs"),
+        "width", "height", "band_count", t["a"].alias("pixel_size_x"), F.abs(t["e"]).alias("pixel_size_y"), box.alias("bounds"),
+    )
+
+
+def label_extent(features: DataFrame, geometry: str = "geometry") -> DataFrame:
+    """One row: the box around all multipolygons, clamped to the globe; null without any."""
+    points = features.select(F.explode(F.flatten(F.flatten(geometry))).alias("p"))
+    around = points.groupBy().agg(F.min("p.x").alias("w"), F.min("p.y").alias("s"), F.max("p.x").alias("e"), F.max("p.y").alias("n"))
+    return around.select(checked_bbox(F.col("w"), F.col("s"), F.col("e"), F.col("n")).alias("bounds"))
+
+
+def time_slug(moment: Column) -> Column:
+    """A UTC time as 20240131T235959Z."""
+    return F.date_format(moment, "yyyyMMdd'T'HHmmss'Z'")

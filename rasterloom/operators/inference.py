@@ -52,6 +52,18 @@ def resized(image: np.ndarray, height: int, width: int) -> np.ndarray:
     return along(along(image, width).swapaxes(-1, -2), height).swapaxes(-1, -2)
 
 
+def chip_resized(image: np.ndarray, mask: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """A training chip at another size: the image bilinear between pixel centres, the mask by its nearest pixel."""
+    def along(x: np.ndarray, n: int) -> np.ndarray:
+        at = np.clip((np.arange(n) + 0.5) * x.shape[-1] / n - 0.5, 0, x.shape[-1] - 1)
+        low = np.floor(at).astype(int)
+        part = (at - low).astype(x.dtype)
+        return x[..., low] * (1 - part) + x[..., np.minimum(low + 1, x.shape[-1] - 1)] * part
+
+    rows, cols = (np.floor(np.arange(size) * n / size).astype(int) for n in mask.shape)
+    return along(along(image, size).swapaxes(-1, -2), size).swapaxes(-1, -2), mask[np.ix_(rows, cols)]
+
+
 def plane(output: np.ndarray) -> np.ndarray:
     """One probability plane of a model's output: a plane as it is, of two classes the softmax of the second.
 

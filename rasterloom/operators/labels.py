@@ -94,3 +94,10 @@ def chip_split(counted: DataFrame, min_positive: int, empty_fraction: float, val
         rows.append((chip, ("val" if rng.random() < val_fraction else "train") if kept else "dropped"))
     decided = counted.sparkSession.createDataFrame(rows, f"chip_idx {dict(counted.dtypes)['chip_idx']}, split string")
     return counted.join(decided, "chip_idx")
+
+
+def paired_chips(images: DataFrame, masks: DataFrame) -> DataFrame:
+    """images(stem, ...) with the masks(stem, ...) of the same stem; an image without a mask is an error, told by name."""
+    pairs = images.join(masks.withColumn("_has", F.lit(True)), "stem", "left")
+    missing = F.raise_error(F.concat(F.lit("no mask for "), F.col("stem"))).cast("boolean")
+    return pairs.filter(F.coalesce(F.col("_has"), missing)).drop("_has")

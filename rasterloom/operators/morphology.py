@@ -138,6 +138,17 @@ def cleanup(pixels: DataFrame, close_pixels: int = 0, fill_holes: int = 0, remov
     return pixels.select("tile_id", "r", "c", "mask")
 
 
+def smoothed(pixels: DataFrame, radius: int) -> DataFrame:
+    """pixels(tile_id, r, c, mask) closed by a disc: gaps and notches narrower than twice the radius fill up, borders stay."""
+    from rasterloom.operators.shapes import smooth
+
+    def of(part: pd.DataFrame) -> pd.DataFrame:
+        return part.assign(mask=smooth(_grid(part, "mask"), radius)[part["r"], part["c"]])
+
+    kind = dict(pixels.dtypes)["tile_id"]
+    return pixels.select("tile_id", "r", "c", "mask").groupBy("tile_id").applyInPandas(of, f"tile_id {kind}, r int, c int, mask int") if radius > 0 else pixels
+
+
 def mosaic_components(mask: DataFrame, block: int = 512) -> DataFrame:
     """(gr, gc, label) of the 4-connected components of a mosaic of any size, mask(gr, gc).
 

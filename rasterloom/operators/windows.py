@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rasterloom.functions.geometry import bounds, box_meets_polygon, boxes_touch
+
 
 def _offsets(length: str) -> Column:
     """Starts of windows along one axis; the last one is moved back so that it ends at the edge."""
@@ -54,6 +56,25 @@ def touching(windows: DataFrame, areas: list[tuple[float, float, float, float]])
     return windows.filter(hit) if areas else windows
 
 
+def touching_polygons(windows: DataFrame, transform: Column, areas: DataFrame) -> DataFrame:
+    """Windows whose box meets a polygon of areas(geometry), multipolygons in the units of the transform.
+
+    Areas are compared by their boxes on a grid of cells the size of a few windows, then exactly; a window that meets
+    several stays once.
+    """
+    box = windows.withColumn("_box", window_bounds(transform))
+    size = box.agg(F.max(F.greatest(F.col("_box.east") - F.col("_box.west"), F.col("_box.north") - F.col("_box.south")))).first()[0]
+    if size is None:
+        return windows
+    cells = lambda low, high: F.sequence(F.floor(low / (4 * size)), F.floor(high / (4 * size)))
+    parts = areas.select(F.explode("geometry").alias("_rings")).withColumn("_around", bounds(F.element_at("_rings", 1)))
+    dealt = lambda df, b: df.withColumn("_cx", F.explode(cells(F.col(f"{b}.west"), F.col(f"{b}.east")))).withColumn("_cy", F.explode(cells(F.col(f"{b}.south"), F.col(f"{b}.north"))))
+    hits = dealt(box, "_box").join(dealt(parts, "_around"), ["_cx", "_cy"]).filter(
+        boxes_touch(F.col("_box"), F.col("_around")) & box_meets_polygon(F.col("_box"), F.col("_rings"))
+    )
+    return windows.join(hits.select("scene_id", "tile_idx").distinct(), ["scene_id", "tile_idx"], "left_semi")
+
+
 def renumbered(windows: DataFrame) -> DataFrame:
     """tile_idx counted anew from 0 within each scene, for windows that a filter left."""
     order = Window.partitionBy("scene_id").orderBy("row_off", "col_off")

@@ -233,3 +233,44 @@ def test_schema_evolution_turns_empty_text_into_null(spark):
     old = spark.createDataFrame([(1, ""), (2, "2024-01-01"), (3, "no")], "id int, loaded_at string")
     out = features.append_evolving(old, spark.sql("SELECT 4 id, 'j' job_id"))
     assert dict(out.dtypes)["loaded_at"] == "timestamp" and [r.loaded_at is None for r in out.orderBy("id").collect()] == [True, False, True, True]
+
+
+def test_windows_that_meet_polygons(spark):
+    grid = windows.window_grid(scenes(spark, (1, 40, 40, 10, 0)))
+    t = F.struct(*[F.lit(v).alias(k) for k, v in zip("abcdef", (1.0, 0.0, 0.0, 0.0, -1.0, 40.0), strict=True)])
+    ring = lambda *p: [{"x": float(x), "y": float(y)} for x, y in [*p, p[0]]]
+    def hit(*rings):
+        areas = spark.createDataFrame([([[*rings]],)], "geometry array<array<array<struct<x:double,y:double>>>>")
+        return {(r.col_off, r.row_off) for r in windows.touching_polygons(grid, t, areas).collect()}
+
+    assert hit(ring((12, 38), (18, 38), (15, 32))) == {(10, 0)}  # inside one window
+    assert hit(ring((1, 39), (2, 39), (19, 22), (18, 22))) >= {(0, 0), (10, 10)}
+    assert hit(ring((-5, -5), (45, -5), (45, 45), (-5, 45)), ring((5, 5), (35, 5), (35, 35), (5, 35))) == {
+        (x, y) for x in range(0, 40, 10) for y in range(0, 40, 10) if not (10 <= x <= 20 and 10 <= y <= 20)}
+    assert hit(ring((100, 100), (101, 100), (101, 101))) == set()
+
+
+def test_chips_pair_and_resize(spark):
+    images = spark.createDataFrame([("a", 1), ("b", 2)], "stem string, image int")
+    masks = spark.createDataFrame([("a", 3)], "stem string, mask int")
+    assert labels.paired_chips(images.filter("stem = 'a'"), masks).first().mask == 3
+    with pytest.raises(Exception, match="no mask for b"):
+        labels.paired_chips(images, masks).collect()
+    image, mask = inference.chip_resized(np.arange(4.0).reshape(1, 2, 2), np.array([[0, 1], [1, 0]]), 4)
+    assert image[0, 0].tolist() == [0, 0.25, 0.75, 1] and mask[0].tolist() == [0, 0, 1, 1]
+
+
+def test_footprints_extents_and_slugs(spark):
+    scene = spark.createDataFrame(
+        [("s", "/x/s.tif", 26913, 100, 50, 3, "uint8", (10.0, 0.0, 500000.0, 0.0, -10.0, 3900000.0), {"source_item": "i"})],
+        "scene_id string, path string, crs_epsg int, width int, height int, band_count int, dtype string, transform struct<a:double,b:double,c:double,d:double,e:double,f:double>, tags map<string,string>")
+    row = features.scene_footprints(scene).first()
+    assert row.file_name == "s.tif" and row.source_item == "i" and row.source_href == "" and row.native_crs == "EPSG:26913"
+    assert abs(row.bounds.west + 105) < 1e-6 and 35 < row.bounds.south < row.bounds.north < 36
+    with pytest.raises(Exception, match="no known CRS"):
+        features.scene_footprints(scene.withColumn("crs_epsg", F.lit(None).cast("int"))).collect()
+    shape = spark.createDataFrame([([[[{"x": -200.0, "y": 1.0}, {"x": 3.0, "y": 5.0}, {"x": 3.0, "y": 1.0}]]],)], "geometry array<array<array<struct<x:double,y:double>>>>")
+    assert tuple(features.label_extent(shape).first().bounds) == (-180, 1, 3, 5) and features.label_extent(shape.limit(0)).first().bounds is None
+    assert spark.sql("SELECT TIMESTAMP '2024-01-31 23:59:59' t").select(features.time_slug(F.col("t"))).first()[0] == "20240131T235959Z"
+    gap = [[1, 1, 1], [1, 0, 1], [1, 1, 1]]
+    assert as_grid(morphology.smoothed(pixel_rows(spark, gap), 1)).sum() == 9
