@@ -45,12 +45,15 @@ def _plan(counts: DataFrame, block_rows: int) -> DataFrame:
     last period, and a phase is a run of periods with the same active classes, planned anew.
     """
     classes = counts.withColumn("ends", F.ceil(F.ceil(F.col("rows") / block_rows) / F.col("share")))
-    ends = classes.select(F.col("ends").alias("end")).distinct().groupBy().agg(F.sort_array(F.collect_set("end")).alias("list"))
-    phases = ends.select(F.posexplode("list").alias("phase", "end"), "list").select(
-        "phase", "end", F.coalesce(F.get("list", F.col("phase") - 1), F.lit(0)).alias("begin")
+    one = classes.groupBy().agg(
+        F.sort_array(F.collect_list(F.struct("cls", "share", "ends"))).alias("all"), F.sort_array(F.collect_set("ends")).alias("list")
     )
-    active = classes.join(phases, F.col("ends") > F.col("begin")).groupBy("phase", "begin", "end").agg(
-        F.sort_array(F.collect_list(F.struct("cls", "share"))).alias("who")
+    spans = F.transform("list", lambda end, k: F.struct(F.coalesce(F.get("list", k - 1), F.lit(0)).alias("begin"), end.alias("end")))
+    active = one.select("all", F.posexplode(spans).alias("phase", "span")).select(
+        "phase", "span.begin", "span.end",
+        F.transform(
+            F.filter("all", lambda c: c["ends"] > F.col("span.begin")), lambda c: F.struct(c["cls"].alias("cls"), c["share"].alias("share"))
+        ).alias("who"),
     )
     length = F.aggregate("who.share", F.lit(0), lambda x, y: x + y)
     planned = active.withColumn("length", length).withColumn("slots", _pattern(F.col("who.share"), F.col("length")))
