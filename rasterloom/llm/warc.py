@@ -205,7 +205,7 @@ def read_warc(spark: SparkSession, folder: str, with_payload: bool = True) -> Da
     """Every page record of the bundles that the index names, checked against its digest. Revisits have a null payload."""
     folder = folder.rstrip("/")
     where, slots = f"{folder}/bundles", max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    named = spark.read.parquet(f"{folder}/index").select("bundle").distinct().repartition(slots, "bundle")
+    named = spark.read.parquet(f"{folder}/index").select("bundle").distinct().repartition(slots)
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         files, root = _files(where)
