@@ -32,6 +32,17 @@ def dissolve(features: DataFrame, keys: list[str], keep_null_keys: bool) -> Data
     return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("parts"), F.sum("area_m2").alias("area_m2"))
 
 
+def dissolve_parts(features: DataFrame, geometry: str = "geometry") -> DataFrame:
+    """One multipolygon for each tile and class, the first confidence with it; rows without a tile or class go.
+
+    The components of one tile's mask are apart, so their union is the list of them, which a tile bounds.
+    """
+    rows = features.dropna(subset=["source_tile", "class_name"])
+    return rows.groupBy("source_tile", "class_name").agg(
+        F.first("confidence").alias("confidence"), F.flatten(F.collect_list(geometry)).alias(geometry)
+    )
+
+
 def at_least(features: DataFrame, area: float) -> DataFrame:
     """Features of at least an area; 0 leaves all."""
     return features.filter(F.col("area_m2") >= area) if area > 0 else features

@@ -150,7 +150,7 @@ def smoothed(pixels: DataFrame, radius: int) -> DataFrame:
 
 
 def mosaic_components(mask: DataFrame, block: int = 512) -> DataFrame:
-    """(gr, gc, label) of the 4-connected components of a mosaic of any size, mask(gr, gc).
+    """(gr, gc, label) of the 4-connected components of a mosaic of any size, mask(gr, gc); repeats of a pixel are one.
 
     Blocks are labelled each in a task; only pixels at block borders become edges, and the components of those few
     labels are found by joins, so no task ever holds the mosaic.

@@ -205,6 +205,21 @@ def polygonize(labelled: DataFrame, transform: tuple[float, ...] = (1.0, 0.0, 0.
     return labelled.select("tile_id", "r", "c", "label").groupBy("tile_id").applyInPandas(of, f"tile_id {kind}, label long, rings {RINGS}")
 
 
+def merged_polygons(labelled: DataFrame) -> DataFrame:
+    """(class_name, label, rings) of a mosaic's labelled(class_name, gr, gc, label): overlapping tiles' regions as one.
+
+    A task traces one region within its own box, so its memory follows the region and not the mosaic.
+    """
+    def of(part: pd.DataFrame) -> pd.DataFrame:
+        y, x = int(part["gr"].min()), int(part["gc"].min())
+        grid = np.zeros((int(part["gr"].max()) - y + 1, int(part["gc"].max()) - x + 1), np.int64)
+        grid[part["gr"] - y, part["gc"] - x] = 1
+        rings = [[{"x": px + x, "y": py + y} for px, py in ring] for ring in trace(grid)[1]]
+        return pd.DataFrame({"class_name": [part["class_name"].iloc[0]], "label": [part["label"].iloc[0]], "rings": [rings]})
+
+    return labelled.select("class_name", "gr", "gc", "label").groupBy("class_name", "label").applyInPandas(of, f"class_name string, label long, rings {RINGS}")
+
+
 def _each(kernel: Callable[[list[Ring]], list[Ring]]):
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:

@@ -274,3 +274,14 @@ def test_footprints_extents_and_slugs(spark):
     assert spark.sql("SELECT TIMESTAMP '2024-01-31 23:59:59' t").select(features.time_slug(F.col("t"))).first()[0] == "20240131T235959Z"
     gap = [[1, 1, 1], [1, 0, 1], [1, 1, 1]]
     assert as_grid(morphology.smoothed(pixel_rows(spark, gap), 1)).sum() == 9
+
+
+def test_overlapping_masks_dissolve_to_one_polygon(spark):
+    cells = [(r, c) for r in range(4) for c in range(4)] + [(r, c + 2) for r in range(4) for c in range(4)]
+    mask = spark.createDataFrame(cells, "gr long, gc long")
+    labelled = morphology.mosaic_components(mask, 3).withColumn("class_name", F.lit(None).cast("string"))
+    (one,) = shapes.merged_polygons(labelled).select("class_name", geometry.polygon_area(F.col("rings")).alias("area")).collect()
+    assert one.area == 24 and one.class_name is None
+    rows = spark.createDataFrame([("t", "road", None, [[[]]]), ("t", "road", 0.5, [[[]], [[]]]), ("t", None, None, [[[]]])], features.FEATURE_SCHEMA)
+    (kept,) = features.dissolve_parts(rows).collect()
+    assert len(kept.geometry) == 3 and kept.class_name == "road"
