@@ -71,7 +71,7 @@ def tile_index_after_filter(spark, d):
     return windows.renumbered(windows.touching(window_grid(spark, d), AREAS)).select("scene_id", "tile_idx", "col_off", "row_off")
 
 
-@query("window_bounds", f"WITH {GRID} SELECT scene_id, tile_idx, 353496.0 + col_off * 0.5 AS west, 3864754.0 - (row_off + win_height) * 0.5 AS south, 353496.0 + (col_off + win_width) * 0.5 AS east, 3864754.0 - row_off * 0.5 AS north FROM grid")
+@query("window_bounds", f"WITH {GRID} SELECT scene_id, tile_idx, CAST(353496.0 + col_off * 0.5 AS DOUBLE) AS west, CAST(3864754.0 - (row_off + win_height) * 0.5 AS DOUBLE) AS south, CAST(353496.0 + (col_off + win_width) * 0.5 AS DOUBLE) AS east, CAST(3864754.0 - row_off * 0.5 AS DOUBLE) AS north FROM grid")
 def window_bounds(spark, d):
     t = F.struct(*[F.lit(v).alias(k) for k, v in zip("abcdef", (0.5, 0.0, 353496.0, 0.0, -0.5, 3864754.0), strict=True)])
     return window_grid(spark, d).select("scene_id", "tile_idx", windows.window_bounds(t).alias("b")).select("scene_id", "tile_idx", "b.*")
@@ -159,13 +159,13 @@ def threshold_mask(spark, d):
     return _p(spark, d).select("tile_id", "r", "c", pixels.thresholded(F.col("p") / 1000.0, 0.55).alias("mask"))
 
 
-@query("mask_coverage", "SELECT tile_id, count(*) AS pixels, sum(CAST(v >= 50 AS INT)) AS ones, avg(CAST(v >= 50 AS DOUBLE)) AS share, avg(CAST(v >= 50 AS DOUBLE)) > 0.35 AS skipped FROM raster GROUP BY tile_id")
+@query("mask_coverage", "SELECT tile_id, count(*) AS pixels, count(*) FILTER (WHERE v >= 50) AS ones, avg(CAST(v >= 50 AS DOUBLE)) AS share, avg(CAST(v >= 50 AS DOUBLE)) > 0.35 AS skipped FROM raster GROUP BY tile_id")
 def mask_coverage(spark, d):
     return pixels.coverage(_mask(spark, d, 50), 0.35)
 
 
 @query("threshold_sweep", f"""
-SELECT threshold, 't' || lpad(CAST(CAST(round_even(threshold * 100, 0) AS INT) AS VARCHAR), 3, '0') AS tag, tile_id, sum(CAST(CAST({P} / 1000.0 AS FLOAT) >= CAST(threshold AS FLOAT) AS INT)) AS ones
+SELECT threshold, 't' || lpad(CAST(CAST(round_even(threshold * 100, 0) AS INT) AS VARCHAR), 3, '0') AS tag, tile_id, count(*) FILTER (WHERE CAST({P} / 1000.0 AS FLOAT) >= CAST(threshold AS FLOAT)) AS ones
 FROM raster, (SELECT CAST(x AS DOUBLE) AS threshold FROM {_values([(t,) for t in THRESHOLDS], 'x')}) GROUP BY ALL""")
 def threshold_sweep(spark, d):
     swept = pixels.sweep(_p(spark, d).withColumn("p", F.col("p") / 1000.0), THRESHOLDS)
@@ -253,7 +253,7 @@ def component_sizes(spark, d):
     return features.component_sizes(components4(spark, d))
 
 
-@query("region_box_and_area", f"{_components(50, False)} SELECT tile_id, label, count(*) AS pixels, count(*) * 0.25 AS area, min(r) AS r0, min(c) AS c0, max(r) AS r1, max(c) AS c1 FROM lab GROUP BY tile_id, label")
+@query("region_box_and_area", f"{_components(50, False)} SELECT tile_id, label, count(*) AS pixels, CAST(count(*) * 0.25 AS DOUBLE) AS area, min(r) AS r0, min(c) AS c0, max(r) AS r1, max(c) AS c1 FROM lab GROUP BY tile_id, label")
 def region_box_and_area(spark, d):
     return features.region_facts(components4(spark, d), 0.25)
 
@@ -273,7 +273,7 @@ WITH RECURSIVE m AS (SELECT DISTINCT r AS gr, tile_id * 48 + c AS gc FROM raster
 e AS (SELECT a.gr AS ar, a.gc AS ac, b.gr AS br, b.gc AS bc, CAST(a.gr AS BIGINT) * 2147483648 + a.gc AS ka, CAST(b.gr AS BIGINT) * 2147483648 + b.gc AS kb FROM m a, (VALUES (0, 1), (1, 0), (0, -1), (-1, 0)) t(dr, dc) JOIN m b ON b.gr = a.gr + dr AND b.gc = a.gc + dc),
 l(x, root) AS (SELECT CAST(gr AS BIGINT) * 2147483648 + gc, CAST(gr AS BIGINT) * 2147483648 + gc FROM m UNION SELECT e.kb, l.root FROM l JOIN e ON e.ka = l.x WHERE l.root < e.kb),
 k AS (SELECT x, min(root) AS label FROM l GROUP BY x)
-SELECT gr, gc, label FROM m JOIN k ON x = CAST(gr AS BIGINT) * 2147483648 + gc""")
+SELECT CAST(gr AS BIGINT) AS gr, CAST(gc AS BIGINT) AS gc, label FROM m JOIN k ON x = CAST(gr AS BIGINT) * 2147483648 + gc""")
 def mosaic_components(spark, d):
     ones = table(spark, d, "raster").filter("v >= 120 AND tile_id < 12").select(F.col("r").cast("long").alias("gr"), (F.col("tile_id") * 48 + F.col("c")).cast("long").alias("gc"))
     return morphology.mosaic_components(ones, 32)
@@ -362,7 +362,7 @@ def tile_label_join(spark, d):
 BURNT = f"burnt AS (SELECT DISTINCT CAST(y AS INT) AS r, CAST(x AS INT) AS c FROM boxes, range({SCENE}) b(y), range({SCENE}) a(x) WHERE y + 0.5 >= y0 AND y + 0.5 < y1 AND x + 0.5 >= x0 AND x + 0.5 < x1)"
 
 
-@query("rasterize_labels", f"WITH {BURNT} SELECT r, count(*) AS pixels, sum(c) AS places FROM burnt GROUP BY r")
+@query("rasterize_labels", f"WITH {BURNT} SELECT r, count(*) AS pixels, CAST(sum(c) AS BIGINT) AS places FROM burnt GROUP BY r")
 def rasterize_labels(spark, d):
     burnt = labels.rasterize(table(spark, d, "boxes"), SCENE, SCENE)
     return burnt.groupBy("r").agg(F.count(F.lit(1)).alias("pixels"), F.sum("c").alias("places"))
@@ -376,7 +376,7 @@ def positive_pixels(spark, d):
     return labels.positive_pixels(_label_windows(spark), labels.rasterize(table(spark, d, "boxes"), SCENE, SCENE)).select("tile_idx", "positive_pixels")
 
 
-@query("chip_summary", f"WITH {BURNT}, {LABEL_GRID}, {COUNTED} SELECT count(*) AS windows, count_if(win_width < 64 OR win_height < 64) AS partial, count_if(positive_pixels >= 900) AS chips, count_if(positive_pixels >= 900) AS positive, CAST(0 AS BIGINT) AS empty FROM counted")
+@query("chip_summary", f"WITH {BURNT}, {LABEL_GRID}, {COUNTED} SELECT count(*) AS windows, count(*) FILTER (WHERE win_width < 64 OR win_height < 64) AS partial, count(*) FILTER (WHERE positive_pixels >= 900) AS chips, count(*) FILTER (WHERE positive_pixels >= 900) AS positive, CAST(0 AS BIGINT) AS empty FROM counted")
 def chip_summary(spark, d):
     counted = labels.positive_pixels(_label_windows(spark), labels.rasterize(table(spark, d, "boxes"), SCENE, SCENE))
     return labels.chip_summary(counted, 64, 900, False)
@@ -432,7 +432,7 @@ def run_status_rollup(spark, d):
     return features.run_status(table(spark, d, "loads"))
 
 
-CONFUSION = "c AS (SELECT tile_id, count_if(pred = 1 AND truth = 1) AS tp, count_if(pred = 1 AND truth <> 1) AS fp, count_if(pred <> 1 AND truth = 1) AS fn FROM evaluation GROUP BY tile_id), s AS (SELECT *, tp / greatest(tp + fp, 1.0) AS precision, tp / greatest(tp + fn, 1.0) AS recall, tp / greatest(tp + fp + fn, 1.0) AS iou, 2 * tp / greatest(2 * tp + fp + fn, 1.0) AS dice FROM c)"
+CONFUSION = "c AS (SELECT tile_id, count(*) FILTER (WHERE pred = 1 AND truth = 1) AS tp, count(*) FILTER (WHERE pred = 1 AND truth <> 1) AS fp, count(*) FILTER (WHERE pred <> 1 AND truth = 1) AS fn FROM evaluation GROUP BY tile_id), s AS (SELECT *, tp / greatest(tp + fp, 1.0) AS precision, tp / greatest(tp + fn, 1.0) AS recall, tp / greatest(tp + fp + fn, 1.0) AS iou, 2 * tp / greatest(2 * tp + fp + fn, 1.0) AS dice FROM c)"
 
 
 @query("segmentation_metrics", f"WITH {CONFUSION} SELECT * FROM s")
@@ -458,7 +458,7 @@ def combined_loss(spark, d):
     return metrics.combined_loss(rows, "tile_id", dice_weight=0.5).withColumn("loss", F.round("loss", 6))
 
 
-@query("footprint_bounds", "SELECT scene_id, -105.0 - width / 1000.0 AS west, 36.0 AS south, -105.0 AS east, 36.0 + height / 1000.0 AS north FROM scenes")
+@query("footprint_bounds", "SELECT scene_id, -105.0 - width / 1000.0 AS west, CAST(36.0 AS DOUBLE) AS south, CAST(-105.0 AS DOUBLE) AS east, 36.0 + height / 1000.0 AS north FROM scenes")
 def footprint_bounds(spark, d):
     w, h = F.col("width") / 1000.0, F.col("height") / 1000.0
     corners = table(spark, d, "scenes").select("scene_id", F.array(F.lit(-105.0), -105.0 - w).alias("xs"), F.array(F.lit(36.0) + h, F.lit(36.0)).alias("ys"))
@@ -515,7 +515,7 @@ def mask_names(spark, d):
 DEMO = """demo AS (SELECT (abs(i // 256 - 128) <= 4 OR abs(i % 256 - 92) <= 4 OR abs(i // 256 - (0.55 * (i % 256) + 40)) <= 4) AS road FROM range(65536) t(i))"""
 
 
-@query("demo_scene", f"WITH {DEMO} SELECT count(*) AS pixels, count_if(road) AS road_pixels, CAST(count_if(road) AS DOUBLE) AS area, CAST(1 AS BIGINT) AS regions FROM demo")
+@query("demo_scene", f"WITH {DEMO} SELECT count(*) AS pixels, count(*) FILTER (WHERE road) AS road_pixels, CAST(count(*) FILTER (WHERE road) AS DOUBLE) AS area, CAST(1 AS BIGINT) AS regions FROM demo")
 def demo_scene(spark, d):
     """The whole path on a made scene: bands, scaling, normalising, mean model, sigmoid gate, threshold, region, polygon."""
     rows = spark.range(65536).select((F.col("id") / 256).cast("int").alias("r"), (F.col("id") % 256).cast("int").alias("c"))
