@@ -1,35 +1,13 @@
-"""Shared pieces of the training-data operators: shared-folder tables, hot-group blocks, components."""
+"""Shared pieces of the training-data operators: names, blocks of crowded groups, and the shared folder."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rasterloom.operators.graph import components, cut, fresh_folder, shared_dir
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor sees: spark.checkpoint.dir, or a temporary one on a local master where that is unset."""
-    sc = spark.sparkContext
-    folder = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not folder:
-        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        folder = tempfile.mkdtemp(prefix="rasterloom-")
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(folder)
-    return folder
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """df, computed once into the shared checkpoint folder: later reads survive lost executors and never recompute it."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def fresh_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+__all__ = ["components", "cut", "fresh_folder", "fresh_name", "needs", "pair_blocks", "shared_dir"]
 
 
 def fresh_name(taken: list[str], wanted: str) -> str:
@@ -51,8 +29,13 @@ def pair_blocks(df: DataFrame, keys: list[str], row_id: str, limit: int) -> Data
     A key with up to ``limit`` rows keeps one copy of each row in block pair (0, 0). A larger key is cut into
     g blocks by a hash of row_id and each row goes to the g block pairs that hold its block, so every pair of the
     key's rows meets in exactly one block pair: (i, i) for two rows of block i, (i, j) for rows of different blocks.
+
+    The larger keys, at most one in ``limit`` rows, are written first: Spark knows their size before it joins, and a
+    small table of them leaves the rows where they are.
     """
-    large = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > limit)
+    spark, folder = df.sparkSession, fresh_folder(df.sparkSession, "large-keys")
+    df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > limit).write.parquet(folder)
+    large = spark.read.parquet(folder)
     cut_up = df.join(large, keys, "left").withColumn("_g", F.coalesce(F.ceil(F.col("_rows") / limit), F.lit(1)).cast("int"))
     dealt = cut_up.withColumn("block", F.pmod(F.xxhash64(row_id), F.col("_g")).cast("int"))
     pairs = F.transform(
@@ -65,31 +48,3 @@ def pair_blocks(df: DataFrame, keys: list[str], row_id: str, limit: int) -> Data
         .withColumn("block_j", F.col("_pair.j"))
         .drop("_pair", "_rows", "_g")
     )
-
-
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """(node, root) for every node of edges(a, b): root is the smallest node of its connected component.
-
-    Alternating large-star and small-star rounds; each is one combined minimum and one join back, so a node with
-    very many neighbours is never gathered into one task, and each round is cut by a checkpoint.
-    """
-    edges = cut(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    seen = None
-    for _ in range(max_rounds):
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        small_low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(small_low, "a")
-        edges = cut(
-            small.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-            .unionByName(small_low.select("a", F.col("m").alias("b")))
-            .distinct()
-        )
-        now = edges.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(a, b))"), F.expr("sum(cast(b as decimal(38,0)))")).first()
-        if now == seen:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
-                edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
-            )
-        seen = now
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")

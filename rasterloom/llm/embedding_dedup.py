@@ -64,7 +64,7 @@ def _verified(x: np.ndarray, ranges: np.ndarray, least: float, chunk: int = 200_
     for k in np.flatnonzero(large):
         lo_a, hi_a, lo_b, hi_b = ranges[k]
         for at in range(lo_a, hi_a, 512):
-            near = x[at : min(at + 512, hi_a)] @ x[lo_b:hi_b].T >= least - 1e-9
+            near = x[at : min(at + 512, hi_a)] @ x[lo_b:hi_b].T >= least
             a, b = np.nonzero(near)
             a, b = a + at, b + lo_b
             keep = (a < b) if lo_a == lo_b else np.ones(len(a), bool)
@@ -78,7 +78,7 @@ def _verified(x: np.ndarray, ranges: np.ndarray, least: float, chunk: int = 200_
         which = np.repeat(part, size[part])
         keep = (np.repeat(lo_a != lo_b, size[part]) | (a < b))
         a, b, which = a[keep], b[keep], which[keep]
-        near = np.einsum("ij,ij->i", x[a], x[b]) >= least - 1e-9
+        near = np.einsum("ij,ij->i", x[a], x[b]) >= least
         yield a[near], b[near], which[near]
 
 
