@@ -43,22 +43,23 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .filter(F.col("first") != F.col("last")).drop("last")
     )
     later = windows.join(first, "key").filter(F.col("at") != F.col("first"))
-    covered = later.groupBy(F.col("at.id").alias("_id"), F.col("at.h").alias("_h")).agg(F.collect_set("at.pos").alias("_starts"))
+    of_id, of_hash, starts, kept_at = (fresh_name(docs.columns, f"dedup_{c}") for c in ("of_id", "of_hash", "starts", "kept_at"))
+    covered = later.groupBy(F.col("at.id").alias(of_id), F.col("at.h").alias(of_hash)).agg(F.collect_set("at.pos").alias(starts))
 
     joined = docs.withColumn(digest, F.xxhash64(text_col)).join(
-        covered, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col(digest) == F.col("_h")), "left"
+        covered, F.col(id_col).eqNullSafe(F.col(of_id)) & (F.col(digest) == F.col(of_hash)), "left"
     )
     lines = joined.withColumn(own, F.split(text_col, "\n", -1))
-    spread = F.flatten(F.transform("_starts", lambda p: F.sequence(p, p + (window - 1))))
-    kept_at = F.array_except(F.sequence(F.lit(0), F.size(own) - 1), spread)
-    kept = lines.withColumn("_kept", F.when(F.col("_starts").isNotNull(), kept_at))
-    text = F.when(F.col("_kept").isNull(), F.col(text_col)).otherwise(
-        F.array_join(F.transform("_kept", lambda i: F.get(F.col(own), i)), "\n")
+    spread = F.flatten(F.transform(starts, lambda p: F.sequence(p, p + (window - 1))))
+    rest = F.array_except(F.sequence(F.lit(0), F.size(own) - 1), spread)
+    kept = lines.withColumn(kept_at, F.when(F.col(starts).isNotNull(), rest))
+    text = F.when(F.col(kept_at).isNull(), F.col(text_col)).otherwise(
+        F.array_join(F.transform(kept_at, lambda i: F.get(F.col(own), i)), "\n")
     )
     return kept.select(
         *[(text if c == text_col else F.col(c)).alias(c) for c in docs.columns],
         F.when(F.col(text_col).isNull(), 0).otherwise(F.size(own)).alias(n_lines),
-        F.when(F.col("_kept").isNull(), 0).otherwise(F.size(own) - F.size("_kept")).alias(n_removed),
+        F.when(F.col(kept_at).isNull(), 0).otherwise(F.size(own) - F.size(kept_at)).alias(n_removed),
     )
 
 

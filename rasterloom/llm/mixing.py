@@ -108,8 +108,8 @@ def mix_sources(
         raise ValueError(f"the weights make a plan of over {_MOST_PLAN} slots; use smaller numbers")
     keys = F.create_map(*[F.lit(x) for pair in weights.items() for x in pair]) if weights else F.lit(None).cast("map<string,int>")
     share = F.coalesce(F.try_element_at(keys, F.coalesce(F.col(source_col).cast("string"), F.lit(""))), F.lit(0))
-    names = {c: fresh_name(docs.columns, c) for c in ("_cls", "_share", "_hash", "_part", "_rank", "_block", "_plan")}
-    cls, sh, h, part, rank, block, plan = names.values()
+    names = {c: fresh_name(docs.columns, c) for c in ("_cls", "_share", "_hash", "_part", "_rank", "_block", "_plan", "_of_cls", "_of_part", "_offset")}
+    cls, sh, h, part, rank, block, plan, of_cls, of_part, offset = names.values()
     rows = (
         docs.withColumn(sh, share)
         .withColumn(cls, F.when(F.col(sh) > 0, F.col(source_col).cast("string")).otherwise(F.lit(REST)))
@@ -120,18 +120,18 @@ def mix_sources(
     sizes = rows.groupBy(cls, sh, part).agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy(cls).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
-        F.col(cls).alias("_c"), F.col(part).alias("_p"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_offset")
+        F.col(cls).alias(of_cls), F.col(part).alias(of_part), F.coalesce(F.sum("n").over(before), F.lit(0)).alias(offset)
     )
     totals = sizes.groupBy(F.col(cls).alias("cls"), F.col(sh).alias("share")).agg(F.sum("n").alias("rows"))
     ranked = (
         rows.withColumn(rank, F.row_number().over(Window.partitionBy(cls, part).orderBy(h, id_col)) - 1)
-        .join(offsets, (F.col(cls) == F.col("_c")) & (F.col(part) == F.col("_p")))
-        .withColumn(rank, F.col(rank) + F.col("_offset"))
-        .drop("_c", "_p", "_offset")
+        .join(offsets, (F.col(cls) == F.col(of_cls)) & (F.col(part) == F.col(of_part)))
+        .withColumn(rank, F.col(rank) + F.col(offset))
+        .drop(of_cls, of_part, offset)
         .withColumn(block, F.floor(F.col(rank) / block_rows))
     )
-    plans = _plan(totals, block_rows).select(F.col("cls").alias("_c"), F.struct("begins", "ends", "lengths", "first", "own").alias(plan))
-    placed = ranked.join(F.broadcast(plans), F.col(cls) == F.col("_c"))
+    plans = _plan(totals, block_rows).select(F.col("cls").alias(of_cls), F.struct("begins", "ends", "lengths", "first", "own").alias(plan))
+    placed = ranked.join(F.broadcast(plans), F.col(cls) == F.col(of_cls))
     period = F.floor(F.col(block) / F.col(sh))
     index = (F.col(block) % F.col(sh)).cast("int")
     phase = F.size(F.filter(F.col(f"{plan}.ends"), lambda e: e <= period))

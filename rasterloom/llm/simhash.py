@@ -191,8 +191,9 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     tells them apart. Columns are those of docs.
     """
     found = simhash_groups(docs.select(id_col, text_col), id_col, text_col, budget)
-    keep = found.filter(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_keep")).distinct()
-    known = docs.filter(F.col(id_col).isNotNull()).join(keep, F.col(id_col) == F.col("_keep"), "left_semi")
+    kept_id = fresh_name(docs.columns, "kept_id")
+    keep = found.filter(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias(kept_id)).distinct()
+    known = docs.filter(F.col(id_col).isNotNull()).join(keep, F.col(id_col) == F.col(kept_id), "left_semi")
     rank = fresh_name(docs.columns, "rank_in_id")
     first = Window.partitionBy(id_col).orderBy(F.xxhash64(text_col), text_col)
     once = known.withColumn(rank, F.row_number().over(first)).filter(F.col(rank) == 1).drop(rank)

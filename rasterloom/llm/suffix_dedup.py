@@ -295,9 +295,10 @@ def suffix_dedup(
 
     remove.__annotations__ = {"data": pd.Series, "starts": pd.Series, "return": pd.DataFrame}
     udf = F.pandas_udf(remove, "n_bytes long, removed_spans array<struct<start long, end long>>, kept binary")
-    joined = base.join(spans.withColumnRenamed("key", "_found"), F.col(key) == F.col("_found"), "left")
+    of_key, starts_at = fresh_name(base.columns, "_of_key"), fresh_name(base.columns, "_starts")
+    joined = base.join(spans.withColumnsRenamed({"key": of_key, "starts": starts_at}), F.col(key) == F.col(of_key), "left")
     at = fresh_name(docs.columns, "_out")
-    return joined.withColumn(at, udf(text.cast("binary"), F.col("starts"))).select(
+    return joined.withColumn(at, udf(text.cast("binary"), F.col(starts_at))).select(
         *docs.columns, *[F.col(f"{at}.{c}").alias(n) for c, n in names.items()]
     )
 

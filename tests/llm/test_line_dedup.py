@@ -28,7 +28,7 @@ def test_equals_brute_force(docs_of):
 def test_nulls_ties_repeats_long_texts_and_clashing_columns(docs_of):
     long = "\n".join(str(k) for k in range(50_000))
     rows = [(1, None), (None, "a\nb\nc"), (2, "a\nb\nc\nd"), (2, "a\nb\nc\nd"), (3, ""), (4, long), (5, long + "\nnew"), (6, "x\nx\nx\nx\nx")]
-    out = line_dedup(docs_of(rows, "n_lines")).collect()
+    out = line_dedup(docs_of(rows, "n_lines id dedup_starts lines")).collect()
     at = {r.doc_id: r for r in out}
     assert len(out) == len(rows) and at[1].text is None and at[1]["_n_lines"] == 0 and at[1].n_lines == "mine"
     assert at[None].text == "a\nb\nc" and [r.text for r in out if r.doc_id == 2] == ["d", "d"]

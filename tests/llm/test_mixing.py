@@ -38,7 +38,7 @@ def test_deviation_under_one_block(docs_of):
 
 def test_nulls_repeats_clashes_and_bad_weights(docs_of):
     rows = [(None, "a", "a"), (1, None, None), (1, "b", "a"), (1, "b", "a"), (2, "c", "zz")]
-    out = mix_sources(docs_of(rows, "mix_slot"), {"a": 2})
+    out = mix_sources(docs_of(rows, "mix_slot cls _cls _offset n _rank rows"), {"a": 2})
     assert out.count() == 5 and "_mix_slot" in out.columns and out.select("mix_position").distinct().count() == 5
     assert mix_sources(docs_of([]), {"a": 1}).count() == 0
     assert mix_sources(docs_of(rows), {}).filter(F.col("mix_slot") >= 0).count() == 5

@@ -52,7 +52,7 @@ def test_equals_brute_force(docs_of):
 def test_nulls_short_texts_repeats_and_clashing_columns(docs_of):
     long = "".join(random.Random(9).choice("abcdefghij") for _ in range(700))
     rows = [(1, None), (2, ""), (3, "short"), (4, long), (4, long), (None, "x" + long[100:650]), (5, "é" * 300), (6, "é" * 200)]
-    out = sd.suffix_dedup(docs_of(rows, "kept")).collect()
+    out = sd.suffix_dedup(docs_of(rows, "kept starts _key _out _starts key")).collect()
     at = {r.doc_id: r for r in out}
     assert len(out) == 8 and at[1].n_bytes == 0 and at[3]["_kept"] == b"short" and at[3].kept == "mine"
     assert all(r["_kept"] == b"" for r in out if r.doc_id in (4, 5, 6)) and bytes(at[None]["_kept"]) == b"x"
