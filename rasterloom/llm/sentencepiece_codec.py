@@ -15,6 +15,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import ahocorasick
+import numpy as np
 import pandas as pd
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -23,8 +24,8 @@ from pyspark.sql import functions as F
 from rasterloom.llm.common import fresh_name, needs
 
 SPACE = "▁"  # the sign that stands for a space in pieces
-CACHED_CHUNKS = 600_000
-CACHED_PAIRS = 400_000
+CACHED_WORDS, CACHED_CHUNKS, CACHED_PAIRS = 400_000, 200_000, 300_000
+ROWS_AT_ONCE = 500
 _CHUNKS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 
 
@@ -165,7 +166,7 @@ class PrefixTableEncoder:
     def _spaced(self, word: str) -> bytes:
         found = self._chunk(SPACE + word)
         if len(word) <= 40:
-            if len(self.spaced) >= CACHED_CHUNKS:
+            if len(self.spaced) >= CACHED_WORDS:
                 self.spaced.clear()
             self.spaced[word] = found
         return found
@@ -189,6 +190,11 @@ class PrefixTableEncoder:
         ids.append(self.end)
         return ids
 
+    def forget(self) -> None:
+        """Empties the caches, as a worker may go on to other work."""
+        for cache in (self.known, self.spaced, self.pairs):
+            cache.clear()
+
     def shown(self, ids: list[int]) -> str:
         """The ids in decimal, joined by one space."""
         return " ".join([self.decimal[i] for i in ids])
@@ -228,17 +234,19 @@ def sentencepiece_encode(
     def of(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         codec = encoder(model or default_model())
         for batch in texts:
-            rows = []
-            for text in batch:
-                ids = codec.encode(text)
-                decoded = codec.decode(ids)
-                row = {
-                    "n_tokens": len(ids),
-                    "ids_sha256": hashlib.sha256(codec.shown(ids).encode()).hexdigest(),
-                    "decoded_sha256": hashlib.sha256(decoded.encode("utf-8", "replace")).hexdigest(),
-                }
-                rows.append(row | ({"ids": ids} if with_ids else {}) | ({"decoded": decoded} if with_decoded else {}))
-            yield pd.DataFrame(rows, columns=list(names))
+            for at in range(0, len(batch), ROWS_AT_ONCE):  # bounds the ids that wait to leave
+                rows = []
+                for text in batch.iloc[at : at + ROWS_AT_ONCE]:
+                    ids = codec.encode(text)
+                    decoded = codec.decode(ids)
+                    row = {
+                        "n_tokens": len(ids),
+                        "ids_sha256": hashlib.sha256(codec.shown(ids).encode()).hexdigest(),
+                        "decoded_sha256": hashlib.sha256(decoded.encode("utf-8", "replace")).hexdigest(),
+                    }
+                    rows.append(row | ({"ids": np.array(ids, np.int32)} if with_ids else {}) | ({"decoded": decoded} if with_decoded else {}))
+                yield pd.DataFrame(rows, columns=list(names))
+        codec.forget()
 
     udf = F.pandas_udf(of, ", ".join(f"{c} {kinds[c]}" for c in names))
     at = fresh_name(docs.columns, "encoded")
