@@ -216,15 +216,19 @@ def suffix_dedup(
     runs = spark.read.parquet(where)
     starts = [F.col("key"), F.col("lo"), (F.col("lo") + F.col("size")).alias("hi")]
 
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        """df, written and read again: a join with it splits the tasks of hot keys, which one with an aggregate doesn't."""
+        folder = fresh_folder(spark, name)
+        df.write.parquet(folder)
+        return spark.read.parquet(folder)
+
     grams = runs.filter("n > 0").groupBy("gram").agg(F.sum("n").alias("all"), F.min("whole").alias("least"), F.max("whole").alias("most"))
-    common = grams.filter("all > 1").select("gram", (F.col("least") != F.col("most")).alias("mixed"))
-    found_folder = fresh_folder(spark, "shared-anchors")
-    runs.filter("n > 0").join(common, "gram").write.parquet(found_folder)
-    found = spark.read.parquet(found_folder)
+    common = stored(grams.filter("all > 1").select("gram", (F.col("least") != F.col("most")).alias("mixed")), "shared-grams")
+    found = stored(runs.filter("n > 0").join(common, "gram"), "shared-anchors")
 
     context = ["gram", "whole"]
     mixed = found.filter("mixed")
-    counted = mixed.groupBy(*context).agg(F.sum("n").alias("all"), F.first(F.struct("key", "lo", "size", "off")).alias("at"))
+    counted = stored(mixed.groupBy(*context).agg(F.sum("n").alias("all"), F.min(F.struct("key", "lo", "size", "off")).alias("at")), "contexts")
     repeated = runs.filter("n = 0").select(*starts).unionByName(found.filter("NOT mixed").select(*starts)).unionByName(
         mixed.join(counted.filter("all > 1").select(*context), context, "left_semi").select(*starts)
     )
