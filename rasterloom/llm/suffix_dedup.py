@@ -232,7 +232,7 @@ def suffix_dedup(
     repeated = runs.filter("n = 0").select(*starts).unionByName(found.filter("NOT mixed").select(*starts)).unionByName(
         mixed.join(counted.filter("all > 1").select(*context), context, "left_semi").select(*starts)
     )
-    single = counted.groupBy("gram").agg(F.min("all").alias("fewest")).filter("fewest = 1").select("gram")
+    single = stored(counted.groupBy("gram").agg(F.min("all").alias("fewest")).filter("fewest = 1").select("gram"), "single-grams")
     one_each = counted.join(single, "gram", "left_semi").select("gram", F.col("all").alias("n"), "at.*")
     dealt = pair_blocks(one_each.withColumn("pick", F.struct("key", "lo")), ["gram"], "pick", block_rows).drop("pick", "block")
     wanted = dealt.groupBy("key").agg(F.collect_list(F.struct("lo", "size", "off", "n", "block_i", "block_j")).alias("want"))
