@@ -279,6 +279,18 @@ def mosaic_components(spark, d):
     return morphology.mosaic_components(ones, 32)
 
 
+@query("mosaic_components_whole", """
+WITH RECURSIVE m AS (SELECT DISTINCT r AS gr, tile_id * 48 + c AS gc FROM raster WHERE v >= 120),
+e AS (SELECT a.gr AS ar, a.gc AS ac, b.gr AS br, b.gc AS bc, CAST(a.gr AS BIGINT) * 2147483648 + a.gc AS ka, CAST(b.gr AS BIGINT) * 2147483648 + b.gc AS kb FROM m a, (VALUES (0, 1), (1, 0), (0, -1), (-1, 0)) t(dr, dc) JOIN m b ON b.gr = a.gr + dr AND b.gc = a.gc + dc),
+l(x, root) AS (SELECT CAST(gr AS BIGINT) * 2147483648 + gc, CAST(gr AS BIGINT) * 2147483648 + gc FROM m UNION SELECT e.kb, l.root FROM l JOIN e ON e.ka = l.x WHERE l.root < e.kb),
+k AS (SELECT x, min(root) AS label FROM l GROUP BY x)
+SELECT CAST(gr AS BIGINT) AS gr, CAST(gc AS BIGINT) AS gc, label FROM m JOIN k ON x = CAST(gr AS BIGINT) * 2147483648 + gc""")
+def mosaic_components_whole(spark, d):
+    """Every tile, in blocks of the operator's own size."""
+    ones = table(spark, d, "raster").filter("v >= 120").select(F.col("r").cast("long").alias("gr"), (F.col("tile_id") * 48 + F.col("c")).cast("long").alias("gc"))
+    return morphology.mosaic_components(ones)
+
+
 def _sieve(size: int, values: str, source: str = "raster", least: int = 80) -> str:
     """Small components by bounded balls: one of fewer than ``size`` pixels is what size - 1 steps reach."""
     steps = "e1 AS (SELECT a.tile_id, a.id AS x, b.id AS y FROM m a, {n} JOIN m b ON b.tile_id = a.tile_id AND b.r = a.r + dr AND b.c = a.c + dc AND b.k = a.k)".format(n=NEAR)
@@ -416,6 +428,12 @@ def append_schema_evolution(spark, d):
     return features.append_evolving(stored, table(spark, d, "loads").filter("feature_count = 3").select("job_id", "workflow_id"))
 
 
+@query("append_schema_evolution_whole", "SELECT source_tile, class_name, area_m2, NULL::VARCHAR AS job_id, NULL::VARCHAR AS workflow_id FROM detections UNION ALL SELECT NULL, NULL, NULL, job_id, workflow_id FROM loads")
+def append_schema_evolution_whole(spark, d):
+    stored = table(spark, d, "detections").select("source_tile", "class_name", "area_m2")
+    return features.append_evolving(stored, table(spark, d, "loads").select("job_id", "workflow_id"))
+
+
 @query("duplicate_ids", "SELECT job_id, count(*) AS n FROM loads GROUP BY job_id HAVING count(*) > 1")
 def duplicate_ids(spark, d):
     return features.duplicate_ids(table(spark, d, "loads"), "job_id")

@@ -1,4 +1,5 @@
 import os
+import random
 
 import duckdb
 import pytest
@@ -45,3 +46,30 @@ def test_query_equals_sql(spark, duck, name):
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE_SQL)))
 def test_query_without_sql_gives_rows(spark, name):
     assert QUERIES[name](spark, DATA).count() > 0
+
+
+def test_mosaic_components_whole_floods_every_tile(spark, tmp_path):
+    rng = random.Random(4)
+    rows = [(k, [rng.choice((0.0, 0.2)) for _ in range(64)]) for k in range(64 * 26)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    ones = {(k % 64, k // 64 * 48 + c) for k, v in rows for c, e in enumerate(v) if e > 0.1}
+    want, left = {}, set(ones)
+    for at in sorted(ones):
+        if at in left:
+            left.remove(at)
+            todo = [at]
+            while todo:
+                r, c = todo.pop()
+                want[r, c] = at[0] * (1 << 31) + at[1]
+                near = left & {(r, c + 1), (r + 1, c), (r, c - 1), (r - 1, c)}
+                left -= near
+                todo += near
+    got = QUERIES["mosaic_components_whole"](spark, str(tmp_path)).collect()
+    assert len(got) == len(want) and {(x.gr, x.gc): x.label for x in got} == want
+    assert max(c for _, c in want) >= 1024  # more tiles than the first 12, and more than two blocks
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no tables")
+def test_append_whole_keeps_every_row_of_both_tables(spark):
+    rows = sum(spark.read.parquet(f"{DATA}/{t}.parquet").count() for t in ("lineitem", "orders"))
+    assert QUERIES["append_schema_evolution_whole"](spark, DATA).count() == rows
