@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rasterloom.llm.common import components, cut, fresh_name, needs, pair_blocks
 
 SEED = 42
 BITS = 64
+#: Of the long SimHash that finds candidates by similarity: fields, their bits, and how many of 128 bits may differ.
+FIELDS, WIDTH, NEAR = 64, 14, 40
+#: Pairs compared at once, and texts in a batch, which bound a Python worker's memory.
+CHUNK, BATCH = 100_000, 500
 
 
 def fingerprint(text: str | None, words: int = 4) -> int:
@@ -38,12 +43,12 @@ def fingerprint(text: str | None, words: int = 4) -> int:
     return int.from_bytes(bits.tobytes(), "big", signed=True)
 
 
-def fingerprints(text: Column) -> Column:
+def fingerprints(text: Column, words: int = 4) -> Column:
     """The 64-bit fingerprint column of a text column."""
 
     @F.pandas_udf("long")
     def of(texts: pd.Series) -> pd.Series:
-        return pd.Series([fingerprint(x) for x in texts], dtype="int64")
+        return pd.Series([fingerprint(x, words) for x in texts], dtype="int64")
 
     return of(text)
 
@@ -161,10 +166,10 @@ def hamming_links(codes: DataFrame, budget: int = 4, block_rows: int = 4096) ->
     return shuffled.mapInPandas(join, "a long, b long")
 
 
-def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: int = 4) -> DataFrame:
+def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: int = 4, words: int = 4) -> DataFrame:
     """One row per row of docs: its id, fingerprint (16 hex digits) and component_id.
 
-    Texts are lower-cased (A-Z), cut into words at ASCII white space and into four-word shingles, repeats included;
+    Texts are lower-cased (A-Z), cut into words at ASCII white space and into shingles of ``words``, repeats included;
     each bit of the fingerprint is the majority of the shingles' XXH64 hashes. Fingerprints that differ in at most
     ``budget`` bits are linked; component_id is the smallest id that the links reach.
 
@@ -173,7 +178,7 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     table gives no rows. Other columns are not read.
     """
     needs(docs, id_col, text_col)
-    of = cut(docs.select(F.col(id_col).alias("id"), fingerprints(F.col(text_col)).alias("fp")))
+    of = cut(docs.select(F.col(id_col).alias("id"), fingerprints(F.col(text_col), words).alias("fp")))
     distinct = of.groupBy("fp").agg(F.min("id").alias("low"))
     roots = components(hamming_links(distinct.select("fp"), budget)).withColumnRenamed("node", "fp")
     grouped = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
@@ -184,13 +189,8 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
 
 
-def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: int = 4) -> DataFrame:
-    """docs without near copies: of each component the row with the smallest id stays.
-
-    Rows that repeat the smallest id keep the one whose text sorts first, once. Rows with a null id stay, as nothing
-    tells them apart. Columns are those of docs.
-    """
-    found = simhash_groups(docs.select(id_col, text_col), id_col, text_col, budget)
+def _firsts(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of docs whose id is their component_id in found, each once, and those with a null id."""
     kept_id = fresh_name(docs.columns, "kept_id")
     keep = found.filter(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias(kept_id)).distinct()
     known = docs.filter(F.col(id_col).isNotNull()).join(keep, F.col(id_col) == F.col(kept_id), "left_semi")
@@ -200,5 +200,207 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return once.unionByName(docs.filter(F.col(id_col).isNull()))
 
 
+def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: int = 4, words: int = 4) -> DataFrame:
+    """docs without near copies: of each component the row with the smallest id stays.
+
+    Rows that repeat the smallest id keep the one whose text sorts first, once. Rows with a null id stay, as nothing
+    tells them apart. Columns are those of docs.
+    """
+    return _firsts(docs, simhash_groups(docs.select(id_col, text_col), id_col, text_col, budget, words), id_col, text_col)
+
+
+def _parts(text: str | None) -> list[bytes]:
+    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+
+
+def shingles(text: str | None, words: int = 5) -> set[bytes]:
+    """The different runs of ``words`` words of a text; the whole text where it has fewer."""
+    parts = _parts(text)
+    line = b" ".join(parts)
+    if len(parts) <= words:
+        return {line}
+    ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1)
+    starts = np.concatenate(([0], ends[:-words])).tolist()
+    return {line[s:e] for s, e in zip(starts, (ends[words - 1 :] - 1).tolist(), strict=True)}
+
+
+def similar(a: set[bytes], b: set[bytes], least: float) -> bool:
+    """Whether two sets have a Jaccard similarity of ``least`` or more."""
+    both = len(a & b)
+    return both + 1e-9 >= least * (len(a) + len(b) - both)
+
+
+def sketch(found: set[bytes]) -> tuple[np.ndarray, int, int]:
+    """The keys of a long SimHash's FIELDS fields of WIDTH bits, and its first 128 bits as two signed integers."""
+    digest = xxhash.xxh64_intdigest
+    base = np.fromiter((digest(x, SEED) for x in found), np.uint64, len(found))
+    ones = np.zeros(FIELDS * WIDTH, np.int64)
+    for at in range(0, len(base), 4096):
+        x = base[at : at + 4096, None] + np.arange(1, FIELDS * WIDTH // 64 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(31)
+        ones += np.unpackbits(x.view(np.uint8), axis=1).sum(axis=0, dtype=np.int32)
+    bits = 2 * ones > len(base)
+    fields = bits.reshape(FIELDS, WIDTH) @ (1 << np.arange(WIDTH)) + (np.arange(FIELDS) << WIDTH)
+    first, second = np.packbits(bits[:128]).view(np.int64).tolist()
+    return fields.astype(np.int32), first, second
+
+
+def sketches(text: Column, words: int) -> Column:
+    """A struct of node, a hash of the text's words, and its sketch."""
+
+    @F.pandas_udf("node long, keys array<int>, f1 long, f2 long")
+    def of(texts: pd.Series) -> pd.DataFrame:
+        rows = [(*sketch(shingles(x, words)), _node(x)) for x in texts]
+        return pd.DataFrame({
+            "node": np.array([r[3] for r in rows], np.int64), "keys": [r[0] for r in rows],
+            "f1": np.array([r[1] for r in rows], np.int64), "f2": np.array([r[2] for r in rows], np.int64),
+        })
+
+    return of(text)
+
+
+def _node(text: str | None) -> int:
+    return int(np.uint64(xxhash.xxh64_intdigest(b" ".join(_parts(text)), SEED)).view(np.int64))
+
+
+@contextlib.contextmanager
+def _small_batches(spark: SparkSession):
+    """Texts reach Python in batches of BATCH rows in plans that run inside."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, BATCH)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def _nodes(text: Column) -> Column:
+    @F.pandas_udf("long")
+    def of(texts: pd.Series) -> pd.Series:
+        return pd.Series([_node(x) for x in texts], dtype="int64")
+
+    return of(text)
+
+
+def _ends(codes: np.ndarray, budget: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For every row of one bucket's codes its first near row before it. Rows near an early one leave at once."""
+    todo = np.arange(1, len(codes))
+    for k in range(len(codes) - 1):
+        near = np.bitwise_count(codes[todo] ^ codes[k]).sum(axis=1) <= budget
+        yield np.full(int(near.sum()), k), todo[near]
+        todo = todo[~near]
+        todo = todo[todo > k + 1]
+        if not len(todo):
+            return
+
+
+def _bucket_pairs(every: bool, budget: int):
+    """Pairs of nodes that share a bucket and differ in at most ``budget`` bits of 128.
+
+    Without ``every``: each row with its first near row before it and its last one after it, so each row that has a
+    near one is in a pair, and their number is in proportion to the rows. With it: all that have different roots.
+    """
+
+    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = [x for x in batches if len(x)]
+        if not rows:
+            return
+        rows = pd.concat(rows, ignore_index=True).sort_values(["key", "node"], ignore_index=True)
+        codes = np.stack([rows.f1.to_numpy(), rows.f2.to_numpy()], axis=1).view(np.uint64)
+        node, key = rows.node.to_numpy(), rows.key.to_numpy()
+        root = rows.root.to_numpy() if every else node
+        run = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        end = np.append(run[1:], len(key))
+        shared = (end - run > 1) & (np.minimum.reduceat(root, run) != np.maximum.reduceat(root, run))
+        run, end = run[shared], end[shared]
+        long = (end - run > 64) & (not every)
+        for lo, hi in zip(run[long].tolist(), end[long].tolist(), strict=True):
+            for a, b in _ends(codes[lo:hi], budget):
+                yield pd.DataFrame({"a": node[lo + a], "b": node[lo + b]})
+            for b, a in _ends(codes[lo:hi][::-1], budget):
+                yield pd.DataFrame({"a": node[hi - 1 - a], "b": node[hi - 1 - b]})
+        lo = np.concatenate([np.arange(a, b) for a, b in zip(run[~long], end[~long], strict=True)] or [np.array([], np.int64)])
+        hi = np.repeat(end[~long], (end - run)[~long])
+        size = np.cumsum(hi - lo - 1)
+        for at in np.split(np.arange(len(lo)), np.searchsorted(size, np.arange(CHUNK, size[-1] if len(size) else 0, CHUNK))):
+            a, b = _expand(lo[at], np.ones(len(at), np.int64), lo[at] + 1, (hi - lo)[at] - 1)
+            near = np.bitwise_count(codes[a] ^ codes[b]).sum(axis=1) <= budget
+            near &= root[a] != root[b]
+            a, b = a[near], b[near]
+            if not every and len(a):  # a rises, and b within each a
+                first = np.unique(b, return_index=True)[1]
+                last = np.append(np.flatnonzero(a[1:] != a[:-1]), len(a) - 1)
+                keep = np.union1d(first, last)
+                a, b = a[keep], b[keep]
+            if len(a):
+                yield pd.DataFrame({"a": node[a], "b": node[b]}).drop_duplicates()
+
+    return of
+
+
+def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, least: float = 0.8) -> DataFrame:
+    """One row per row of docs: its id and component_id, the smallest id that links reach.
+
+    Two texts are linked if the sets of their shingles of ``words`` words have a Jaccard similarity of ``least`` or
+    more. Candidates come from a SimHash of FIELDS x WIDTH bits: two texts that share one of its fields and differ in
+    at most NEAR of its first 128 bits. A pair of long texts at 0.8 is expected to agree on 85 bits of 100, so one in
+    830 shares no field; at 0.85, one in 25,000; for texts of under ten words at 0.8, one in 40. Each candidate is
+    then compared by its shingles themselves. First each row's outermost candidates are compared; the other pairs
+    only where those left them in different components, so a group of near copies doesn't meet pair by pair.
+
+    Nulls, repeated rows and empty tables are as in simhash_groups. Texts with the same words in lower case are one.
+    """
+    needs(docs, id_col, text_col)
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    with _small_batches(docs.sparkSession):
+        of = cut(rows.select("id", sketches(F.col("text"), words).alias("s")).select("id", "s.*"))
+    codes = of.select("node", "keys", "f1", "f2").dropDuplicates(["node"])
+
+    def pairs(of_codes: DataFrame, every: bool) -> DataFrame:
+        placed = of_codes.select(F.explode("keys").alias("key"), *[c for c in of_codes.columns if c != "keys"])
+        return placed.repartition("key").mapInPandas(_bucket_pairs(every, NEAR), "a long, b long").distinct()
+
+    def verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            known: dict[int, set[bytes]] = {}
+            ok = []
+            for a, b, x, y in zip(batch.a, batch.b, batch.x, batch.y, strict=True):
+                if a not in known:
+                    known = {a: shingles(x, words)}
+                ok.append(similar(known[a], shingles(y, words), least))
+            yield batch.loc[np.array(ok, bool), ["a", "b"]]
+
+    def links(found: DataFrame) -> DataFrame:
+        ends = found.select(F.col("a").alias("n")).union(found.select("b")).distinct()
+        texts = rows.select(_nodes(F.col("text")).alias("n"), "text").join(ends, "n", "left_semi").dropDuplicates(["n"])
+        with _small_batches(docs.sparkSession):
+            texts = cut(texts)
+            full = found.join(texts.select(F.col("n").alias("b"), F.col("text").alias("y")), "b").join(
+                texts.select(F.col("n").alias("a"), F.col("text").alias("x")), "a"
+            )
+            return cut(full.select("a", "b", "x", "y").mapInPandas(verified, "a long, b long"))
+
+    outer = cut(pairs(codes, False))
+    found = links(outer)
+    roots = components(found).withColumnRenamed("node", "n")
+    ends = outer.select(F.col("a").alias("n")).union(outer.select("b")).distinct()
+    open_ = ends.join(roots, "n", "left").select(F.col("n").alias("node"), F.coalesce("root", "n").alias("root"))
+    rest = cut(pairs(codes.join(open_, "node"), True).join(outer, ["a", "b"], "left_anti"))
+    roots = components(found.unionByName(links(rest)))
+    lows = of.groupBy("node").agg(F.min("id").alias("low"))
+    grouped = lows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    low = grouped.groupBy("root").agg(F.min("low").alias("component_id"))
+    classes = cut(grouped.join(low, "root").select("node", "component_id"))
+    return of.join(classes, "node").select(F.col("id").alias(id_col), "component_id")
+
+
+def similar_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, least: float = 0.8) -> DataFrame:
+    """docs without near copies by similar_groups; what stays of each component is as in simhash_dedup."""
+    return _firsts(docs, similar_groups(docs.select(id_col, text_col), id_col, text_col, words, least), id_col, text_col)
+
+
 def op2_query(spark, sf_dir: str) -> DataFrame:
     return simhash_groups(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))

@@ -9,7 +9,7 @@ import corpus_pipeline
 from rasterloom.llm import toxicity
 from rasterloom.llm.sentencepiece_codec import default_model
 from tests.llm.test_line_dedup import brute as brute_lines
-from tests.llm.test_simhash import slow_groups
+from tests.llm.test_simhash import slow_groups, slow_similar
 
 DATA = "/root/testdata/sf0.001"
 
@@ -30,6 +30,14 @@ def test_pipeline_equals_brute_force(spark):
     assert 0 < len(got) < len(rows) and len(corpus_pipeline.STAGES) == 5
 
 
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no tables")
+def test_near_copies_of_the_table_equal_brute_force(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    seen, want = slow_similar([(r.doc_id, r.text) for r in docs.collect()])
+    got = {r.doc_id for r in corpus_pipeline.dedup_near_copies(spark, docs, DATA).collect()}
+    assert got == set(want) and any(0.8 <= x < 0.9 for x in seen)
+
+
 def test_stages_keep_the_columns_and_clean_documents(spark, docs_of):
     docs = docs_of([(1, "a\nb\nc\nd", "src1"), (2, "q\na\nb\nc", "src2"), (3, None, None), (None, "z", "src1")])
     for _, stage in corpus_pipeline.STAGES[1:4]:
