@@ -47,6 +47,16 @@ def test_stages_keep_the_columns_and_clean_documents(spark, docs_of):
     assert (changed.text, changed.n_chars) == ("q", 1)
 
 
+def test_the_last_stage_carries_the_order_of_the_mix(spark, docs_of, tmp_path):
+    docs = docs_of([(k, f"text {k}", f"src{k % 7}") for k in range(400)])
+    mixed = corpus_pipeline.mix(spark, docs, DATA)
+    order = [r.doc_id for r in mixed.collect()]
+    assert order != sorted(order)
+    mixed.repartition(5).write.parquet(f"{tmp_path}/mixed")
+    out = corpus_pipeline.encode(spark, spark.read.parquet(f"{tmp_path}/mixed"), DATA)
+    assert [r.doc_id for r in out.orderBy("mix_position").collect()] == order
+
+
 def test_the_rest_works_without_this_subpackage():
     code = (
         "import sys\n"
