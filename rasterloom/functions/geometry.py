@@ -4,10 +4,17 @@ from __future__ import annotations
 
 import math
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with value computed once, however often use names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def point(x: Column, y: Column) -> Column:
     return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
 
@@ -72,13 +79,15 @@ def axis_snapped(ring: Column, tolerance_degrees: float) -> Column:
         moved = point(F.when(upright, last["x"]).otherwise(p["x"]), F.when(level, last["y"]).otherwise(p["y"]))
         return F.concat(done, F.array(moved))
 
+    def single(points: Column) -> Column:
+        return F.aggregate(
+            F.slice(points, F.lit(2), F.size(points)), F.slice(points, 1, 1),
+            lambda done, p: F.when(F.element_at(done, -1) == p, done).otherwise(F.concat(done, F.array(p))),
+        )
+
     moved = F.aggregate(F.slice(ring, F.lit(2), F.size(ring)), F.slice(ring, 1, 1), step)
-    ends = F.concat(F.slice(moved, F.lit(1), F.size(moved) - 1), F.slice(moved, 1, 1))
-    single = F.aggregate(
-        F.slice(ends, F.lit(2), F.size(ends)), F.slice(ends, 1, 1),
-        lambda done, p: F.when(F.element_at(done, -1) == p, done).otherwise(F.concat(done, F.array(p))),
-    )
-    return F.when(F.size(ring) < 4, ring).otherwise(closed(single))
+    ends = let(moved, lambda m: F.concat(F.slice(m, F.lit(1), F.size(m) - 1), F.slice(m, 1, 1)))
+    return F.when(F.size(ring) < 4, ring).otherwise(let(let(ends, single), closed))
 
 
 def bounds(ring: Column) -> Column:

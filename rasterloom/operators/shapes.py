@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +19,7 @@ from rasterloom.functions.geometry import axis_snapped, centroid, polygon_area,
 
 Ring = list[tuple[float, float]]
 RINGS = "array<array<struct<x:double,y:double>>>"
+_ARROW_RINGS = pa.list_(pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())])))
 
 
 def area(ring: Ring) -> float:
@@ -220,16 +222,26 @@ def merged_polygons(labelled: DataFrame) -> DataFrame:
     return labelled.select("class_name", "gr", "gc", "label").groupBy("class_name", "label").applyInPandas(of, f"class_name string, label long, rings {RINGS}")
 
 
+def _plain(rings: list[list[dict]]) -> list[Ring]:
+    return [[(p["x"], p["y"]) for p in ring] for ring in rings]
+
+
 def _each(kernel: Callable[[list[Ring]], list[Ring]]):
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """A column function of rings to rings. It takes Arrow arrays: rings of unequal lengths have no pandas form."""
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            out = [None if rings is None else [[{"x": float(x), "y": float(y)} for x, y in ring] for ring in kernel(_plain(rings))] for rings in batch.to_pylist()]
+            yield pa.array(out, _ARROW_RINGS)
+
+    return F.arrow_udf(of, RINGS)
+
+
+def _dominant_angles():
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            out = []
-            for rings in batch:
-                plain = [[(p["x"], p["y"]) for p in ring] for ring in rings]
-                out.append([[{"x": float(x), "y": float(y)} for x, y in ring] for ring in kernel(plain)])
-            yield pd.Series(out, dtype=object)
+            yield pa.array([dominant_angle(_plain(rings[:1])[0]) if rings else 0.0 for rings in batch.to_pylist()], pa.float64())
 
-    return F.pandas_udf(of, RINGS)
+    return F.arrow_udf(of, "double")
 
 
 def simplified(polygons: DataFrame, tolerance: float) -> DataFrame:
@@ -249,14 +261,12 @@ def regularized(
     about the snapped centroid. It stays simplified only where the area changes by more than the two ratios. All but
     the angle and the simplifying are column expressions.
     """
-    angle = F.pandas_udf(lambda rings: rings.map(lambda r: dominant_angle([(p["x"], p["y"]) for p in r[0]])), "double")
-    start = polygons.withColumns({"_area": polygon_area(F.col("rings")), "_angle": angle(F.col("rings"))})
+    start = polygons.withColumns({"_area": polygon_area(F.col("rings")), "_angle": _dominant_angles()(F.col("rings"))})
     work = simplified(start, tolerance).withColumn("_middle", centroid(F.element_at("rings", 1)))
     turned = work.withColumn("_turned", F.transform("rings", lambda r: axis_snapped(rotated(r, -F.col("_angle"), F.col("_middle")), angle_tolerance)))
-    valid = turned.withColumn("_turned", F.filter("_turned", lambda r: F.size(r) >= 4)).withColumn(
-        "_fine", (F.size("_turned") > 0) & (F.abs(signed_area(F.get("_turned", F.lit(0)))) > 0)
-    )
-    back = valid.withColumn("_back", F.when(F.col("_fine"), F.transform("_turned", lambda r: rotated(r, F.col("_angle"), centroid(F.element_at("_turned", 1))))))
+    valid = turned.withColumn("_turned", F.filter("_turned", lambda r: F.size(r) >= 4)).withColumn("_outer", F.get("_turned", F.lit(0)))
+    placed = valid.withColumn("_snapped", F.when(F.abs(signed_area(F.col("_outer"))) > 0, centroid(F.col("_outer"))))  # once a polygon, not a point
+    back = placed.withColumn("_back", F.when(F.col("_snapped").isNotNull(), F.transform("_turned", lambda r: rotated(r, F.col("_angle"), F.col("_snapped")))))
     ratio = polygon_area(F.col("_back")) / F.col("_area")
     return back.withColumn("rings", F.when((ratio >= least_ratio) & (ratio <= most_ratio), F.col("_back")).otherwise(F.col("rings"))).select(*polygons.columns)
 

@@ -7,12 +7,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rasterloom.operators.features import append_evolving, identifier, upsert_jobs
 from rasterloom.sources.tiff import encode
-from rasterloom.sources.vectors import gpkg_bytes
+from rasterloom.sources.vectors import gpkg_bytes, polygons_wkb
 
 JOBS = "job_id string, workflow_id string, feature_count long, loaded_at timestamp, seq long"
 MODES = {"append": "append", "replace": "overwrite", "fail": "errorifexists"}
@@ -49,18 +50,37 @@ def write_geojson_lines(features: DataFrame, folder: str, geometry: str = "geome
     features.select(feature_json([c for c in features.columns if c != geometry], geometry).alias("value")).write.mode("overwrite").text(folder)
 
 
-def geopackages(features: DataFrame, key: str, epsg: int = 4326, layer: str = "features", geometry: str = "geometry") -> DataFrame:
-    """(key, content): a GeoPackage for each value of key, such as a scene, whose features bound a task's work."""
+def wkb(geometry: Column) -> Column:
+    """A multipolygon column as well-known binary; Arrow arrays, as parts of unequal lengths have no pandas form."""
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array([None if x is None else polygons_wkb(x) for x in batch.to_pylist()], pa.binary())
+
+    return F.arrow_udf(of, "binary")(geometry)
+
+
+def geopackages(features: DataFrame, key: str, epsg: int = 4326, layer: str = "features", geometry: str = "geometry", most: int = 100_000) -> DataFrame:
+    """(key, part, content): GeoPackages of the features of each value of key, such as a scene.
+
+    A key of over ``most`` features is dealt, by a hash of its rows, to as many packages of about that size as it
+    takes, numbered from 0, so a task never holds a whole hot key.
+    """
     others = [c for c in features.columns if c not in (key, geometry)]
+    kind = dict(features.dtypes)[key]
 
     def of(part: pd.DataFrame) -> pd.DataFrame:
         rows = []
         for r in part.to_dict("records"):
             plain = {c: (None if pd.isna(r[c]) else r[c].item() if hasattr(r[c], "item") else r[c]) for c in others}
-            rows.append((plain, r[geometry]))
-        return pd.DataFrame({key: [part[key].iloc[0]], "content": [gpkg_bytes(rows, epsg, layer)]})
+            rows.append((plain, r["_wkb"]))
+        return pd.DataFrame({key: [part[key].iloc[0]], "part": [part["_part"].iloc[0]], "content": [gpkg_bytes(rows, epsg, layer)]})
 
-    return features.groupBy(key).applyInPandas(of, f"{key} {dict(features.dtypes)[key]}, content binary")
+    shapes = features.select(key, *others, wkb(F.col(geometry)).alias("_wkb"))
+    sizes = features.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / most).alias("_parts")).filter("_parts > 1").withColumnRenamed(key, "_of")
+    dealt = shapes.join(sizes, F.col(key).eqNullSafe(F.col("_of")), "left").withColumn(
+        "_part", F.pmod(F.xxhash64("_wkb", *others), F.coalesce("_parts", F.lit(1))).cast("int")
+    )
+    return dealt.drop("_of", "_parts").groupBy(key, "_part").applyInPandas(of, f"{key} {kind}, part int, content binary")
 
 
 def write_manifest(chips: DataFrame, folder: str) -> None:
@@ -119,4 +139,4 @@ def as_json(metrics: DataFrame) -> str:
     return json.dumps(json.loads(metrics.toJSON().first()), sort_keys=True)
 
 
-__all__ = ["append_evolving", "as_json", "empty_features", "feature_json", "geopackages", "jobs", "load_features", "stored_features", "tiff_files", "write_geojson_lines", "write_manifest", "write_tiles"]
+__all__ = ["append_evolving", "as_json", "empty_features", "feature_json", "geopackages", "jobs", "load_features", "stored_features", "tiff_files", "write_geojson_lines", "wkb", "write_manifest", "write_tiles"]

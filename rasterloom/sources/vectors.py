@@ -137,8 +137,8 @@ def read_vectors(spark: SparkSession, path: str, layer: str | None = None) -> Da
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(of, FEATURE)
 
 
-def gpkg_bytes(rows: list[tuple[dict, list]], epsg: int, layer: str) -> bytes:
-    """A GeoPackage of (properties, multipolygon) rows."""
+def gpkg_bytes(rows: list[tuple[dict, list | bytes | None]], epsg: int, layer: str) -> bytes:
+    """A GeoPackage of (properties, shape) rows: a shape is a multipolygon's parts or their well-known binary."""
     db = sqlite3.connect(":memory:")
     db.executescript(
         """PRAGMA application_id = 1196444487; PRAGMA user_version = 10300;
@@ -153,7 +153,8 @@ def gpkg_bytes(rows: list[tuple[dict, list]], epsg: int, layer: str) -> bytes:
     quote = lambda x: '"' + x.replace('"', '""') + '"'
     db.execute(f"CREATE TABLE {quote(layer)} ({', '.join(['fid INTEGER PRIMARY KEY AUTOINCREMENT', 'geom MULTIPOLYGON', *map(quote, names)])})")
     for properties, shape in rows:
-        blob = struct.pack("<2sBBi", b"GP", 0, 1, epsg) + polygons_wkb(shape)
+        body = polygons_wkb(shape) if isinstance(shape, list) else shape
+        blob = None if body is None else struct.pack("<2sBBi", b"GP", 0, 1, epsg) + body
         db.execute(f"INSERT INTO {quote(layer)} ({', '.join(['geom', *map(quote, names)])}) VALUES ({', '.join('?' * (len(names) + 1))})", [blob, *[properties.get(n) for n in names]])
     db.commit()
     return db.serialize()

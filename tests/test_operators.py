@@ -285,3 +285,13 @@ def test_overlapping_masks_dissolve_to_one_polygon(spark):
     rows = spark.createDataFrame([("t", "road", None, [[[]]]), ("t", "road", 0.5, [[[]], [[]]]), ("t", None, None, [[[]]])], features.FEATURE_SCHEMA)
     (kept,) = features.dissolve_parts(rows).collect()
     assert len(kept.geometry) == 3 and kept.class_name == "road"
+
+
+def test_shape_functions_take_polygons_with_holes_of_unequal_lengths(spark):
+    box = lambda x, y, s: [(x, y), (x + s, y), (x + s, y + s), (x, y + s), (x, y)]
+    rows = [(0, [box(0.0, 0.0, 9.0)]), (1, [box(0.0, 0.0, 9.0), [(1.0, 1.0), (3.0, 1.0), (3.0, 3.0), (1.0, 1.0)]]), (2, [box(0.0, 0.0, 9.0), box(1.0, 1.0, 1.0), [(5.0, 5.0), (6.0, 5.0), (6.0, 6.0), (5.0, 5.0)]])]
+    polygons = spark.createDataFrame(rows, f"k int, rings {shapes.RINGS}")
+    for out in (shapes.simplified(polygons, 0.1), shapes.regularized(polygons, 0.1)):
+        assert {r.k: len(r.rings) for r in out.collect()} == {0: 1, 1: 2, 2: 3}
+    assert {r.k: len(r.rings) for r in shapes.rectangularized(polygons, 0.99).collect()} == {0: 1, 1: 2, 2: 3}
+    assert {r.k: len(r.rings) for r in shapes.rectangularized(polygons, 0.9).collect()} == {0: 1, 1: 1, 2: 1}

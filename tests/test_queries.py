@@ -45,7 +45,8 @@ def test_query_equals_sql(spark, duck, name):
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no tables")
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE_SQL)))
 def test_query_without_sql_gives_rows(spark, name):
-    assert QUERIES[name](spark, DATA).count() > 0
+    rows = QUERIES[name](spark, DATA).collect()  # every column: a count would let Spark leave out the ones that fail
+    assert rows
 
 
 def test_mosaic_components_whole_floods_every_tile(spark, tmp_path):
