@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -32,26 +32,38 @@ def fresh_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df, written to the shared folder and read again.
+
+    Unlike an aggregate, a stored table can meet a hot key in a join: Spark knows its size, so it sends a small one
+    everywhere and else splits the hot key's tasks, which it can't while one side comes straight out of a grouping.
+    """
+    folder = fresh_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, root) for every node of edges(a, b): root is the smallest node of its connected component.
 
-    Alternating large-star and small-star rounds; each is one combined minimum and one join back, so a node with
-    very many neighbours is never gathered into one task, and each round is cut by a checkpoint.
+    Alternating large-star and small-star rounds. The minimum of each node's neighbours combines before it is shuffled
+    and is stored before it is joined back, so adaptive execution may split a node with very many neighbours over
+    tasks. The number of rounds grows with the logarithm of the nodes; ``max_rounds`` is a guard that raises and never
+    returns an unsettled result. Edges with a null end are left out.
     """
-    edges = cut(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    seen = None
+    edges = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    edges, seen = stored(edges, "edges"), None
     for _ in range(max_rounds):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        small_low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(small_low, "a")
-        edges = cut(
-            small.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-            .unionByName(small_low.select("a", F.col("m").alias("b")))
-            .distinct()
-        )
-        now = edges.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(a, b))"), F.expr("bit_xor(xxhash64(b, a, 1))")).first()
+        low = stored(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "lowest")
+        large = stored(both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "large-star")
+        small_low = stored(large.groupBy("a").agg(F.min("b").alias("m")), "lowest")
+        small = large.join(small_low, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        told = Observation()
+        star = small.unionByName(small_low.select("a", F.col("m").alias("b"))).distinct()
+        marks = [F.count(F.lit(1)).alias("n"), F.expr("bit_xor(xxhash64(a, b))").alias("x"), F.expr("bit_xor(xxhash64(b, a, 1))").alias("y")]
+        edges = stored(star.observe(told, *marks), "edges")
+        now = told.get
         if now == seen:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
                 edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
