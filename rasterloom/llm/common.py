@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rasterloom.operators.graph import components, cut, fresh_folder, shared_dir
+from rasterloom.operators.graph import components, cut, fresh_folder, shared_dir, stored
 
-__all__ = ["components", "cut", "fresh_folder", "fresh_name", "needs", "pair_blocks", "shared_dir"]
+__all__ = ["components", "cut", "fresh_folder", "fresh_name", "needs", "pair_blocks", "runs_of", "shared_dir", "stored"]
 
 
 def fresh_name(taken: list[str], wanted: str) -> str:
@@ -23,6 +27,32 @@ def needs(df: DataFrame, *columns: str) -> None:
         raise ValueError(f"missing columns: {', '.join(missing)}")
 
 
+def runs_of(batches: Iterator[pd.DataFrame], keys: list[str], rows: int) -> Iterator[pd.DataFrame]:
+    """Batches sorted by keys as frames of whole runs of equal keys, each of about ``rows`` rows, or one longer run.
+
+    So a task holds two batches or its longest run, and never its whole partition.
+    """
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        held.append(batch)
+        if sum(map(len, held)) < rows:
+            continue
+        part = pd.concat(held, ignore_index=True)
+        last = np.ones(len(part), bool)
+        for k in keys:
+            last &= (part[k] == part[k].iloc[-1]).to_numpy()
+        begin = len(part) if last.all() else int(np.flatnonzero(~last)[-1]) + 1
+        if begin < len(part):
+            yield part.iloc[:begin].reset_index(drop=True)
+            held = [part.iloc[begin:].reset_index(drop=True)]
+        else:
+            held = [part]
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
 def pair_blocks(df: DataFrame, keys: list[str], row_id: str, limit: int) -> DataFrame:
     """Deals each key's rows to blocks of about ``limit`` rows and adds block_i <= block_j and block.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rasterloom.llm.common import fresh_name, needs
+from rasterloom.llm.common import fresh_name, needs, stored
 
 
 def _windows(lines: Column, size: int) -> Column:
@@ -19,7 +19,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Lines end at a line feed. Every ``window`` consecutive lines of a document are one window; the windows overlap.
     Of windows with equal lines the first, by (id, text hash, position), stays; all lines that a later one covers go,
-    overlapping ones merged. Documents with fewer lines lose nothing.
+    overlapping ones merged. Documents with fewer lines lose nothing. Each repeated window's first place is stored
+    before the windows meet it, so the occurrences of a very common window can be split over tasks.
 
     Nulls: a null text has no lines and stays null; a null id comes first in the order. Ties and repeated rows: rows
     that repeat both id and text are one document for the order, so each gets that document's verdict. An emptied
@@ -42,7 +43,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         windows.groupBy("key").agg(F.min("at").alias("first"), F.max("at").alias("last"))
         .filter(F.col("first") != F.col("last")).drop("last")
     )
-    later = windows.join(first, "key").filter(F.col("at") != F.col("first"))
+    later = windows.join(stored(first, "first-windows"), "key").filter(F.col("at") != F.col("first"))
     of_id, of_hash, starts, kept_at = (fresh_name(docs.columns, f"dedup_{c}") for c in ("of_id", "of_hash", "starts", "kept_at"))
     covered = later.groupBy(F.col("at.id").alias(of_id), F.col("at.h").alias(of_hash)).agg(F.collect_set("at.pos").alias(starts))
 

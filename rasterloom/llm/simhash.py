@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rasterloom.llm.common import components, cut, fresh_name, needs, pair_blocks
+from rasterloom.llm.common import components, cut, fresh_name, needs, pair_blocks, runs_of, stored
 
 SEED = 42
 BITS = 64
@@ -19,6 +19,8 @@ BITS = 64
 FIELDS, WIDTH, NEAR = 64, 14, 40
 #: Pairs compared at once, and texts in a batch, which bound a Python worker's memory.
 CHUNK, BATCH = 100_000, 500
+#: What rows of one bucket share: a field's value and a pair of blocks.
+BUCKET = ["key", "block_i", "block_j"]
 
 
 def fingerprint(text: str | None, words: int = 4) -> int:
@@ -137,33 +139,33 @@ def hamming_links(codes: DataFrame, budget: int = 4, block_rows: int = 4096) ->
     parts = codes.select("fp", F.explode(fields).alias("x")).select("fp", "x.field", "x.value")
     dealt = pair_blocks(parts, ["field", "value"], "fp", block_rows)
 
-    def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = [x for x in batches if len(x)]
-        if not rows:
-            return
-        rows = pd.concat(rows, ignore_index=True)
-        fp, key = rows.fp.to_numpy().view(np.uint64), rows[["field", "value", "block_i", "block_j", "block"]].to_numpy()
-        order = np.lexsort((fp, *key.T[::-1]))
-        fp, key = fp[order], key[order]
-        run = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]).any(axis=1))))
-        end = np.append(run[1:], len(fp))
-        inner = key[run, 2] == key[run, 3]
-        ranges = [np.stack([run, end, run, end], 1)[inner & (end - run > 1)]]
-        cross = np.flatnonzero(~inner[:-1] & (key[run[:-1], :4] == key[run[1:], :4]).all(axis=1)) if len(run) > 1 else np.array([], int)
-        ranges.append(np.stack([run[cross], end[cross], run[cross + 1], end[cross + 1]], 1))
-        ranges = np.concatenate(ranges)
-        if not len(ranges):
-            return
-        found = list(trie_pairs(fp, ranges, budget))
-        values, back = np.unique(fp, return_inverse=True)
-        a, b = (back[np.concatenate([x[k] for x in found])] for k in (0, 1))
-        root = spanning(a, b, len(values))
-        linked = np.flatnonzero(root != np.arange(len(values)))
-        if len(linked):
-            yield pd.DataFrame({"a": values[linked].view(np.int64), "b": values[root[linked]].view(np.int64)})
+    key_names = ["field", "value", "block_i", "block_j"]
 
-    shuffled = dealt.repartition("field", "value", "block_i", "block_j")
-    return shuffled.mapInPandas(join, "a long, b long")
+    def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in runs_of(batches, key_names, 50_000):
+            fp, key = rows.fp.to_numpy().view(np.uint64), rows[[*key_names, "block"]].to_numpy()
+            order = np.lexsort((fp, *key.T[::-1]))
+            fp, key = fp[order], key[order]
+            run = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]).any(axis=1))))
+            end = np.append(run[1:], len(fp))
+            inner = key[run, 2] == key[run, 3]
+            ranges = [np.stack([run, end, run, end], 1)[inner & (end - run > 1)]]
+            cross = np.flatnonzero(~inner[:-1] & (key[run[:-1], :4] == key[run[1:], :4]).all(axis=1)) if len(run) > 1 else np.array([], int)
+            ranges.append(np.stack([run[cross], end[cross], run[cross + 1], end[cross + 1]], 1))
+            ranges = np.concatenate(ranges)
+            if not len(ranges):
+                continue
+            values, back = np.unique(fp, return_inverse=True)
+            root = np.arange(len(values))
+            for a, b in trie_pairs(fp, ranges, budget):  # folded in as they come: a task holds roots, not pairs
+                if len(a):
+                    root = spanning(root[back[a]], root[back[b]], len(values))[root]
+            linked = np.flatnonzero(root != np.arange(len(values)))
+            if len(linked):
+                yield pd.DataFrame({"a": values[linked].view(np.int64), "b": values[root[linked]].view(np.int64)})
+
+    shuffled = dealt.repartition(*key_names).sortWithinPartitions(*key_names)
+    return shuffled.select(*key_names, "block", "fp").mapInPandas(join, "a long, b long")
 
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: int = 4, words: int = 4) -> DataFrame:
@@ -181,10 +183,11 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     of = cut(docs.select(F.col(id_col).alias("id"), fingerprints(F.col(text_col), words).alias("fp")))
     distinct = of.groupBy("fp").agg(F.min("id").alias("low"))
     roots = components(hamming_links(distinct.select("fp"), budget)).withColumnRenamed("node", "fp")
-    grouped = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    low = grouped.groupBy("root").agg(F.min("low").alias("component_id"))
-    classes = cut(grouped.select("fp", "root").join(low, "root").select("fp", "component_id"))
-    return of.join(classes, "fp").select(
+    linked = stored(distinct.join(roots, "fp").select("fp", "low", "root"), "linked")
+    low = stored(linked.groupBy("root").agg(F.min("low").alias("component_id")), "lowest-ids")
+    known = linked.join(low, "root").select("fp", "component_id")
+    alone = distinct.join(linked.select("fp"), "fp", "left_anti").select("fp", F.col("low").alias("component_id"))
+    return of.join(stored(alone.unionByName(known), "classes"), "fp").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
@@ -305,14 +308,14 @@ def _bucket_pairs(every: bool, budget: int):
     """
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = [x for x in batches if len(x)]
-        if not rows:
-            return
-        rows = pd.concat(rows, ignore_index=True).sort_values(["key", "node"], ignore_index=True)
+        for rows in runs_of(batches, BUCKET, CHUNK // 4):
+            yield from in_runs(rows.sort_values([*BUCKET, "node"], ignore_index=True))
+
+    def in_runs(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
         codes = np.stack([rows.f1.to_numpy(), rows.f2.to_numpy()], axis=1).view(np.uint64)
-        node, key = rows.node.to_numpy(), rows.key.to_numpy()
+        node, key = rows.node.to_numpy(), rows[BUCKET].to_numpy()
         root = rows.root.to_numpy() if every else node
-        run = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        run = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]).any(axis=1))))
         end = np.append(run[1:], len(key))
         shared = (end - run > 1) & (np.minimum.reduceat(root, run) != np.maximum.reduceat(root, run))
         run, end = run[shared], end[shared]
@@ -341,27 +344,31 @@ def _bucket_pairs(every: bool, budget: int):
     return of
 
 
-def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, least: float = 0.8) -> DataFrame:
+def similar_groups(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, least: float = 0.8, block_rows: int = 8192
+) -> DataFrame:
     """One row per row of docs: its id and component_id, the smallest id that links reach.
 
     Two texts are linked if the sets of their shingles of ``words`` words have a Jaccard similarity of ``least`` or
     more. Candidates come from a SimHash of FIELDS x WIDTH bits: two texts that share one of its fields and differ in
     at most NEAR of its first 128 bits. A pair of long texts at 0.8 is expected to agree on 85 bits of 100, so one in
     830 shares no field; at 0.85, one in 25,000; for texts of under ten words at 0.8, one in 40. Each candidate is
-    then compared by its shingles themselves. First each row's outermost candidates are compared; the other pairs
-    only where those left them in different components, so a group of near copies doesn't meet pair by pair.
+    then compared by its shingles themselves. First each text is compared with its outermost candidates, the smallest
+    and the largest node; the other pairs only where those left them in different components, so a group of near
+    copies doesn't meet pair by pair. A field's value shared by over ``block_rows`` texts is cut into block pairs.
 
     Nulls, repeated rows and empty tables are as in simhash_groups. Texts with the same words in lower case are one.
     """
     needs(docs, id_col, text_col)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     with _small_batches(docs.sparkSession):
-        of = cut(rows.select("id", sketches(F.col("text"), words).alias("s")).select("id", "s.*"))
+        of = stored(rows.select("id", sketches(F.col("text"), words).alias("s")).select("id", "s.*"), "sketches")
     codes = of.select("node", "keys", "f1", "f2").dropDuplicates(["node"])
 
     def pairs(of_codes: DataFrame, every: bool) -> DataFrame:
         placed = of_codes.select(F.explode("keys").alias("key"), *[c for c in of_codes.columns if c != "keys"])
-        return placed.repartition("key").mapInPandas(_bucket_pairs(every, NEAR), "a long, b long").distinct()
+        dealt = pair_blocks(placed, ["key"], "node", block_rows).drop("block")
+        return dealt.repartition(*BUCKET).sortWithinPartitions(*BUCKET).mapInPandas(_bucket_pairs(every, NEAR), "a long, b long")
 
     def verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -374,27 +381,31 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield batch.loc[np.array(ok, bool), ["a", "b"]]
 
     def links(found: DataFrame) -> DataFrame:
-        ends = found.select(F.col("a").alias("n")).union(found.select("b")).distinct()
+        ends = stored(found.select(F.col("a").alias("n")).union(found.select("b")).distinct(), "pair-ends")
         texts = rows.select(_nodes(F.col("text")).alias("n"), "text").join(ends, "n", "left_semi").dropDuplicates(["n"])
         with _small_batches(docs.sparkSession):
-            texts = cut(texts)
+            texts = stored(texts, "pair-texts")
             full = found.join(texts.select(F.col("n").alias("b"), F.col("text").alias("y")), "b").join(
                 texts.select(F.col("n").alias("a"), F.col("text").alias("x")), "a"
             )
-            return cut(full.select("a", "b", "x", "y").mapInPandas(verified, "a long, b long"))
+            return stored(full.select("a", "b", "x", "y").mapInPandas(verified, "a long, b long"), "links")
 
-    outer = cut(pairs(codes, False))
+    near = stored(pairs(codes, False), "near-rows")
+    outer = stored(
+        near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b").union(near.groupBy("a").agg(F.max("b").alias("b")).select("a", "b")).distinct(), "pairs"
+    )
     found = links(outer)
     roots = components(found).withColumnRenamed("node", "n")
     ends = outer.select(F.col("a").alias("n")).union(outer.select("b")).distinct()
-    open_ = ends.join(roots, "n", "left").select(F.col("n").alias("node"), F.coalesce("root", "n").alias("root"))
-    rest = cut(pairs(codes.join(open_, "node"), True).join(outer, ["a", "b"], "left_anti"))
+    open_ = stored(ends.join(roots, "n", "left").select(F.col("n").alias("node"), F.coalesce("root", "n").alias("root")), "open")
+    rest = stored(pairs(codes.join(open_, "node"), True).distinct().join(outer, ["a", "b"], "left_anti"), "pairs")
     roots = components(found.unionByName(links(rest)))
     lows = of.groupBy("node").agg(F.min("id").alias("low"))
-    grouped = lows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    low = grouped.groupBy("root").agg(F.min("low").alias("component_id"))
-    classes = cut(grouped.join(low, "root").select("node", "component_id"))
-    return of.join(classes, "node").select(F.col("id").alias(id_col), "component_id")
+    linked = stored(lows.join(roots, "node").select("node", "low", "root"), "linked")
+    low = stored(linked.groupBy("root").agg(F.min("low").alias("component_id")), "lowest-ids")
+    known = linked.join(low, "root").select("node", "component_id")
+    alone = lows.join(linked.select("node"), "node", "left_anti").select("node", F.col("low").alias("component_id"))
+    return of.select("id", "node").join(stored(alone.unionByName(known), "classes"), "node").select(F.col("id").alias(id_col), "component_id")
 
 
 def similar_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, least: float = 0.8) -> DataFrame:

@@ -9,7 +9,7 @@ import corpus_pipeline
 from rasterloom.llm import toxicity
 from rasterloom.llm.sentencepiece_codec import default_model
 from tests.llm.test_line_dedup import brute as brute_lines
-from tests.llm.test_simhash import slow_groups, slow_similar
+from tests.llm.test_simhash import slow_similar
 
 DATA = "/root/testdata/sf0.001"
 
@@ -22,7 +22,7 @@ def test_pipeline_equals_brute_force(spark):
     clean = {k: t for k, t in rows.items() if model.score(t) < 0.5}
     lines = brute_lines(list(clean.items()))
     listed = sorted(lines.items())
-    kept = set(slow_groups(listed)[1])
+    kept = set(slow_similar(listed)[1])
     library = sentencepiece.SentencePieceProcessor(model_file=default_model())
     out = corpus_pipeline.run(spark, DATA)
     got = {r.doc_id: list(r.ids) for r in out.collect()}
