@@ -86,23 +86,36 @@ class CodeModel:
         return np.concatenate([x, rest[:, None]], axis=1)
 
 
+def exact_scores(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """The inner product of each row of x with that of q, summed in the order of the components.
+
+    A matrix product's last bits depend on where a row stands; here equal rows have equal scores, wherever they are.
+    """
+    total = np.zeros(len(x))
+    for k in range(x.shape[1]):
+        total += x[:, k] * q[:, k]
+    return total
+
+
 def nearest(
     vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding",
-    sample_rows: int = 8000, block_rows: int = 4096, rerank: int = 256,
+    sample_rows: int = 8000, block_rows: int = 4096, query_rows: int = 16_384, rerank: int | None = 256,
 ) -> DataFrame:
     """query_id, rank, vec_id and score of each query's ``k`` rows found with the largest inner product.
 
     Every row is indexed; the rotation is learned on at most ``sample_rows`` rows (the first by a hash of the id).
-    Rows and queries are dealt to blocks; in each, the Hamming radius grows until it holds ``rerank`` codes, all codes
-    within it are retrieved and their inner products taken in double precision on the original vectors.
-
-    Nulls: rows with a null id and vectors that are null, zero or hold null or non-finite components take no part, nor
-    do vectors of another length than most. A query isn't its own neighbour, and rows that repeat its id aren't
-    either. Ties go to the smaller id; rows that repeat an id count as separate candidates. No queries or no
+    Rows and queries are dealt to blocks; in each, the Hamming radius grows until it holds ``rerank`` codes (more than
+    ``k`` at least), all codes within it are retrieved and their inner products taken in double precision on the
+    original vectors. With ``rerank=None`` the radius takes in the whole block, which makes the search exact.
+
+    Nulls: rows with a null id and vectors that are null, zero or hold null or non-finite components take no part.
+    Vectors of each length have a rotation and blocks of their own and are searched among themselves. A query isn't
+    its own neighbour, and rows that repeat its id aren't either. Ties, to the last bit of a sum taken in the order
+    of the components, go to the smaller id; rows that repeat an id count as separate candidates. No queries or no
     candidates: no rows. Other columns are not read.
     """
     needs(vectors, id_col, vector_col)
-    kind, array = dict(vectors.dtypes)[id_col], dict(vectors.dtypes)[vector_col]
+    kind = dict(vectors.dtypes)[id_col]
     rows = (
         vectors.withColumn("_is_query", F.coalesce(is_query, F.lit(False)))
         .select(F.col(id_col).alias("id"), F.col(vector_col).alias("v"), "_is_query")
@@ -110,56 +123,67 @@ def nearest(
     )
     norm2 = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     facts = rows.groupBy(F.size("v").alias("dim")).agg(F.count(F.lit(1)).alias("n"), F.count_if("_is_query").alias("q"), F.max(norm2).alias("top"))
-    facts = facts.orderBy(F.desc("n"), "dim").limit(1).collect()
-    schema = f"query_id {kind}, vec_id {kind}, score double"
-    if not facts:
+    found = None
+    for dim, n, n_queries, top in facts.filter("q > 0").orderBy("dim").collect():  # a row for each length of vectors
+        one = _of_one_length(rows.filter(F.size("v") == dim), kind, n, n_queries, top, k, sample_rows, block_rows, query_rows, rerank)
+        found = one if found is None else found.unionByName(one)
+    if found is None:
         return vectors.sparkSession.createDataFrame([], f"query_id {kind}, rank int, vec_id {kind}, score double")
-    dim, n, n_queries, top = facts[0]
-    rows = rows.filter(F.size("v") == dim)
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _of_one_length(
+    rows: DataFrame, kind: str, n: int, n_queries: int, top: float, k: int, sample_rows: int, block_rows: int, query_rows: int, rerank: int | None
+) -> DataFrame:
+    """(query_id, vec_id, score): the ``k`` best rows of every block for each query."""
     sample = rows.orderBy(F.xxhash64("id"), "id").limit(sample_rows).select("v").toPandas()
     longest = math.sqrt(top) * (1 + 1e-12)
-    base = CodeModel(np.zeros((dim + 1, 0)), longest)
-    lifted = base.lifted(matrix(sample["v"]), False)
-    model = CodeModel(learn_rotation(lifted / longest), longest)
-    shared = vectors.sparkSession.sparkContext.broadcast(model)  # dim times BITS numbers
-    n_row, n_query = max(1, math.ceil(n / block_rows)), max(1, math.ceil(n_queries / block_rows))
+    base = CodeModel(np.zeros((0, 0)), longest)
+    model = CodeModel(learn_rotation(base.lifted(matrix(sample["v"]), False) / longest), longest)
+    shared = rows.sparkSession.sparkContext.broadcast(model)  # as many numbers as a vector's length times BITS
+    n_row, n_query = max(1, math.ceil(n / block_rows)), max(1, math.ceil(n_queries / query_rows))
     block = lambda count: F.pmod(F.xxhash64("id"), F.lit(count)).cast("int")
     every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
     kept = rows.select("id", "v", block(n_row).alias("rb"), every(n_query).alias("qb"))
     asked = rows.filter("_is_query").select("id", "v", block(n_query).alias("qb"), every(n_row).alias("rb"))
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        none = pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
         if not len(left) or not len(right):
-            return none
+            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
         m = shared.value
         x, q = matrix(left["v"]), matrix(right["v"])
         ids, asked_ids = left["id"].to_numpy(), right["id"].to_numpy()
         index = MultiIndex(codes(m.lifted(x, False), m.rotation))
-        wanted = min(rerank, len(x))
+        wanted = len(x) if rerank is None else min(max(rerank, k + 1), len(x))
         query_codes = codes(m.lifted(q, True), m.rotation)
-        radius, out = BITS // 2 - 16, []
+        radius, who, hit = BITS // 2 - 16, [], []
+        size = np.linalg.norm(q, axis=1) * m.longest
         for at in range(len(q)):
-            found = index.within(query_codes[at], radius)
-            while len(found) < wanted:
+            near = index.within(query_codes[at], BITS if wanted == len(x) else radius)
+            while len(near) < wanted:
                 radius += 3
-                found = index.within(query_codes[at], radius)
-            if len(found) > 2 * wanted:
+                near = index.within(query_codes[at], radius)
+            if len(near) > 2 * wanted:
                 radius -= 1  # for the next query
-            found = found[ids[found] != asked_ids[at]]
-            score = x[found] @ q[at]
-            if len(found) > k:
-                edge = np.partition(score, len(score) - k)[len(score) - k]
-                near = score >= edge
-                found, score = found[near], score[near]
-            best = np.lexsort((ids[found], -score))[:k]
-            out.append((np.full(len(best), at), found[best], score[best]))
-        who, hit, score = (np.concatenate([o[j] for o in out]) for j in range(3))
-        return pd.DataFrame({"query_id": asked_ids[who], "vec_id": ids[hit], "score": score})
-
-    pairs = kept.groupBy("qb", "rb").cogroup(asked.groupBy("qb", "rb")).applyInPandas(search, schema)
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return pairs.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+            near = near[ids[near] != asked_ids[at]]
+            score = x[near] @ q[at]
+            if len(near) > k:  # all that may be among the k best, whatever the rounding of this product
+                near = near[score >= np.partition(score, len(score) - k)[len(score) - k] - 1e-10 * size[at]]
+            if len(near) > 4 * k:  # ties in great number
+                near = near[np.lexsort((ids[near], -exact_scores(x[near], q[at : at + 1])))[:k]]
+            who.append(np.full(len(near), at))
+            hit.append(near)
+        who, hit = np.concatenate(who), np.concatenate(hit)
+        score = np.concatenate([exact_scores(x[hit[s : s + 65_536]], q[who[s : s + 65_536]]) for s in range(0, len(hit), 65_536)] or [np.zeros(0)])
+        order = np.lexsort((ids[hit], -score, who))
+        who, hit, score = who[order], hit[order], score[order]
+        place = np.arange(len(who)) - np.searchsorted(who, who)
+        best = place < k
+        return pd.DataFrame({"query_id": asked_ids[who[best]], "vec_id": ids[hit[best]], "score": score[best]})
+
+    schema = f"query_id {kind}, vec_id {kind}, score double"
+    return kept.groupBy("qb", "rb").cogroup(asked.groupBy("qb", "rb")).applyInPandas(search, schema)
 
 
 def op6_query(spark, sf_dir: str) -> DataFrame:

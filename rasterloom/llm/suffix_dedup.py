@@ -5,8 +5,9 @@ inside each string of ``length`` bytes the one with the least hash, the leftmost
 strings have their anchor at the same offset, so strings need comparing only with those of anchors with an equal gram.
 An anchor's run is all starts that it is the anchor of, and its context the bytes that their strings cover.
 
-1. Grams found once are left out. Contexts that occur twice, in any documents, are counted by digest: all starts in
-   their runs repeat.
+1. Grams found once are left out. Contexts that occur twice, in any documents, are counted by an MD5 digest of their
+   bytes and the anchor's place: all starts in their runs repeat. (The gram's digest, a rolling sum modulo 2^64, only
+   finds candidates: a collision of it costs a comparison and decides nothing.)
 2. Where a gram has several contexts, at least one of them single, the suffixes at those anchors are dealt
    by range, with splitters that Spark samples, on their leading bytes; each bucket is sorted by multikey quicksort,
    and neighbours give the length r that two suffixes share. What two contexts share before the anchor, l, comes from
@@ -18,6 +19,7 @@ An anchor's run is all starts that it is the anchor of, and its context the byte
 from __future__ import annotations
 
 import bisect
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rasterloom.llm.common import fresh_folder, fresh_name, needs, pair_blocks
+from rasterloom.llm.common import fresh_folder, fresh_name, needs, pair_blocks, stored
 
 GRAM = 32
 _PIECE = 1 << 22  # starts looked at together; positions in a piece fit 24 bits
@@ -49,10 +51,10 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 def anchors(data: bytes, length: int = 400) -> tuple[np.ndarray, ...]:
-    """(anchor, first start, last start, gram digest, context digest) of each run of the bytes, in order."""
+    """(anchor, first start, last start, gram digest, and the two halves of the context digest) of each run, in order."""
     starts_in_all = len(data) - length + 1
     parts = [_piece(data[s : s + _PIECE + length - 1], length, s) for s in range(0, max(0, starts_in_all), _PIECE)]
-    return tuple(np.concatenate(x) for x in zip(*parts, strict=True)) if parts else tuple(np.zeros(0, np.int64) for _ in range(5))
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True)) if parts else tuple(np.zeros(0, np.int64) for _ in range(6))
 
 
 def _piece(data: bytes, length: int, shift: int) -> tuple[np.ndarray, ...]:
@@ -74,9 +76,10 @@ def _piece(data: bytes, length: int, shift: int) -> tuple[np.ndarray, ...]:
     lo = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
     hi = np.append(lo[1:], starts) - 1
     anchor, end = at[lo], hi + length
-    seal = ((end - lo) * 1024 + anchor - lo).astype(np.uint64)
-    whole = _mixed((sums[end] - sums[lo]) * inverse[lo] + seal * np.uint64(3))
-    return anchor + shift, lo + shift, hi + shift, grams[anchor].view(np.int64), whole.view(np.int64)
+    seal, view = hashlib.md5, memoryview(data)
+    each = [seal(view[a:b], usedforsecurity=False).digest() for a, b in zip(lo.tolist(), end.tolist(), strict=True)]
+    whole = np.frombuffer(b"".join(each), np.int64).reshape(-1, 2)
+    return anchor + shift, lo + shift, hi + shift, grams[anchor].view(np.int64), whole[:, 0] + (anchor - lo), whole[:, 1]
 
 
 def multikey_sort(strings: list[bytes], order: list[int] | None = None, depth: int = 0, word: int = 8) -> list[int]:
@@ -190,43 +193,39 @@ def suffix_dedup(
     base = docs.withColumn(key, _key(F.col(id_col), text))
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["key", "lo", "size", "off", "gram", "whole", "n"]
+        names = ["key", "lo", "size", "off", "gram", "whole", "seal", "n"]
         for batch in batches:
             out: list[list[np.ndarray]] = [[] for _ in names]
             inside: list[tuple] = []
             for k, data in zip(batch["key"], batch["data"], strict=True):
-                at, lo, hi, gram, whole = anchors(bytes(data), length)
+                at, lo, hi, gram, whole, seal = anchors(bytes(data), length)
                 if not len(at):
                     continue
-                _, first, which, n = np.unique(whole, return_index=True, return_inverse=True, return_counts=True)
+                digest = np.stack([whole, seal], axis=1).view("S16").ravel()  # padded alike, so equal only if all bytes are
+                _, first, which, n = np.unique(digest, return_index=True, return_inverse=True, return_counts=True)
                 again = n[which] > 1
                 begin = np.flatnonzero(again & np.concatenate(([True], ~again[:-1])))
                 finish = np.flatnonzero(again & np.concatenate((~again[1:], [True])))
                 inside += [(k, int(a), int(b - a)) for a, b in zip(lo[begin], hi[finish], strict=True)]
-                for column, values in zip(out, (np.array([k] * len(first), dtype=object), *(x[first] for x in (lo, hi - lo, at - lo, gram, whole)), n), strict=True):
+                for column, values in zip(out, (np.array([k] * len(first), dtype=object), *(x[first] for x in (lo, hi - lo, at - lo, gram, whole, seal)), n), strict=True):
                     column.append(values)
             if out[0]:
                 yield pd.DataFrame({c: np.concatenate(x) for c, x in zip(names, out, strict=True)})
             if inside:
-                yield pd.DataFrame(inside, columns=names[:3]).assign(off=0, gram=0, whole=0, n=0)
+                yield pd.DataFrame(inside, columns=names[:3]).assign(off=0, gram=0, whole=0, seal=0, n=0)
 
     whole = base.select(F.col(key).alias("key"), text.cast("binary").alias("data")).filter(F.octet_length("data") >= length)
     where = fresh_folder(spark, "anchors")
-    whole.mapInPandas(scan, "key binary, lo long, size int, off int, gram long, whole long, n int").write.parquet(where)
+    whole.mapInPandas(scan, "key binary, lo long, size int, off int, gram long, whole long, seal long, n int").write.parquet(where)
     runs = spark.read.parquet(where)
     starts = [F.col("key"), F.col("lo"), (F.col("lo") + F.col("size")).alias("hi")]
 
-    def stored(df: DataFrame, name: str) -> DataFrame:
-        """df, written and read again: a join with it splits the tasks of hot keys, which one with an aggregate doesn't."""
-        folder = fresh_folder(spark, name)
-        df.write.parquet(folder)
-        return spark.read.parquet(folder)
-
-    grams = runs.filter("n > 0").groupBy("gram").agg(F.sum("n").alias("all"), F.min("whole").alias("least"), F.max("whole").alias("most"))
-    common = stored(grams.filter("all > 1").select("gram", (F.col("least") != F.col("most")).alias("mixed")), "shared-grams")
+    differ = (F.min("whole") != F.max("whole")) | (F.min("seal") != F.max("seal"))
+    grams = runs.filter("n > 0").groupBy("gram").agg(F.sum("n").alias("all"), differ.alias("mixed"))
+    common = stored(grams.filter("all > 1").select("gram", "mixed"), "shared-grams")
     found = stored(runs.filter("n > 0").join(common, "gram"), "shared-anchors")
 
-    context = ["gram", "whole"]
+    context = ["gram", "whole", "seal"]
     mixed = found.filter("mixed")
     counted = stored(mixed.groupBy(*context).agg(F.sum("n").alias("all"), F.min(F.struct("key", "lo", "size", "off")).alias("at")), "contexts")
     repeated = runs.filter("n = 0").select(*starts).unionByName(found.filter("NOT mixed").select(*starts)).unionByName(
@@ -235,7 +234,8 @@ def suffix_dedup(
     single = stored(counted.groupBy("gram").agg(F.min("all").alias("fewest")).filter("fewest = 1").select("gram"), "single-grams")
     one_each = counted.join(single, "gram", "left_semi").select("gram", F.col("all").alias("n"), "at.*")
     dealt = pair_blocks(one_each.withColumn("pick", F.struct("key", "lo")), ["gram"], "pick", block_rows).drop("pick", "block")
-    wanted = dealt.groupBy("key").agg(F.collect_list(F.struct("lo", "size", "off", "n", "block_i", "block_j")).alias("want"))
+    wanted = stored(dealt.groupBy("key").agg(F.collect_list(F.struct("lo", "size", "off", "n", "block_i", "block_j")).alias("want")), "wanted")
+    once = whole.join(wanted, "key").dropDuplicates(["key"])  # rows that repeat id and text have one key and are cut once
 
     def cut_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -247,7 +247,7 @@ def suffix_dedup(
                     rows.append((k, a, w["n"], data[lo:a][::-1], data[a : lo + w["size"] + length], data[a : a + GRAM], w["block_i"], w["block_j"]))
             yield pd.DataFrame(rows, columns=["key", "anchor", "n", "before", "after", "lead", "block_i", "block_j"])
 
-    contexts = whole.join(wanted, "key").mapInPandas(
+    contexts = once.mapInPandas(
         cut_out, "key binary, anchor long, n long, before binary, after binary, lead binary, block_i int, block_j int"
     )
     ranged = contexts.repartitionByRange("lead", "block_i", "block_j").sortWithinPartitions("lead", "block_i", "block_j")
@@ -279,7 +279,7 @@ def suffix_dedup(
             yield out
 
     compared = ranged.mapInPandas(compare, "key binary, lo long, hi long")
-    spans = repeated.unionByName(compared).groupBy("key").agg(F.collect_list(F.struct("lo", "hi")).alias("starts"))
+    spans = repeated.unionByName(compared).groupBy("key").agg(F.collect_set(F.struct("lo", "hi")).alias("starts"))
     names = {c: fresh_name(docs.columns, c) for c in ("n_bytes", "removed_spans", "kept")}
 
     def remove(data: pd.Series, starts: pd.Series) -> pd.DataFrame:

@@ -1,8 +1,22 @@
+from functools import reduce
+
 import numpy as np
 from pyspark.sql import functions as F
 
 from rasterloom.llm import ann, embedding_dedup
-from rasterloom.llm.simhash import spanning
+
+
+def reached(near):
+    """The smallest number that each row reaches over near pairs, by walking them."""
+    low = [-1] * len(near)
+    for start in range(len(near)):
+        todo = [start] if low[start] < 0 else []
+        while todo:
+            at = todo.pop()
+            if low[at] < 0:
+                low[at] = start
+                todo += np.flatnonzero(near[at]).tolist()
+    return np.array(low)
 
 
 def table(spark, rows, kind="float"):
@@ -24,9 +38,9 @@ def test_links_equal_brute_force(spark):
     near = u @ u.T >= 0.95
     np.fill_diagonal(near, False)
     order = np.argsort(ids)
-    root = ids[order][spanning(*np.nonzero(near[order][:, order]), len(x))]
+    root = ids[order][reached(near[order][:, order])]
     for limit in (1024, 8):
-        got = embedding_dedup.embedding_links(table(spark, rows, "double"), block_rows=limit).orderBy("vec_id").collect()
+        got = embedding_dedup.embedding_links(table(spark, rows, "double"), block_rows=limit, bucket_rows=8 * limit).orderBy("vec_id").collect()
         assert [r.vec_id for r in got] == sorted(ids.tolist())
         missed = near.sum() - sum(r.n_links for r in got)
         assert 0 <= missed <= 0.002 * near.sum()  # hashing finds nearly all, and nothing twice
@@ -64,6 +78,32 @@ def test_nearest_finds_nine_of_ten(spark):
         assert [r.rank for r in mine] == list(range(1, 21)) and all(a.score >= b.score for a, b in zip(mine, mine[1:], strict=False))
 
 
+def test_nearest_orders_repeated_vectors_by_id_at_odd_sizes(spark):
+    rng = np.random.default_rng(8)
+    for n in (63, 131, 333):
+        few = rng.normal(size=(9, 64)).astype(np.float32).astype(float)
+        x = few[rng.integers(0, 9, n)]
+        ids = rng.permutation(n)
+        got = ann.nearest(table(spark, [(int(i), v.tolist(), None) for i, v in zip(ids, x, strict=True)]), F.col("vec_id") % 20 == 0, block_rows=64)
+        found = {}
+        for r in got.collect():
+            found.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+        for at in np.flatnonzero(ids % 20 == 0):
+            score = [reduce(lambda s, p: s + p[0] * p[1], zip(v.tolist(), x[at].tolist(), strict=True), 0.0) for v in x]
+            want = sorted(((-s, int(i)) for s, i in zip(score, ids, strict=True) if i != ids[at]))[:20]
+            assert [(i, s) for _, i, s in sorted(found[int(ids[at])])] == [(i, -s) for s, i in want]
+
+
+def test_nearest_searches_each_length_and_the_whole_block_if_asked(spark):
+    rng = np.random.default_rng(9)
+    rows = [(k, rng.normal(size=7 if k % 3 else 5).tolist(), None) for k in range(400)]
+    got = ann.nearest(table(spark, rows, "double"), F.col("vec_id") % 20 == 0, k=300, rerank=None).collect()
+    size = {k: len(v) for k, v, _ in rows}
+    count = {n: sum(m == n for m in size.values()) for n in (5, 7)}
+    assert all(size[r.query_id] == size[r.vec_id] for r in got)
+    assert len(got) == sum(min(300, count[size[q]] - 1) for q in range(0, 400, 20))
+
+
 def test_nearest_ties_few_rows_and_odd_vectors(spark):
     rows = [(0, [1.0, 0.0], 1), (1, [2.0, 0.0], 1), (3, [1.0, 1.0], 1), (2, [1.0, 5.0], 1), (4, None, 1), (5, [0.0, 0.0], 1), (6, [1.0, float("nan")], 1), (None, [1.0, 1.0], 1), (7, [1.0, 1.0, 1.0], 1)]
     got = ann.nearest(table(spark, rows), F.col("vec_id") % 20 == 0).orderBy("rank").collect()

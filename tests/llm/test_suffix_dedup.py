@@ -49,6 +49,30 @@ def test_equals_brute_force(docs_of):
     check(docs_of, corpus(3, n=60), 64, block_rows=3)
 
 
+def test_many_rows_of_one_id_and_text(docs_of):
+    rng = random.Random(12)
+    word = lambda k: "".join(rng.choice("abcdefghij") for _ in range(k))
+    long, other = word(600), word(300)
+    rows = [(None, long)] * 3000 + [(1, long[:450] + other), (2, other + long[150:]), (3, word(700))]
+    want = brute([t.encode() for _, t in rows[2990:]], 400)  # ten copies do as well as 3000
+    assert want[-2][2] != rows[-2][1].encode() and want[-1][0] == 0
+    out = sd.suffix_dedup(docs_of(rows)).select("doc_id", "kept").collect()
+    assert sorted((str(r.doc_id), bytes(r.kept)) for r in out) == sorted([("None", b"")] * 3000 + [(str(k), w[2]) for k, w in zip((1, 2, 3), want[-3:], strict=True)])
+
+
+def test_context_digests_are_of_the_bytes():
+    data = bytes(random.Random(2).choices(b"abcd", k=3000))
+    runs = list(zip(*sd.anchors(data, 400), strict=True))
+    digest = {}
+    for at, lo, hi, _, whole, seal in runs:
+        context = (data[lo : hi + 400], at - lo)
+        assert digest.setdefault((int(whole), int(seal)), context) == context
+    changed = bytearray(data)
+    changed[1500] ^= 1
+    here = lambda r: r[1] <= 1500 < r[2] + 400
+    assert not {r[4:] for r in runs if here(r)} & {r[4:] for r in zip(*sd.anchors(bytes(changed), 400), strict=True)}
+
+
 def test_nulls_short_texts_repeats_and_clashing_columns(docs_of):
     long = "".join(random.Random(9).choice("abcdefghij") for _ in range(700))
     rows = [(1, None), (2, ""), (3, "short"), (4, long), (4, long), (None, "x" + long[100:650]), (5, "é" * 300), (6, "é" * 200)]
