@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import argparse
 
-from rasterloom.plans.queries import QUERIES
+from rasterloom.plans.registry import QUERIES
 from rasterloom.session import session
 
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import random
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rasterloom.functions.geometry import contains
+from rasterloom.functions.geometry import box_meets_polygon, contains
 
 
 def _cells(low: Column, high: Column, size: int) -> Column:
@@ -45,18 +46,42 @@ def rasterize(labels: DataFrame, width: int, height: int, all_touched: bool = Fa
     return rows.select("r", F.explode(span(F.col("x0"), F.col("x1"), width)).alias("c")).distinct()
 
 
-def rasterize_rings(shapes: DataFrame, width: int, height: int) -> DataFrame:
-    """(r, c) of the pixels whose centre is inside a shape's closed ``ring``, holes cut by the even-odd rule of each ring."""
+def covered_cells(shapes: DataFrame, keys: list[str] | None = None, width: int | None = None, height: int | None = None, all_touched: bool = False) -> DataFrame:
+    """(keys, r, c), each once, of the unit cells that polygons(keys, rings) cover: by their centre, or all they touch.
+
+    A centre is covered by the even-odd rule over all rings of its polygon, so holes are cut. Each polygon makes only
+    the cells of its own box, clipped to the scene where that has a size.
+    """
+    keys, points = keys or [], F.flatten("rings")
+    xs, ys = F.transform(points, lambda p: p["x"]), F.transform(points, lambda p: p["y"])
     boxes = shapes.select(
-        "ring", F.array_min(F.transform("ring", lambda p: p["x"])).alias("x0"), F.array_min(F.transform("ring", lambda p: p["y"])).alias("y0"),
-        F.array_max(F.transform("ring", lambda p: p["x"])).alias("x1"), F.array_max(F.transform("ring", lambda p: p["y"])).alias("y1"),
+        *keys, "rings", F.array_min(xs).alias("x0"), F.array_min(ys).alias("y0"), F.array_max(xs).alias("x1"), F.array_max(ys).alias("y1")
     )
-    def clipped(low: Column, high: Column, most: int) -> Column:
-        first, last = F.greatest(F.floor(low), F.lit(0)), F.least(F.ceil(high), F.lit(most - 1))
-        return F.when(last >= first, F.sequence(first.cast("int"), last.cast("int"))).otherwise(F.array().cast("array<int>"))
 
-    cells = boxes.withColumn("r", F.explode(clipped(F.col("y0"), F.col("y1"), height))).withColumn("c", F.explode(clipped(F.col("x0"), F.col("x1"), width)))
-    return cells.filter(contains(F.col("ring"), F.col("c") + 0.5, F.col("r") + 0.5)).select("r", "c").distinct()
+    def span(low: Column, high: Column, most: int | None) -> Column:
+        first, last = F.floor(low) - int(all_touched), F.ceil(high) - 1 + int(all_touched)
+        if most is not None:
+            first, last = F.greatest(first, F.lit(0)), F.least(last, F.lit(most - 1))
+        return F.when(last >= first, F.sequence(first.cast("long"), last.cast("long"))).otherwise(F.array().cast("array<long>"))
+
+    cells = boxes.withColumn("r", F.explode(span(F.col("y0"), F.col("y1"), height))).withColumn("c", F.explode(span(F.col("x0"), F.col("x1"), width)))
+    if all_touched:
+        cell = F.struct(*[v.cast("double").alias(n) for n, v in (("west", F.col("c")), ("south", F.col("r")), ("east", F.col("c") + 1), ("north", F.col("r") + 1))])
+        hit = box_meets_polygon(cell, F.col("rings"))
+    else:
+        inside = F.transform("rings", lambda ring: contains(ring, F.col("c") + 0.5, F.col("r") + 0.5).cast("int"))
+        hit = F.aggregate(inside, F.lit(0), lambda s, k: s + k) % 2 == 1
+    return cells.filter(hit).select(*keys, "r", "c").distinct()
+
+
+def rasterize_rings(shapes: DataFrame, width: int, height: int, all_touched: bool = False) -> DataFrame:
+    """(r, c) of the scene's pixels that shapes cover, by their centre or with all_touched by any part, edges included.
+
+    A shape is a row of ``rings``, the outer one and its holes, or of one closed ``ring``.
+    """
+    if "rings" not in shapes.columns:
+        shapes = shapes.withColumn("rings", F.array("ring"))
+    return covered_cells(shapes, [], width, height, all_touched).select(F.col("r").cast("int").alias("r"), F.col("c").cast("int").alias("c"))
 
 
 def positive_pixels(windows: DataFrame, pixels: DataFrame, cell: int = 64) -> DataFrame:
@@ -82,18 +107,27 @@ def chip_summary(counted: DataFrame, tile_size: int, min_positive: int, keep_emp
     )
 
 
-def chip_split(counted: DataFrame, min_positive: int, empty_fraction: float, val_fraction: float, seed: int) -> DataFrame:
-    """counted(chip_idx, positive_pixels) of one scene with split: train, val, or dropped.
+def chip_split(counted: DataFrame, min_positive: int, empty_fraction: float, val_fraction: float, seed: int, scene: str | None = None) -> DataFrame:
+    """counted(chip_idx, positive_pixels) with split: train, val, or dropped.
 
-    The draws follow the chips' order from one seeded generator, so the decisions are made in order on the driver from
-    two numbers a chip; a scene's windows bound them. Chips under ``min_positive`` draw first whether they stay.
+    The draws of a scene follow its chips' order from one generator of the seed: chips under ``min_positive`` draw
+    first whether they stay, then each that stays draws its split. A task decides a scene, from two numbers a chip;
+    ``scene`` names the column that tells scenes apart, without it all chips are one scene's.
     """
-    rng, rows = random.Random(seed), []
-    for chip, positive in counted.select("chip_idx", "positive_pixels").orderBy("chip_idx").toLocalIterator():
-        kept = positive >= min_positive or rng.random() <= empty_fraction
-        rows.append((chip, ("val" if rng.random() < val_fraction else "train") if kept else "dropped"))
-    decided = counted.sparkSession.createDataFrame(rows, f"chip_idx {dict(counted.dtypes)['chip_idx']}, split string")
-    return counted.join(decided, "chip_idx")
+    keys = [scene] if scene else []
+
+    def of(part: pd.DataFrame) -> pd.DataFrame:
+        rng, splits = random.Random(seed), []
+        part = part.sort_values("chip_idx")
+        for positive in part["positive_pixels"]:
+            kept = positive >= min_positive or rng.random() <= empty_fraction
+            splits.append(("val" if rng.random() < val_fraction else "train") if kept else "dropped")
+        return part[[*keys, "chip_idx"]].assign(split=splits)
+
+    kinds = dict(counted.dtypes)
+    schema = ", ".join([*[f"{k} {kinds[k]}" for k in keys], f"chip_idx {kinds['chip_idx']}", "split string"])
+    decided = counted.select(*keys, "chip_idx", "positive_pixels").groupBy(*keys).applyInPandas(of, schema)
+    return counted.join(decided, [*keys, "chip_idx"])
 
 
 def paired_chips(images: DataFrame, masks: DataFrame) -> DataFrame:

@@ -149,25 +149,33 @@ def smoothed(pixels: DataFrame, radius: int) -> DataFrame:
     return pixels.select("tile_id", "r", "c", "mask").groupBy("tile_id").applyInPandas(of, f"tile_id {kind}, r int, c int, mask int") if radius > 0 else pixels
 
 
-def mosaic_components(mask: DataFrame, block: int = 512) -> DataFrame:
-    """(gr, gc, label) of the 4-connected components of a mosaic of any size, mask(gr, gc); repeats of a pixel are one.
+def mosaic_components(mask: DataFrame, block: int = 512, keys: list[str] | None = None) -> DataFrame:
+    """(keys, gr, gc, label) of the 4-connected components of a mosaic of any size, mask(keys, gr, gc); repeats of a pixel are one.
 
-    Blocks are labelled each in a task; only pixels at block borders become edges, and the components of those few
-    labels are found by joins, so no task ever holds the mosaic.
+    Pixels of different keys, such as classes, are apart. label is gr * 2^31 + gc of the component's first pixel, so
+    it is the same for any size of block, and unique within its keys. Blocks are labelled each in a task; only pixels
+    at block borders become edges, and the components of those few labels are found by joins, so no task ever holds
+    the mosaic.
     """
-    width = F.lit(1 << 31)
+    keys, width = keys or [], F.lit(1 << 31)
+    number = F.concat_ws(":", F.floor(F.col("gr") / block), F.floor(F.col("gc") / block), *[F.coalesce(F.col(k).cast("string"), F.lit("\0")) for k in keys])
     blocks = mask.distinct().select(
-        F.concat_ws(":", F.floor(F.col("gr") / block), F.floor(F.col("gc") / block)).alias("tile_id"),
+        number.alias("tile_id"),
         F.pmod("gr", F.lit(block)).cast("int").alias("r"), F.pmod("gc", F.lit(block)).cast("int").alias("c"), F.lit(1).alias("mask"),
-        F.col("gr").cast("long").alias("gr"), F.col("gc").cast("long").alias("gc"),
+        F.col("gr").cast("long").alias("gr"), F.col("gc").cast("long").alias("gc"), *keys,
     )
     own = tile_components(blocks).withColumn("label", F.concat_ws("/", "tile_id", "label"))
     own = own.join(blocks.drop("mask"), ["tile_id", "r", "c"])
     low = own.groupBy("label").agg(F.min(F.col("gr") * width + F.col("gc")).alias("key"))
-    keyed = own.join(low, "label").select("gr", "gc", "r", "c", "key")
-    right = keyed.filter(F.col("c") == block - 1).select("gr", (F.col("gc") + 1).alias("gc"), F.col("key").alias("a"))
-    below = keyed.filter(F.col("r") == block - 1).select((F.col("gr") + 1).alias("gr"), "gc", F.col("key").alias("a"))
-    starts = keyed.filter("c = 0 OR r = 0").select("gr", "gc", F.col("key").alias("b"))
-    edges = right.unionByName(below).join(starts, ["gr", "gc"]).select("a", "b")
+    node = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], F.col("key").alias("key")) if keys else F.col("key")
+    keyed = own.join(low, "label").select(*keys, "gr", "gc", "r", "c", node.alias("key"))
+    right = keyed.filter(F.col("c") == block - 1).select(*keys, "gr", (F.col("gc") + 1).alias("gc"), F.col("key").alias("a"))
+    below = keyed.filter(F.col("r") == block - 1).select(*keys, (F.col("gr") + 1).alias("gr"), "gc", F.col("key").alias("a"))
+    starts = keyed.filter("c = 0 OR r = 0").select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("gr").alias("_gr"), F.col("gc").alias("_gc"), F.col("key").alias("b"))
+    meet = (F.col("gr") == F.col("_gr")) & (F.col("gc") == F.col("_gc"))
+    for k in keys:
+        meet &= F.col(k).eqNullSafe(F.col(f"_{k}"))
+    edges = right.unionByName(below).join(starts, meet).select("a", "b")
     roots = components(edges)
-    return keyed.join(roots, keyed["key"] == roots["node"], "left").select("gr", "gc", F.coalesce("root", "key").alias("label"))
+    out = keyed.join(roots, keyed["key"] == roots["node"], "left").withColumn("label", F.coalesce("root", "key"))
+    return out.select(*keys, "gr", "gc", (F.col("label.key") if keys else F.col("label")).alias("label"))

@@ -78,10 +78,11 @@ def flip_mean(pixels: DataFrame, predict: Callable[[DataFrame], DataFrame], name
     return mirrored(predict(copies)).groupBy("tile_id", "r", "c").agg(F.avg("p").alias("p"))
 
 
-def _positions(target: int, source: Column) -> Column:
+def _positions(target: int | Column, source: Column) -> Column:
     """The places 0 to source - 1 that ``target`` even steps fall on, first and last on the ends."""
-    step = F.lit(0.0) if target == 1 else (source - 1) / F.lit(float(target - 1))
-    return F.transform(F.sequence(F.lit(0), F.lit(target - 1)), lambda i: F.struct(i.alias("i"), (i * step).alias("at")))
+    last = target - 1 if isinstance(target, Column) else F.lit(target - 1)
+    step = F.when(last == 0, 0.0).otherwise((source - 1) / last.cast("double"))
+    return F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(i.alias("i"), (i * step).alias("at")))
 
 
 def resize_nearest(pixels: DataFrame, height: int, width: int) -> DataFrame:
@@ -98,10 +99,11 @@ def resize_nearest(pixels: DataFrame, height: int, width: int) -> DataFrame:
     return grid.join(pixels, ["tile_id", "r", "c"]).select("tile_id", F.col("tr").alias("r"), F.col("tc").alias("c"), "v")
 
 
-def resize_bilinear(pixels: DataFrame, height: int, width: int) -> DataFrame:
-    """Corner-aligned bilinear resize: along rows of pixels first, then across them.
+def resize_bilinear(pixels: DataFrame, height: int = 0, width: int = 0, sizes: DataFrame | None = None) -> DataFrame:
+    """Corner-aligned bilinear resize, to one height and width or to those of each tile in sizes(tile_id, height, width).
 
-    Every source row is one array, so a target row needs its two neighbour rows and no per-pixel join.
+    Along rows of pixels first, then across them. Every source row is one array, so a target row needs its two
+    neighbour rows and no per-pixel join. Tiles that sizes doesn't have go.
     """
     rows = pixels.groupBy("tile_id", "r").agg(F.transform(F.sort_array(F.collect_list(F.struct("c", "v"))), lambda x: x["v"].cast("double")).alias("vs"))
 
@@ -110,9 +112,13 @@ def resize_bilinear(pixels: DataFrame, height: int, width: int) -> DataFrame:
         a = F.get(values, low)
         return a + (F.get(values, F.least(low + 1, F.size(values) - 1)) - a) * (at - low)
 
-    wide = rows.select("tile_id", "r", F.transform(_positions(width, F.size("vs")), lambda p: lerp(F.col("vs"), p["at"])).alias("vs"))
-    tiles = wide.groupBy("tile_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("r", "vs"))), lambda x: x["vs"]).alias("rows"))
-    tall = tiles.select("tile_id", "rows", F.explode(_positions(height, F.size("rows"))).alias("y")).select(
+    if sizes is None:
+        rows = rows.withColumns({"height": F.lit(height), "width": F.lit(width)})
+    else:
+        rows = rows.join(sizes.select("tile_id", "height", "width"), "tile_id")
+    wide = rows.select("tile_id", "r", "height", F.transform(_positions(F.col("width"), F.size("vs")), lambda p: lerp(F.col("vs"), p["at"])).alias("vs"))
+    tiles = wide.groupBy("tile_id").agg(F.first("height").alias("height"), F.transform(F.sort_array(F.collect_list(F.struct("r", "vs"))), lambda x: x["vs"]).alias("rows"))
+    tall = tiles.select("tile_id", "rows", F.explode(_positions(F.col("height"), F.size("rows"))).alias("y")).select(
         "tile_id", F.col("y.i").alias("r"), (F.col("y.at") - F.floor("y.at")).alias("part"),
         F.get("rows", F.floor("y.at").cast("int")).alias("top"),
         F.get("rows", F.least(F.floor("y.at").cast("int") + 1, F.size("rows") - 1)).alias("low"),
@@ -122,12 +128,15 @@ def resize_bilinear(pixels: DataFrame, height: int, width: int) -> DataFrame:
 
 
 def scale_mean(predictions: list[DataFrame]) -> DataFrame:
-    """The mean of predictions(tile_id, r, c, v) of several input sizes, resized to the largest, which comes first."""
+    """The mean of predictions(tile_id, r, c, v) of several input sizes, each tile resized to its size in the first.
+
+    The first holds the largest. A prediction whose tile has that size already goes in as it is.
+    """
     first, *rest = predictions
-    height, width = first.agg(F.max("r") + 1, F.max("c") + 1).first()
-    every = first.withColumn("v", F.col("v").cast("double"))
+    sizes = first.groupBy("tile_id").agg((F.max("r") + 1).alias("height"), (F.max("c") + 1).alias("width"))
+    every = first.select("tile_id", "r", "c", F.col("v").cast("double").alias("v"))
     for x in rest:
-        every = every.unionByName(resize_bilinear(x, height, width))
+        every = every.unionByName(resize_bilinear(x, sizes=sizes))
     return every.groupBy("tile_id", "r", "c").agg(F.avg("v").alias("v"))
 
 

@@ -28,46 +28,74 @@ def area(ring: Ring) -> float:
     return float((p[:-1, 0] * p[1:, 1] - p[1:, 0] * p[:-1, 1]).sum() / 2) if len(p) > 3 else 0.0
 
 
-def trace(label: np.ndarray) -> dict[int, list[Ring]]:
-    """The rings, along pixel edges, of each positive label of a grid: the outer one and then its holes.
+Edges = np.ndarray  # rows (label, x0, y0, x1, y1): straight pieces of a label's outline, the label on their right
+
 
-    Every pixel side between a label and anything else is a directed edge with the label on its right, in (column,
-    row). Edges are chained at their ends; where four meet, the turn that keeps diagonal pixels of the label apart is
-    taken. Straight runs become one edge.
+def outline(label: np.ndarray, whole_runs: bool = True) -> Edges:
+    """The outlines of the positive labels of a grid as directed edges along pixel sides, in (column, row).
+
+    Sides of neighbouring pixels that run on are one edge. Without ``whole_runs`` those at the grid's own border stay
+    apart, a side each, so that they can cancel against the sides of a neighbouring grid.
     """
-    padded = np.pad(label, 1)
-    out: dict[int, list[Ring]] = {}
-    edges: dict[int, dict[tuple[int, int], list[tuple[int, int]]]] = {}
-    for dr, dc, start, end in ((-1, 0, (0, 0), (0, 1)), (0, 1, (0, 1), (1, 1)), (1, 0, (1, 1), (1, 0)), (0, -1, (1, 0), (0, 0))):
-        near = padded[1 + dr : 1 + dr + label.shape[0], 1 + dc : 1 + dc + label.shape[1]]
-        for r, c in zip(*np.nonzero((label > 0) & (near != label)), strict=True):
-            mine = edges.setdefault(int(label[r, c]), {})
-            mine.setdefault((int(c) + start[1], int(r) + start[0]), []).append((int(c) + end[1], int(r) + end[0]))
-    for k, graph in edges.items():
-        rings: list[Ring] = []
-        while graph:
-            here = next(iter(graph))
-            ring, came = [here], None
-            while True:
-                nexts = graph[here]
-                if len(nexts) > 1 and came:
-                    dx, dy = here[0] - came[0], here[1] - came[1]
-                    right = (here[0] - dy, here[1] + dx)
-                    to = right if right in nexts else nexts[0]
-                else:
-                    to = nexts[0]
-                nexts.remove(to)
-                if not nexts:
-                    del graph[here]
-                came, here = here, to
-                ring.append(here)
-                if here == ring[0]:
-                    break
-            corners = [q for p, q, s in zip([ring[-2], *ring[:-2]], ring[:-1], ring[1:], strict=True) if (q[0] - p[0], q[1] - p[1]) != (s[0] - q[0], s[1] - q[1])]
-            rings.append([(float(x), float(y)) for x, y in [*corners, corners[0]]])
-        rings.sort(key=lambda r: -abs(area(r)))
-        out[k] = rings
-    return out
+    padded, (h, w), out = np.pad(label, 1), label.shape, []
+    for dr, dc in ((-1, 0), (1, 0), (0, 1), (0, -1)):
+        edge = (label > 0) & (padded[1 + dr : 1 + dr + h, 1 + dc : 1 + dc + w] != label)
+        lines, of = (edge, label) if dr else (edge.T, label.T)  # a run goes along the rows of these
+        on = np.zeros_like(lines)
+        on[:, 1:] = lines[:, 1:] & lines[:, :-1] & (of[:, 1:] == of[:, :-1])
+        if not whole_runs:
+            on[0 if dr + dc < 0 else -1] = False
+        begin = np.argwhere(lines & ~on)
+        last = lines.copy()
+        last[:, :-1] &= ~on[:, 1:]
+        end = np.argwhere(last)  # in the same order, so each begin has its end
+        at, lo, hi = begin[:, 0] + (dr + dc > 0), begin[:, 1], end[:, 1] + 1
+        start, stop = (lo, hi) if dr < 0 or dc > 0 else (hi, lo)
+        xy = (start, at, stop, at) if dr else (at, start, at, stop)
+        out.append(np.stack([of[begin[:, 0], begin[:, 1]], *xy], axis=1))
+    return np.concatenate(out)
+
+
+def rings_of(edges: np.ndarray) -> list[Ring]:
+    """The rings that directed edges (x0, y0, x1, y1) of one label close, the outer one first; opposite edges cancel.
+
+    Where four edges meet, the turn that keeps diagonal pixels apart is taken. Straight runs become one edge.
+    """
+    every = {tuple(e) for e in edges.tolist()}
+    graph: dict[tuple, list[tuple]] = {}
+    for x0, y0, x1, y1 in sorted(every):
+        if (x1, y1, x0, y0) not in every:
+            graph.setdefault((x0, y0), []).append((x1, y1))
+    sign = lambda v: (v > 0) - (v < 0)
+    rings: list[Ring] = []
+    while graph:
+        here = next(iter(graph))
+        ring, came = [here], None
+        while True:
+            nexts = graph[here]
+            to = nexts[0]
+            if len(nexts) > 1 and came:
+                turn = (-sign(here[1] - came[1]), sign(here[0] - came[0]))
+                to = next((n for n in nexts if (sign(n[0] - here[0]), sign(n[1] - here[1])) == turn), to)
+            nexts.remove(to)
+            if not nexts:
+                del graph[here]
+            came, here = here, to
+            ring.append(here)
+            if here == ring[0]:
+                break
+        way = lambda p, q: (sign(q[0] - p[0]), sign(q[1] - p[1]))
+        corners = [q for p, q, n in zip([ring[-2], *ring[:-2]], ring[:-1], ring[1:], strict=True) if way(p, q) != way(q, n)]
+        rings.append([(float(x), float(y)) for x, y in [*corners, corners[0]]])
+    return sorted(rings, key=lambda r: -abs(area(r)))
+
+
+def trace(label: np.ndarray) -> dict[int, list[Ring]]:
+    """The rings, along pixel edges, of each positive label of a grid: the outer one and then its holes."""
+    edges = outline(label)
+    edges = edges[np.argsort(edges[:, 0], kind="stable")]
+    starts = np.flatnonzero(np.concatenate(([True], edges[1:, 0] != edges[:-1, 0]))) if len(edges) else np.zeros(0, np.int64)
+    return {int(part[0, 0]): rings_of(part[:, 1:]) for part in np.split(edges, starts[1:]) if len(part)}
 
 
 def _thin(points: np.ndarray, tolerance: float) -> np.ndarray:
@@ -207,19 +235,135 @@ def polygonize(labelled: DataFrame, transform: tuple[float, ...] = (1.0, 0.0, 0.
     return labelled.select("tile_id", "r", "c", "label").groupBy("tile_id").applyInPandas(of, f"tile_id {kind}, label long, rings {RINGS}")
 
 
-def merged_polygons(labelled: DataFrame) -> DataFrame:
+def merged_polygons(labelled: DataFrame, block: int = 512) -> DataFrame:
     """(class_name, label, rings) of a mosaic's labelled(class_name, gr, gc, label): overlapping tiles' regions as one.
 
-    A task traces one region within its own box, so its memory follows the region and not the mosaic.
+    Blocks of the mosaic are outlined each in a task, straight runs as one edge; a region's task gets those edges
+    alone, cancels the sides where blocks meet and closes the rings. So what a task holds follows the points of one
+    region's outline, which its row holds too, and neither its pixels nor its box.
     """
-    def of(part: pd.DataFrame) -> pd.DataFrame:
+    name_kind, kind = dict(labelled.dtypes)["class_name"], dict(labelled.dtypes)["label"]
+
+    def outlined(part: pd.DataFrame) -> pd.DataFrame:
         y, x = int(part["gr"].min()), int(part["gc"].min())
+        names, number = np.unique(part["label"], return_inverse=True)
         grid = np.zeros((int(part["gr"].max()) - y + 1, int(part["gc"].max()) - x + 1), np.int64)
-        grid[part["gr"] - y, part["gc"] - x] = 1
-        rings = [[{"x": px + x, "y": py + y} for px, py in ring] for ring in trace(grid)[1]]
+        grid[part["gr"] - y, part["gc"] - x] = number + 1
+        edges = outline(grid, whole_runs=False)
+        return pd.DataFrame({
+            "class_name": part["class_name"].iloc[0], "label": names[edges[:, 0] - 1],
+            **{c: edges[:, k] + o for c, k, o in (("x0", 1, x), ("y0", 2, y), ("x1", 3, x), ("y1", 4, y))},
+        })
+
+    def closed(part: pd.DataFrame) -> pd.DataFrame:
+        rings = [[{"x": px, "y": py} for px, py in ring] for ring in rings_of(part[["x0", "y0", "x1", "y1"]].to_numpy())]
         return pd.DataFrame({"class_name": [part["class_name"].iloc[0]], "label": [part["label"].iloc[0]], "rings": [rings]})
 
-    return labelled.select("class_name", "gr", "gc", "label").groupBy("class_name", "label").applyInPandas(of, f"class_name string, label long, rings {RINGS}")
+    placed = labelled.select(
+        "class_name", "label", F.col("gr").cast("long").alias("gr"), F.col("gc").cast("long").alias("gc"),
+        F.floor(F.col("gr") / block).alias("_by"), F.floor(F.col("gc") / block).alias("_bx"),
+    )
+    edges = placed.groupBy("class_name", "_by", "_bx").applyInPandas(outlined, f"class_name {name_kind}, label {kind}, x0 long, y0 long, x1 long, y1 long")
+    return edges.groupBy("class_name", "label").applyInPandas(closed, f"class_name {name_kind}, label {kind}, rings {RINGS}")
+
+
+def _crossings(ring: Ring) -> list[Ring]:
+    """A closed ring with its crossing points put in, cut at every point that it passes twice."""
+    p = np.asarray(ring, float)
+    marks: list[list[tuple[float, tuple[float, float]]]] = [[] for _ in p[:-1]]
+    for i in range(len(p) - 1):
+        for j in range(i + 1, len(p) - 1):
+            d, e, w = p[i + 1] - p[i], p[j + 1] - p[j], p[j] - p[i]
+            cross = d[0] * e[1] - d[1] * e[0]
+            if cross == 0:
+                continue
+            t, u = (w[0] * e[1] - w[1] * e[0]) / cross, (w[0] * d[1] - w[1] * d[0]) / cross
+            if -1e-12 <= t <= 1 + 1e-12 and -1e-12 <= u <= 1 + 1e-12:
+                at = tuple((p[i] + min(max(t, 0.0), 1.0) * d).tolist())
+                marks[i].append((t, at))
+                marks[j].append((u, at))
+    points: Ring = []
+    for i, found in enumerate(marks):
+        for q in [tuple(p[i].tolist()), *[at for _, at in sorted(found)]]:
+            if not points or math.dist(points[-1], q) > 1e-9:
+                points.append(q)
+    out, path = [], []
+    seen: dict[tuple[float, float], int] = {}
+    for q in [*points, points[0]]:
+        key = (round(q[0], 9), round(q[1], 9))
+        if key in seen:
+            k = seen[key]
+            loop = [*path[k:], path[k]]
+            out += [loop] if len(loop) > 3 and abs(area(loop)) > 0 else []
+            for gone in path[k + 1 :]:
+                seen.pop((round(gone[0], 9), round(gone[1], 9)), None)
+            path = path[: k + 1]
+        else:
+            seen[key] = len(path)
+            path.append(q)
+    return out
+
+
+def _inside(ring: Ring, x: float, y: float) -> bool:
+    p = np.asarray(ring)
+    (x0, y0), (x1, y1) = p[:-1].T, p[1:].T
+    over = (y0 > y) != (y1 > y)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return bool((over & (x < (x1 - x0) * (y - y0) / (y1 - y0) + x0)).sum() % 2)
+
+
+def repair(rings: list[Ring]) -> list[list[Ring]]:
+    """Valid polygons of what the rings enclose by the even-odd rule: each a ring and its holes.
+
+    Rings are closed, cut where they cross or touch themselves, and dealt by how many others they lie in: an even
+    number makes an outer ring, an odd one a hole of the smallest around it. Loops without area go.
+    """
+    loops = [x for r in rings if len(r) > 2 for x in _crossings(r if r[0] == r[-1] else [*r, r[0]])]
+    loops.sort(key=lambda r: -abs(area(r)))
+    out: list[list[Ring]] = []
+    placed: list[tuple[Ring, int, int]] = []
+    for loop in loops:
+        p = np.asarray(loop[:2])
+        middle, step = p.mean(axis=0), (p[1] - p[0]) / math.dist(*loop[:2])
+        side = 1 if area(loop) > 0 else -1  # a point just inside, beside the first edge
+        x, y = middle + 1e-7 * side * np.array([-step[1], step[0]]) * math.sqrt(abs(area(loop)))
+        around = [(r, depth, polygon) for r, depth, polygon in placed if _inside(r, x, y)]
+        depth = len(around)
+        if depth % 2:
+            polygon = around[-1][2]
+            out[polygon].append(loop)
+        else:
+            polygon = len(out)
+            out.append([loop])
+        placed.append((loop, depth, polygon))
+    return out
+
+
+def repaired(polygons: DataFrame, rings: str = "rings", geometry: str = "geometry") -> DataFrame:
+    """polygons with ``geometry``, a valid multipolygon of what their rings enclose; null rings give null."""
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            out = [None if x is None else [[[{"x": a, "y": b} for a, b in ring] for ring in part] for part in repair(_plain(x))] for x in batch.to_pylist()]
+            yield pa.array(out, pa.list_(_ARROW_RINGS))
+
+    return polygons.withColumn(geometry, F.arrow_udf(of, f"array<{RINGS}>")(rings))
+
+
+def united(polygons: DataFrame, keys: list[str], rings: str = "rings") -> DataFrame:
+    """(keys, label, rings): the union of polygons on the unit grid for each value of keys, a row for each part.
+
+    Polygons become the cells that they cover, once each, and the cells' regions are traced anew, block by block; no
+    task holds a key's polygons. Rows with a null key are united like those of any other value.
+    """
+    from rasterloom.operators.labels import covered_cells
+    from rasterloom.operators.morphology import mosaic_components
+
+    name = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})
+    cells = covered_cells(polygons.select(name.alias("class_name"), F.col(rings).alias("rings")), ["class_name"])
+    labelled = mosaic_components(cells.select("class_name", F.col("r").alias("gr"), F.col("c").alias("gc")), keys=["class_name"])
+    fields = ", ".join(f"{c} {dict(polygons.dtypes)[c]}" for c in keys)
+    parts = merged_polygons(labelled.select("class_name", "gr", "gc", F.col("label").alias("label")))
+    return parts.select(F.from_json("class_name", fields).alias("k"), "label", "rings").select(*[F.col(f"k.{c}").alias(c) for c in keys], "label", "rings")
 
 
 def _plain(rings: list[list[dict]]) -> list[Ring]:

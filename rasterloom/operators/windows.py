@@ -56,17 +56,20 @@ def touching(windows: DataFrame, areas: list[tuple[float, float, float, float]])
     return windows.filter(hit) if areas else windows
 
 
-def touching_polygons(windows: DataFrame, transform: Column, areas: DataFrame) -> DataFrame:
+def touching_polygons(windows: DataFrame, transform: Column, areas: DataFrame, cell: float | None = None) -> DataFrame:
     """Windows whose box meets a polygon of areas(geometry), multipolygons in the units of the transform.
 
-    Areas are compared by their boxes on a grid of cells the size of a few windows, then exactly; a window that meets
-    several stays once.
+    Areas are compared by their boxes on a grid of cells, best the size of a few windows, then exactly; a window that
+    meets several stays once. Without ``cell``, in the units of the transform, the windows are read once more for
+    their largest side; the result is the same for any.
     """
     box = windows.withColumn("_box", window_bounds(transform))
-    size = box.agg(F.max(F.greatest(F.col("_box.east") - F.col("_box.west"), F.col("_box.north") - F.col("_box.south")))).first()[0]
-    if size is None:
-        return windows
-    cells = lambda low, high: F.sequence(F.floor(low / (4 * size)), F.floor(high / (4 * size)))
+    if cell is None:
+        size = box.agg(F.max(F.greatest(F.col("_box.east") - F.col("_box.west"), F.col("_box.north") - F.col("_box.south")))).first()[0]
+        if size is None:
+            return windows
+        cell = 4 * size
+    cells = lambda low, high: F.sequence(F.floor(low / cell), F.floor(high / cell))
     parts = areas.select(F.explode("geometry").alias("_rings")).withColumn("_around", bounds(F.element_at("_rings", 1)))
     dealt = lambda df, b: df.withColumn("_cx", F.explode(cells(F.col(f"{b}.west"), F.col(f"{b}.east")))).withColumn("_cy", F.explode(cells(F.col(f"{b}.south"), F.col(f"{b}.north"))))
     hits = dealt(box, "_box").join(dealt(parts, "_around"), ["_cx", "_cy"]).filter(

@@ -184,12 +184,18 @@ def overlap_mean_mosaic(spark, d):
 
 
 @query("multi_scale_mean", """
-SELECT q.tile_id, q.r, q.c, round((q.v + a.v) / 2, 6) AS v FROM raster q JOIN
-(SELECT tile_id, r, c, CAST(v AS DOUBLE) + 7 AS v FROM raster) a USING (tile_id, r, c) WHERE q.tile_id < (SELECT max(tile_id) FROM raster)""")
+WITH small AS (SELECT tile_id, r, c, CAST(v AS DOUBLE) + 7 AS v FROM raster WHERE r % 2 = 0 AND c % 2 = 0),
+s AS (SELECT tile_id, max(r) + 1 AS h, max(c) + 1 AS w, max(r) // 2 + 1 AS sh, max(c) // 2 + 1 AS sw FROM raster GROUP BY tile_id),
+g AS (SELECT q.tile_id, q.r, q.c, q.v, sh, sw, CASE WHEN h = 1 THEN 0 ELSE q.r * ((sh - 1) / CAST(h - 1 AS DOUBLE)) END AS y, CASE WHEN w = 1 THEN 0 ELSE q.c * ((sw - 1) / CAST(w - 1 AS DOUBLE)) END AS x FROM raster q JOIN s USING (tile_id)),
+k AS (SELECT *, CAST(floor(y) AS INT) AS y0, CAST(floor(x) AS INT) AS x0, CAST(least(floor(y) + 1, sh - 1) AS INT) AS y1, CAST(least(floor(x) + 1, sw - 1) AS INT) AS x1 FROM g)
+SELECT k.tile_id, k.r, k.c, round((k.v + (a.v + (b.v - a.v) * (x - x0)) + ((e.v + (f.v - e.v) * (x - x0)) - (a.v + (b.v - a.v) * (x - x0))) * (y - y0)) / 2, 6) AS v
+FROM k JOIN small a ON a.tile_id = k.tile_id AND a.r = 2 * y0 AND a.c = 2 * x0 JOIN small b ON b.tile_id = k.tile_id AND b.r = 2 * y0 AND b.c = 2 * x1
+JOIN small e ON e.tile_id = k.tile_id AND e.r = 2 * y1 AND e.c = 2 * x0 JOIN small f ON f.tile_id = k.tile_id AND f.r = 2 * y1 AND f.c = 2 * x1""")
 def multi_scale_mean(spark, d):
+    """Predictions of two sizes, the tile's own and one of every other row and column, for tiles of unequal heights."""
     raster = table(spark, d, "raster")
-    whole = raster.filter(F.col("tile_id") < raster.agg(F.max("tile_id")).first()[0])
-    return pixels.scale_mean([whole, whole.withColumn("v", F.col("v") + 7)]).withColumn("v", F.round("v", 6))
+    half = raster.filter("r % 2 = 0 AND c % 2 = 0").selectExpr("tile_id", "CAST(r / 2 AS INT) AS r", "CAST(c / 2 AS INT) AS c", "v + 7 AS v")
+    return pixels.scale_mean([raster, half]).withColumn("v", F.round("v", 6))
 
 
 def _mask(spark, d, least: int):
@@ -269,23 +275,12 @@ def mask_region_report(spark, d):
 
 
 @query("mosaic_components", """
-WITH RECURSIVE m AS (SELECT DISTINCT r AS gr, tile_id * 48 + c AS gc FROM raster WHERE v >= 120 AND tile_id < 12),
-e AS (SELECT a.gr AS ar, a.gc AS ac, b.gr AS br, b.gc AS bc, CAST(a.gr AS BIGINT) * 2147483648 + a.gc AS ka, CAST(b.gr AS BIGINT) * 2147483648 + b.gc AS kb FROM m a, (VALUES (0, 1), (1, 0), (0, -1), (-1, 0)) t(dr, dc) JOIN m b ON b.gr = a.gr + dr AND b.gc = a.gc + dc),
-l(x, root) AS (SELECT CAST(gr AS BIGINT) * 2147483648 + gc, CAST(gr AS BIGINT) * 2147483648 + gc FROM m UNION SELECT e.kb, l.root FROM l JOIN e ON e.ka = l.x WHERE l.root < e.kb),
-k AS (SELECT x, min(root) AS label FROM l GROUP BY x)
-SELECT CAST(gr AS BIGINT) AS gr, CAST(gc AS BIGINT) AS gc, label FROM m JOIN k ON x = CAST(gr AS BIGINT) * 2147483648 + gc""")
-def mosaic_components(spark, d):
-    ones = table(spark, d, "raster").filter("v >= 120 AND tile_id < 12").select(F.col("r").cast("long").alias("gr"), (F.col("tile_id") * 48 + F.col("c")).cast("long").alias("gc"))
-    return morphology.mosaic_components(ones, 32)
-
-
-@query("mosaic_components_whole", """
 WITH RECURSIVE m AS (SELECT DISTINCT r AS gr, tile_id * 48 + c AS gc FROM raster WHERE v >= 120),
 e AS (SELECT a.gr AS ar, a.gc AS ac, b.gr AS br, b.gc AS bc, CAST(a.gr AS BIGINT) * 2147483648 + a.gc AS ka, CAST(b.gr AS BIGINT) * 2147483648 + b.gc AS kb FROM m a, (VALUES (0, 1), (1, 0), (0, -1), (-1, 0)) t(dr, dc) JOIN m b ON b.gr = a.gr + dr AND b.gc = a.gc + dc),
 l(x, root) AS (SELECT CAST(gr AS BIGINT) * 2147483648 + gc, CAST(gr AS BIGINT) * 2147483648 + gc FROM m UNION SELECT e.kb, l.root FROM l JOIN e ON e.ka = l.x WHERE l.root < e.kb),
 k AS (SELECT x, min(root) AS label FROM l GROUP BY x)
 SELECT CAST(gr AS BIGINT) AS gr, CAST(gc AS BIGINT) AS gc, label FROM m JOIN k ON x = CAST(gr AS BIGINT) * 2147483648 + gc""")
-def mosaic_components_whole(spark, d):
+def mosaic_components(spark, d):
     """Every tile, in blocks of the operator's own size."""
     ones = table(spark, d, "raster").filter("v >= 120").select(F.col("r").cast("long").alias("gr"), (F.col("tile_id") * 48 + F.col("c")).cast("long").alias("gc"))
     return morphology.mosaic_components(ones)
@@ -422,14 +417,8 @@ def job_upsert(spark, d):
     return features.upsert_jobs(loads.filter("seq % 2 = 0"), loads.filter("seq % 2 = 1"))
 
 
-@query("append_schema_evolution", "SELECT source_tile, class_name, area_m2, NULL::VARCHAR AS job_id, NULL::VARCHAR AS workflow_id FROM detections WHERE area_m2 >= 40 UNION ALL SELECT NULL, NULL, NULL, job_id, workflow_id FROM loads WHERE feature_count = 3")
+@query("append_schema_evolution", "SELECT source_tile, class_name, area_m2, NULL::VARCHAR AS job_id, NULL::VARCHAR AS workflow_id FROM detections UNION ALL SELECT NULL, NULL, NULL, job_id, workflow_id FROM loads")
 def append_schema_evolution(spark, d):
-    stored = table(spark, d, "detections").filter("area_m2 >= 40").select("source_tile", "class_name", "area_m2")
-    return features.append_evolving(stored, table(spark, d, "loads").filter("feature_count = 3").select("job_id", "workflow_id"))
-
-
-@query("append_schema_evolution_whole", "SELECT source_tile, class_name, area_m2, NULL::VARCHAR AS job_id, NULL::VARCHAR AS workflow_id FROM detections UNION ALL SELECT NULL, NULL, NULL, job_id, workflow_id FROM loads")
-def append_schema_evolution_whole(spark, d):
     stored = table(spark, d, "detections").select("source_tile", "class_name", "area_m2")
     return features.append_evolving(stored, table(spark, d, "loads").select("job_id", "workflow_id"))
 
@@ -547,6 +536,6 @@ def demo_scene(spark, d):
     score = x.groupBy("tile_id", "r", "c").agg(F.avg("x").alias("score"))
     mask = score.withColumn("p", pixels.probability_gate(F.col("score"))).withColumn("mask", pixels.thresholded(F.col("p"), 0.5))
     region = shapes.polygonize(morphology.tile_components(mask, 4)).select(geometry.polygon_area(F.col("rings")).alias("area"))
-    return mask.groupBy().agg(F.count(F.lit(1)).alias("pixels"), F.sum("mask").alias("road_pixels")).join(
-        F.broadcast(region.groupBy().agg(F.sum("area").alias("area"), F.count(F.lit(1)).alias("regions")))
-    )
+    rows = mask.groupBy().agg(F.count(F.lit(1)).alias("pixels"), F.sum("mask").alias("road_pixels")).withColumn("k", F.lit(0))
+    traced = region.groupBy().agg(F.sum("area").alias("area"), F.count(F.lit(1)).alias("regions")).withColumn("k", F.lit(0))
+    return rows.join(traced, "k").drop("k")

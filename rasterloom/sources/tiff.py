@@ -156,8 +156,8 @@ def _files(spark: SparkSession, folder: str, patterns: tuple[str, ...]) -> DataF
     return out.select("path", "content")
 
 
-def scan_scenes(spark: SparkSession, folder: str, patterns: tuple[str, ...] = ("*.tif", "*.tiff")) -> DataFrame:
-    """The metadata of every image of a folder, no pixels unpacked."""
+def scene_facts(files: DataFrame) -> DataFrame:
+    """The metadata of images in files(path, content), no pixels unpacked."""
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
@@ -167,26 +167,43 @@ def scan_scenes(spark: SparkSession, folder: str, patterns: tuple[str, ...] = ("
                 rows.append((stem, path, t.epsg, t.width, t.height, t.bands, t.dtype.newbyteorder("=").name, dict(zip("abcdef", t.transform, strict=True)), t.items))
             yield pd.DataFrame(rows, columns=["scene_id", "path", "crs_epsg", "width", "height", "band_count", "dtype", "transform", "tags"]).astype({"crs_epsg": "Int32"})
 
-    return _files(spark, folder, patterns).mapInPandas(of, SCENE)
+    return files.select("path", "content").mapInPandas(of, SCENE)
 
 
-def read_windows(spark: SparkSession, folder: str, windows: DataFrame, bands: list[int] | None = None) -> DataFrame:
-    """tile_id, scene_id, height, width and bands of windows(scene_id, tile_idx, col_off, row_off, win_width, win_height).
+def scan_scenes(spark: SparkSession, folder: str, patterns: tuple[str, ...] = ("*.tif", "*.tiff")) -> DataFrame:
+    """The metadata of every image of a folder."""
+    return scene_facts(_files(spark, folder, patterns))
+
+
+def cut_windows(files: DataFrame, windows: DataFrame, bands: list[int] | None = None, group: int = 64) -> DataFrame:
+    """tile_id, scene_id, height, width and bands of windows(scene_id, tile_idx, col_off, row_off, win_width, win_height)
+    of the images in files(path, content); ``bands`` are counted from 1.
 
-    Each file meets its own windows in one task, which unpacks only their blocks; ``bands`` are counted from 1.
+    A file's windows are numbered row by row and listed ``group`` at a time, so a task unpacks only the blocks of one
+    group and gives its tiles on before the next. Files themselves don't move: the lists are small and go to them.
+    A row of Spark's binary reader holds a whole file, 2 GB at most; larger scenes come as several files.
     """
-    wanted = windows.groupBy("scene_id").agg(F.collect_list(F.struct("tile_idx", "col_off", "row_off", "win_width", "win_height")).alias("wins"))
+    struct_of = F.struct("tile_idx", "col_off", "row_off", "win_width", "win_height")
+    wanted = windows.groupBy("scene_id").agg(F.sort_array(F.collect_list(F.struct("row_off", struct_of.alias("w")))).alias("wins"))
     stem = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.[^.]*$", "")
-    files = _files(spark, folder, ("*.tif", "*.tiff")).withColumn("scene_id", stem).join(wanted, "scene_id")
+    listed = wanted.select(F.col("scene_id").alias("_of"), F.transform("wins", lambda x: x["w"]).alias("wins"))
+    joined = files.select("path", "content").withColumn("scene_id", stem).join(listed, F.col("scene_id") == F.col("_of"))
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for scene, content, wins in zip(batch["scene_id"], batch["content"], batch["wins"], strict=True):
-                t, rows = Tiff(bytes(content)), []
-                for w in wins:
-                    image = t.read(w["col_off"], w["row_off"], w["win_width"], w["win_height"]).astype(np.float32)
-                    chosen = image if bands is None else image[[b - 1 for b in bands]]
-                    rows.append((f"{scene}_tile_{w['tile_idx']:06d}", scene, w["win_height"], w["win_width"], [b.ravel() for b in chosen]))
-                yield pd.DataFrame(rows, columns=["tile_id", "scene_id", "height", "width", "bands"])
-
-    return files.mapInPandas(of, "tile_id string, scene_id string, height int, width int, bands array<array<float>>")
+                t = Tiff(bytes(content))
+                for at in range(0, len(wins), group):
+                    rows = []
+                    for w in wins[at : at + group]:
+                        image = t.read(w["col_off"], w["row_off"], w["win_width"], w["win_height"]).astype(np.float32)
+                        chosen = image if bands is None else image[[b - 1 for b in bands]]
+                        rows.append((f"{scene}_tile_{w['tile_idx']:06d}", scene, w["win_height"], w["win_width"], [b.ravel() for b in chosen]))
+                    yield pd.DataFrame(rows, columns=["tile_id", "scene_id", "height", "width", "bands"])
+
+    return joined.select("scene_id", "content", "wins").mapInPandas(of, "tile_id string, scene_id string, height int, width int, bands array<array<float>>")
+
+
+def read_windows(spark: SparkSession, folder: str, windows: DataFrame, bands: list[int] | None = None) -> DataFrame:
+    """Windows of a folder's images, as cut_windows gives them."""
+    return cut_windows(_files(spark, folder, ("*.tif", "*.tiff")), windows, bands)

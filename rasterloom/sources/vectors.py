@@ -114,8 +114,8 @@ def _geojson_rows(content: bytes) -> list[tuple]:
     return rows
 
 
-def read_vectors(spark: SparkSession, path: str, layer: str | None = None) -> DataFrame:
-    """Features of GeoPackage, GeoJSON or ZIP files, each read in a task; of a ZIP the first vector member counts."""
+def vector_features(files: DataFrame, layer: str | None = None) -> DataFrame:
+    """Features of GeoPackages, GeoJSON or ZIP archives in files(path, content); of a ZIP the first vector member counts."""
     def rows_of(name: str, content: bytes) -> list[tuple]:
         suffix = PurePosixPath(name).suffix.lower()
         if suffix == ".gpkg":
@@ -134,7 +134,27 @@ def read_vectors(spark: SparkSession, path: str, layer: str | None = None) -> Da
             for p, content in zip(batch["path"], batch["content"], strict=True):
                 yield pd.DataFrame(rows_of(p, bytes(content)), columns=["properties", "crs_epsg", "geometry"])
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(of, FEATURE)
+    return files.select("path", "content").mapInPandas(of, FEATURE)
+
+
+def read_vectors(spark: SparkSession, path: str, layer: str | None = None) -> DataFrame:
+    """Features of GeoPackage, GeoJSON or ZIP files, each read in a task."""
+    return vector_features(spark.read.format("binaryFile").load(path), layer)
+
+
+def label_source(candidates: list[DataFrame | None], crs_epsg: int | None = None) -> DataFrame:
+    """The first of the candidate feature tables that has a row, such as a stored label file and then seed detections.
+
+    None stands for a source that isn't there. If no candidate has a row, the first table without its rows, under
+    ``crs_epsg`` or else 4326; with no table at all that is an error. Each test reads one row.
+    """
+    there = [c for c in candidates if c is not None]
+    if not there:
+        raise ValueError("no label source")
+    for c in there:
+        if c.take(1):
+            return c
+    return there[0].limit(0).withColumn("crs_epsg", F.lit(crs_epsg or 4326))
 
 
 def gpkg_bytes(rows: list[tuple[dict, list | bytes | None]], epsg: int, layer: str) -> bytes:

@@ -295,3 +295,46 @@ def test_shape_functions_take_polygons_with_holes_of_unequal_lengths(spark):
         assert {r.k: len(r.rings) for r in out.collect()} == {0: 1, 1: 2, 2: 3}
     assert {r.k: len(r.rings) for r in shapes.rectangularized(polygons, 0.99).collect()} == {0: 1, 1: 2, 2: 3}
     assert {r.k: len(r.rings) for r in shapes.rectangularized(polygons, 0.9).collect()} == {0: 1, 1: 1, 2: 1}
+
+
+def test_outlines_keep_area_holes_and_diagonals_apart():
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        grid = (rng.random((9, 11)) < 0.55).astype(int)
+        label = np.where(grid, morphology.label_grid(grid, 4) + 1, 0)
+        for k, rings in shapes.trace(label).items():
+            assert abs(shapes.area(rings[0])) - sum(abs(shapes.area(r)) for r in rings[1:]) == (label == k).sum()
+            assert all(shapes.area(r) * shapes.area(rings[0]) < 0 and r[0] == r[-1] for r in rings[1:])
+
+
+def test_merged_polygons_are_the_same_for_any_block(spark):
+    rng = np.random.default_rng(4)
+    grid = (rng.random((23, 31)) < 0.6).astype(int)
+    label = morphology.label_grid(grid, 4)
+    rows = [("road", int(r), int(c), int(label[r, c])) for r, c in zip(*np.nonzero(grid), strict=True)]
+    labelled = spark.createDataFrame(rows, "class_name string, gr long, gc long, label long")
+    turned = lambda ring: min(tuple(ring[k:-1] + ring[: k + 1]) for k in range(len(ring) - 1))
+    want = {k - 1: sorted(map(turned, rings)) for k, rings in shapes.trace(np.where(grid, label + 1, 0)).items()}
+    for block in (512, 7):
+        got = {r.label: sorted(turned([(p.x, p.y) for p in ring]) for ring in r.rings) for r in shapes.merged_polygons(labelled, block).collect()}
+        assert got == want
+
+
+def test_repair_of_crossing_touching_and_nested_rings():
+    size = lambda parts: sorted(abs(shapes.area(p[0])) - sum(abs(shapes.area(r)) for r in p[1:]) for p in parts)
+    box = lambda x, y, s: [(x, y), (x + s, y), (x + s, y + s), (x, y + s), (x, y)]
+    assert size(shapes.repair([[(0, 0), (2, 2), (2, 0), (0, 2), (0, 0)]])) == [1, 1]
+    assert size(shapes.repair([[(0, 0), (1, 0), (1, 1), (2, 1), (2, 2), (1, 2), (1, 1), (0, 1)]])) == [1, 1]  # corners that touch, not closed
+    assert size(shapes.repair([box(0, 0, 9), box(1, 1, 5), box(2, 2, 1)])) == [1, 56]
+    assert size(shapes.repair([box(0, 0, 9)])) == [81] and shapes.repair([[(0, 0), (1, 1), (0, 0)], []]) == []
+
+
+def test_chip_split_draws_in_order_for_each_scene(spark):
+    rng = random.Random(1)
+    chips = [(s, k, rng.choice((0, 5, 50))) for s in ("a", "b") for k in range(40)]
+    got = {(r.scene, r.chip_idx): r.split for r in labels.chip_split(spark.createDataFrame(chips, "scene string, chip_idx int, positive_pixels int"), 10, 0.4, 0.3, 7, "scene").collect()}
+    for scene in ("a", "b"):
+        draws = random.Random(7)
+        for _, k, positive in [c for c in chips if c[0] == scene]:
+            want = "dropped" if positive < 10 and draws.random() > 0.4 else "val" if draws.random() < 0.3 else "train"
+            assert got[scene, k] == want

@@ -4,7 +4,7 @@ import random
 import duckdb
 import pytest
 
-from rasterloom.plans.queries import ORACLE_SQL, QUERIES
+from rasterloom.plans.registry import ORACLE_SQL, QUERIES
 
 DATA = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -65,7 +65,7 @@ def test_mosaic_components_whole_floods_every_tile(spark, tmp_path):
                 near = left & {(r, c + 1), (r + 1, c), (r, c - 1), (r - 1, c)}
                 left -= near
                 todo += near
-    got = QUERIES["mosaic_components_whole"](spark, str(tmp_path)).collect()
+    got = QUERIES["mosaic_components"](spark, str(tmp_path)).collect()
     assert len(got) == len(want) and {(x.gr, x.gc): x.label for x in got} == want
     assert max(c for _, c in want) >= 1024  # more tiles than the first 12, and more than two blocks
 
@@ -73,4 +73,4 @@ def test_mosaic_components_whole_floods_every_tile(spark, tmp_path):
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no tables")
 def test_append_whole_keeps_every_row_of_both_tables(spark):
     rows = sum(spark.read.parquet(f"{DATA}/{t}.parquet").count() for t in ("lineitem", "orders"))
-    assert QUERIES["append_schema_evolution_whole"](spark, DATA).count() == rows
+    assert QUERIES["append_schema_evolution"](spark, DATA).count() == rows
