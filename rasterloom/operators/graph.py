@@ -43,6 +43,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def discard(df: DataFrame) -> None:
+    """Removes the folders of a table that stored wrote, when nothing is left to read it."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, root) for every node of edges(a, b): root is the smallest node of its connected component.
 
@@ -62,8 +70,10 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         told = Observation()
         star = small.unionByName(small_low.select("a", F.col("m").alias("b"))).distinct()
         marks = [F.count(F.lit(1)).alias("n"), F.expr("bit_xor(xxhash64(a, b))").alias("x"), F.expr("bit_xor(xxhash64(b, a, 1))").alias("y")]
-        edges = stored(star.observe(told, *marks), "edges")
+        used, edges = (edges, low, large, small_low), stored(star.observe(told, *marks), "edges")
         now = told.get
+        for table in used:
+            discard(table)
         if now == seen:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
                 edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
