@@ -98,7 +98,8 @@ def mix_sources(
     weight, and null ones, form one class together with ``rest_weight``. The plan, of at most classes times period
     slots, is the only thing broadcast: its size follows the parameter ``weights``, not the data.
 
-    Nulls: rows with a null id are hashed as the empty text. Ties and repeated rows: equal rows take neighbouring
+    Nulls: rows with a null id are hashed by their content, so many of them aren't one group. More slots in a plan than
+    ``_MOST_PLAN`` are an error, no row is left out. Ties and repeated rows: equal rows take neighbouring
     places in any order. Other columns pass through; a clashing new column gets a leading underscore.
     """
     needs(docs, id_col, source_col)
@@ -110,11 +111,12 @@ def mix_sources(
     share = F.coalesce(F.try_element_at(keys, F.coalesce(F.col(source_col).cast("string"), F.lit(""))), F.lit(0))
     names = {c: fresh_name(docs.columns, c) for c in ("_cls", "_share", "_hash", "_part", "_rank", "_block", "_plan", "_of_cls", "_of_part", "_offset")}
     cls, sh, h, part, rank, block, plan, of_cls, of_part, offset = names.values()
+    content = [c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]  # what a hash can take
     rows = (
         docs.withColumn(sh, share)
         .withColumn(cls, F.when(F.col(sh) > 0, F.col(source_col).cast("string")).otherwise(F.lit(REST)))
         .withColumn(sh, F.when(F.col(sh) > 0, F.col(sh)).otherwise(F.lit(rest_weight)))
-        .withColumn(h, F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
+        .withColumn(h, F.md5(F.coalesce(F.col(id_col).cast("string"), F.xxhash64(*content).cast("string"))))
         .withColumn(part, F.substring(h, 1, 3))
     )
     sizes = rows.groupBy(cls, sh, part).agg(F.count(F.lit(1)).alias("n"))

@@ -150,14 +150,15 @@ def held_out(doc_id: Column) -> Column:
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int) -> pd.DataFrame:
     """Up to ``most`` labelled (text, label) rows that aren't held out, the first by a hash of doc_id.
 
-    Only their ids, at most ``most`` of them, are broadcast; texts of the others never leave the scan.
+    Only their ids, at most ``most`` of them, are broadcast; texts of the others never leave the scan. An id that
+    documents repeat gives one row, with the text that sorts first, so the bound holds for any table.
     """
     learn = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & ~held_out(F.col("doc_id")))
     picked = (
         learn.groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
         .orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(most)
     )
-    rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
     return rows.select(F.xxhash64(F.col("doc_id").cast("string")).alias("at"), "text", "label").toPandas().sort_values(
         ["at", "text"], ignore_index=True
     )
@@ -201,10 +202,11 @@ def toxicity_scores(docs: DataFrame, model: ToxicityModel, text_col: str = "text
 def op4_query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity_scores(docs, model, locate=False).select(
+    return toxicity_scores(docs, model).select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
         F.col("toxicity").alias("score"),
         (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
         "n_offending",
+        "offending",
     )

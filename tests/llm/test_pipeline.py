@@ -62,7 +62,7 @@ def test_the_rest_works_without_this_subpackage():
         "import sys\n"
         "class Gone:\n"
         "    def find_spec(self, name, path=None, target=None):\n"
-        "        if name.startswith(('rasterloom.llm', 'corpus_pipeline')): raise ImportError(name)\n"
+        "        if name.startswith(('rasterloom.llm', 'corpus_pipeline')): raise ModuleNotFoundError(name, name=name)\n"
         "sys.meta_path.insert(0, Gone())\n"
         "import __spark_entry__ as e\n"
         "q = e.queries()\n"
