@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rasterloom.llm.common import fresh_name, needs
+from rasterloom.llm.common import fresh_name, let_go, needs
 from rasterloom.llm.toxicity import held_out, labelled_sample
 
 _TOKENS = re.compile(r"[^\W_]+|_+|[^\w\s]+|\n")
@@ -176,6 +176,8 @@ def quality_scores(docs: DataFrame, model: QualityModel, text_col: str = "text")
         for texts in batches:
             x = np.stack([m.pooled(t) for t in texts]) if len(texts) else np.zeros((0, POOLED))
             yield pd.Series(m.probability(x))
+        m.cache = {}
+        let_go()
 
     return docs.withColumn(fresh_name(docs.columns, "quality"), F.pandas_udf(of, "double")(F.col(text_col)))
 

@@ -21,7 +21,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rasterloom.llm.common import fresh_name, needs
+from rasterloom.llm.common import fresh_name, let_go, needs
 
 SPACE = "▁"  # the sign that stands for a space in pieces
 CACHED_WORDS, CACHED_CHUNKS, CACHED_PAIRS = 400_000, 200_000, 300_000
@@ -247,6 +247,7 @@ def sentencepiece_encode(
                     rows.append(row | ({"ids": np.array(ids, np.int32)} if with_ids else {}) | ({"decoded": decoded} if with_decoded else {}))
                 yield pd.DataFrame(rows, columns=list(names))
         codec.forget()
+        let_go()
 
     udf = F.pandas_udf(of, ", ".join(f"{c} {kinds[c]}" for c in names))
     at = fresh_name(docs.columns, "encoded")

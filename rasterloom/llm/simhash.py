@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rasterloom.llm.common import components, cut, fresh_name, needs, pair_blocks, runs_of, stored
+from rasterloom.llm.common import components, cut, fresh_name, let_go, needs, pair_blocks, runs_of, stored
 
 SEED = 42
 BITS = 64
@@ -253,15 +253,16 @@ def sketch(found: set[bytes]) -> tuple[np.ndarray, int, int]:
 def sketches(text: Column, words: int) -> Column:
     """A struct of node, a hash of the text's words, and its sketch."""
 
-    @F.pandas_udf("node long, keys array<int>, f1 long, f2 long")
-    def of(texts: pd.Series) -> pd.DataFrame:
-        rows = [(*sketch(shingles(x, words)), _node(x)) for x in texts]
-        return pd.DataFrame({
-            "node": np.array([r[3] for r in rows], np.int64), "keys": [r[0] for r in rows],
-            "f1": np.array([r[1] for r in rows], np.int64), "f2": np.array([r[2] for r in rows], np.int64),
-        })
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            rows = [(*sketch(shingles(x, words)), _node(x)) for x in texts]
+            yield pd.DataFrame({
+                "node": np.array([r[3] for r in rows], np.int64), "keys": [r[0] for r in rows],
+                "f1": np.array([r[1] for r in rows], np.int64), "f2": np.array([r[2] for r in rows], np.int64),
+            })
+        let_go()
 
-    return of(text)
+    return F.pandas_udf(of, "node long, keys array<int>, f1 long, f2 long")(text)
 
 
 def _node(text: str | None) -> int:
@@ -270,14 +271,16 @@ def _node(text: str | None) -> int:
 
 @contextlib.contextmanager
 def _small_batches(spark: SparkSession):
-    """Texts reach Python in batches of BATCH rows in plans that run inside."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, BATCH)
+    """Texts are read and reach Python in batches of BATCH rows in plans that run inside."""
+    names = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+    before = {name: spark.conf.get(name) for name in names}
+    for name in names:
+        spark.conf.set(name, BATCH)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def _nodes(text: Column) -> Column:
@@ -379,6 +382,7 @@ def similar_groups(
                     known = {a: shingles(x, words)}
                 ok.append(similar(known[a], shingles(y, words), least))
             yield batch.loc[np.array(ok, bool), ["a", "b"]]
+        let_go()
 
     def links(found: DataFrame) -> DataFrame:
         ends = stored(found.select(F.col("a").alias("n")).union(found.select("b")).distinct(), "pair-ends")

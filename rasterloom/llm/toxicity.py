@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rasterloom.llm.common import fresh_name, needs
+from rasterloom.llm.common import fresh_name, let_go, needs
 
 _TOKENS = re.compile(r"[^\W_]+|[.!?\n]+")
 _SENTENCES = re.compile(r"[^.!?\n]*(?:[.!?\n]+|$)")
@@ -190,6 +190,8 @@ def toxicity_scores(docs: DataFrame, model: ToxicityModel, text_col: str = "text
                 hits = int((each >= 0.5).sum())
                 rows.append((score, hits, [{"start": s, "end": e, "score": p} for s, e, p in m.locate(x)] if locate and hits else []))
             yield pd.DataFrame(rows, columns=["toxicity", "n_offending", "offending"])
+        m.known.clear()
+        let_go()
 
     kind = "toxicity double, n_offending int, offending array<struct<start int, end int, score double>>"
     udf, at = F.pandas_udf(of, kind), fresh_name(docs.columns, "scored")
