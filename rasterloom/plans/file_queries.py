@@ -43,7 +43,7 @@ def tiff_windows(spark, d):
     return tiles.select("scene_id", "width", "height", total.alias("total"))
 
 
-@query("tile_store", "SELECT tile_id, sum(v) AS total, count(*) AS pixels FROM raster GROUP BY tile_id")
+@query("tile_store", "SELECT tile_id, CAST(sum(v) AS BIGINT) AS total, count(*) AS pixels FROM raster GROUP BY tile_id")
 def tile_store(spark, d):
     """Tiles written by scene and written again: the second run replaces its scenes and leaves the rest."""
     raster, folder = table(spark, d, "raster"), fresh_folder(spark, "tiles")
@@ -123,7 +123,7 @@ def chip_manifest(spark, d):
     return spark.read.schema(schema).option("header", True).csv(folder).select("split", "image", "positive_pixels", "bounds")
 
 
-@query("scene_footprints", "SELECT CAST(scene_id AS VARCHAR) AS cog_id, width, height, 'a' AS source_item, '' AS source_href, round(-105.0, 6) AS west, round(36.0 - height * 0.001, 6) AS south, round(-105.0 + width * 0.001, 6) AS east, 36.0 AS north FROM scenes")
+@query("scene_footprints", "SELECT CAST(scene_id AS VARCHAR) AS cog_id, width, height, 'a' AS source_item, '' AS source_href, CAST(-105.0 AS DOUBLE) AS west, round(CAST(36.0 - height * 0.001 AS DOUBLE), 6) AS south, round(CAST(-105.0 + width * 0.001 AS DOUBLE), 6) AS east, CAST(36.0 AS DOUBLE) AS north FROM scenes")
 def scene_footprints(spark, d):
     place = F.struct(*[F.lit(v).alias(k) for k, v in zip("abcdef", (0.001, 0.0, -105.0, 0.0, -0.001, 36.0), strict=True)])
     scenes = table(spark, d, "scenes").select(

@@ -154,7 +154,7 @@ def windows_in_polygon(spark, d):
     return windows.touching_polygons(grid, unit, area, cell=1024.0).select("scene_id", "tile_idx")
 
 
-@query("window_transforms", f"WITH {GRID} SELECT scene_id, tile_idx, 0.5 AS a, CAST(353496.0 + col_off * 0.5 AS DOUBLE) AS c, CAST(3864754.0 - row_off * 0.5 AS DOUBLE) AS f FROM grid")
+@query("window_transforms", f"WITH {GRID} SELECT scene_id, tile_idx, CAST(0.5 AS DOUBLE) AS a, CAST(353496.0 + col_off * 0.5 AS DOUBLE) AS c, CAST(3864754.0 - row_off * 0.5 AS DOUBLE) AS f FROM grid")
 def window_transforms(spark, d):
     t = F.struct(*[F.lit(v).alias(k) for k, v in zip("abcdef", (0.5, 0.0, 353496.0, 0.0, -0.5, 3864754.0), strict=True)])
     moved = windows.window_grid(table(spark, d, "scenes")).withColumn("t", windows.window_transform(t))
