@@ -59,24 +59,29 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     tasks. The number of rounds grows with the logarithm of the nodes; ``max_rounds`` is a guard that raises and never
     returns an unsettled result. Edges with a null end are left out.
     """
+    def marked(df: DataFrame) -> tuple[DataFrame, dict]:
+        """df, stored, with its number of rows and two digests of them."""
+        told = Observation()
+        marks = [F.count(F.lit(1)).alias("n"), F.expr("bit_xor(xxhash64(a, b))").alias("x"), F.expr("bit_xor(xxhash64(b, a, 1))").alias("y")]
+        return stored(df.observe(told, *marks), "edges"), told.get
+
     edges = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    edges, seen = stored(edges, "edges"), None
-    for _ in range(max_rounds):
+    edges, seen = marked(edges)
+    for _ in range(max_rounds if seen["n"] else 0):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = stored(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "lowest")
         large = stored(both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "large-star")
         small_low = stored(large.groupBy("a").agg(F.min("b").alias("m")), "lowest")
         small = large.join(small_low, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        told = Observation()
-        star = small.unionByName(small_low.select("a", F.col("m").alias("b"))).distinct()
-        marks = [F.count(F.lit(1)).alias("n"), F.expr("bit_xor(xxhash64(a, b))").alias("x"), F.expr("bit_xor(xxhash64(b, a, 1))").alias("y")]
-        used, edges = (edges, low, large, small_low), stored(star.observe(told, *marks), "edges")
-        now = told.get
+        used, before = (edges, low, large, small_low), seen
+        edges, seen = marked(small.unionByName(small_low.select("a", F.col("m").alias("b"))).distinct())
         for table in used:
             discard(table)
-        if now == seen:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
-                edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
-            )
-        seen = now
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+        if seen == before:
+            break
+    else:
+        if seen["n"]:
+            raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
+        edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
+    )
