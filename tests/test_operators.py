@@ -338,3 +338,13 @@ def test_chip_split_draws_in_order_for_each_scene(spark):
         for _, k, positive in [c for c in chips if c[0] == scene]:
             want = "dropped" if positive < 10 and draws.random() > 0.4 else "val" if draws.random() < 0.3 else "train"
             assert got[scene, k] == want
+
+
+def test_components_of_a_hub_of_stars_and_of_nothing(spark):
+    from rasterloom.operators.graph import components
+
+    hub = spark.range(100_000).select(F.lit(10**9).alias("a"), F.col("id").alias("b"))
+    assert [(r.root, r.n) for r in components(hub).groupBy("root").agg(F.count(F.lit(1)).alias("n")).collect()] == [(0, 100_001)]
+    stars = spark.range(1, 500).select("id", (F.col("id") % 7 - 7).alias("b")).toDF("a", "b")
+    assert {r.node: r.root for r in components(stars).collect()} == {k: k % 7 - 7 for k in range(1, 500)} | {k: k for k in range(-7, 0)}
+    assert components(hub.limit(0)).count() == 0
