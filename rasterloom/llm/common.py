@@ -10,12 +10,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rasterloom.operators.graph import components, cut, fresh_folder, shared_dir, stored
 
-__all__ = ["components", "cut", "fresh_folder", "fresh_name", "let_go", "needs", "pair_blocks", "runs_of", "shared_dir", "stored"]
+__all__ = ["components", "cut", "fresh_folder", "fresh_name", "let_go", "needs", "pair_blocks", "placed", "runs_of", "shared_dir", "stored"]
 
 
 def fresh_name(taken: list[str], wanted: str) -> str:
@@ -92,3 +92,31 @@ def pair_blocks(df: DataFrame, keys: list[str], row_id: str, limit: int) -> Data
         .withColumn("block_j", F.col("_pair.j"))
         .drop("_pair", "_rows", "_g")
     )
+
+
+def placed(df: DataFrame, groups: list[str], order: list[str], rank: str, size: str | None = None, before: str | None = None, total: str | None = None) -> DataFrame:
+    """df with its rows' places, from 0, in each group by ``order``; as sums of ``size`` in ``before``, of the group in ``total``.
+
+    No group meets in one task: rows are dealt by range, each task numbers its sorted run, and the runs' sizes, a row for
+    each task and group, are summed up. Rows that are equal in groups and order are dealt by a number of their own, so a
+    third of a table that is one repeated row is split as well. ``df`` is read three times: give a stored one. Groups
+    mustn't be null. Columns ``rank``, ``before`` (the sum of ``size`` over the group's earlier rows) and ``total`` (the
+    group's number of rows) are added.
+    """
+    salt, at, part = (fresh_name(df.columns, c) for c in ("salt", "at", "part"))
+    by = [*groups, *order, salt]
+    rows = df.withColumn(salt, F.monotonically_increasing_id()).repartitionByRange(*by).sortWithinPartitions(*by).drop(salt)
+    rows = stored(rows.withColumn(at, F.monotonically_increasing_id()), "places").withColumn(part, F.shiftright(at, 33))
+    sums = [F.count(F.lit(1)).alias("_n"), F.min(at).alias("_first")] + ([F.sum(size).alias("_size")] if size else [])
+    runs, so_far = rows.groupBy(*groups, part).agg(*sums), Window.partitionBy(*groups).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    kept = [F.coalesce(F.sum("_n").over(so_far), F.lit(0)).alias("_rank"), F.col("_first")]
+    if size:
+        kept.append(F.coalesce(F.sum("_size").over(so_far), F.lit(0)).alias("_before"))
+    if total:
+        kept.append(F.sum("_n").over(Window.partitionBy(*groups)).alias(total))
+    runs = stored(runs.select(*groups, part, *kept), "runs")
+    out = rows.join(runs, [*groups, part]).withColumn(rank, F.col(at) - F.col("_first") + F.col("_rank"))
+    if size:
+        inside = Window.partitionBy(*groups, part).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+        out = out.withColumn(before, F.coalesce(F.sum(size).over(inside), F.lit(0)) + F.col("_before"))
+    return out.select(*df.columns, rank, *([before] if size else []), *([total] if total else []))
