@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rasterloom.llm import ann, embedding_dedup, line_dedup, merkle, mixing, quality, sentencepiece_codec, simhash, suffix_dedup, toxicity, warc, whitening
+from rasterloom.llm import ann, embedding_dedup, line_dedup, merkle, mixing, packing, quality, sentencepiece_codec, simhash, suffix_dedup, toxicity, warc, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": line_dedup.op1_query,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": quality.op8_query,
     "op9_mixing_sources": mixing.op9_query,
     "op10_sentencepiece": sentencepiece_codec.op10_query,
+    "op11_packing": packing.op11_query,
     "op12_merkle_manifest": merkle.op12_query,
     "op13_embedding_whitening": whitening.op13_query,
 }

@@ -140,3 +140,21 @@ def test_op10(spark):
         ids = [*library.encode(r["text"] or ""), library.eos_id()]
         want[r["doc_id"]] = (len(ids), sha(" ".join(map(str, ids))), sha(library.decode(ids)))
     assert {r["doc_id"]: (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in run(spark, "op10_sentencepiece")} == want
+
+
+@pytest.mark.parametrize("name", ["op11_packing", "op12_merkle_manifest", "op13_embedding_whitening"])
+def test_new_queries_have_the_columns_promised(spark, name):
+    want = {
+        "op11_packing": "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint",
+        "op12_merkle_manifest": "doc_id bigint, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean",
+        "op13_embedding_whitening": "vec_id bigint, component int, n bigint, deviation bigint, whitened double, explained double, identity_error double",
+    }[name]
+    assert ", ".join(f"{c} {t}" for c, t in QUERIES[name](spark, DATA).dtypes) == want
+
+
+def test_op11_and_op13_on_the_small_table(spark):
+    from tests.llm import test_packing, test_whitening
+
+    pieces = test_packing.p.pack(spark.read.parquet(f"{DATA}/documents.parquet"))
+    test_packing.check([r.asDict() for r in pieces.collect()], [(r["doc_id"], r["text"]) for r in read("documents")], 2048)
+    test_whitening.check(run(spark, "op13_embedding_whitening"), [(r["vec_id"], r["embedding"]) for r in read("embeddings")])
