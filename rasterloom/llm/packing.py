@@ -12,6 +12,7 @@ line's places are sums over ranges, and no task holds more than a cell of the li
 from __future__ import annotations
 
 import json
+import zlib
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -26,12 +27,15 @@ from tokenizers import Tokenizer
 from rasterloom.llm.common import fresh_folder, let_go, needs, placed, stored
 
 CLASSES = 128  # lengths are rounded up to multiples of capacity / CLASSES in patterns
-CELL = 1 << 18  # tokens of the line that one group holds
+CELL = 1 << 14  # tokens of the gaps that one group holds
 CACHED_WORDS = 400_000
 ROWS_AT_ONCE = 500
 # How the public word tokenizer cuts a text. White space ends every piece and is dropped.
 _WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _NORMAL = ["NFC", "Replace", "Lowercase"]
+ENDS = ".,;:!?"  # taken off a word's end before its letters are looked up
+LATIN_END = "\u0250"  # Latin letters before this one are composed and have one small letter, but for one
+DOTTED = "\u0130"
 
 
 # --- ids ---
@@ -54,26 +58,47 @@ class WordIds:
             steps == _NORMAL and cuts.get("pattern") == {"Regex": _WORDS} and cuts.get("invert") and cuts.get("behavior") == "Removed"
             and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] or " " in t["content"] for t in added)
         )
+        self.model = self.library.model
+        #: Bytes as the model's letters show them: printable ones as they are, the others from 256 on.
+        plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+        self.shown = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in plain)}
         self.width = 2 if max(self.library.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
         self.end = self._bytes([end_id])
 
     def _bytes(self, ids: list[int]) -> bytes:
         return array("H" if self.width == 2 else "I", ids).tobytes()
 
-    def _word(self, word: str) -> bytes:
-        found = self._bytes(self.library.encode(word, add_special_tokens=False).ids)
+    def _keep(self, word: str, ids: bytes) -> bytes:
         if len(word) <= 40:
             if len(self.known) >= CACHED_WORDS:
                 self.known.clear()
-            self.known[word] = found
-        return found
+            self.known[word] = ids
+        return ids
+
+    def _word(self, word: str) -> bytes:
+        """The ids of a word. A run of Latin letters is one piece of the model, so the steps before it can be left out."""
+        core = word.rstrip(ENDS)
+        if core.isalpha() and max(core) < LATIN_END and DOTTED not in core:
+            low = core.lower()
+            found = self.known.get(low)
+            if found is None:
+                text = low if low.isascii() else low.encode().decode("latin-1").translate(self.shown)
+                found = self._keep(low, self._bytes([t.id for t in self.model.tokenize(text)]))
+            if len(core) < len(word):
+                end = word[len(core) :]
+                found += self.known[end] if end in self.known else self._whole(end)
+            return self._keep(word, found)
+        return self._whole(word)
+
+    def _whole(self, word: str) -> bytes:
+        return self._keep(word, self._bytes(self.library.encode(word, add_special_tokens=False).ids))
 
     def encode(self, text: str | None) -> bytes:
         """All ids of a text, null as an empty one, and the end id."""
         if not self.by_words:
             return self._bytes(self.library.encode(text or "", add_special_tokens=False).ids) + self.end
-        get, new = self.known.get, self._word
-        return b"".join([get(w) or new(w) for w in (text or "").replace("\n", " ").split(" ") if w]) + self.end
+        known, new = self.known, self._word
+        return b"".join([known[w] if w in known else new(w) for w in (text or "").replace("\n", " ").split(" ")]) + self.end
 
 
 @lru_cache(2)
@@ -265,42 +290,56 @@ def plan(histogram: dict[int, int], longer: int, capacity: int) -> Plan:
 _PIECES = "key long, start long, length long, sequence_id long, offset long"
 
 
-def _cut_line(line: DataFrame, gaps: DataFrame, made: Plan) -> DataFrame:
-    """Pieces of the documents (key, begins, tokens) of the line; gaps are (sequence_id, filled, gap, begins).
+def _fill_gaps(line: DataFrame, gaps: DataFrame, made: Plan) -> DataFrame:
+    """Pieces of the line's documents (key, begins, tokens) that fill gaps (sequence_id, filled, gap, begins).
 
-    The line is cut into cells. A cell holds the gaps and new sequences that start in it, so no piece ends at a cell's
-    border for its own sake, and the documents that may reach into them.
+    The line's start, as long as all gaps, is cut into cells. A cell holds the gaps that begin in it, so no piece ends at
+    a cell's border for its own sake, and the documents that may reach into them.
     """
     first = F.greatest(F.col("begins") - (made.capacity - 1), F.lit(0))
-    docs = line.withColumn("cell", F.explode(F.sequence(F.floor(first / CELL), F.floor((F.col("begins") + F.col("tokens") - 1) / CELL))))
+    last = F.least(F.col("begins") + F.col("tokens"), F.lit(made.gaps)) - 1
+    docs = line.filter(F.col("begins") < made.gaps).withColumn("cell", F.explode(F.sequence(F.floor(first / CELL), F.floor(last / CELL))))
     slots = gaps.withColumn("cell", F.floor(F.col("begins") / CELL))
 
-    def of(key: tuple, docs: pd.DataFrame, slots: pd.DataFrame) -> pd.DataFrame:
-        new = made.slots(int(key[0]) * CELL, int(key[0] + 1) * CELL)
-        start = np.concatenate([slots["begins"].to_numpy(np.int64), new[0]])
-        if not len(start):
+    def of(docs: pd.DataFrame, slots: pd.DataFrame) -> pd.DataFrame:
+        if not len(slots):
             return pd.DataFrame({c.split()[0]: [] for c in _PIECES.split(", ")})
-        order = np.argsort(start, kind="stable")
-        start, length = start[order], np.concatenate([slots["gap"].to_numpy(np.int64), new[1]])[order]
-        sequence = np.concatenate([slots["sequence_id"].to_numpy(np.int64), new[2]])[order]
-        offset = np.concatenate([slots["filled"].to_numpy(np.int64), np.zeros(len(new[0]), np.int64)])[order]
-        docs = docs.sort_values("begins")
-        begins, end = docs["begins"].to_numpy(np.int64), start[-1] + length[-1]
+        docs, slots = docs.sort_values("begins"), slots.sort_values("begins")
+        begins, start = docs["begins"].to_numpy(np.int64), slots["begins"].to_numpy(np.int64)
+        end = start[-1] + slots["gap"].iloc[-1]
         cuts = np.union1d(start, begins[(begins > start[0]) & (begins < end)])
         doc, slot = np.searchsorted(begins, cuts, side="right") - 1, np.searchsorted(start, cuts, side="right") - 1
         return pd.DataFrame({
             "key": docs["key"].to_numpy()[doc], "start": cuts - begins[doc], "length": np.append(cuts[1:], end) - cuts,
-            "sequence_id": sequence[slot], "offset": offset[slot] + cuts - start[slot],
+            "sequence_id": slots["sequence_id"].to_numpy()[slot], "offset": slots["filled"].to_numpy()[slot] + cuts - start[slot],
         })
 
     return docs.groupBy("cell").cogroup(slots.groupBy("cell")).applyInPandas(of, _PIECES)
 
 
-def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, capacity: int = 2048, end_id: int = 1) -> DataFrame:
-    """One row for each piece: id_col, start, length, ids, doc_tokens, sequence_id and offset.
+def _new_sequences(line: DataFrame, made: Plan) -> DataFrame:
+    """Pieces of the line's documents beyond the gaps: where sequences begin there is arithmetic, so nothing is dealt anew."""
+    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            parts = [[np.zeros(0, np.int64)] for _ in range(5)]
+            for key, begins, tokens in zip(batch["key"], batch["begins"], batch["tokens"], strict=True):
+                low, end = max(begins, made.gaps), begins + tokens
+                at, length, sequence = made.slots(low - made.capacity + 1, end)
+                first = int(np.searchsorted(at + length, low, side="right"))
+                at, stop, sequence = at[first:], np.minimum((at + length)[first:], end), sequence[first:]
+                begin = np.maximum(at, low)
+                for into, x in zip(parts, (np.full(len(at), key), begin - begins, stop - begin, sequence, begin - at), strict=True):
+                    into.append(x)
+            yield pd.DataFrame({c.split()[0]: np.concatenate(x) for c, x in zip(_PIECES.split(", "), parts, strict=True)})
+
+    return line.filter(F.col("begins") + F.col("tokens") > made.gaps).select("key", "begins", "tokens").mapInPandas(of, _PIECES)
+
+
+def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, capacity: int = 2048, end_id: int = 1, with_ids: bool = True) -> DataFrame:
+    """One row for each piece: id_col, start, length, ids, ids_crc32, doc_tokens, sequence_id and offset.
 
     Whole texts are encoded without special tokens and end with ``end_id``. A piece is ``length`` ids of its document
-    from ``start``, as little-endian 32-bit numbers in ``ids``, and stands at ``offset`` of its sequence. Every id is in
+    from ``start``, as little-endian 32-bit numbers in ``ids`` (left out without ``with_ids``), and stands at ``offset`` of its sequence. Every id is in
     one piece; a sequence has no gap and at most ``capacity`` ids, and all sequences are full but for at most
     log2(capacity) at the end of the line, whose lengths are different powers of two.
 
@@ -334,7 +373,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
     line = placed(stored(others.unionByName(lengths.filter(F.col("tokens") > capacity)), "line"), [], ["key"], rank="rank", size="tokens", before="begins")
     filled = whole.groupBy("sequence_id").agg(F.sum("tokens").alias("filled")).withColumn("gap", F.lit(capacity) - F.col("filled")).filter("gap > 0")
     gaps = placed(stored(filled, "gaps"), [], ["sequence_id"], rank="rank", size="gap", before="begins")
-    pieces = whole_pieces.unionByName(_cut_line(line.drop("rank"), gaps.drop("rank"), made))
+    pieces = whole_pieces.unionByName(_fill_gaps(line.drop("rank"), gaps.drop("rank"), made)).unionByName(_new_sequences(line, made))
     parts = F.sort_array(F.collect_list(F.struct("start", "length", "sequence_id", "offset")))
     names = ["start", "length", "sequence_id", "offset"]
     listed = pieces.groupBy("key").agg(parts.alias("parts")).select("key", *[F.col(f"parts.{c}").alias(c) for c in names])
@@ -349,15 +388,17 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
                     np.frombuffer(ids, f"<u{width}")[a : a + n].astype("<u4").tobytes()
                     for ids, starts, counts in zip(some["ids"], some["start"], some["length"], strict=True) for a, n in zip(starts, counts, strict=True)
                 ]
-                out = {"id_": some["id_"].repeat(times).to_numpy(), "doc_tokens": some["tokens"].repeat(times).to_numpy(), "ids": cuts}
+                out = {"id_": some["id_"].repeat(times).to_numpy(), "doc_tokens": some["tokens"].repeat(times).to_numpy(), "ids_crc32": list(map(zlib.crc32, cuts))}
+                out |= {"ids": cuts} if with_ids else {}
                 yield pd.DataFrame(out | {c: np.concatenate(some[c].to_list()) for c in names})
         let_go()
 
     out = rows.join(listed, "key").select("id_", "tokens", "ids", *names)
-    out = out.mapInPandas(of, f"id_ {kind}, doc_tokens long, ids binary, start long, length long, sequence_id long, offset long")
-    return out.select(F.col("id_").alias(id_col), "start", "length", "ids", "doc_tokens", "sequence_id", "offset")
+    ids = ["ids"] * with_ids
+    out = out.mapInPandas(of, f"id_ {kind}, doc_tokens long, ids_crc32 long, start long, length long, sequence_id long, offset long" + ", ids binary" * with_ids)
+    return out.select(F.col("id_").alias(id_col), "start", "length", *ids, "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
 def op11_query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return pack(docs).withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")
+    return pack(docs, with_ids=False)

@@ -21,7 +21,7 @@ def check(pieces, docs, capacity):
     want = Counter((k, tuple(ids_of(t))) for k, t in docs)
     by_doc, by_sequence = {}, {}
     for r in pieces:
-        assert r["length"] >= 1 and len(r["ids"]) == 4 * r["length"]
+        assert r["length"] >= 1 and len(r["ids"]) == 4 * r["length"] and r["ids_crc32"] == zlib.crc32(r["ids"])
         by_doc.setdefault(r["doc_id"], []).append(r)
         by_sequence.setdefault(r["sequence_id"], []).append(r)
     if len({k for k, _ in docs}) == len(docs):
@@ -53,6 +53,9 @@ def test_ids_equal_the_library():
         text = "".join(rng.choice("ab'sThe  \n\t\r\u0085  \u001ć가İΣσéÉ漢字🙂\u0000·1234.,!<|>") for _ in range(rng.randint(0, 40)))
         text = text.replace("|", "<|endoftext|>") if rng.random() < 0.2 else text
         assert np.frombuffer(codec.encode(text), "<u2").tolist() == ids_of(text), repr(text)
+    for k in range(0x41, 0x300):  # every letter that takes the short way, and its neighbours
+        for text in (f"ab{chr(k)}c", f"{chr(k)}.", f"{chr(k)}{chr(k ^ 1)}x,", f"x{chr(k)}'s!"):
+            assert np.frombuffer(codec.encode(text), "<u2").tolist() == ids_of(text), repr(text)
     codec.by_words = False
     assert np.frombuffer(codec.encode("two words"), "<u2").tolist() == ids_of("two words")
     assert codec.encode(None) == codec.encode("") == b"\x01\x00"
