@@ -28,7 +28,7 @@ from rasterloom.llm.common import fresh_folder, let_go, needs, placed, stored
 
 CLASSES = 128  # lengths are rounded up to multiples of capacity / CLASSES in patterns
 CELL = 1 << 14  # tokens of the gaps that one group holds
-CACHED_WORDS = 400_000
+CACHED_WORDS = 600_000
 ROWS_AT_ONCE = 500
 # How the public word tokenizer cuts a text. White space ends every piece and is dropped.
 _WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -41,6 +41,22 @@ DOTTED = "\u0130"
 # --- ids ---
 
 
+class _Known(dict):
+    """What words give, found by ``make`` where a word is new; emptied when full."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, word: str) -> bytes:
+        found = self.make(word)
+        if len(word) <= 40:
+            if len(self) >= CACHED_WORDS:
+                self.clear()
+            self[word] = found
+        return found
+
+
 class WordIds:
     """The ids of whole texts as little-endian numbers of ``width`` bytes, as the tokenizers library gives them.
 
@@ -48,7 +64,7 @@ class WordIds:
     """
 
     def __init__(self, path: str, end_id: int):
-        self.library, self.known = Tokenizer.from_file(path), {}
+        self.library, self.known = Tokenizer.from_file(path), _Known(self._word)
         with open(path, encoding="utf-8") as f:
             how = json.load(f)
         steps = [s["type"] for s in (how.get("normalizer") or {}).get("normalizers", [])]
@@ -68,37 +84,24 @@ class WordIds:
     def _bytes(self, ids: list[int]) -> bytes:
         return array("H" if self.width == 2 else "I", ids).tobytes()
 
-    def _keep(self, word: str, ids: bytes) -> bytes:
-        if len(word) <= 40:
-            if len(self.known) >= CACHED_WORDS:
-                self.known.clear()
-            self.known[word] = ids
-        return ids
-
     def _word(self, word: str) -> bytes:
         """The ids of a word. A run of Latin letters is one piece of the model, so the steps before it can be left out."""
         core = word.rstrip(ENDS)
-        if core.isalpha() and max(core) < LATIN_END and DOTTED not in core:
-            low = core.lower()
-            found = self.known.get(low)
-            if found is None:
-                text = low if low.isascii() else low.encode().decode("latin-1").translate(self.shown)
-                found = self._keep(low, self._bytes([t.id for t in self.model.tokenize(text)]))
-            if len(core) < len(word):
-                end = word[len(core) :]
-                found += self.known[end] if end in self.known else self._whole(end)
-            return self._keep(word, found)
-        return self._whole(word)
-
-    def _whole(self, word: str) -> bytes:
-        return self._keep(word, self._bytes(self.library.encode(word, add_special_tokens=False).ids))
+        if not core.isalpha() or max(core) >= LATIN_END or DOTTED in core:
+            return self._bytes(self.library.encode(word, add_special_tokens=False).ids)
+        if len(core) < len(word):
+            return self.known[core] + self.known[word[len(core) :]]
+        low = core.lower()
+        if low != core:
+            return self.known[low]
+        text = low if low.isascii() else low.encode().decode("latin-1").translate(self.shown)
+        return self._bytes([t.id for t in self.model.tokenize(text)])
 
     def encode(self, text: str | None) -> bytes:
         """All ids of a text, null as an empty one, and the end id."""
         if not self.by_words:
             return self._bytes(self.library.encode(text or "", add_special_tokens=False).ids) + self.end
-        known, new = self.known, self._word
-        return b"".join([known[w] if w in known else new(w) for w in (text or "").replace("\n", " ").split(" ")]) + self.end
+        return b"".join(map(self.known.__getitem__, (text or "").replace("\n", " ").split(" "))) + self.end
 
 
 @lru_cache(2)
