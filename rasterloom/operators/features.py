@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rasterloom.functions.crs import reproject_bounds
 from rasterloom.functions.geometry import checked_bbox
+from rasterloom.operators import overlay
 
 FEATURE_SCHEMA = "source_tile string, class_name string, confidence double, geometry array<array<array<struct<x:double,y:double>>>>"
 
@@ -32,15 +33,20 @@ def dissolve(features: DataFrame, keys: list[str], keep_null_keys: bool) -> Data
     return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("parts"), F.sum("area_m2").alias("area_m2"))
 
 
-def dissolve_parts(features: DataFrame, geometry: str = "geometry") -> DataFrame:
-    """One multipolygon for each tile and class, the first confidence with it; rows without a tile or class go.
+def dissolve_parts(features: DataFrame, geometry: str = "geometry", cell: float = 512.0, grid: float = overlay.GRID) -> DataFrame:
+    """One multipolygon for each tile and class, the union of its polygons, with the first confidence that isn't null.
 
-    The components of one tile's mask are apart, so their union is the list of them, which a tile bounds.
+    Rows without a tile or class go; a tile and class stays without any area, and polygons without a point stay as they
+    are. ``cell`` and ``grid`` are those of ``overlay.united``.
     """
-    rows = features.dropna(subset=["source_tile", "class_name"])
-    return rows.groupBy("source_tile", "class_name").agg(
-        F.first("confidence").alias("confidence"), F.flatten(F.collect_list(geometry)).alias(geometry)
-    )
+    keys = ["source_tile", "class_name"]
+    rows = features.dropna(subset=keys)
+    parts = overlay.united(rows.select(*keys, F.explode(geometry).alias("rings")), keys, cell=cell, grid=grid)
+    whole = parts.groupBy(*keys).agg(F.collect_list("rings").alias("_whole"))
+    pointless = F.flatten(F.collect_list(F.filter(geometry, lambda polygon: F.size(F.flatten(polygon)) == 0)))
+    facts = rows.groupBy(*keys).agg(F.first("confidence", ignorenulls=True).alias("confidence"), pointless.alias("_pointless"))
+    both = F.concat(F.coalesce("_whole", F.filter("_pointless", lambda _: F.lit(False))), "_pointless")
+    return facts.join(whole, keys, "left").select(*keys, "confidence", both.alias(geometry))
 
 
 def at_least(features: DataFrame, area: float) -> DataFrame:

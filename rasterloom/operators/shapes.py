@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rasterloom.functions.geometry import axis_snapped, centroid, polygon_area, rotated, signed_area
+from rasterloom.operators import overlay
 
 Ring = list[tuple[float, float]]
 RINGS = "array<array<struct<x:double,y:double>>>"
@@ -267,93 +268,26 @@ def merged_polygons(labelled: DataFrame, block: int = 512) -> DataFrame:
     return edges.groupBy("class_name", "label").applyInPandas(closed, f"class_name {name_kind}, label {kind}, rings {RINGS}")
 
 
-def _crossings(ring: Ring) -> list[Ring]:
-    """A closed ring with its crossing points put in, cut at every point that it passes twice."""
-    p = np.asarray(ring, float)
-    marks: list[list[tuple[float, tuple[float, float]]]] = [[] for _ in p[:-1]]
-    for i in range(len(p) - 1):
-        for j in range(i + 1, len(p) - 1):
-            d, e, w = p[i + 1] - p[i], p[j + 1] - p[j], p[j] - p[i]
-            cross = d[0] * e[1] - d[1] * e[0]
-            if cross == 0:
-                continue
-            t, u = (w[0] * e[1] - w[1] * e[0]) / cross, (w[0] * d[1] - w[1] * d[0]) / cross
-            if -1e-12 <= t <= 1 + 1e-12 and -1e-12 <= u <= 1 + 1e-12:
-                at = tuple((p[i] + min(max(t, 0.0), 1.0) * d).tolist())
-                marks[i].append((t, at))
-                marks[j].append((u, at))
-    points: Ring = []
-    for i, found in enumerate(marks):
-        for q in [tuple(p[i].tolist()), *[at for _, at in sorted(found)]]:
-            if not points or math.dist(points[-1], q) > 1e-9:
-                points.append(q)
-    out, path = [], []
-    seen: dict[tuple[float, float], int] = {}
-    for q in [*points, points[0]]:
-        key = (round(q[0], 9), round(q[1], 9))
-        if key in seen:
-            k = seen[key]
-            loop = [*path[k:], path[k]]
-            out += [loop] if len(loop) > 3 and abs(area(loop)) > 0 else []
-            for gone in path[k + 1 :]:
-                seen.pop((round(gone[0], 9), round(gone[1], 9)), None)
-            path = path[: k + 1]
-        else:
-            seen[key] = len(path)
-            path.append(q)
-    return out
-
-
-def _inside(ring: Ring, x: float, y: float) -> bool:
-    p = np.asarray(ring)
-    (x0, y0), (x1, y1) = p[:-1].T, p[1:].T
-    over = (y0 > y) != (y1 > y)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        return bool((over & (x < (x1 - x0) * (y - y0) / (y1 - y0) + x0)).sum() % 2)
-
-
-def repair(rings: list[Ring]) -> list[list[Ring]]:
-    """Valid polygons of what the rings enclose by the even-odd rule: each a ring and its holes.
+def repair(rings: list[Ring], grid: float = overlay.GRID) -> list[list[Ring]]:
+    """Valid polygons of what the rings enclose an odd number of times: each a closed ring and its holes.
 
-    Rings are closed, cut where they cross or touch themselves, and dealt by how many others they lie in: an even
-    number makes an outer ring, an odd one a hole of the smallest around it. Loops without area go.
+    Rings may cross themselves and each other; points and crossings are taken to the nearest multiple of ``grid``.
     """
-    loops = [x for r in rings if len(r) > 2 for x in _crossings(r if r[0] == r[-1] else [*r, r[0]])]
-    loops.sort(key=lambda r: -abs(area(r)))
-    out: list[list[Ring]] = []
-    placed: list[tuple[Ring, int, int]] = []
-    for loop in loops:
-        p = np.asarray(loop[:2])
-        middle, step = p.mean(axis=0), (p[1] - p[0]) / math.dist(*loop[:2])
-        side = 1 if area(loop) > 0 else -1  # a point just inside, beside the first edge
-        x, y = middle + 1e-7 * side * np.array([-step[1], step[0]]) * math.sqrt(abs(area(loop)))
-        around = [(r, depth, polygon) for r, depth, polygon in placed if _inside(r, x, y)]
-        depth = len(around)
-        if depth % 2:
-            polygon = around[-1][2]
-            out[polygon].append(loop)
-        else:
-            polygon = len(out)
-            out.append([loop])
-        placed.append((loop, depth, polygon))
-    return out
-
-
-def repaired(polygons: DataFrame, rings: str = "rings", geometry: str = "geometry") -> DataFrame:
-    """polygons with ``geometry``, a valid multipolygon of what their rings enclose; null rings give null."""
-    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            out = [None if x is None else [[[{"x": a, "y": b} for a, b in ring] for ring in part] for part in repair(_plain(x))] for x in batch.to_pylist()]
-            yield pa.array(out, pa.list_(_ARROW_RINGS))
-
-    return polygons.withColumn(geometry, F.arrow_udf(of, f"array<{RINGS}>")(rings))
+    whole = [r for r in (np.rint(np.asarray(ring, float).reshape(-1, 2) / grid).astype(np.int64) for ring in rings) if len(r) > 2]
+    if not whole:
+        return []
+    origin = np.concatenate(whole).min(axis=0)
+    found = overlay.overlay([r - origin for r in whole], even_odd=True)
+    return [[[tuple(p) for p in ((np.vstack([r, r[:1]]) + origin) * grid).tolist()] for r in polygon] for polygon in found]
 
 
-def united(polygons: DataFrame, keys: list[str], rings: str = "rings") -> DataFrame:
-    """(keys, label, rings): the union of polygons on the unit grid for each value of keys, a row for each part.
+def united_cells(polygons: DataFrame, keys: list[str], rings: str = "rings") -> DataFrame:
+    """(keys, label, rings): the cells of the unit grid whose centres polygons cover, for each value of keys, a row for
+    each connected part; ``overlay.united`` unites the polygons themselves.
 
     Polygons become the cells that they cover, once each, and the cells' regions are traced anew, block by block; no
-    task holds a key's polygons. Rows with a null key are united like those of any other value.
+    task holds a key's polygons. Rows with a null key are united like those of any other value. ``label`` is the part's
+    least cell.
     """
     from rasterloom.operators.labels import covered_cells
     from rasterloom.operators.morphology import mosaic_components

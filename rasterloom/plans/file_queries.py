@@ -10,14 +10,18 @@ from rasterloom.operators.graph import fresh_folder
 from rasterloom.plans import catalog
 from rasterloom.plans.fixtures import table
 from rasterloom.plans.queries import query
-from rasterloom.sources import sinks, tiff, vectors
+from rasterloom.sources import geotiff, sinks, tiff, vectors
 
 
-def _tile_files(spark, d):
-    """A GeoTIFF, with a place, a CRS and a tag, of every tile of the raster, as files(path, content)."""
+def _tagged_tiles(spark, d):
     tiles = inference.blocked_form(table(spark, d, "raster").withColumn("band", F.lit(0)).withColumn("v", F.col("v").cast("double")))
     place = F.struct(*[F.lit(v).alias(k) for k, v in zip("abcdef", (0.5, 0.0, 100.0, 0.0, -0.5, 900.0), strict=True)])
-    tagged = tiles.withColumns({"transform": place, "crs_epsg": F.lit(26913), "tags": F.create_map(F.lit("class_name"), F.lit("road"))})
+    return tiles.withColumns({"transform": place, "crs_epsg": F.lit(26913), "tags": F.create_map(F.lit("class_name"), F.lit("road"))})
+
+
+def _tile_files(spark, d):
+    """A GeoTIFF, with a place, a CRS and a tag, of every tile of the raster, as files(path, content)."""
+    tagged = _tagged_tiles(spark, d)
     return sinks.tiff_files(tagged, "float32").withColumnRenamed("name", "path")
 
 
@@ -43,6 +47,43 @@ def tiff_windows(spark, d):
     return tiles.select("scene_id", "width", "height", total.alias("total"))
 
 
+def _tile_folder(spark, d) -> str:
+    """The raster's tiles as GeoTIFF files, in tiles of 16 pixels with overviews, written by the data source."""
+    geotiff.register(spark)
+    folder = fresh_folder(spark, "geotiffs")
+    named = _tagged_tiles(spark, d).select(
+        F.col("tile_id").cast("string").alias("name"), "height", "width", F.col("bands").cast("array<array<double>>").alias("bands"), "transform", "crs_epsg", "tags"
+    )
+    named.write.format("geotiff").mode("append").option("tileSize", 16).save(folder)
+    return folder
+
+
+@query("geotiff_windows", f"WITH {_WINDOWS} SELECT CAST(wn.tile_id AS VARCHAR) AS scene_id, CAST(x AS INT) AS col_off, CAST(y AS INT) AS row_off, CAST(least(32, w - x) AS INT) AS width, CAST(least(32, h - y) AS INT) AS height, CAST(100 + x / 2 AS DOUBLE) AS west, CAST(900 - y / 2 AS DOUBLE) AS north, CAST(sum(v) AS DOUBLE) AS total FROM wn JOIN raster q ON q.tile_id = wn.tile_id AND q.c >= x AND q.c < x + 32 AND q.r >= y AND q.r < y + 32 GROUP BY wn.tile_id, x, y, w, h")
+def geotiff_windows(spark, d):
+    """Overlapping windows read by byte ranges from the raster's GeoTIFF files, a few windows a partition."""
+    tiles = spark.read.format("geotiff").option("tileSize", 32).option("overlap", 8).option("partitionBytes", 8192).load(_tile_folder(spark, d))
+    total = F.aggregate(F.element_at("bands", 1), F.lit(0.0), lambda s, v: s + v.cast("double"))
+    return tiles.select("scene_id", "col_off", "row_off", "width", "height", F.col("transform.c").alias("west"), F.col("transform.f").alias("north"), total.alias("total"))
+
+
+@query("geotiff_area_of_interest", "SELECT CAST(tile_id AS VARCHAR) AS scene_id, CAST(c // 16 * 16 AS INT) AS col_off, CAST(r // 16 * 16 AS INT) AS row_off, CAST(max(v) AS DOUBLE) AS most FROM raster q WHERE c // 16 * 8 + 100 < 118 AND (c // 16 + 1) * 8 + 100 > 109 AND 900 - r // 16 * 8 > 890 AND EXISTS (SELECT 1 FROM raster w WHERE w.tile_id = q.tile_id AND w.r >= 16) GROUP BY tile_id, c // 16, r // 16")
+def geotiff_area_of_interest(spark, d):
+    """Only the windows that meet an area, of scenes of more than one row of windows: filters reach the files' blocks."""
+    tiles = spark.read.format("geotiff").option("tileSize", 16).load(_tile_folder(spark, d))
+    most = F.array_max(F.element_at("bands", 1)).cast("double")
+    near = tiles.filter("west < 118 AND east > 109 AND north > 890").select("scene_id", "col_off", "row_off", most.alias("most"))
+    tall = table(spark, d, "raster").filter("r >= 16").select(F.col("tile_id").cast("string").alias("scene_id")).distinct()
+    return near.join(tall, "scene_id", "left_semi")
+
+
+@query("geotiff_decimated", "SELECT CAST(tile_id AS VARCHAR) AS scene_id, 16 AS width, CAST(2.0 AS DOUBLE) AS pixel, CAST(sum(v) FILTER (WHERE r % 4 = 0 AND c % 4 = 0) AS DOUBLE) AS total FROM raster GROUP BY tile_id HAVING max(r) = 63")
+def geotiff_decimated(spark, d):
+    """Whole scenes at a quarter of their size, read from the overview of that size; the transform's pixels are larger."""
+    small = spark.read.format("geotiff").option("tileSize", 64).option("outputSize", 16).load(_tile_folder(spark, d)).filter("win_height = 64")
+    total = F.aggregate(F.element_at("bands", 1), F.lit(0.0), lambda s, v: s + v.cast("double"))
+    return small.select("scene_id", "width", F.col("transform.a").alias("pixel"), total.alias("total"))
+
+
 @query("tile_store", "SELECT tile_id, CAST(sum(v) AS BIGINT) AS total, count(*) AS pixels FROM raster GROUP BY tile_id")
 def tile_store(spark, d):
     """Tiles written by scene and written again: the second run replaces its scenes and leaves the rest."""
@@ -151,8 +192,7 @@ def catalog_selection(spark, d):
     """Three workflows asked for by name, enabled or not."""
     nations = spark.read.parquet(f"{d}/nation.parquet")
     workflows = nations.select(F.col("n_name").alias("id"), F.lit(None).cast("string").alias("model"), F.lit("roads").alias("type"), F.lit(False).alias("enabled"), F.col("n_regionkey").alias("region"))
-    names = [r.n_name for r in nations.filter(F.col("n_nationkey").isin(2, 7, 11)).select("n_name").collect()]  # what a caller would name
-    return catalog.select(workflows, names).select("id", "region")
+    return catalog.select(workflows, ["NATION_2", "NATION_7", "NATION_11"]).select("id", "region")
 
 
 @query("stac_by_id", "SELECT item_id FROM items WHERE item_id = (SELECT min(item_id) FROM items)")

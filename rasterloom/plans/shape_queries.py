@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rasterloom.functions import geometry
-from rasterloom.operators import features, inference, labels, morphology, shapes, windows
+from rasterloom.operators import features, inference, labels, morphology, overlay, shapes, windows
 from rasterloom.plans.fixtures import table
 from rasterloom.plans.queries import GRID, SCENE, _mask, _values, query
 
@@ -51,7 +51,7 @@ def repaired_polygons(spark, d):
     """Boxes whose corners come in an order that makes the ring cross itself."""
     x0, y0, x1, y1 = (F.col(c) for c in ("x0", "y0", "x1", "y1"))
     bow = F.array(*[geometry.point(x, y) for x, y in ((x0, y0), (x1, y1), (x1, y0), (x0, y1), (x0, y0))])
-    out = shapes.repaired(_boxes(spark, d).withColumn("rings", F.array(bow)))
+    out = overlay.repaired(_boxes(spark, d).withColumn("rings", F.array(bow)))
     return out.select("label_id", F.size("geometry").alias("parts"), F.round(_total(F.col("geometry")), 6).alias("area"))
 
 
@@ -68,19 +68,85 @@ SELECT CAST(class_id AS BIGINT) AS class_id, CAST(label AS BIGINT) AS label, CAS
 def united_by_class(spark, d):
     """Overlapping boxes of each class as the polygons of their union."""
     rows = _boxes(spark, d).select((F.col("label_id") % 3).cast("long").alias("class_id"), F.array(_box()).alias("rings"))
-    out = shapes.united(rows, ["class_id"])
+    out = shapes.united_cells(rows, ["class_id"])
     return out.select("class_id", "label", geometry.polygon_area(F.col("rings")).alias("area"))
 
 
-@query("dissolved_tile_parts", "SELECT label_id % 7 AS tile, 'road' AS class_name, count(*) AS parts, CAST(sum((x1 - x0) * (y1 - y0)) AS DOUBLE) AS area FROM boxes WHERE label_id % 5 <> 0 GROUP BY ALL")
+#: Boxes in sixteenths of a unit, and the share of the plane that those of a group cover: cells between their sides.
+_ODD = "SELECT label_id, x0 + label_id % 16 / 16.0 AS x0, y0 + label_id % 5 / 4.0 AS y0, x1 + label_id % 3 / 2.0 AS x1, y1 + label_id % 7 / 8.0 AS y1 FROM boxes"
+_COVER = """xs AS (SELECT g, x, lead(x) OVER (PARTITION BY g ORDER BY x) AS to_x, row_number() OVER (PARTITION BY g ORDER BY x) AS i FROM (SELECT g, x0 AS x FROM o UNION SELECT g, x1 FROM o)),
+ys AS (SELECT g, y, lead(y) OVER (PARTITION BY g ORDER BY y) AS to_y, row_number() OVER (PARTITION BY g ORDER BY y) AS j FROM (SELECT g, y0 AS y FROM o UNION SELECT g, y1 FROM o)),
+cells AS (SELECT DISTINCT xs.g, i * 100000 + j AS k, (to_x - x) * (to_y - y) AS size FROM o JOIN xs ON xs.g = o.g AND x >= x0 AND to_x <= x1 JOIN ys ON ys.g = o.g AND y >= y0 AND to_y <= y1)"""
+_PARTS = f"""{_COVER},
+e AS (SELECT a.g, a.k AS ka, b.k AS kb FROM cells a, (VALUES (1), (-1), (100000), (-100000)) s(d) JOIN cells b ON b.g = a.g AND b.k = a.k + d),
+l(g, k, root) AS (SELECT g, k, k FROM cells UNION SELECT e.g, e.kb, l.root FROM l JOIN e ON e.g = l.g AND e.ka = l.k WHERE l.root < e.kb),
+p AS (SELECT c.g, c.k, c.size, min(l.root) AS part FROM cells c JOIN l ON l.g = c.g AND l.k = c.k GROUP BY ALL)"""
+
+
+def _odd_boxes(spark, d):
+    """The boxes moved by fractions of a unit, each side by its own."""
+    corner = lambda c, part: F.col(c) + part
+    k = F.col("label_id")
+    x0, y0, x1, y1 = corner("x0", k % 16 / 16), corner("y0", k % 5 / 4), corner("x1", k % 3 / 2), corner("y1", k % 7 / 8)
+    return _boxes(spark, d).select("label_id", geometry.box_ring(x0, y0, x1, y1).alias("ring"))
+
+
+@query("dissolved_tile_parts", f"""
+WITH RECURSIVE o AS (SELECT *, label_id % 7 AS g FROM ({_ODD}) WHERE label_id % 5 <> 0), {_PARTS}
+SELECT CAST(g AS BIGINT) AS tile, 'road' AS class_name, count(DISTINCT part) AS parts, round(CAST(sum(size) AS DOUBLE), 6) AS area FROM p GROUP BY g""")
 def dissolved_tile_parts(spark, d):
-    """A multipolygon for each tile and class; rows without a class go."""
-    rows = _boxes(spark, d).select(
+    """The multipolygon that overlapping boxes make, for each tile and class; rows without a class go."""
+    rows = _odd_boxes(spark, d).select(
         (F.col("label_id") % 7).alias("source_tile"), F.when(F.col("label_id") % 5 != 0, "road").alias("class_name"),
-        F.lit(None).cast("double").alias("confidence"), F.array(F.array(_box())).alias("geometry"),
+        F.lit(None).cast("double").alias("confidence"), F.array(F.array("ring")).alias("geometry"),
     )
-    out = features.dissolve_parts(rows)
-    return out.select(F.col("source_tile").alias("tile"), "class_name", F.size("geometry").cast("long").alias("parts"), _total(F.col("geometry")).alias("area"))
+    out = features.dissolve_parts(rows, cell=96.0)
+    return out.select(F.col("source_tile").cast("long").alias("tile"), "class_name", F.size("geometry").cast("long").alias("parts"), F.round(_total(F.col("geometry")), 6).alias("area"))
+
+
+@query("united_polygons", f"""
+WITH RECURSIVE o AS (SELECT *, CASE WHEN label_id % 4 < 3 THEN label_id % 4 END AS c, coalesce(label_id % 4, 3) AS g FROM ({_ODD})), {_PARTS}
+SELECT CAST(CASE WHEN g < 3 THEN g END AS BIGINT) AS class_id, round(CAST(area AS DOUBLE), 6) AS area, count(*) AS parts
+FROM (SELECT g, part, sum(size) AS area FROM p GROUP BY g, part) GROUP BY g, area""")
+def united_polygons(spark, d):
+    """Each part of the union of a class's polygons, whatever their coordinates; boxes without a class are one, too."""
+    rows = _odd_boxes(spark, d).select(F.when(F.col("label_id") % 4 < 3, F.col("label_id") % 4).cast("long").alias("class_id"), F.array("ring").alias("rings"))
+    out = overlay.united(rows, ["class_id"], cell=64.0).select("class_id", F.round(geometry.polygon_area(F.col("rings")), 6).alias("area"))
+    return out.groupBy("class_id", "area").agg(F.count(F.lit(1)).alias("parts"))
+
+
+@query("crossing_rings", """
+SELECT label_id, 'cross' AS kind, CAST(2 AS INT) AS parts, CAST(2.0 * (x1 - x0) * (y1 - y0) - 2 * (x1 - x0 - 3.25) * (y1 - y0 - 2.5) AS DOUBLE) AS area FROM boxes
+UNION ALL SELECT label_id, 'hole', CAST(2 AS INT), CAST((x1 - x0) * (y1 - y0) - 2.5 * (y1 - y0 - 4) + 1.75 * (y1 - y0 - 4) AS DOUBLE) FROM boxes
+UNION ALL SELECT label_id, 'nested', CAST(2 AS INT), CAST((x1 - x0) * (y1 - y0) - (x1 - x0 - 2) * (y1 - y0 - 2) + (x1 - x0 - 5.5) * (y1 - y0 - 5.5) AS DOUBLE) FROM boxes""")
+def crossing_rings(spark, d):
+    """Polygons of two or three rings that cross, that reach over each other's border or lie in each other, made valid."""
+    ring = lambda x0, y0, x1, y1: geometry.box_ring(*(F.expr(f"CAST({e} AS DOUBLE)") for e in (x0, y0, x1, y1)))
+    whole = ring("x0", "y0", "x1", "y1")
+    kinds = {
+        "cross": [whole, ring("x0 + 3.25", "y0 + 2.5", "x1 + 3.25", "y1 + 2.5")],
+        "hole": [whole, ring("x1 - 2.5", "y0 + 2", "x1 + 1.75", "y1 - 2")],
+        "nested": [ring("x0 + 1", "y0 + 1", "x1 - 1", "y1 - 1"), whole, ring("x0 + 2.75", "y0 + 2.75", "x1 - 2.75", "y1 - 2.75")],
+    }
+    rows = _boxes(spark, d).select("label_id", F.explode(F.map_from_arrays(F.array(*map(F.lit, kinds)), F.array(*[F.array(*r) for r in kinds.values()]))).alias("kind", "rings"))
+    out = overlay.repaired(rows)
+    return out.select("label_id", "kind", F.size("geometry").alias("parts"), F.round(_total(F.col("geometry")), 6).alias("area"))
+
+
+@query("closed_gaps", """
+SELECT label_id, CAST(CASE WHEN label_id % 9 / 4.0 <= 1.5 THEN 1 ELSE 2 END AS INT) AS joined, CAST((x1 - x0 - 1.5) * (y1 - y0 - 1.5) AS DOUBLE) AS shrunk, CAST(1 AS INT) AS opened FROM boxes""")
+def closed_gaps(spark, d):
+    """Two boxes apart by up to two units: grown and shrunk by 0.75 they are one up to a gap of 1.5; a box shrunk by as
+    much, and a box with a thin spike shrunk and grown, which takes the spike off."""
+    x0, y0, x1, y1 = (F.col(c).cast("double") for c in ("x0", "y0", "x1", "y1"))
+    gap, width = F.col("label_id") % 9 / 4.0, x1 - x0
+    pair = F.array(geometry.box_ring(x0, y0, x1, y1), geometry.box_ring(x1 + gap, y0, x1 + gap + width, y1))
+    spiked = F.array(geometry.box_ring(x0, y0, x1, y1), geometry.box_ring(x1, y0 + 1, x1 + 4, y0 + 1.5))
+    rows = _boxes(spark, d).select("label_id", "x1", pair.alias("pair"), F.array(geometry.box_ring(x0, y0, x1, y1)).alias("one"), spiked.alias("spiked"))
+    out = overlay.buffered(rows, [0.75, -0.75], "pair", "closed")
+    out = overlay.buffered(overlay.buffered(out, [-0.75], "one", "small"), [-0.5, 0.5], "spiked", "open")
+    wide = F.array_max(F.transform(F.get(F.get("open", F.lit(0)), F.lit(0)), lambda p: p["x"])) > x1 + 0.1
+    return out.select("label_id", F.size("closed").alias("joined"), F.round(_total(F.col("small")), 6).alias("shrunk"), (F.size("open") + wide.cast("int")).alias("opened"))
 
 
 @query("simplified_rings", "SELECT label_id, 5 AS points, CAST((x1 - x0) * (y1 - y0) AS DOUBLE) AS area FROM boxes")
