@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rasterloom.functions import crs, geometry
-from rasterloom.operators import features, labels, metrics, morphology, pixels, shapes, windows
+from rasterloom.operators import blocks, features, labels, metrics, morphology, pixels, shapes, windows
 from rasterloom.plans.fixtures import table, with_fixtures
 from rasterloom.sources import osm
 
@@ -134,7 +134,7 @@ def nearest_resize(spark, d):
     return pixels.resize_nearest(table(spark, d, "raster"), 40, 48)
 
 
-@query("bilinear_resize", """
+ORACLE_BILINEAR = """
 WITH s AS (SELECT tile_id, max(r) + 1 AS h, max(c) + 1 AS w FROM raster GROUP BY tile_id),
 x AS (SELECT q.tile_id, q.r, CAST(j AS INT) AS c, a.v + (b.v - a.v) * (j * ((w - 1) / 95.0) - floor(j * ((w - 1) / 95.0))) AS v
       FROM s JOIN (SELECT DISTINCT tile_id, r FROM raster) q USING (tile_id), range(96) t(j)
@@ -142,7 +142,10 @@ x AS (SELECT q.tile_id, q.r, CAST(j AS INT) AS c, a.v + (b.v - a.v) * (j * ((w -
       JOIN raster b ON b.tile_id = q.tile_id AND b.r = q.r AND b.c = least(floor(j * ((w - 1) / 95.0)) + 1, w - 1))
 SELECT s.tile_id, CAST(i AS INT) AS r, a.c, round(a.v + (b.v - a.v) * (i * ((h - 1) / 79.0) - floor(i * ((h - 1) / 79.0))), 6) AS v
 FROM s, range(80) t(i) JOIN x a ON a.tile_id = s.tile_id AND a.r = floor(i * ((h - 1) / 79.0))
-JOIN x b ON b.tile_id = s.tile_id AND b.c = a.c AND b.r = least(floor(i * ((h - 1) / 79.0)) + 1, h - 1)""")
+JOIN x b ON b.tile_id = s.tile_id AND b.c = a.c AND b.r = least(floor(i * ((h - 1) / 79.0)) + 1, h - 1)"""
+
+
+@query("bilinear_resize", ORACLE_BILINEAR)
 def bilinear_resize(spark, d):
     return pixels.resize_bilinear(table(spark, d, "raster"), 80, 96).withColumn("v", F.round("v", 6))
 
@@ -316,6 +319,60 @@ def mask_cleanup(spark, d):
     return morphology.cleanup(_mask(spark, d, 200), close_pixels=1, remove_objects=3)
 
 
+_MOSAIC = "mo AS (SELECT r AS gr, tile_id * 48 + c AS gc, avg(v) AS v FROM raster GROUP BY 1, 2), area AS (SELECT max(gr) AS rows, max(gc) AS cols FROM mo)"
+_CLOSED = f"""{_MOSAIC}, ones AS (SELECT gr, gc FROM mo WHERE v >= 100),
+grown AS (SELECT DISTINCT gr + dr AS gr, gc + dc AS gc FROM ones, {NEAR}, area WHERE gr + dr BETWEEN 0 AND rows AND gc + dc BETWEEN 0 AND cols),
+shrunk AS (SELECT y AS gr, x AS gc FROM (SELECT gr + dr AS y, gc + dc AS x FROM grown, {NEAR}) GROUP BY ALL HAVING count(*) = 9)"""
+
+
+def _mosaic(spark, d, size: int):
+    """The raster's tiles, each overlapping the next one by 16 columns, as the blocks of one mosaic."""
+    rows = table(spark, d, "raster").groupBy("tile_id").agg(
+        (F.max("r") + 1).alias("height"), (F.max("c") + 1).alias("width"), F.transform(F.sort_array(F.collect_list(F.struct("r", "c", "v"))), lambda x: x["v"].cast("float")).alias("values")
+    )
+    return blocks.mosaic_mean(rows.select(F.lit("s").alias("scene"), F.lit(0).alias("row_off"), (F.col("tile_id") * 48).alias("col_off"), "height", "width", "values"), size)
+
+
+@query("blocked_mosaic_mean", f"WITH {_MOSAIC} SELECT CAST(gr AS BIGINT) AS gr, CAST(gc AS BIGINT) AS gc, v FROM mo")
+def blocked_mosaic_mean(spark, d):
+    """The mean of overlapping tiles, block by block."""
+    return blocks.to_pixels(_mosaic(spark, d, 40), "<f4", 40).filter("v IS NOT NULL").select("gr", "gc", "v")
+
+
+@query("blocked_close", f"WITH {_CLOSED} SELECT CAST(gr AS BIGINT) AS gr, CAST(gc AS BIGINT) AS gc FROM shrunk")
+def blocked_close(spark, d):
+    """A mosaic's mask closed over blocks that send each other their borders."""
+    mask = blocks.closed(blocks.thresholded(_mosaic(spark, d, 24), 100), 1, 24)
+    return blocks.to_pixels(mask, size=24).filter("v = 1").select("gr", "gc")
+
+
+#: The same on one wide tile: pixels are numbered further apart, and places around them are listed before they are joined.
+_WIDE_SIEVE = (
+    _sieve(4, "1", "closed", 1).replace("r * 64 + c", "r * 2147483648 + c").replace(" AS (SELECT", " AS MATERIALIZED (SELECT")
+    .replace(f"FROM m a, {NEAR} JOIN", f"FROM (SELECT m.*, r + dr AS nr, c + dc AS nc FROM m, {NEAR}) a JOIN").replace("b.r = a.r + dr AND b.c = a.c + dc", "b.r = a.nr AND b.c = a.nc")
+)
+
+
+@query("merged_mask_cleanup", f"""WITH {_CLOSED},
+closed AS MATERIALIZED (SELECT 0 AS tile_id, y AS r, x AS c, CASE WHEN s.gr IS NULL THEN 0 ELSE 1 END AS v FROM area, range(rows + 1) a(y), range(cols + 1) b(x) LEFT JOIN shrunk s ON s.gr = y AND s.gc = x),
+{_WIDE_SIEVE} SELECT CAST(r AS BIGINT) AS gr, CAST(c AS BIGINT) AS gc, CAST(mask AS INT) AS mask FROM done""")
+def merged_mask_cleanup(spark, d):
+    """The merged mask closed, and its small objects given to what is around them, across blocks."""
+    mask = blocks.cleanup(blocks.thresholded(_mosaic(spark, d, 24), 100), close_pixels=1, remove_objects=4, size=24)
+    return blocks.to_pixels(mask, size=24).select("gr", "gc", F.col("v").cast("int").alias("mask"))
+
+
+@query("blocked_resize", f"SELECT CAST(tile_id AS VARCHAR) AS scene, CAST(r AS BIGINT) AS gr, CAST(c AS BIGINT) AS gc, v FROM ({ORACLE_BILINEAR})")
+def blocked_resize(spark, d):
+    """Each tile, as a mosaic of blocks, resized by blocks of the result."""
+    rows = table(spark, d, "raster").groupBy(F.col("tile_id").cast("string").alias("scene")).agg(
+        (F.max("r") + 1).alias("height"), (F.max("c") + 1).alias("width"), F.transform(F.sort_array(F.collect_list(F.struct("r", "c", "v"))), lambda x: x["v"].cast("float")).alias("values")
+    )
+    made = blocks.mosaic_mean(rows.select("scene", F.lit(0).alias("row_off"), F.lit(0).alias("col_off"), "height", "width", "values"), 30)
+    sizes = rows.select("scene", F.lit(80).cast("long").alias("to_rows"), F.lit(96).cast("long").alias("to_cols"))
+    return blocks.to_pixels(blocks.resized(made, sizes, 30, out="<f8"), "<f8", 30).select("scene", "gr", "gc", F.round("v", 6).alias("v"))
+
+
 @query("polygon_area_of_regions", f"{_components(50, False)} SELECT tile_id, label, CAST(count(*) AS DOUBLE) AS area FROM lab GROUP BY tile_id, label")
 def polygon_area_of_regions(spark, d):
     return shapes.polygonize(components4(spark, d)).select("tile_id", "label", geometry.polygon_area(F.col("rings")).alias("area"))
