@@ -17,6 +17,7 @@ SEED = 42
 BITS = 64
 #: Of the long SimHash that finds candidates by similarity: fields, their bits, and how many of 128 bits may differ.
 FIELDS, WIDTH, NEAR = 64, 14, 40
+BACK = 4  # in one field of so many the last near row counts beside the first
 #: Pairs compared at once, and texts in a batch, which bound a Python worker's memory.
 CHUNK, BATCH = 100_000, 500
 #: What rows of one bucket share: a field's value and a pair of blocks.
@@ -306,8 +307,9 @@ def _ends(codes: np.ndarray, budget: int) -> Iterator[tuple[np.ndarray, np.ndarr
 def _bucket_pairs(every: bool, budget: int):
     """Pairs of nodes that share a bucket and differ in at most ``budget`` bits of 128.
 
-    Without ``every``: each row with its first near row before it, so each row that has a near one is in a pair, and
-    a bucket gives less than a pair a row. With it: all that have different roots.
+    Without ``every``: each row with its first near row before it, so each row that has a near one is in a pair, and in
+    one field of ``BACK`` also with its last near row after it; so their number is in proportion to the rows. With it:
+    all that have different roots.
     """
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -326,6 +328,9 @@ def _bucket_pairs(every: bool, budget: int):
         for lo, hi in zip(run[long].tolist(), end[long].tolist(), strict=True):
             for a, b in _ends(codes[lo:hi], budget):
                 yield pd.DataFrame({"a": node[lo + a], "b": node[lo + b]})
+            if not key[lo, 0] >> WIDTH & BACK - 1:
+                for b, a in _ends(codes[lo:hi][::-1], budget):
+                    yield pd.DataFrame({"a": node[hi - 1 - a], "b": node[hi - 1 - b]})
         lo = np.concatenate([np.arange(a, b) for a, b in zip(run[~long], end[~long], strict=True)] or [np.array([], np.int64)])
         hi = np.repeat(end[~long], (end - run)[~long])
         size = np.cumsum(hi - lo - 1)
@@ -334,8 +339,10 @@ def _bucket_pairs(every: bool, budget: int):
             near = np.bitwise_count(codes[a] ^ codes[b]).sum(axis=1) <= budget
             near &= root[a] != root[b]
             a, b = a[near], b[near]
-            if not every and len(a):  # a rises
-                keep = np.unique(b, return_index=True)[1]
+            if not every and len(a):  # a rises, and b within each a
+                first = np.unique(b, return_index=True)[1]
+                last = np.append(np.flatnonzero(a[1:] != a[:-1]), len(a) - 1)
+                keep = np.union1d(first, last[key[a[last], 0] >> WIDTH & BACK - 1 == 0])
                 a, b = a[keep], b[keep]
             if len(a):
                 yield pd.DataFrame({"a": node[a], "b": node[b]}).drop_duplicates()
@@ -352,8 +359,8 @@ def similar_groups(
     more. Candidates come from a SimHash of FIELDS x WIDTH bits: two texts that share one of its fields and differ in
     at most NEAR of its first 128 bits. A pair of long texts at 0.8 is expected to agree on 85 bits of 100, so one in
     830 shares no field; at 0.85, one in 25,000; for texts of under ten words at 0.8, one in 40. Each candidate is
-    then compared by its shingles themselves. First each text is compared with two candidates, the smallest and the
-    largest of the nodes that come first among those near it in a field; the other pairs only where those left them in different components, so a group of near
+    then compared by its shingles themselves. First each text is compared with its outermost candidates, the smallest
+    and the largest node that the fields give; the other pairs only where those left them in different components, so a group of near
     copies doesn't meet pair by pair. A field's value shared by over ``block_rows`` texts is cut into block pairs.
 
     Nulls, repeated rows and empty tables are as in simhash_groups. Texts with the same words in lower case are one.
@@ -391,8 +398,9 @@ def similar_groups(
             return stored(full.select("a", "b", "x", "y").mapInPandas(verified, "a long, b long"), "links")
 
     near = stored(pairs(codes, False), "near-rows")
-    ends = near.groupBy("b").agg(F.min("a").alias("low"), F.max("a").alias("high"))
-    outer = stored(ends.select(F.explode(F.array_distinct(F.array("low", "high"))).alias("a"), "b"), "pairs")
+    outer = stored(
+        near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b").union(near.groupBy("a").agg(F.max("b").alias("b")).select("a", "b")).distinct(), "pairs"
+    )
     found = links(outer)
     roots = components(found).withColumnRenamed("node", "n")
     ends = outer.select(F.col("a").alias("n")).union(outer.select("b")).distinct()
