@@ -78,7 +78,14 @@ def reproject_ring(ring: Column, source: int, target: int) -> Column:
 
 
 def reproject_bounds(west: Column, south: Column, east: Column, north: Column, source: int, target: int, steps: int = 21) -> Column:
-    """The box around a box's outline in another system, each side with ``steps`` points between its ends."""
+    """The box around a box's outline in another system, each side with ``steps`` points between its ends.
+
+    Between degrees and Mercator each axis goes by itself and keeps its order, so two corners are exact.
+    """
+    if {source, target} <= {4326, 3857}:
+        (x0, y0), (x1, y1) = reproject(west, south, source, target), reproject(east, north, source, target)
+        return F.struct(*[v.cast("double").alias(n) for n, v in (
+            ("west", F.least(x0, x1)), ("south", F.least(y0, y1)), ("east", F.greatest(x0, x1)), ("north", F.greatest(y0, y1)))])
     along = F.transform(F.sequence(F.lit(0), F.lit(steps + 1)), lambda i: i / F.lit(float(steps + 1)))
     sides = F.concat(
         F.transform(along, lambda t: F.struct((west + (east - west) * t).alias("x"), south.alias("y"))),

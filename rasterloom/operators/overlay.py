@@ -395,11 +395,13 @@ def _pieces(parts: DataFrame, cell: int, grid: float) -> DataFrame:
 
     The rings of a polygon are made valid first, in the polygon's own place, so that they wind once around its inside.
     """
-    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    kinds = {"key": pa.string(), "cx": pa.int64(), "cy": pa.int64(), "xs": pa.list_(pa.int64()), "ys": pa.list_(pa.int64())}
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:  # rings of unequal lengths have no pandas form
         for batch in batches:
-            out = {c: [] for c in ("key", "cx", "cy", "xs", "ys")}
-            for key, shape in zip(batch["key"], batch["shape"], strict=True):
-                rings = [[{"x": p["x"], "y": p["y"]} for p in r] for r in shape if len(r)]
+            out = {c: [] for c in kinds}
+            for key, shape in zip(batch["key"].to_pylist(), batch["shape"].to_pylist(), strict=True):
+                rings = [r for r in shape if r]
                 if not rings:
                     continue
                 origin = _origin(rings, grid)
@@ -416,10 +418,9 @@ def _pieces(parts: DataFrame, cell: int, grid: float) -> DataFrame:
                             if len(ring := clipped(ring, cx * cell, cy * cell, (cx + 1) * cell, (cy + 1) * cell)) > 2:
                                 for c, v in (("key", key), ("cx", cx), ("cy", cy), ("xs", ring[:, 0]), ("ys", ring[:, 1])):
                                     out[c].append(v)
-            if out["key"]:
-                yield pd.DataFrame(out)
+            yield pa.RecordBatch.from_arrays([pa.array(v, kinds[c]) for c, v in out.items()], names=list(kinds))
 
-    return parts.mapInPandas(of, "key string, cx long, cy long, xs array<long>, ys array<long>")
+    return parts.mapInArrow(of, "key string, cx long, cy long, xs array<long>, ys array<long>")
 
 
 _EDGES = "key string, part string, side string, x0 long, y0 long, x1 long, y1 long"

@@ -15,7 +15,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rasterloom.functions.geometry import axis_snapped, centroid, polygon_area, rotated, signed_area
 from rasterloom.operators import overlay
 
 Ring = list[tuple[float, float]]
@@ -99,59 +98,77 @@ def trace(label: np.ndarray) -> dict[int, list[Ring]]:
     return {int(part[0, 0]): rings_of(part[:, 1:]) for part in np.split(edges, starts[1:]) if len(part)}
 
 
-def _thin(points: np.ndarray, tolerance: float) -> np.ndarray:
-    """Which points of a line stay: farthest points first, until none is over the tolerance from the rest."""
-    keep = np.zeros(len(points), bool)
-    keep[[0, -1]] = True
-    stack = [(0, len(points) - 1)]
-    while stack:
-        a, b = stack.pop()
-        if b - a < 2:
-            continue
-        line, rest = points[b] - points[a], points[a + 1 : b] - points[a]
-        size = math.hypot(*line)
-        far = np.abs(line[0] * rest[:, 1] - line[1] * rest[:, 0]) / size if size else np.hypot(rest[:, 0], rest[:, 1])
-        at = int(far.argmax())
-        if far[at] > tolerance:
-            keep[a + 1 + at] = True
-            stack += [(a, a + 1 + at), (a + 1 + at, b)]
-    return keep
-
-
-def _crosses(ring: Ring) -> bool:
-    p = np.asarray(ring)
-    a, d = p[:-1], p[1:] - p[:-1]
-    for i in range(len(a)):
-        j = np.arange(i + 2, len(a) - (i == 0))
-        if not len(j):
-            continue
-        w = a[j] - a[i]
-        cross = d[i, 0] * d[j, 1] - d[i, 1] * d[j, 0]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            t = (w[:, 0] * d[j, 1] - w[:, 1] * d[j, 0]) / cross
-            u = (w[:, 0] * d[i, 1] - w[:, 1] * d[i, 0]) / cross
-        if ((cross != 0) & (t > 0) & (t < 1) & (u > 0) & (u < 1)).any():
-            return True
-    return False
+def _far(points: np.ndarray, a: int, b: int) -> tuple[int, float]:
+    """The point between a and b that is farthest from the line through them, and how far it is."""
+    line, rest = points[b] - points[a], points[a + 1 : b] - points[a]
+    size = math.hypot(*line)
+    far = np.abs(line[0] * rest[:, 1] - line[1] * rest[:, 0]) / size if size else np.hypot(rest[:, 0], rest[:, 1])
+    at = int(far.argmax())
+    return a + 1 + at, float(far[at])
+
+
+def _holds(ring: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """Which points a ring, not closed, holds; even-odd."""
+    p, q = ring[None], np.roll(ring, -1, axis=0)[None]
+    x, y = points[:, :1], points[:, 1:]
+    over = (p[..., 1] > y) != (q[..., 1] > y)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        at = (q[..., 0] - p[..., 0]) * (y - p[..., 1]) / (q[..., 1] - p[..., 1]) + p[..., 0]
+    return (over & (x < at)).sum(axis=1) % 2 == 1
+
+
+def _in_the_way(section: np.ndarray, others: np.ndarray) -> bool:
+    """Whether the line between a section's ends crosses or touches another segment, or jumps over a point of one."""
+    a, b = section[0], section[-1]
+    low, high = section.min(axis=0), section.max(axis=0)
+    near = (np.minimum(others[:, :2], others[:, 2:]) <= high).all(axis=1) & (np.maximum(others[:, :2], others[:, 2:]) >= low).all(axis=1)
+    p, q = others[near, :2], others[near, 2:]
+    d, e = b - a, q - p
+    cross = lambda u, v: u[..., 0] * v[..., 1] - u[..., 1] * v[..., 0]
+    s0, s1, t0, t1 = cross(d, p - a), cross(d, q - a), cross(e, a - p), cross(e, b - p)
+    if ((s0 * s1 < 0) & (t0 * t1 < 0)).any():
+        return True
+    ends = np.concatenate([p, q])
+    ends = ends[(ends != a).any(axis=1) & (ends != b).any(axis=1)]
+    along = (ends - a) @ d
+    return bool(((cross(d, ends - a) == 0) & (along > 0) & (along < d @ d)).any() or (len(ends) and _holds(section, ends).any()))
 
 
 def simplify(rings: list[Ring], tolerance: float) -> list[Ring]:
-    """Rings with fewer points, none farther than the tolerance from the old line; a ring that would fall below a
-    triangle or cross itself is simplified with half the tolerance, and in the end left as it is."""
-    out = []
-    for ring in rings:
-        limit, p, found = tolerance, np.asarray(ring), None
+    """Rings with fewer points, none farther than the tolerance from the old line, and the same topology.
+
+    Farthest points first: a section becomes a line where all its points are near it and where that line meets no
+    segment of any ring, as it is by then, and jumps over no point of one; so rings stay simple, apart, and holes in
+    their shell. A ring that would fall below a triangle takes half the tolerance, and in the end stays as it is.
+    """
+    lines = [np.asarray(r, float) for r in rings]
+    segments = [np.hstack([p[:-1], p[1:]]) for p in lines]
+    for k, p in enumerate(lines):
+        others = np.concatenate([np.zeros((0, 4)), *segments[:k], *segments[k + 1 :]])
+        limit, turn = tolerance, int(np.hypot(*(p - p[0]).T).argmax()) if len(p) else 0
         for _ in range(6):
-            far = int(np.hypot(*(p - p[0]).T).argmax())
-            if 0 < far < len(p) - 1:
-                keep = np.concatenate([_thin(p[: far + 1], limit)[:-1], _thin(p[far:], limit)])
-                new = [tuple(x) for x in p[keep]]
-                if len(new) >= 4 and not _crosses(new):
-                    found = new
-                    break
+            if not 0 < turn < len(p) - 1:
+                break
+            alive, stack = np.ones(len(p), bool), [(turn, len(p) - 1), (0, turn)]
+            while stack:
+                a, b = stack.pop()
+                if b - a < 2:
+                    continue
+                at, far = _far(p, a, b)
+                if far <= limit:
+                    left = np.flatnonzero(alive)
+                    outside = (left[1:] <= a) | (left[:-1] >= b)
+                    own = np.hstack([p[left[:-1]], p[left[1:]]])[outside]
+                    if not _in_the_way(p[a : b + 1], np.concatenate([others, own])):
+                        alive[a + 1 : b] = False
+                        continue
+                stack += [(at, b), (a, at)]
+            if alive.sum() >= 4:
+                segments[k] = np.hstack([p[alive][:-1], p[alive][1:]])
+                lines[k] = p[alive]
+                break
             limit /= 2
-        out.append(found or ring)
-    return out
+    return [[tuple(x) for x in p.tolist()] for p in lines]
 
 
 def hull(points: Ring) -> Ring:
@@ -314,12 +331,17 @@ def _each(kernel: Callable[[list[Ring]], list[Ring]]):
     return F.arrow_udf(of, RINGS)
 
 
-def _dominant_angles():
+def each_part(kernel: Callable[[list[list[Ring]]], list[list[Ring]]]):
+    """A column function of multipolygons to multipolygons, as ``_each``."""
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield pa.array([dominant_angle(_plain(rings[:1])[0]) if rings else 0.0 for rings in batch.to_pylist()], pa.float64())
+            out = [
+                None if parts is None else [[[{"x": float(x), "y": float(y)} for x, y in ring] for ring in part] for part in kernel([_plain(p) for p in parts])]
+                for parts in batch.to_pylist()
+            ]
+            yield pa.array(out, pa.list_(_ARROW_RINGS))
 
-    return F.arrow_udf(of, "double")
+    return F.arrow_udf(of, f"array<{RINGS}>")
 
 
 def simplified(polygons: DataFrame, tolerance: float) -> DataFrame:
@@ -330,23 +352,66 @@ def rectangularized(polygons: DataFrame, least_share: float = 0.9) -> DataFrame:
     return polygons.withColumn("rings", _each(lambda r: rectangularize(r, least_share))("rings"))
 
 
+def _snapped(ring: Ring, slope: float) -> Ring:
+    """A closed ring whose edges within a slope of an axis run along it; points that fall together become one."""
+    moved = ring[:1]
+    for x, y in ring[1:]:
+        last = moved[-1]
+        dx, dy = abs(x - last[0]), abs(y - last[1])
+        level = dx > 0 and dy <= dx * slope
+        upright = not level and dy > 0 and dx <= dy * slope
+        moved.append((last[0] if upright else x, last[1] if level else y))
+    moved[-1] = moved[0]
+    out = [p for k, p in enumerate(moved) if not k or p != moved[k - 1]]
+    return out if out[0] == out[-1] else [*out, out[0]]
+
+
+def _middle(ring: Ring) -> tuple[float, float] | None:
+    """The centre of mass; None of a ring without an area."""
+    p = np.asarray(ring)
+    w = p[:-1, 0] * p[1:, 1] - p[1:, 0] * p[:-1, 1]
+    return tuple(((p[:-1] + p[1:]) * w[:, None]).sum(axis=0) / (3 * w.sum())) if len(p) > 3 and w.sum() != 0 else None
+
+
+def _turned(ring: Ring, degrees: float, centre: tuple[float, float]) -> Ring:
+    c, s = math.cos(math.radians(degrees)), math.sin(math.radians(degrees))
+    (mx, my) = centre
+    return [(mx + (x - mx) * c - (y - my) * s, my + (x - mx) * s + (y - my) * c) for x, y in ring]
+
+
+def _whole_area(rings: list[Ring]) -> float:
+    return abs(area(rings[0])) - sum(abs(area(r)) for r in rings[1:])
+
+
+def regularize(rings: list[Ring], tolerance: float, angle_tolerance: float, least_ratio: float, most_ratio: float) -> list[Ring]:
+    """A polygon with its edges drawn along its own two main directions, as ``regularized`` says."""
+    if not rings or len(rings[0]) < 4:
+        return rings
+    before, angle = _whole_area(rings), dominant_angle(rings[0])
+    plain = simplify(rings, tolerance) if tolerance > 0 else rings
+    centre = _middle(plain[0])
+    if centre is None or before == 0:
+        return plain
+    slope = math.tan(math.radians(angle_tolerance))
+    level = [_snapped(r, slope) if len(r) > 3 else r for r in (_turned(r, -angle, centre) for r in plain)]
+    level = [r for r in level if len(r) > 3]
+    centre = _middle(level[0]) if level else None
+    if centre is None:
+        return plain
+    back = [_turned(r, angle, centre) for r in level]
+    return back if least_ratio <= _whole_area(back) / before <= most_ratio else plain
+
+
 def regularized(
     polygons: DataFrame, tolerance: float = 0.0, angle_tolerance: float = 12.0, least_ratio: float = 0.7, most_ratio: float = 1.35
 ) -> DataFrame:
     """polygons with their edges drawn along their own two main directions.
 
     A polygon is simplified, turned by its dominant angle about its centroid, snapped to the axes and turned back
-    about the snapped centroid. It stays simplified only where the area changes by more than the two ratios. All but
-    the angle and the simplifying are column expressions.
+    about the snapped centroid. It stays simplified only where the area changes by more than the two ratios, and where
+    it has none.
     """
-    start = polygons.withColumns({"_area": polygon_area(F.col("rings")), "_angle": _dominant_angles()(F.col("rings"))})
-    work = simplified(start, tolerance).withColumn("_middle", centroid(F.element_at("rings", 1)))
-    turned = work.withColumn("_turned", F.transform("rings", lambda r: axis_snapped(rotated(r, -F.col("_angle"), F.col("_middle")), angle_tolerance)))
-    valid = turned.withColumn("_turned", F.filter("_turned", lambda r: F.size(r) >= 4)).withColumn("_outer", F.get("_turned", F.lit(0)))
-    placed = valid.withColumn("_snapped", F.when(F.abs(signed_area(F.col("_outer"))) > 0, centroid(F.col("_outer"))))  # once a polygon, not a point
-    back = placed.withColumn("_back", F.when(F.col("_snapped").isNotNull(), F.transform("_turned", lambda r: rotated(r, F.col("_angle"), F.col("_snapped")))))
-    ratio = polygon_area(F.col("_back")) / F.col("_area")
-    return back.withColumn("rings", F.when((ratio >= least_ratio) & (ratio <= most_ratio), F.col("_back")).otherwise(F.col("rings"))).select(*polygons.columns)
+    return polygons.withColumn("rings", _each(lambda r: regularize(r, tolerance, angle_tolerance, least_ratio, most_ratio))("rings"))
 
 
 def multipolygon(rings: str = "rings"):

@@ -47,6 +47,11 @@ class StageResult:
     error: str | None = None
 
 
+def run_workflows(plans: dict[str, list[tuple[str, Callable[[DataFrame], DataFrame]]]], start: DataFrame, folder: str) -> dict[str, tuple[DataFrame | None, list[StageResult]]]:
+    """Each workflow's stages, under its own folder. One that fails doesn't stop the others, and its finished stages stay."""
+    return {name: run_stages(stages, start, f"{folder}/{name}") for name, stages in plans.items()}
+
+
 def run_stages(stages: list[tuple[str, Callable[[DataFrame], DataFrame]]], start: DataFrame, folder: str) -> tuple[DataFrame | None, list[StageResult]]:
     """Runs stages in order, each result written to ``folder`` and read again; the first error ends the run and is told."""
     done, df = [], start

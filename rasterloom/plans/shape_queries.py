@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from rasterloom.functions import geometry
 from rasterloom.operators import features, inference, labels, morphology, overlay, shapes, windows
 from rasterloom.plans.fixtures import table
-from rasterloom.plans.queries import GRID, SCENE, _mask, _values, query
+from rasterloom.plans import vectorizing
+from rasterloom.plans.queries import GRID, SCENE, _components, _mask, _values, query
 
 HOLED = "x1 - x0 >= 12 AND y1 - y0 >= 12"  # boxes with room for a hole two pixels from their sides
 
@@ -286,3 +287,27 @@ def inferred_planes(spark, d):
     planes = inference.infer(inference.blocked_form(bands), lambda x: x.mean(axis=1, keepdims=True), flips=["none", "hflip", "vflip", "hvflip"])
     out = inference.long_form(planes)
     return out.select("tile_id", F.col("r").cast("int").alias("r"), F.col("c").cast("int").alias("c"), F.round(F.col("p").cast("double"), 4).alias("p"))
+
+
+@query("vectorized_masks", f"{_components(50, False)}, k AS (SELECT tile_id, label, count(*) AS n FROM lab GROUP BY ALL HAVING count(*) >= 6) SELECT CAST(tile_id AS VARCHAR) AS source_tile, 'road' AS class_name, count(*) AS parts, CAST(sum(n) AS DOUBLE) AS area FROM k GROUP BY tile_id")
+def vectorized_masks(spark, d):
+    """Masks to features: regions of six pixels and more, one multipolygon a tile and class."""
+    options = vectorizing.Options(min_area=6.0, cell=32.0)
+    rows = vectorizing.mask_polygons(_mask(spark, d, 50), options).withColumn("class_name", F.lit("road"))
+    out = vectorizing.vectorized(rows, options)
+    return out.select("source_tile", "class_name", F.size("geometry").cast("long").alias("parts"), F.round(_total(F.col("geometry")), 6).alias("area"))
+
+
+@query("vectorized_mosaic", f"""{_components(100, False)}, big AS (SELECT tile_id, label FROM lab GROUP BY ALL HAVING count(*) >= 4),
+mm AS (SELECT DISTINCT CAST(r AS BIGINT) AS gr, CAST(tile_id * 48 + c AS BIGINT) AS gc FROM lab SEMI JOIN big ON big.tile_id = lab.tile_id AND big.label = lab.label),
+ee AS (SELECT a.gr * 2147483648 + a.gc AS ka, b.gr * 2147483648 + b.gc AS kb FROM mm a, (VALUES (0, 1), (1, 0), (0, -1), (-1, 0)) t(dr, dc) JOIN mm b ON b.gr = a.gr + dr AND b.gc = a.gc + dc),
+ll(x, root) AS (SELECT gr * 2147483648 + gc, gr * 2147483648 + gc FROM mm UNION SELECT ee.kb, ll.root FROM ll JOIN ee ON ee.ka = ll.x WHERE ll.root < ee.kb),
+kk AS (SELECT x, min(root) AS part FROM ll GROUP BY x)
+SELECT 'merged' AS source_tile, area, count(*) AS features FROM (SELECT part, CAST(count(*) AS DOUBLE) AS area FROM kk GROUP BY part) GROUP BY area""")
+def vectorized_mosaic(spark, d):
+    """Overlapping tiles' regions of four pixels and more as the polygons of their union, each a feature."""
+    options = vectorizing.Options(min_area=4.0, dissolve_overlaps=True, cell=64.0)
+    moved = F.transform("rings", lambda ring: F.transform(ring, lambda p: F.struct((p["x"] + F.col("source_tile") * 48).alias("x"), p["y"].alias("y"))))
+    rows = vectorizing.mask_polygons(_mask(spark, d, 100), options).withColumn("rings", moved).withColumn("class_name", F.lit("road"))
+    out = vectorizing.vectorized(rows, options).select("source_tile", F.round(_total(F.col("geometry")), 6).alias("area"))
+    return out.groupBy("source_tile", "area").agg(F.count(F.lit(1)).alias("features"))

@@ -169,6 +169,9 @@ def test_union_edges(spark):
     ring = rows_of(spark, [("k", [box(0, 0, 8), box(3, 3, 2)])])
     (one,) = overlay.united(ring, ["k"], cell=4.0).collect()  # the hole lies in four cells
     assert len(one.rings) == 2
+    triangle = [(1, 1), (2, 1), (2, 2), (1, 1)]
+    holes = rows_of(spark, [("k", [box(0, 0, 8), triangle]), ("k", [box(20, 0, 8), box(22, 2, 1), [(24, 4), (25, 4), (25, 5), (24, 4)]])])
+    assert sorted(len(r.rings) for r in overlay.united(holes, ["k"], cell=4.0).collect()) == [2, 3]  # rings of unequal lengths
     assert overlay.united(rows.limit(0), ["k"]).collect() == []
     with pytest.raises(ValueError):
         overlay.united(rows, ["k"], cell=0.3)
