@@ -69,3 +69,14 @@ def test_the_rest_works_without_this_subpackage():
         "assert q and not any(n.startswith('op') and n[2].isdigit() for n in q) and 'pipeline' not in q and e.oracle_sql()\n"
     )
     subprocess.run([sys.executable, "-c", code], check=True, cwd=os.path.dirname(os.path.abspath(corpus_pipeline.__file__)))
+
+
+@pytest.mark.parametrize("rows", [[], [(None, None), (None, None), (None, "some text"), (1, None), (2, "")]])
+def test_the_whole_pipeline_takes_empty_tables_and_nulls(spark, docs_of, tmp_path, rows):
+    docs_of(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    known = {k for k, _ in rows if k is not None}
+    #: Texts 1 and 2 have the same words, none; rows without an id stay, as nothing tells them apart.
+    assert {r.doc_id for r in out if r.doc_id is not None} == ({min(known)} if known else set())
+    assert sum(r.doc_id is None for r in out) == sum(k is None for k, _ in rows)
