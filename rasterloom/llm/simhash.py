@@ -17,7 +17,7 @@ SEED = 42
 BITS = 64
 #: Of the long SimHash that finds candidates by similarity: fields, their bits, and how many of 128 bits may differ.
 FIELDS, WIDTH, NEAR = 64, 14, 40
-BACK = 4  # in one field of so many the last near row counts beside the first
+FIRST_FIELDS = 40  # the fields that the first comparisons are taken from
 #: Pairs compared at once, and texts in a batch, which bound a Python worker's memory.
 CHUNK, BATCH = 100_000, 500
 #: What rows of one bucket share: a field's value and a pair of blocks.
@@ -307,9 +307,8 @@ def _ends(codes: np.ndarray, budget: int) -> Iterator[tuple[np.ndarray, np.ndarr
 def _bucket_pairs(every: bool, budget: int):
     """Pairs of nodes that share a bucket and differ in at most ``budget`` bits of 128.
 
-    Without ``every``: each row with its first near row before it, so each row that has a near one is in a pair, and in
-    one field of ``BACK`` also with its last near row after it; so their number is in proportion to the rows. With it:
-    all that have different roots.
+    Without ``every``: each row with its first near row before it and its last one after it, so their number is in
+    proportion to the rows. With it: all that have different roots.
     """
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -328,9 +327,8 @@ def _bucket_pairs(every: bool, budget: int):
         for lo, hi in zip(run[long].tolist(), end[long].tolist(), strict=True):
             for a, b in _ends(codes[lo:hi], budget):
                 yield pd.DataFrame({"a": node[lo + a], "b": node[lo + b]})
-            if not key[lo, 0] >> WIDTH & BACK - 1:
-                for b, a in _ends(codes[lo:hi][::-1], budget):
-                    yield pd.DataFrame({"a": node[hi - 1 - a], "b": node[hi - 1 - b]})
+            for b, a in _ends(codes[lo:hi][::-1], budget):
+                yield pd.DataFrame({"a": node[hi - 1 - a], "b": node[hi - 1 - b]})
         lo = np.concatenate([np.arange(a, b) for a, b in zip(run[~long], end[~long], strict=True)] or [np.array([], np.int64)])
         hi = np.repeat(end[~long], (end - run)[~long])
         size = np.cumsum(hi - lo - 1)
@@ -342,7 +340,7 @@ def _bucket_pairs(every: bool, budget: int):
             if not every and len(a):  # a rises, and b within each a
                 first = np.unique(b, return_index=True)[1]
                 last = np.append(np.flatnonzero(a[1:] != a[:-1]), len(a) - 1)
-                keep = np.union1d(first, last[key[a[last], 0] >> WIDTH & BACK - 1 == 0])
+                keep = np.union1d(first, last)
                 a, b = a[keep], b[keep]
             if len(a):
                 yield pd.DataFrame({"a": node[a], "b": node[b]}).drop_duplicates()
@@ -360,7 +358,7 @@ def similar_groups(
     at most NEAR of its first 128 bits. A pair of long texts at 0.8 is expected to agree on 85 bits of 100, so one in
     830 shares no field; at 0.85, one in 25,000; for texts of under ten words at 0.8, one in 40. Each candidate is
     then compared by its shingles themselves. First each text is compared with its outermost candidates, the smallest
-    and the largest node that the fields give; the other pairs only where those left them in different components, so a group of near
+    and the largest node that FIRST_FIELDS of the fields give; of all fields the other pairs only where those left them in different components, so a group of near
     copies doesn't meet pair by pair. A field's value shared by over ``block_rows`` texts is cut into block pairs.
 
     Nulls, repeated rows and empty tables are as in simhash_groups. Texts with the same words in lower case are one.
@@ -372,7 +370,8 @@ def similar_groups(
     codes = of.select("node", "keys", "f1", "f2").dropDuplicates(["node"])
 
     def pairs(of_codes: DataFrame, every: bool) -> DataFrame:
-        placed = of_codes.select(F.explode("keys").alias("key"), *[c for c in of_codes.columns if c != "keys"])
+        keys = F.col("keys") if every else F.slice("keys", 1, FIRST_FIELDS)
+        placed = of_codes.select(F.explode(keys).alias("key"), *[c for c in of_codes.columns if c != "keys"])
         dealt = pair_blocks(placed, ["key"], "node", block_rows).drop("block")
         return dealt.repartition(*BUCKET).sortWithinPartitions(*BUCKET).mapInPandas(_bucket_pairs(every, NEAR), "a long, b long")
 
@@ -403,8 +402,7 @@ def similar_groups(
     )
     found = links(outer)
     roots = components(found).withColumnRenamed("node", "n")
-    ends = outer.select(F.col("a").alias("n")).union(outer.select("b")).distinct()
-    open_ = stored(ends.join(roots, "n", "left").select(F.col("n").alias("node"), F.coalesce("root", "n").alias("root")), "open")
+    open_ = stored(codes.select("node").join(roots, F.col("node") == F.col("n"), "left").select("node", F.coalesce("root", "node").alias("root")), "open")
     rest = stored(pairs(codes.join(open_, "node"), True).distinct().join(outer, ["a", "b"], "left_anti"), "pairs")
     roots = components(found.unionByName(links(rest)))
     lows = of.groupBy("node").agg(F.min("id").alias("low"))
