@@ -358,8 +358,9 @@ def similar_groups(
     at most NEAR of its first 128 bits. A pair of long texts at 0.8 is expected to agree on 85 bits of 100, so one in
     830 shares no field; at 0.85, one in 25,000; for texts of under ten words at 0.8, one in 40. Each candidate is
     then compared by its shingles themselves. First each text is compared with its outermost candidates, the smallest
-    and the largest node that FIRST_FIELDS of the fields give; of all fields the other pairs only where those left them in different components, so a group of near
-    copies doesn't meet pair by pair. A field's value shared by over ``block_rows`` texts is cut into block pairs.
+    and the largest node that FIRST_FIELDS of the fields give; of all fields the other pairs only where those left them
+    in different components, so a group of near copies doesn't meet pair by pair. A field's value shared by over
+    ``block_rows`` texts is cut into block pairs.
 
     Nulls, repeated rows and empty tables are as in simhash_groups. Texts with the same words in lower case are one.
     """
