@@ -11,6 +11,7 @@ Rings are arrays of (x, y) rows, not closed; in results the inside lies on the r
 
 from __future__ import annotations
 
+import bisect
 import functools
 import math
 from collections.abc import Iterator
@@ -26,6 +27,7 @@ from rasterloom.operators.graph import components, stored
 RINGS = "array<array<struct<x:double,y:double>>>"
 GRID = 1 / 1024  # the distance of grid points, in the unit of the coordinates
 SPAN = 1 << 29
+AT_ONCE = 512  # rows of a column that are worked on at once
 _POINT = pa.struct([("x", pa.float64()), ("y", pa.float64())])
 
 Rings = list[np.ndarray]
@@ -48,7 +50,7 @@ def _segments(rings: Rings) -> np.ndarray:
     return s[(s[:, :2] != s[:, 2:]).any(axis=1)]
 
 
-def _near_pairs(s: np.ndarray, most: int = 1 << 21) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _near_pairs(s: np.ndarray, most: int = 1 << 18) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of segments whose boxes meet, by a sweep along x, in portions."""
     x0, x1 = np.minimum(s[:, 0], s[:, 2]), np.maximum(s[:, 0], s[:, 2])
     y0, y1 = np.minimum(s[:, 1], s[:, 3]), np.maximum(s[:, 1], s[:, 3])
@@ -111,21 +113,45 @@ def _counted(s: np.ndarray, forward: np.ndarray, backward: np.ndarray) -> tuple[
     forward, backward = np.where(flip, backward, forward), np.where(flip, forward, backward)
     if not len(s):
         return s, forward, backward
-    unique, which = np.unique(s, axis=0, return_inverse=True)
-    sums = [np.bincount(which.ravel(), weights=n, minlength=len(unique)).astype(np.int64) for n in (forward, backward)]
-    return unique, *sums
+    order = np.lexsort(s.T[::-1])
+    s = s[order]
+    first = np.flatnonzero(np.concatenate(([True], (s[1:] != s[:-1]).any(axis=1))))
+    return s[first], np.add.reduceat(forward[order], first), np.add.reduceat(backward[order], first)
 
 
-def noded(s: np.ndarray, rounds: int = 60) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _weight(forward: np.ndarray, backward: np.ndarray, even_odd: bool) -> np.ndarray:
+    """By how much the winding on the right of a segment exceeds that on its left."""
+    return (forward + backward) % 2 if even_odd else forward - backward
+
+
+def _weighing(s: np.ndarray, forward: np.ndarray, backward: np.ndarray, even_odd: bool | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    kept = slice(None) if even_odd is None else _weight(forward, backward, even_odd) != 0
+    return s[kept], forward[kept], backward[kept]
+
+
+def noded(s: np.ndarray, rounds: int = 60, starts: np.ndarray | None = None, even_odd: bool | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Segments cut at all points where they meet, each once, with how often it runs forward and backward.
 
-    Crossings are rounded to the grid; that moves segments a little, so it is done until nothing crosses.
+    Crossings are rounded to the grid; that moves segments a little, so it is done until nothing crosses. Of shapes side
+    by side, which begin at the places ``starts`` along x, each is done when nothing of its own crosses.
     """
     s, forward, backward = _counted(s, np.ones(len(s), np.int64), np.zeros(len(s), np.int64))
+    done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for _ in range(rounds):
         k, points = _cuts(s)
         if not len(k):
-            return s, forward, backward
+            if not done:
+                return s, forward, backward
+            s, forward, backward = (np.concatenate(x) for x in zip(*done, (s, forward, backward), strict=True))
+            order = np.lexsort(s.T[::-1])
+            return s[order], forward[order], backward[order]
+        if starts is not None:
+            shape = np.searchsorted(starts, s[:, 0], side="right")
+            crosses = np.isin(shape, shape[k])
+            if not crosses.all():
+                done.append((s[~crosses], forward[~crosses], backward[~crosses]))
+                k = (np.cumsum(crosses) - 1)[k]
+                s, forward, backward = s[crosses], forward[crosses], backward[crosses]
         every = np.concatenate([np.arange(len(s)), k, np.arange(len(s))])
         at = np.concatenate([s[:, :2], points, s[:, 2:]])
         along = ((at - s[every, :2]) * (s[:, 2:] - s[:, :2])[every]).sum(axis=1).astype(float)
@@ -134,11 +160,11 @@ def noded(s: np.ndarray, rounds: int = 60) -> tuple[np.ndarray, np.ndarray, np.n
         every, at = every[order], at[order]
         joined = every[1:] == every[:-1]
         of = every[1:][joined]
-        s, forward, backward = _counted(np.hstack([at[:-1], at[1:]])[joined], forward[of], backward[of])
+        s, forward, backward = _weighing(*_counted(np.hstack([at[:-1], at[1:]])[joined], forward[of], backward[of]), even_odd)
     raise ArithmeticError(f"segments still cross after {rounds} rounds")
 
 
-def _left_windings(edges: np.ndarray, weight: np.ndarray, at_once: int = 256) -> np.ndarray:
+def _left_windings(edges: np.ndarray, weight: np.ndarray, at_once: int = 96) -> np.ndarray:
     """The winding on the left of each edge: the weights of the edges over its middle, taken strip by strip along x."""
     middle, out = edges[:, :2] + edges[:, 2:], np.zeros(len(edges), np.int64)  # twice the middle
     upright = edges[:, 0] == edges[:, 2]
@@ -156,12 +182,10 @@ def _left_windings(edges: np.ndarray, weight: np.ndarray, at_once: int = 256) ->
     return out
 
 
-def boundary(s: np.ndarray, even_odd: bool) -> np.ndarray:
+def boundary(s: np.ndarray, even_odd: bool, starts: np.ndarray | None = None) -> np.ndarray:
     """The edges between inside and outside of what directed segments wind around, the inside on their right."""
-    edges, forward, backward = noded(s)
-    #: By how much the winding on the right exceeds that on the left.
-    weight = (forward + backward) % 2 if even_odd else forward - backward
-    edges, weight = edges[weight != 0], weight[weight != 0]
+    edges, forward, backward = noded(s, starts=starts, even_odd=even_odd)
+    weight = _weight(forward, backward, even_odd)
     if not len(edges):
         return edges
     left = _left_windings(edges, weight)
@@ -264,6 +288,35 @@ def overlay(rings: Rings, even_odd: bool) -> list[Polygon]:
     return polygons_of(chained(boundary(_segments(rings), even_odd)))
 
 
+def overlays(shapes: list[np.ndarray], even_odd: bool, most: int = 1 << 14) -> list[list[Polygon]]:
+    """``overlay`` of each of many shapes, given as directed segments.
+
+    Shapes are set side by side along x, about ``most`` segments at once, so that a small one costs no calls of its own.
+    All that is computed are differences of coordinates within a shape, so its polygons are the same as alone.
+    """
+    out: list[list[Polygon]] = []
+    begin = 0
+    while begin < len(shapes):
+        end, total = begin + 1, len(shapes[begin])
+        while end < len(shapes) and total + len(shapes[end]) <= most:
+            total += len(shapes[end])
+            end += 1
+        moved, starts, moves, at = [], [], [], 0
+        for s in shapes[begin:end]:
+            low, high = (int(f(s[:, [0, 2]])) for f in (np.min, np.max)) if len(s) else (0, 0)
+            moves.append(at - low)
+            starts.append(at)
+            moved.append(s + np.array([at - low, 0, at - low, 0]))
+            at += high - low + 2
+        found: list[Rings] = [[] for _ in starts]
+        for ring in chained(boundary(np.concatenate(moved), even_odd, np.array(starts))):
+            k = bisect.bisect_right(starts, int(ring[0, 0])) - 1
+            found[k].append(ring - (moves[k], 0))
+        out += [polygons_of(rings) for rings in found]
+        begin = end
+    return out
+
+
 def clipped(ring: np.ndarray, x0: int, y0: int, x1: int, y1: int) -> np.ndarray:
     """A ring within a box: where it leaves the box it runs along its border."""
     for axis, limit, keep_above in ((0, x0, True), (0, x1, False), (1, y0, True), (1, y1, False)):
@@ -288,52 +341,99 @@ def clipped(ring: np.ndarray, x0: int, y0: int, x1: int, y1: int) -> np.ndarray:
 
 def offset(polygons: list[Polygon], distance: float, quarter: int = 16) -> list[Polygon]:
     """Polygons grown by a distance with round corners; a negative one shrinks them."""
-    if not polygons or distance == 0:
-        return polygons
-    rings = [r for p in polygons for r in p]
-    if distance < 0:
-        every = np.concatenate(rings)
-        room = int(math.ceil(-distance)) * 4 + 4
-        (x0, y0), (x1, y1) = every.min(axis=0) - room, every.max(axis=0) + room
-        frame = np.array([(x0, y0), (x0, y1), (x1, y1), (x1, y0)])
-        around = offset([[frame, *[r[::-1] for r in rings]]], -distance, quarter)
-        inner = [r for p in around for k, r in enumerate(p) if k or (r.min(axis=0) > (x0, y0)).all()]  # all but the frame
-        return overlay([r[::-1] for r in inner], even_odd=False)
-    return overlay(rings + [x for r in rings for x in _borders(r, distance, quarter)], even_odd=False)
-
-
-def _borders(ring: np.ndarray, distance: float, quarter: int) -> Iterator[np.ndarray]:
-    """What a ring gains on its left: a rectangle along each side and a sector around each corner that sticks out."""
+    return offsets([polygons], distance, quarter)[0]
+
+
+def offsets(shapes: list[list[Polygon]], distance: float, quarter: int = 16) -> list[list[Polygon]]:
+    """``offset`` of each of many shapes."""
+    if distance == 0:
+        return shapes
+    out: list[list[Polygon]] = [[] for _ in shapes]
+    full = [k for k, polygons in enumerate(shapes) if polygons]
+    rings = [[r for p in shapes[k] for r in p] for k in full]
+    if distance > 0:
+        found = overlays([np.concatenate([_segments(of), *[_borders(r, distance, quarter) for r in of]]) for of in rings], even_odd=False)
+    else:
+        room, frames, corners = int(math.ceil(-distance)) * 4 + 4, [], []
+        for of in rings:
+            every = np.concatenate(of)
+            (x0, y0), (x1, y1) = every.min(axis=0) - room, every.max(axis=0) + room
+            frames.append([[np.array([(x0, y0), (x0, y1), (x1, y1), (x1, y0)]), *[r[::-1] for r in of]]])
+            corners.append((x0, y0))
+        around = offsets(frames, -distance, quarter)
+        inner = [[r for p in a for k, r in enumerate(p) if k or (r.min(axis=0) > low).all()] for a, low in zip(around, corners, strict=True)]  # all but the frame
+        found = overlays([_segments([r[::-1] for r in of]) for of in inner], even_odd=False)
+    for k, polygons in zip(full, found, strict=True):
+        out[k] = polygons
+    return out
+
+
+def _borders(ring: np.ndarray, distance: float, quarter: int) -> np.ndarray:
+    """The segments of what a ring gains on its left: a rectangle along each side and a sector around each corner that
+    sticks out."""
     p = ring.astype(float)
-    ahead = np.roll(p, -1, axis=0) - p
+    there = np.roll(p, -1, axis=0)
+    ahead = there - p
     normal = np.stack([-ahead[:, 1], ahead[:, 0]], axis=1) / np.hypot(ahead[:, 0], ahead[:, 1])[:, None] * distance
-    for k in range(len(p)):
-        here, there, before, after = p[k], p[(k + 1) % len(p)], normal[k - 1], normal[k]
-        yield np.rint([here, here + after, there + after, there]).astype(np.int64)
-        turn = before[0] * after[1] - before[1] * after[0]
-        if turn > 0:
-            continue
-        angle = -abs(math.atan2(turn, float(before @ after)))
+    sides = np.rint(np.stack([p, p + normal, there + normal, there], axis=1)).astype(np.int64)
+    edges = np.concatenate([sides, np.roll(sides, -1, axis=1)], axis=2).reshape(-1, 4)
+    before = np.roll(normal, 1, axis=0)
+    turn = before[:, 0] * normal[:, 1] - before[:, 1] * normal[:, 0]
+    sectors = []
+    for k in np.flatnonzero(turn <= 0).tolist():
+        (bx, by), here = before[k].tolist(), p[k]
+        angle = -abs(math.atan2(turn[k], float(before[k] @ normal[k])))
         steps = max(1, math.ceil(-angle / (math.pi / 2) * quarter))
         turned = [(math.cos(angle * i / steps), math.sin(angle * i / steps)) for i in range(1, steps)]
-        arc = [here + (c * before[0] - s * before[1], s * before[0] + c * before[1]) for c, s in turned]
-        yield np.rint([here, here + before, *arc, here + after]).astype(np.int64)
+        arc = [(c * bx - s * by, s * bx + c * by) for c, s in turned]
+        sectors.append(np.rint(np.array([(0.0, 0.0), (bx, by), *arc, tuple(normal[k])]) + here).astype(np.int64))
+    return np.concatenate([edges[(edges[:, :2] != edges[:, 2:]).any(axis=1)], _segments(sectors)])
 
 
 # --- rings of a column ---
 
 
-def _origin(rings: list[list[dict]], grid: float) -> tuple[float, float]:
-    xs, ys = [p["x"] for r in rings for p in r], [p["y"] for r in rings for p in r]
-    if max(max(xs) - min(xs), max(ys) - min(ys)) / grid > SPAN / 4:
+def _lists(values: pa.Array) -> Iterator[tuple[bool, int, int]]:
+    """For each list of an array whether it is there, and where its values begin and end."""
+    ends = values.offsets.to_numpy()
+    there = values.is_valid().to_numpy(zero_copy_only=False)
+    yield from zip(there.tolist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True)
+
+
+def shapes_of(column: pa.Array) -> list[Rings | None]:
+    """The rings, as rows (x, y), of each row of an array of rings; empty rings and null ones go."""
+    points = column.values.values
+    xy = np.stack([np.asarray(points.field(c).to_numpy(zero_copy_only=False), float) for c in ("x", "y")], axis=1)
+    inner = [xy[a:b] if there and b > a else None for there, a, b in _lists(column.values)]
+    return [[r for r in inner[a:b] if r is not None] if there else None for there, a, b in _lists(column)]
+
+
+def _nested(sizes: list[int], values: pa.Array, gone: list[bool] | None = None) -> pa.Array:
+    ends = pa.array(np.concatenate(([0], np.cumsum(np.array(sizes, np.int64)))), pa.int32())
+    return pa.ListArray.from_arrays(ends, values, mask=pa.array(gone) if gone is not None and any(gone) else None)
+
+
+def multipolygons(shapes: list[list[list[np.ndarray]] | None]) -> pa.Array:
+    """An array of multipolygons of rings of rows (x, y)."""
+    polygons = [p for s in shapes if s is not None for p in s]
+    rings = [r for p in polygons for r in p]
+    xy = np.concatenate([np.zeros((0, 2)), *rings])
+    points = pa.StructArray.from_arrays([pa.array(xy[:, 0]), pa.array(xy[:, 1])], fields=list(_POINT))
+    outlines = _nested([len(p) for p in polygons], _nested([len(r) for r in rings], points))
+    return _nested([0 if s is None else len(s) for s in shapes], outlines, [s is None for s in shapes])
+
+
+def _origin(rings: Rings, grid: float) -> tuple[float, float]:
+    every = np.concatenate(rings)
+    low = every.min(axis=0)
+    if (every.max(axis=0) - low).max() / grid > SPAN / 4:
         raise ValueError("a polygon's box is too large for the grid; take a coarser one")
-    return math.floor(min(xs) / grid) * grid, math.floor(min(ys) / grid) * grid
+    return math.floor(low[0] / grid) * grid, math.floor(low[1] / grid) * grid
 
 
-def _whole(rings: list[list[dict]], origin: tuple[float, float], grid: float) -> Rings:
+def _whole(rings: Rings, origin: tuple[float, float], grid: float) -> Rings:
     out = []
-    for ring in rings:
-        p = np.array([(q["x"], q["y"]) for q in ring], float).reshape(-1, 2)
+    for p in rings:
         p = np.rint((p - origin) / grid).astype(np.int64)
         if len(p) > 1 and (p[0] == p[-1]).all():
             p = p[:-1]
@@ -341,35 +441,49 @@ def _whole(rings: list[list[dict]], origin: tuple[float, float], grid: float) ->
     return [r for r in out if len(r) > 2]
 
 
-def _closed(ring: np.ndarray, origin: tuple[float, float], grid: float) -> list[dict]:
+def _closed_ring(ring: np.ndarray, origin: tuple[float, float], grid: float) -> np.ndarray:
     p = ring * grid + np.asarray(origin)
-    return [{"x": float(x), "y": float(y)} for x, y in np.vstack([p, p[:1]])]
+    return np.vstack([p, p[:1]])
+
+
+def _closed(ring: np.ndarray, origin: tuple[float, float], grid: float) -> list[dict]:
+    return [{"x": x, "y": y} for x, y in _closed_ring(ring, origin, grid).tolist()]
 
 
 def _kernel(of, grid: float):
-    """A column function of multipolygons or rings to multipolygons; ``of`` takes rings on the grid."""
+    """A column function of rings to multipolygons; ``of`` takes the segments of many rows, on the grid, at once.
+
+    Rows are taken AT_ONCE at a time from Arrow's own arrays, so a task holds few of them as Python objects.
+    """
+    def some(column: pa.Array) -> pa.Array:
+        shapes = shapes_of(column)
+        full = [k for k, shape in enumerate(shapes) if shape]
+        origins = [_origin(shapes[k], grid) for k in full]
+        found = of([_segments(_whole(shapes[k], origin, grid)) for k, origin in zip(full, origins, strict=True)])
+        out = [None if shape is None else [] for shape in shapes]
+        for k, origin, polygons in zip(full, origins, found, strict=True):
+            out[k] = [[_closed_ring(r, origin, grid) for r in polygon] for polygon in polygons]
+        return multipolygons(out)
+
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            out = []
-            for shape in batch.to_pylist():
-                parts = None if shape is None else [r for r in shape if r]
-                if not parts:
-                    out.append(None if shape is None else [])
-                    continue
-                origin = _origin(parts, grid)
-                out.append([[_closed(r, origin, grid) for r in polygon] for polygon in of(_whole(parts, origin, grid))])
-            yield pa.array(out, pa.list_(pa.list_(pa.list_(_POINT))))
+            yield pa.concat_arrays([some(batch.slice(k, AT_ONCE)) for k in range(0, max(1, len(batch)), AT_ONCE)])
 
     return F.arrow_udf(run, f"array<{RINGS}>")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """rows dealt evenly over as many tasks as a shuffle has: a small file of shapes is one partition, but hours of work."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def repaired(polygons: DataFrame, rings: str = "rings", geometry: str = "geometry", grid: float = GRID) -> DataFrame:
     """polygons with ``geometry``, the valid multipolygon of what their rings enclose an odd number of times.
 
     Rings may cross themselves and each other in any way. Points are taken to the nearest multiple of ``grid``. Null
     rings give null, rings without area an empty multipolygon.
     """
-    return polygons.withColumn(geometry, _kernel(lambda r: overlay(r, even_odd=True), grid)(rings))
+    return polygons.withColumn(geometry, _kernel(lambda s: overlays(s, even_odd=True), grid)(rings))
 
 
 def buffered(polygons: DataFrame, steps: list[float], rings: str = "rings", geometry: str = "geometry", grid: float = GRID) -> DataFrame:
@@ -378,10 +492,10 @@ def buffered(polygons: DataFrame, steps: list[float], rings: str = "rings", geom
     Steps (t, -t) close gaps of up to 2 t and fill notches; (-t, t) take off what is thinner. A quarter of a circle is 16
     straight pieces.
     """
-    def of(shape: Rings) -> list[Polygon]:
-        found = overlay(shape, even_odd=True)
+    def of(shapes: list[np.ndarray]) -> list[list[Polygon]]:
+        found = overlays(shapes, even_odd=True)
         for step in steps:
-            found = offset(found, step / grid)
+            found = offsets(found, step / grid)
         return found
 
     return polygons.withColumn(geometry, _kernel(of, grid)(rings))
@@ -398,19 +512,23 @@ def _pieces(parts: DataFrame, cell: int, grid: float) -> DataFrame:
     kinds = {"key": pa.string(), "cx": pa.int64(), "cy": pa.int64(), "xs": pa.list_(pa.int64()), "ys": pa.list_(pa.int64())}
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:  # rings of unequal lengths have no pandas form
-        for batch in batches:
+        for batch in (b.slice(k, AT_ONCE) for b in batches for k in range(0, b.num_rows, AT_ONCE)):
             out = {c: [] for c in kinds}
-            for key, shape in zip(batch["key"].to_pylist(), batch["shape"].to_pylist(), strict=True):
-                rings = [r for r in shape if r]
-                if not rings:
-                    continue
-                origin = _origin(rings, grid)
+            full = [(key, rings) for key, rings in zip(batch["key"].to_pylist(), shapes_of(batch["shape"]), strict=True) if rings]
+            origins = [_origin(rings, grid) for _, rings in full]
+            found = overlays([_segments(_whole(rings, origin, grid)) for (_, rings), origin in zip(full, origins, strict=True)], even_odd=True)
+            for (key, _), origin, polygons in zip(full, origins, found, strict=True):
                 move = np.rint(np.array(origin) / grid).astype(np.int64)
-                valid = [r + move for p in overlay(_whole(rings, origin, grid), even_odd=True) for r in p]
+                valid = [r + move for p in polygons for r in p]
                 if not valid:
                     continue
                 every = np.concatenate(valid)
                 low, high = every.min(axis=0) // cell, (every.max(axis=0) - 1) // cell
+                if (low == high).all():
+                    for ring in valid:
+                        for c, v in (("key", key), ("cx", int(low[0])), ("cy", int(low[1])), ("xs", ring[:, 0]), ("ys", ring[:, 1])):
+                            out[c].append(v)
+                    continue
                 for cx in range(int(low[0]), int(high[0]) + 1):
                     strip = [clipped(r, cx * cell, int(low[1]) * cell, (cx + 1) * cell, (int(high[1]) + 1) * cell) for r in valid]
                     for cy in range(int(low[1]), int(high[1]) + 1):
@@ -445,6 +563,7 @@ def _cell_edges(pieces: DataFrame, cell: int) -> DataFrame:
                     held, waiting = overlay([r for p in held for r in p] + waiting, even_odd=False), []
         if waiting:
             held = overlay([r for p in held for r in p] + waiting, even_odd=False)
+        out = []
         for n, polygon in enumerate(held):
             edges = _segments(polygon) + np.tile(origin, 2)
             side = np.full(len(edges), None, object)
@@ -452,10 +571,10 @@ def _cell_edges(pieces: DataFrame, cell: int) -> DataFrame:
                 on = (edges[:, axis] == edges[:, axis + 2]) & (edges[:, axis] % cell == 0)
                 for k in np.flatnonzero(on):
                     side[k] = f"{'xy'[axis]}:{edges[k, axis] // cell}:{(cx, cy)[1 - axis]}"
-            yield pd.DataFrame({
-                "key": name, "part": f"{name}|{cx}|{cy}|{n}", "side": side,
-                **{c: edges[:, i] for i, c in enumerate(("x0", "y0", "x1", "y1"))},
-            })
+            out.append((np.full(len(edges), f"{name}|{cx}|{cy}|{n}", object), side, edges))
+        if out:
+            part, side, edges = (np.concatenate(x) for x in zip(*out, strict=True))
+            yield pd.DataFrame({"key": name, "part": part, "side": side, **{c: edges[:, i] for i, c in enumerate(("x0", "y0", "x1", "y1"))}})
 
     return pieces.groupBy("key", "cx", "cy").applyInPandas(of, _EDGES)
 

@@ -52,7 +52,7 @@ def repaired_polygons(spark, d):
     """Boxes whose corners come in an order that makes the ring cross itself."""
     x0, y0, x1, y1 = (F.col(c) for c in ("x0", "y0", "x1", "y1"))
     bow = F.array(*[geometry.point(x, y) for x, y in ((x0, y0), (x1, y1), (x1, y0), (x0, y1), (x0, y0))])
-    out = overlay.repaired(_boxes(spark, d).withColumn("rings", F.array(bow)))
+    out = overlay.repaired(overlay.spread(_boxes(spark, d)).withColumn("rings", F.array(bow)))
     return out.select("label_id", F.size("geometry").alias("parts"), F.round(_total(F.col("geometry")), 6).alias("area"))
 
 
@@ -129,7 +129,7 @@ def crossing_rings(spark, d):
         "hole": [whole, ring("x1 - 2.5", "y0 + 2", "x1 + 1.75", "y1 - 2")],
         "nested": [ring("x0 + 1", "y0 + 1", "x1 - 1", "y1 - 1"), whole, ring("x0 + 2.75", "y0 + 2.75", "x1 - 2.75", "y1 - 2.75")],
     }
-    rows = _boxes(spark, d).select("label_id", F.explode(F.map_from_arrays(F.array(*map(F.lit, kinds)), F.array(*[F.array(*r) for r in kinds.values()]))).alias("kind", "rings"))
+    rows = overlay.spread(_boxes(spark, d)).select("label_id", F.explode(F.map_from_arrays(F.array(*map(F.lit, kinds)), F.array(*[F.array(*r) for r in kinds.values()]))).alias("kind", "rings"))
     out = overlay.repaired(rows)
     return out.select("label_id", "kind", F.size("geometry").alias("parts"), F.round(_total(F.col("geometry")), 6).alias("area"))
 
@@ -143,7 +143,7 @@ def closed_gaps(spark, d):
     gap, width = F.col("label_id") % 9 / 4.0, x1 - x0
     pair = F.array(geometry.box_ring(x0, y0, x1, y1), geometry.box_ring(x1 + gap, y0, x1 + gap + width, y1))
     spiked = F.array(geometry.box_ring(x0, y0, x1, y1), geometry.box_ring(x1, y0 + 1, x1 + 4, y0 + 1.5))
-    rows = _boxes(spark, d).select("label_id", "x1", pair.alias("pair"), F.array(geometry.box_ring(x0, y0, x1, y1)).alias("one"), spiked.alias("spiked"))
+    rows = overlay.spread(_boxes(spark, d)).select("label_id", "x1", pair.alias("pair"), F.array(geometry.box_ring(x0, y0, x1, y1)).alias("one"), spiked.alias("spiked"))
     out = overlay.buffered(rows, [0.75, -0.75], "pair", "closed")
     out = overlay.buffered(overlay.buffered(out, [-0.75], "one", "small"), [-0.5, 0.5], "spiked", "open")
     wide = F.array_max(F.transform(F.get(F.get("open", F.lit(0)), F.lit(0)), lambda p: p["x"])) > x1 + 0.1

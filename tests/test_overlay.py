@@ -193,3 +193,38 @@ def test_repaired_and_buffered_columns(spark):
     assert len(out["a"]) == 2 and out["b"] == out["c"] == [] and out["d"] is None
     out = {r.k: r.geometry for r in overlay.buffered(rows, [1.0, -1.0]).collect()}
     assert len(out["a"]) == 1 and out["b"] == [] and out["d"] is None
+
+
+def test_shapes_side_by_side_are_as_alone():
+    rng = np.random.default_rng(8)
+    shapes_ = [[star(rng, int(rng.integers(3, 9)), 4000) * int(rng.integers(1, 30)) for _ in range(int(rng.integers(1, 4)))] for _ in range(25)] + [[]]
+    same = lambda a, b: len(a) == len(b) and all(len(p) == len(q) and all(map(np.array_equal, p, q)) for p, q in zip(a, b, strict=True))
+    for even_odd in (True, False):
+        alone = [overlay.overlay(r, even_odd) for r in shapes_]
+        for most in (1, 100, 1 << 14):
+            together = overlay.overlays([overlay._segments(r) for r in shapes_], even_odd, most)
+            assert all(map(same, alone, together))
+    for step in (300.0, -300.0):
+        assert all(map(same, [overlay.offset(x, step) for x in alone], overlay.offsets(alone, step)))
+
+
+def test_rings_come_from_arrow_and_go_back():
+    import pyarrow as pa
+
+    p = lambda *xy: [{"x": float(x), "y": float(y)} for x, y in xy]
+    ring, other = p((0, 0), (0, 2), (2, 2)), p((5, 5), (5, 7), (9, 9), (9, 5))
+    kind = pa.list_(pa.list_(overlay._POINT))
+    column = pa.array([[other], None, [], [ring, None, [], other], [ring]], kind)
+    for part in (column, column.slice(1), column.slice(3, 1)):
+        read = overlay.shapes_of(part)
+        assert [None if s is None else [r.tolist() for r in s] for s in read] == [
+            None if s is None else [[[q["x"], q["y"]] for q in r] for r in s if r] for s in part.to_pylist()]
+    out = overlay.multipolygons([None if s is None else [s] for s in overlay.shapes_of(column)])
+    assert out.type == pa.list_(kind) and out.to_pylist() == [[[other]], None, [[]], [[ring, other]], [[ring]]]
+
+
+def test_a_small_file_of_shapes_is_worked_on_by_many_tasks(spark):
+    from rasterloom.plans.shape_queries import closed_gaps
+
+    out = closed_gaps(spark, "/root/testdata/sf0.001")
+    assert out.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
