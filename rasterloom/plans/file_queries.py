@@ -68,8 +68,10 @@ def geotiff_windows(spark, d):
 
 @query("geotiff_area_of_interest", "SELECT CAST(tile_id AS VARCHAR) AS scene_id, CAST(c // 16 * 16 AS INT) AS col_off, CAST(r // 16 * 16 AS INT) AS row_off, CAST(max(v) AS DOUBLE) AS most FROM raster q WHERE c // 16 * 8 + 100 < 118 AND (c // 16 + 1) * 8 + 100 > 109 AND 900 - r // 16 * 8 > 890 AND EXISTS (SELECT 1 FROM raster w WHERE w.tile_id = q.tile_id AND w.r >= 16) GROUP BY tile_id, c // 16, r // 16")
 def geotiff_area_of_interest(spark, d):
-    """Only the windows that meet an area, of scenes of more than one row of windows: filters reach the files' blocks."""
-    tiles = spark.read.format("geotiff").option("tileSize", 16).load(_tile_folder(spark, d))
+    """Only the windows that meet an area, of scenes of more than one row of windows: filters reach the files' blocks.
+
+    A scene's windows are a grid of 16 pixels, whatever its height; those at its edge are smaller."""
+    tiles = spark.read.format("geotiff").option("tileSize", 16).option("edge", "cut").load(_tile_folder(spark, d))
     most = F.array_max(F.element_at("bands", 1)).cast("double")
     near = tiles.filter("west < 118 AND east > 109 AND north > 890").select("scene_id", "col_off", "row_off", most.alias("most"))
     tall = table(spark, d, "raster").filter("r >= 16").select(F.col("tile_id").cast("string").alias("scene_id")).distinct()

@@ -143,8 +143,10 @@ def window_transform(place: tuple[float, ...], x: int, y: int, scale_x: float =
     return a * scale_x, b * scale_y, c + a * x + b * y, d * scale_x, e * scale_y, f + d * x + e * y
 
 
-def offsets(length: int, size: int, overlap: int) -> list[int]:
-    """Starts of windows along an axis, the last moved back to end at the edge."""
+def offsets(length: int, size: int, overlap: int, cut: bool = False) -> list[int]:
+    """Starts of windows along an axis, the last moved back to end at the edge; with ``cut`` it stays and is smaller."""
+    if cut:
+        return list(range(0, max(length - overlap, 1), size - overlap))
     last = max(length - size, 0)
     return list(dict.fromkeys([*range(0, last + 1, size - overlap), last]))
 
@@ -178,13 +180,16 @@ class _Settings:
     bands: list[int] | None
     output: int | None
     part_bytes: int
+    cut: bool = False
     tests: list[tuple[str, type, object]] = field(default_factory=list)
 
     @classmethod
     def of(cls, options: dict[str, str]) -> _Settings:
         bands = [int(b) for b in options["bands"].split(",")] if options.get("bands") else None
         output = int(options["outputsize"]) if options.get("outputsize") else None
-        out = cls(int(options.get("tilesize", 512)), int(options.get("overlap", 0)), bands, output, int(options.get("partitionbytes", 128 << 20)))
+        out = cls(int(options.get("tilesize", 512)), int(options.get("overlap", 0)), bands, output, int(options.get("partitionbytes", 128 << 20)), options.get("edge", "move") == "cut")
+        if options.get("edge", "move") not in ("move", "cut"):
+            raise ValueError("edge must be move or cut")
         if out.size <= 0 or not 0 <= out.overlap < out.size or (output is not None and output <= 0) or out.part_bytes <= 0:
             raise ValueError("tileSize, outputSize and partitionBytes must be positive and overlap from 0 to below tileSize")
         return out
@@ -223,7 +228,7 @@ class GeoTiffReader(DataSourceReader):
 
     def read(self, partition: WindowRange) -> Iterator[pa.RecordBatch]:
         s, image, scene = self.settings, opened(partition.path), scene_of(partition.path)
-        xs, ys = offsets(image.width, s.size, s.overlap), offsets(image.height, s.size, s.overlap)
+        xs, ys = offsets(image.width, s.size, s.overlap, s.cut), offsets(image.height, s.size, s.overlap, s.cut)
         n = len(xs) * len(ys)
         chosen = None if s.bands is None else [b - 1 for b in s.bands]
         if chosen and not all(0 <= b < image.bands for b in chosen):
@@ -395,7 +400,8 @@ class GeoTiffWriter(DataSourceWriter):
 
 
 class GeoTiffSource(DataSource):
-    """Options of reads: tileSize, overlap, bands (from 1), outputSize (each window at that many pixels a side), partitionBytes.
+    """Options of reads: tileSize, overlap, bands (from 1), outputSize (each window at that many pixels a side), partitionBytes,
+    edge (move: the last window of an axis is moved back to end at the image's edge; cut: it stays in the grid and is smaller).
     Options of writes: dtype, tileSize, overviews."""
 
     @classmethod

@@ -158,3 +158,30 @@ def test_a_failed_task_leaves_no_file(geo, tmp_path):
     with pytest.raises(Exception, match="one name"):
         twice.repartition(4).write.format("geotiff").mode("append").save(str(tmp_path / "out"))
     assert [n for _, _, files in os.walk(tmp_path) for n in files] == []
+
+
+@pytest.mark.parametrize("rows", [84, 99, 128, 163])
+def test_an_area_of_interest_of_scenes_of_any_height_is_as_in_sql(geo, tmp_path, rows):
+    import duckdb
+
+    from rasterloom.plans.registry import ORACLE_SQL, QUERIES
+
+    con = duckdb.connect()
+    con.execute(f"COPY (SELECT * FROM '/root/testdata/sf0.01/embeddings.parquet' WHERE vec_id < {rows}) TO '{tmp_path}/embeddings.parquet' (FORMAT parquet)")
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet'")
+    want = con.execute(ORACLE_SQL["geotiff_area_of_interest"]).fetchall()
+    assert sorted(map(tuple, QUERIES["geotiff_area_of_interest"](geo, str(tmp_path)).collect())) == sorted(want)
+
+
+def test_windows_at_the_edge_are_moved_or_cut(geo, tmp_path):
+    image = picture(1, 20, 35)
+    (tmp_path / "a.tif").write_bytes(tiff.encode(image, PLACE))
+    for overlap, xs, ys in ((0, [0, 16, 32], [0, 16]), (4, [0, 12, 24], [0, 12])):
+        rows = load(geo, tmp_path, tileSize=16, overlap=overlap, edge="cut").collect()
+        assert sorted((r.col_off, r.row_off) for r in rows) == sorted((x, y) for x in xs for y in ys)
+        for r in rows:
+            part = image[0, r.row_off : r.row_off + 16, r.col_off : r.col_off + 16]
+            assert (r.win_height, r.win_width) == part.shape and np.array_equal(np.array(r.bands[0]).reshape(part.shape), part)
+    assert geotiff.offsets(20, 16, 0) == [0, 4]
+    with pytest.raises(Exception, match="edge must be"):
+        load(geo, tmp_path, edge="none").collect()
