@@ -393,19 +393,23 @@ def _borders(ring: np.ndarray, distance: float, quarter: int) -> np.ndarray:
 # --- rings of a column ---
 
 
-def _lists(values: pa.Array) -> Iterator[tuple[bool, int, int]]:
-    """For each list of an array whether it is there, and where its values begin and end."""
-    ends = values.offsets.to_numpy()
-    there = values.is_valid().to_numpy(zero_copy_only=False)
-    yield from zip(there.tolist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True)
-
-
-def shapes_of(column: pa.Array) -> list[Rings | None]:
-    """The rings, as rows (x, y), of each row of an array of rings; empty rings and null ones go."""
-    points = column.values.values
+def lists(column: pa.Array) -> tuple[list[tuple[bool, int, int]], pa.Array]:
+    """For each list of an array whether it is there, and where its values begin and end; and the values, of this part alone."""
+    if not len(column):  # Java sends no offsets of an empty array
+        return [], column.values.slice(0, 0)
+    ends = column.offsets.to_numpy()
+    there = column.is_valid().to_numpy(zero_copy_only=False)
+    places = (ends - ends[0]).tolist()
+    return list(zip(there.tolist(), places[:-1], places[1:], strict=True)), column.values.slice(int(ends[0]), int(ends[-1] - ends[0]))
+
+
+def shapes_of(column: pa.Array, whole: bool = False) -> list[Rings | None]:
+    """The rings, as rows (x, y), of each row of an array of rings; empty and null ones go, but with ``whole`` stay, empty."""
+    rows, rings = lists(column)
+    outlines, points = lists(rings)
     xy = np.stack([np.asarray(points.field(c).to_numpy(zero_copy_only=False), float) for c in ("x", "y")], axis=1)
-    inner = [xy[a:b] if there and b > a else None for there, a, b in _lists(column.values)]
-    return [[r for r in inner[a:b] if r is not None] if there else None for there, a, b in _lists(column)]
+    inner = [xy[a:b] if there and b > a else xy[:0] if whole else None for there, a, b in outlines]
+    return [[r for r in inner[a:b] if r is not None] if there else None for there, a, b in rows]
 
 
 def _nested(sizes: list[int], values: pa.Array, gone: list[bool] | None = None) -> pa.Array:
@@ -413,14 +417,18 @@ def _nested(sizes: list[int], values: pa.Array, gone: list[bool] | None = None)
     return pa.ListArray.from_arrays(ends, values, mask=pa.array(gone) if gone is not None and any(gone) else None)
 
 
-def multipolygons(shapes: list[list[list[np.ndarray]] | None]) -> pa.Array:
-    """An array of multipolygons of rings of rows (x, y)."""
-    polygons = [p for s in shapes if s is not None for p in s]
-    rings = [r for p in polygons for r in p]
+def many_rings(shapes: list[list[np.ndarray] | None]) -> pa.Array:
+    """An array of rings, of rows (x, y) each."""
+    rings = [r for s in shapes if s is not None for r in s]
     xy = np.concatenate([np.zeros((0, 2)), *rings])
     points = pa.StructArray.from_arrays([pa.array(xy[:, 0]), pa.array(xy[:, 1])], fields=list(_POINT))
-    outlines = _nested([len(p) for p in polygons], _nested([len(r) for r in rings], points))
-    return _nested([0 if s is None else len(s) for s in shapes], outlines, [s is None for s in shapes])
+    return _nested([0 if s is None else len(s) for s in shapes], _nested([len(r) for r in rings], points), [s is None for s in shapes])
+
+
+def multipolygons(shapes: list[list[list[np.ndarray]] | None]) -> pa.Array:
+    """An array of multipolygons of rings of rows (x, y)."""
+    polygons = many_rings([p for s in shapes if s is not None for p in s])
+    return _nested([0 if s is None else len(s) for s in shapes], polygons, [s is None for s in shapes])
 
 
 def _origin(rings: Rings, grid: float) -> tuple[float, float]:

@@ -317,31 +317,40 @@ def united_cells(polygons: DataFrame, keys: list[str], rings: str = "rings") ->
     return parts.select(F.from_json("class_name", fields).alias("k"), "label", "rings").select(*[F.col(f"k.{c}").alias(c) for c in keys], "label", "rings")
 
 
-def _plain(rings: list[list[dict]]) -> list[Ring]:
-    return [[(p["x"], p["y"]) for p in ring] for ring in rings]
+def _ring(ring: np.ndarray) -> Ring:
+    return [tuple(p) for p in ring.tolist()]
 
 
-def _each(kernel: Callable[[list[Ring]], list[Ring]]):
-    """A column function of rings to rings. It takes Arrow arrays: rings of unequal lengths have no pandas form."""
+def _rings(rings: list[Ring]) -> list[np.ndarray]:
+    return [np.asarray(r, float).reshape(-1, 2) for r in rings]
+
+
+def _sliced(some: Callable[[pa.Array], pa.Array]):
+    """An Arrow function that works on AT_ONCE rows at a time, so that few of them are Python objects."""
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            out = [None if rings is None else [[{"x": float(x), "y": float(y)} for x, y in ring] for ring in kernel(_plain(rings))] for rings in batch.to_pylist()]
-            yield pa.array(out, _ARROW_RINGS)
+            yield pa.concat_arrays([some(batch.slice(k, overlay.AT_ONCE)) for k in range(0, max(1, len(batch)), overlay.AT_ONCE)])
 
-    return F.arrow_udf(of, RINGS)
+    return of
+
+
+def _each(kernel: Callable[[list[Ring]], list[Ring]]):
+    """A column function of rings to rings. It takes Arrow arrays: rings of unequal lengths have no pandas form."""
+    def some(column: pa.Array) -> pa.Array:
+        return overlay.many_rings([None if rings is None else _rings(kernel([_ring(r) for r in rings])) for rings in overlay.shapes_of(column, whole=True)])
+
+    return F.arrow_udf(_sliced(some), RINGS)
 
 
 def each_part(kernel: Callable[[list[list[Ring]]], list[list[Ring]]]):
     """A column function of multipolygons to multipolygons, as ``_each``."""
-    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            out = [
-                None if parts is None else [[[{"x": float(x), "y": float(y)} for x, y in ring] for ring in part] for part in kernel([_plain(p) for p in parts])]
-                for parts in batch.to_pylist()
-            ]
-            yield pa.array(out, pa.list_(_ARROW_RINGS))
+    def some(column: pa.Array) -> pa.Array:
+        places, polygons = overlay.lists(column)
+        parts = overlay.shapes_of(polygons, whole=True)
+        rows = [parts[a:b] if there else None for there, a, b in places]
+        return overlay.multipolygons([None if row is None else [_rings(p) for p in kernel([[_ring(r) for r in p] for p in row])] for row in rows])
 
-    return F.arrow_udf(of, f"array<{RINGS}>")
+    return F.arrow_udf(_sliced(some), f"array<{RINGS}>")
 
 
 def simplified(polygons: DataFrame, tolerance: float) -> DataFrame:

@@ -77,3 +77,25 @@ def test_shapes_without_area_stay(spark):
     df = spark.createDataFrame(rows, f"k int, rings {RINGS}")
     for out in (shapes.regularized(df, 0.1), shapes.simplified(df, 0.1)):
         assert {r.k: None if r.rings is None else [[(p.x, p.y) for p in q] for q in r.rings] for r in out.collect()}.keys() == {0, 1, 2, 3}
+
+
+def test_shape_columns_hold_few_rows_at_a_time(spark, monkeypatch):
+    import pyarrow as pa
+
+    p = [{"x": 0.0, "y": 0.0}, {"x": 0.0, "y": 2.0}, {"x": 2.0, "y": 2.0}, {"x": 0.0, "y": 0.0}]
+    rows = [[p], None, [], [p, []], [p, p]] * 300
+    kind = pa.list_(pa.list_(shapes.overlay._POINT))
+    seen = []
+
+    def some(part):
+        seen.append(len(part))
+        held = shapes.overlay.shapes_of(part, whole=True)
+        assert sum(len(r) for s in held if s for r in s) <= 16 * len(part)
+        return shapes.overlay.many_rings(held)
+
+    (out,) = shapes._sliced(some)(iter([pa.array(rows, kind)]))
+    assert out.to_pylist() == rows and max(seen) <= shapes.overlay.AT_ONCE and sum(seen) == len(rows)
+    kept = spark.createDataFrame([(1, [p]), (2, None), (3, [p, p])], f"k int, rings {shapes.RINGS}").withColumn("rings", shapes._each(lambda r: r)("rings"))
+    assert [r.rings if r.rings is None else len(r.rings) for r in kept.orderBy("k").collect()] == [1, None, 2]
+    parts = spark.createDataFrame([(1, [[p], [p]]), (2, None), (3, [])], f"k int, g array<{shapes.RINGS}>").withColumn("g", shapes.each_part(lambda r: r)("g"))
+    assert [r.g if r.g is None else len(r.g) for r in parts.orderBy("k").collect()] == [2, None, 0]
