@@ -22,6 +22,8 @@ FIRST_FIELDS = 40  # the fields that the first comparisons are taken from
 CHUNK, BATCH = 100_000, 500
 #: What rows of one bucket share: a field's value and a pair of blocks.
 BUCKET = ["key", "block_i", "block_j"]
+#: What texts that are compared at once share, and about how many of a cluster are in a block.
+CLUSTER, TEXTS = ["cluster", "block_i", "block_j"], 512
 
 
 def fingerprint(text: str | None, words: int = 4) -> int:
@@ -307,8 +309,8 @@ def _ends(codes: np.ndarray, budget: int) -> Iterator[tuple[np.ndarray, np.ndarr
 def _bucket_pairs(every: bool, budget: int):
     """Pairs of nodes that share a bucket and differ in at most ``budget`` bits of 128.
 
-    Without ``every``: each row with its first near row before it and its last one after it, so their number is in
-    proportion to the rows. With it: all that have different roots.
+    Without ``every``: each row with its first near row before it and its last one after it. With it: of all that have
+    different roots, pairs that connect the same rows. Either way their number is in proportion to the rows.
     """
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -332,6 +334,7 @@ def _bucket_pairs(every: bool, budget: int):
         lo = np.concatenate([np.arange(a, b) for a, b in zip(run[~long], end[~long], strict=True)] or [np.array([], np.int64)])
         hi = np.repeat(end[~long], (end - run)[~long])
         size = np.cumsum(hi - lo - 1)
+        met = np.arange(len(node))
         for at in np.split(np.arange(len(lo)), np.searchsorted(size, np.arange(CHUNK, size[-1] if len(size) else 0, CHUNK))):
             a, b = _expand(lo[at], np.ones(len(at), np.int64), lo[at] + 1, (hi - lo)[at] - 1)
             near = np.bitwise_count(codes[a] ^ codes[b]).sum(axis=1) <= budget
@@ -342,8 +345,56 @@ def _bucket_pairs(every: bool, budget: int):
                 last = np.append(np.flatnonzero(a[1:] != a[:-1]), len(a) - 1)
                 keep = np.union1d(first, last)
                 a, b = a[keep], b[keep]
-            if len(a):
+            if every and len(a):  # folded in as they come
+                met = spanning(met[a], met[b], len(met))[met]
+            elif len(a):
                 yield pd.DataFrame({"a": node[a], "b": node[b]}).drop_duplicates()
+        at = np.flatnonzero(met != np.arange(len(met)))
+        if len(at):
+            yield pd.DataFrame({"a": node[met[at]], "b": node[at]})
+
+    return of
+
+
+def _linked(words: int, least: float, budget: int):
+    """Links (a, b) that connect all similar texts of one cluster and block pair whose roots are different.
+
+    Texts that differ in over ``budget`` bits of 128 aren't compared. Overlaps are counted on the shingles' hashes, one
+    text against all, and what reaches ``least`` by them is compared by its shingles; a text meets no other that links
+    have brought together with it.
+    """
+
+    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in runs_of(batches, CLUSTER, BATCH):
+            for _, run in rows.groupby(CLUSTER, sort=False):
+                found = in_run(run.reset_index(drop=True))
+                if found:
+                    yield pd.DataFrame(found, columns=["a", "b"])
+
+    def in_run(rows: pd.DataFrame) -> list[tuple[int, int]]:
+        codes = np.stack([rows.f1.to_numpy(), rows.f2.to_numpy()], axis=1).view(np.uint64)
+        node, block = rows.node.to_numpy(), rows.block.to_numpy()
+        root = np.unique(rows.root.to_numpy(), return_inverse=True)[1]
+        inner, digest, out = rows.block_i.iloc[0] == rows.block_j.iloc[0], xxhash.xxh64_intdigest, []
+        hashes = [np.unique(np.fromiter((digest(x, SEED) for x in shingles(t, words)), np.uint64)) for t in rows.text]
+        size = np.array([len(h) for h in hashes])
+        end = np.cumsum(size)
+        number = np.unique(np.concatenate(hashes), return_inverse=True)[1]
+        for k in range(len(rows) - 1):
+            near = (np.bitwise_count(codes[k + 1 :] ^ codes[k]).sum(axis=1) <= budget) & (root[k + 1 :] != root[k]) & ((block[k + 1 :] == block[k]) == inner)
+            near &= np.minimum(size[k + 1 :], size[k]) + 1e-9 >= least * np.maximum(size[k + 1 :], size[k])
+            at = np.flatnonzero(near) + k + 1
+            if not len(at):
+                continue
+            own = np.zeros(number.max() + 1, bool)
+            own[number[end[k] - size[k] : end[k]]] = True
+            shared = np.concatenate(([0], np.cumsum(own[number[end[k] :]])))
+            both = shared[end[at] - end[k]] - shared[end[at] - size[at] - end[k]]
+            for j in at[both + 1e-9 >= least * (size[at] + size[k] - both)].tolist():
+                if root[j] != root[k] and similar(shingles(rows.text[k], words), shingles(rows.text[j], words), least):
+                    out.append((node[k], node[j]))
+                    root[root == root[j]] = root[k]
+        return out
 
     return of
 
@@ -359,8 +410,9 @@ def similar_groups(
     830 shares no field; at 0.85, one in 25,000; for texts of under ten words at 0.8, one in 40. Each candidate is
     then compared by its shingles themselves. First each text is compared with its outermost candidates, the smallest
     and the largest node that FIRST_FIELDS of the fields give; of all fields the other pairs only where those left them
-    in different components, so a group of near copies doesn't meet pair by pair. A field's value shared by over
-    ``block_rows`` texts is cut into block pairs.
+    in different components, so a group of near copies doesn't meet pair by pair. Those other pairs are never rows: what
+    they connect is a cluster, whose texts are compared in tasks of TEXTS texts against TEXTS, and only links come out.
+    A field's value shared by over ``block_rows`` texts is cut into block pairs.
 
     Nulls, repeated rows and empty tables are as in simhash_groups. Texts with the same words in lower case are one.
     """
@@ -397,6 +449,14 @@ def similar_groups(
             )
             return stored(full.select("a", "b", "x", "y").mapInPandas(verified, "a long, b long"), "links")
 
+    def inside(members: DataFrame) -> DataFrame:
+        texts = rows.select(_nodes(F.col("text")).alias("node"), "text").join(members.select("node"), "node", "left_semi").dropDuplicates(["node"])
+        dealt = stored(pair_blocks(members, ["cluster"], "node", TEXTS), "cluster-blocks")
+        with _small_batches(docs.sparkSession):
+            texts = stored(texts, "cluster-texts")
+            met = dealt.join(texts, "node").repartition(*CLUSTER).sortWithinPartitions(*CLUSTER)
+            return stored(met.mapInPandas(_linked(words, least, NEAR), "a long, b long"), "links")
+
     near = stored(pairs(codes, False), "near-rows")
     outer = stored(
         near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b").union(near.groupBy("a").agg(F.max("b").alias("b")).select("a", "b")).distinct(), "pairs"
@@ -404,8 +464,9 @@ def similar_groups(
     found = links(outer)
     roots = components(found).withColumnRenamed("node", "n")
     open_ = stored(codes.select("node").join(roots, F.col("node") == F.col("n"), "left").select("node", F.coalesce("root", "node").alias("root")), "open")
-    rest = stored(pairs(codes.join(open_, "node"), True).distinct().join(outer, ["a", "b"], "left_anti"), "pairs")
-    roots = components(found.unionByName(links(rest)))
+    clusters = components(pairs(codes.join(open_, "node"), True)).withColumnRenamed("root", "cluster")
+    members = stored(codes.select("node", "f1", "f2").join(open_, "node").join(clusters, "node"), "clusters")
+    roots = components(found.unionByName(inside(members)))
     lows = of.groupBy("node").agg(F.min("id").alias("low"))
     linked = stored(lows.join(roots, "node").select("node", "low", "root"), "linked")
     low = stored(linked.groupBy("root").agg(F.min("low").alias("component_id")), "lowest-ids")
