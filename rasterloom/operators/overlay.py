@@ -14,7 +14,7 @@ from __future__ import annotations
 import bisect
 import functools
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -485,6 +485,41 @@ def spread(rows: DataFrame) -> DataFrame:
     return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+def by_runs(rows: DataFrame, keys: list[str], of: Callable[[pd.DataFrame], list[tuple]], schema: str) -> DataFrame:
+    """rows under a function of all rows of equal keys, which returns rows of ``schema``.
+
+    As a grouping in pandas, but many small groups are a batch and not one each, and they are dealt over as many tasks as a
+    shuffle has: Spark makes few tasks of few bytes, whatever their work. A task holds two batches, or its largest group.
+    """
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def whole(frame: pd.DataFrame) -> pd.DataFrame:
+        found = [row for _, part in frame.groupby(keys, sort=False, dropna=False) for row in of(part)]
+        return pd.DataFrame(found, columns=names)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        for batch in batches:
+            if not len(batch):
+                continue
+            last = np.ones(len(batch), bool)
+            for k in keys:
+                end = batch[k].iloc[-1]
+                last &= (batch[k].isna() if pd.isna(end) else batch[k] == end).to_numpy(bool)
+            begin = int(np.flatnonzero(~last)[-1]) + 1 if not last.all() else 0
+            if held and (begin or any(pd.isna(a) != pd.isna(b) or not (pd.isna(a) or a == b) for a, b in zip(held[-1][keys].iloc[-1], batch[keys].iloc[0], strict=True))):
+                yield whole(pd.concat([*held, batch.iloc[:begin]], ignore_index=True))
+                held = []
+            elif begin:
+                yield whole(batch.iloc[:begin])
+            held.append(batch.iloc[begin:])
+        if held:
+            yield whole(pd.concat(held, ignore_index=True))
+
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(tasks, *keys).sortWithinPartitions(*keys).mapInPandas(run, schema)
+
+
 def repaired(polygons: DataFrame, rings: str = "rings", geometry: str = "geometry", grid: float = GRID) -> DataFrame:
     """polygons with ``geometry``, the valid multipolygon of what their rings enclose an odd number of times.
 
@@ -633,13 +668,14 @@ def united(polygons: DataFrame, keys: list[str], rings: str = "rings", cell: flo
     left = edges.filter(F.col("side").isNull()).drop("side").unionByName(shared.filter(F.col("other").isNull()).drop("other"))
     whole = left.join(roots, left["part"] == roots["node"], "left").withColumn("region", F.coalesce("root", "part"))
 
-    def closed(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+    def closed(frame: pd.DataFrame) -> list[tuple]:
         e = frame[["x0", "y0", "x1", "y1"]].to_numpy(np.int64)
+        name, region = frame["key"].iloc[0], frame["region"].iloc[0]
         origin = e[:, :2].min(axis=0)
         found = polygons_of(chained(e - np.tile(origin, 2)))
         shapes = [[_closed(r, tuple((origin * grid).tolist()), grid) for r in p] for p in found]
-        return pd.DataFrame({"key": key[0], "label": [f"{key[1]}|{n}" for n in range(len(shapes))], "rings": shapes})
+        return [(name, f"{region}|{n}", rings) for n, rings in enumerate(shapes)]
 
-    out = whole.groupBy("key", "region").applyInPandas(closed, f"key string, label string, rings {RINGS}")
+    out = by_runs(whole.select("key", "region", "x0", "y0", "x1", "y1"), ["key", "region"], closed, f"key string, label string, rings {RINGS}")
     fields = ", ".join(f"{c} {dict(polygons.dtypes)[c]}" for c in keys)
     return out.select(F.from_json("key", fields).alias("k"), "label", "rings").select(*[F.col(f"k.{c}").alias(c) for c in keys], "label", "rings")

@@ -273,16 +273,16 @@ def merged_polygons(labelled: DataFrame, block: int = 512) -> DataFrame:
             **{c: edges[:, k] + o for c, k, o in (("x0", 1, x), ("y0", 2, y), ("x1", 3, x), ("y1", 4, y))},
         })
 
-    def closed(part: pd.DataFrame) -> pd.DataFrame:
+    def closed(part: pd.DataFrame) -> list[tuple]:
         rings = [[{"x": px, "y": py} for px, py in ring] for ring in rings_of(part[["x0", "y0", "x1", "y1"]].to_numpy())]
-        return pd.DataFrame({"class_name": [part["class_name"].iloc[0]], "label": [part["label"].iloc[0]], "rings": [rings]})
+        return [(part["class_name"].iloc[0], part["label"].iloc[0], rings)]
 
     placed = labelled.select(
         "class_name", "label", F.col("gr").cast("long").alias("gr"), F.col("gc").cast("long").alias("gc"),
         F.floor(F.col("gr") / block).alias("_by"), F.floor(F.col("gc") / block).alias("_bx"),
     )
     edges = placed.groupBy("class_name", "_by", "_bx").applyInPandas(outlined, f"class_name {name_kind}, label {kind}, x0 long, y0 long, x1 long, y1 long")
-    return edges.groupBy("class_name", "label").applyInPandas(closed, f"class_name {name_kind}, label {kind}, rings {RINGS}")
+    return overlay.by_runs(edges, ["class_name", "label"], closed, f"class_name {name_kind}, label {kind}, rings {RINGS}")
 
 
 def repair(rings: list[Ring], grid: float = overlay.GRID) -> list[list[Ring]]:

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from rasterloom.functions import geometry
 from rasterloom.functions.geometry import axis_snapped, centroid, rotated
 from rasterloom.operators import overlay, shapes
 
@@ -99,3 +100,23 @@ def test_shape_columns_hold_few_rows_at_a_time(spark, monkeypatch):
     assert [r.rings if r.rings is None else len(r.rings) for r in kept.orderBy("k").collect()] == [1, None, 2]
     parts = spark.createDataFrame([(1, [[p], [p]]), (2, None), (3, [])], f"k int, g array<{shapes.RINGS}>").withColumn("g", shapes.each_part(lambda r: r)("g"))
     assert [r.g if r.g is None else len(r.g) for r in parts.orderBy("k").collect()] == [2, None, 0]
+
+
+def test_regions_are_closed_in_many_tasks(spark):
+    rows = [(None if k % 5 == 0 else "a", k, 2 * k, c) for k in range(200) for c in range(1 + k % 3)]
+    out = shapes.merged_polygons(spark.createDataFrame(rows, "class_name string, label long, gr long, gc long"))
+    got = out.select("class_name", "label", F.size("rings").alias("n"), F.spark_partition_id().alias("task"), geometry.polygon_area(F.col("rings")).alias("area")).collect()
+    assert {(r.class_name, r.label, r.n, r.area) for r in got} == {(None if k % 5 == 0 else "a", k, 1, 1.0 + k % 3) for k in range(200)}
+    assert len(got) == 200 and len({r.task for r in got}) > 1
+
+
+def test_runs_of_rows_go_over_batches(spark):
+    rows = [(None if k == 3 else f"k{k}", n, n * k) for k in range(9) for n in range(1 + 2 * k)]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for size in (1, 4, 10_000):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+            out = overlay.by_runs(spark.createDataFrame(rows, "k string, n long, v long"), ["k"], lambda x: [(x.k.iloc[0], len(x), int(x.v.sum()))], "k string, n long, v long")
+            assert sorted((r.k or "", r.n, r.v) for r in out.collect()) == sorted(("" if k == 3 else f"k{k}", 1 + 2 * k, k * k * (1 + 2 * k)) for k in range(9))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
