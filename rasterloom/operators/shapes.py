@@ -240,17 +240,16 @@ def polygonize(labelled: DataFrame, transform: tuple[float, ...] = (1.0, 0.0, 0.
     """(tile_id, label, rings) of labelled(tile_id, r, c, label): one polygon a component, holes kept, through an affine transform."""
     a, b, c0, d, e, f0 = transform
 
-    def of(part: pd.DataFrame) -> pd.DataFrame:
+    def of(part: pd.DataFrame) -> list[tuple]:
         grid = np.zeros((int(part["r"].max()) + 1, int(part["c"].max()) + 1), np.int64)
         grid[part["r"], part["c"]] = part["label"] + 1
-        rows = [
+        return [
             (part["tile_id"].iloc[0], k - 1, [[{"x": a * x + b * y + c0, "y": d * x + e * y + f0} for x, y in ring] for ring in rings])
             for k, rings in trace(grid).items()
         ]
-        return pd.DataFrame(rows, columns=["tile_id", "label", "rings"])
 
     kind = dict(labelled.dtypes)["tile_id"]
-    return labelled.select("tile_id", "r", "c", "label").groupBy("tile_id").applyInPandas(of, f"tile_id {kind}, label long, rings {RINGS}")
+    return overlay.by_runs(labelled.select("tile_id", "r", "c", "label"), ["tile_id"], of, f"tile_id {kind}, label long, rings {RINGS}")
 
 
 def merged_polygons(labelled: DataFrame, block: int = 512) -> DataFrame:

@@ -56,7 +56,7 @@ def vectorized(polygons: DataFrame, options: Options, source: int | None = None,
     moved = polygons.withColumn("confidence", F.lit(None).cast("double"))
     if source is not None and processing is not None:
         moved = moved.withColumn("rings", F.transform("rings", lambda r: reproject_ring(r, source, processing)))
-    valid = overlay.repaired(moved, "rings", "geometry", options.grid)
+    valid = overlay.repaired(overlay.spread(moved), "rings", "geometry", options.grid)
     kept = valid.withColumn("area_", _total("geometry")).filter(F.col("area_") > 0).filter(F.col("area_") >= options.min_area)
     kept = kept.withColumn("of_", F.monotonically_increasing_id())
     parts = kept.select("source_tile", "class_name", "confidence", "of_", F.posexplode("geometry").alias("part_", "rings"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from rasterloom.functions import geometry
 from rasterloom.functions.geometry import axis_snapped, centroid, rotated
 from rasterloom.operators import overlay, shapes
+from rasterloom.plans import vectorizing
 
 RINGS = "array<array<struct<x:double,y:double>>>"
 
@@ -120,3 +121,13 @@ def test_runs_of_rows_go_over_batches(spark):
             assert sorted((r.k or "", r.n, r.v) for r in out.collect()) == sorted(("" if k == 3 else f"k{k}", 1 + 2 * k, k * k * (1 + 2 * k)) for k in range(9))
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_tiles_become_valid_polygons_in_many_tasks(spark):
+    rows = [(t, r, c, int((r + t) % 4 < 2)) for t in range(40) for r in range(8) for c in range(8)]
+    masks = spark.createDataFrame(rows, "tile_id int, r int, c int, mask int")
+    polygons = vectorizing.mask_polygons(masks, vectorizing.Options())
+    assert polygons.select(F.spark_partition_id().alias("task")).distinct().count() > 1
+    got = vectorizing.vectorized(polygons.withColumn("class_name", F.lit("a")), vectorizing.Options(rectangularize=0.9))
+    area = F.aggregate("geometry", F.lit(0.0), lambda s, p: s + geometry.polygon_area(p))
+    assert got.groupBy().agg(F.sum(area)).first()[0] == sum(m for *_, m in rows)
