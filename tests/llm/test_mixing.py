@@ -2,7 +2,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from rasterloom.llm.mixing import mix_sources, op9_sql
+from rasterloom.llm.mixing import in_mixed_order, mix_sources, op9_sql
 
 
 def table(docs_of, sizes):
@@ -45,3 +45,18 @@ def test_nulls_repeats_clashes_and_bad_weights(docs_of):
     for bad in ({"a": 0}, {"a": 1.5}, {"a": 10_000_000}):
         with pytest.raises(ValueError):
             mix_sources(docs_of(rows), bad)
+
+
+@pytest.mark.parametrize("rows", [
+    [(k, "t", f"s{k % 3}") for k in range(2500)] + [(None, f"u{k % 40}", "s1") for k in range(120)] + [(7, "again", "s1")] * 700,
+    [],
+    [(None, None, None)],
+])
+def test_order_is_that_of_positions_with_one_shuffle_of_whole_rows(spark, docs_of, tmp_path, rows):
+    docs_of(rows).write.parquet(str(tmp_path / "docs"))
+    docs, weights = spark.read.parquet(str(tmp_path / "docs")), {"s0": 5, "s1": 3}
+    out = in_mixed_order(docs, weights)
+    want = [tuple(r) for r in mix_sources(docs, weights).orderBy("mix_position").select(*docs.columns).collect()]
+    assert [tuple(r) for r in out.collect()] == want and out.columns == docs.columns
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert sum("Exchange rangepartitioning" in x or "Exchange hashpartitioning" in x for x in plan.split("Initial Plan")[-1].splitlines()) == bool(rows)
