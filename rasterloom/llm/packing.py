@@ -12,6 +12,7 @@ line's places are sums over ranges, and no task holds more than a cell of the li
 from __future__ import annotations
 
 import json
+import string
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -33,7 +34,7 @@ ROWS_AT_ONCE = 500
 # How the public word tokenizer cuts a text. White space ends every piece and is dropped.
 _WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _NORMAL = ["NFC", "Replace", "Lowercase"]
-ENDS = ".,;:!?"  # taken off a word's end before its letters are looked up
+ENDS = string.punctuation  # taken off a word's end before its letters are looked up; such a run is one piece
 LATIN_END = "\u0250"  # Latin letters before this one are composed and have one small letter, but for one
 DOTTED = "\u0130"
 
@@ -87,7 +88,7 @@ class WordIds:
     def _word(self, word: str) -> bytes:
         """The ids of a word. A run of Latin letters is one piece of the model, so the steps before it can be left out."""
         core = word.rstrip(ENDS)
-        if not core.isalpha() or max(core) >= LATIN_END or DOTTED in core:
+        if not core.isalpha() or not core.isascii() and (max(core) >= LATIN_END or DOTTED in core):
             return self._bytes(self.library.encode(word, add_special_tokens=False).ids)
         if len(core) < len(word):
             return self.known[core] + self.known[word[len(core) :]]

@@ -1,4 +1,5 @@
 import random
+import string
 import zlib
 from collections import Counter
 
@@ -61,6 +62,23 @@ def test_ids_equal_the_library():
     assert codec.encode(None) == codec.encode("") == b"\x01\x00"
 
 
+def test_ends_of_words_do_not_send_them_to_the_library():
+    codec, asked = p.WordIds(p.default_tokenizer(), 1), []
+    library = codec.library
+
+    class Counted:
+        def encode(self, text, **how):
+            asked.append(text)
+            return library.encode(text, **how)
+
+    codec.library = Counted()
+    tails = [*string.punctuation, "***", ".&&&", "',", "'", "''\"", "|>", "<|", ")).", "$$$%", "'!'"]
+    for tail in tails:
+        for word in ("osbo", "Asieezdo", "ciónré", "s", "x's", "don't"):
+            assert np.frombuffer(codec.encode(f"{word}{tail} {word}"), "<u2").tolist() == ids_of(f"{word}{tail} {word}"), word + tail
+    assert not any(x[0] in "oAc" for x in asked)
+
+
 def slow_best(prices, sizes, capacity):
     best = [0.0] * (capacity + 1)
     for room in range(1, capacity + 1):
