@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rasterloom.operators.batches import map_slices
 from rasterloom.operators.graph import components, stored
 from rasterloom.operators.morphology import label_grid
 
@@ -68,7 +69,8 @@ def mosaic_mean(tiles: DataFrame, size: int = SIZE) -> DataFrame:
             mean = total / count
         return _frame([(*key, height, width, _packed(mean, "<f4"))], BLOCKS)
 
-    pieces = tiles.select("scene", "row_off", "col_off", "height", "width", "values").filter("values IS NOT NULL").mapInPandas(cut, _DEALT)
+    known = tiles.select("scene", "row_off", "col_off", "height", "width", "values").filter("values IS NOT NULL")
+    pieces = map_slices(known, cut, _DEALT)
     return _squared(pieces.groupBy("scene", "by", "bx").applyInPandas(averaged, BLOCKS), size, "<f4", float("nan"))
 
 
@@ -106,7 +108,7 @@ def mapped(blocks: DataFrame, kernel: Callable[[np.ndarray], np.ndarray], kind:
         for batch in batches:
             yield batch.assign(data=[_packed(kernel(_grid(b.data, kind, b.height, b.width)), out) for b in batch.itertuples(index=False)])
 
-    return blocks.select(*[c.split()[0] for c in BLOCKS.split(", ")]).mapInPandas(of, BLOCKS)
+    return map_slices(blocks.select(*[c.split()[0] for c in BLOCKS.split(", ")]), of, BLOCKS)
 
 
 def thresholded(blocks: DataFrame, threshold: float) -> DataFrame:
@@ -124,7 +126,7 @@ def to_pixels(blocks: DataFrame, kind: str = "u1", size: int = SIZE) -> DataFram
                 v = pd.Series(grid.ravel(), dtype=object).where(~np.isnan(grid.ravel()), None)
                 yield pd.DataFrame({"scene": b.scene, "gr": r + b.by * size, "gc": c + b.bx * size, "v": v})
 
-    return blocks.mapInPandas(of, "scene string, gr long, gc long, v double")
+    return map_slices(blocks, of, "scene string, gr long, gc long, v double")
 
 
 # --- neighbours' borders ---
@@ -179,7 +181,7 @@ def with_borders(
         wide, known = wide[: height + 2 * reach, : width + 2 * reach], known[: height + 2 * reach, : width + 2 * reach]
         return _frame([(*key, height, width, _packed(kernel(wide, known, rows, cols), out))], BLOCKS)
 
-    dealt = blocks.select(*[c.split()[0] for c in BLOCKS.split(", ")]).mapInPandas(deal, _DEALT)
+    dealt = map_slices(blocks.select(*[c.split()[0] for c in BLOCKS.split(", ")]), deal, _DEALT)
     return dealt.groupBy("scene", "by", "bx").applyInPandas(gather, BLOCKS)
 
 
@@ -276,7 +278,7 @@ def resized(blocks: DataFrame, sizes: DataFrame, size: int = SIZE, kind: str = "
         return _frame([(*key, *mixed.shape, _packed(mixed, out))], BLOCKS)
 
     with_sizes = _DEALT + ", rows long, cols long, to_rows long, to_cols long"
-    dealt = blocks.join(facts, "scene").mapInPandas(deal, with_sizes)
+    dealt = map_slices(blocks.join(facts, "scene"), deal, with_sizes)
     return dealt.groupBy("scene", "by", "bx").applyInPandas(gather, BLOCKS)
 
 
@@ -343,8 +345,8 @@ def _labelled(blocks: DataFrame, size: int) -> DataFrame:
         out = _frame(rows, _REGIONS)
         return out.astype({"height": "Int32", "width": "Int32", "value": "Int32", "pixels": "Int64"})
 
-    labelled = blocks.select(*[c.split()[0] for c in BLOCKS.split(", ")]).mapInPandas(alone, BLOCKS)
-    return labelled.mapInPandas(deal, _DEALT).groupBy("scene", "by", "bx").applyInPandas(gather, _REGIONS)
+    labelled = map_slices(blocks.select(*[c.split()[0] for c in BLOCKS.split(", ")]), alone, BLOCKS)
+    return map_slices(labelled, deal, _DEALT).groupBy("scene", "by", "bx").applyInPandas(gather, _REGIONS)
 
 
 def sieved(blocks: DataFrame, pixels: int, value: int, size: int = SIZE) -> DataFrame:
@@ -385,7 +387,7 @@ def sieved(blocks: DataFrame, pixels: int, value: int, size: int = SIZE) -> Data
                 out.append(_packed(mask, "u1"))
             yield batch[same + ["height", "width"]].assign(data=out)
 
-    return whole.join(lists, meet, "left").select(*same, "height", "width", "data", "labels", "flip").mapInPandas(turn, BLOCKS)
+    return map_slices(whole.join(lists, meet, "left").select(*same, "height", "width", "data", "labels", "flip"), turn, BLOCKS)
 
 
 def cleanup(blocks: DataFrame, close_pixels: int = 0, fill_holes: int = 0, remove_objects: int = 0, size: int = SIZE) -> DataFrame:

@@ -3,8 +3,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from rasterloom.operators import batches, morphology, pixels
 from rasterloom.operators import blocks as B
-from rasterloom.operators import morphology, pixels
 
 
 def blocks_of(spark, grids, size, kind="u1"):
@@ -134,3 +134,18 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], B.BLOCKS)
     assert B.closed(none, 1).count() == B.sieved(none, 5, 1).count() == B.thresholded(none, 0.5).count() == 0
     assert B.to_pixels(none).filter(F.col("v") == 1).count() == 0
+
+
+def test_tasks_hold_few_blocks_at_a_time(spark):
+    def of(frames):
+        for f in frames:
+            yield pd.DataFrame({"n": [len(f)], "data": [None if f["data"].isna().all() else f["data"].iloc[0]]})
+
+    rows = spark.range(2000).selectExpr("id", "cast(repeat('x', 100) as binary) AS data").coalesce(1)
+    got = batches.map_slices(rows, of, "n long, data binary", 300).collect()
+    assert sum(r["n"] for r in got) == 2000 and max(r["n"] for r in got) == 300 and bytes(got[0]["data"]) == b"x" * 100
+    tiles = spark.createDataFrame([("s", 0, 0, 2, 2, [1.0, None, 0.0, 1.0]), (None, 0, 0, 1, 1, [1.0])], "scene string, row_off int, col_off int, height int, width int, values array<float>")
+    mask = B.cleanup(B.thresholded(B.mosaic_mean(tiles, 4), 1), 1, 0, 2, 4)
+    plan = B.to_pixels(mask, size=4)
+    assert "MapInPandas" not in plan._jdf.queryExecution().toString()
+    assert plan.count() == 5
