@@ -159,12 +159,18 @@ def covariance(df: DataFrame, column: str, n: int, sums: list[Fraction]) -> Pair
 # --- eigenvalues and eigenvectors of a symmetric matrix ---
 
 
+def scaled(x: np.ndarray, least: float = 0.0) -> tuple[np.ndarray, int]:
+    """(x / 2 ** k, k) with the larger of x's largest entry and ``least`` brought between a half and one."""
+    k = int(np.frexp(max(np.abs(x).max(), least))[1])
+    return np.ldexp(x, -k), k
+
+
 def tridiagonal(a: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(q, diagonal, off-diagonal) with a = q t q^T, by Householder reflections."""
     a, n = a.copy(), len(a)
     q = np.eye(n)
     for k in range(n - 2):
-        x = a[k + 1 :, k].copy()
+        x = scaled(a[k + 1 :, k])[0]  # a small column's squares would underflow, and its reflection not be orthogonal
         x[0] += np.copysign(np.linalg.norm(x), x[0])
         size = np.linalg.norm(x)
         if size == 0:
@@ -212,7 +218,8 @@ def _secular(d: np.ndarray, z2: np.ndarray, rho: float) -> np.ndarray:
 def _joined(d: np.ndarray, z: np.ndarray, rho: float) -> tuple[np.ndarray, np.ndarray]:
     """Eigenvalues and vectors of diag(d) + rho z z^T with rho > 0."""
     order = np.argsort(d, kind="stable")
-    d, z = d[order].copy(), z[order].copy()
+    d, size = scaled(d[order], rho * float(z @ z))  # weights over small gaps would overflow
+    z, rho = z[order].copy(), float(np.ldexp(rho, -size))
     n, turned = len(d), np.eye(len(d))
     tiny = 8 * EPS * max(np.abs(d).max(), rho * float(z @ z))
     last = -1
@@ -249,7 +256,7 @@ def _joined(d: np.ndarray, z: np.ndarray, rho: float) -> tuple[np.ndarray, np.nd
         vectors[np.ix_(live, live)] = w
     out = np.empty((n, n))
     out[order] = turned @ vectors
-    return values, out
+    return np.ldexp(values, size), out
 
 
 def _conquered(d: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -49,6 +49,19 @@ def test_eigen(n):
         assert np.abs(a @ vectors - vectors * values).max() <= 1e-13 * n * size
 
 
+@pytest.mark.parametrize("t", [1e-100, 1e-155, 1e-158, 1e-160, 1e-162, 1e-170, 1e-250, 1e-310])
+def test_eigen_where_squares_underflow(t):
+    x = np.random.default_rng(8).normal(size=(9, 9))
+    edge, block = np.diag(np.arange(1.0, 10)), np.eye(10)
+    edge[0, 1:] = edge[1:, 0] = t * np.arange(1, 9)
+    block[1:, 1:] = t * (x + x.T)
+    for a in (edge, block):
+        values, vectors = w.eigen(a)
+        assert np.abs(values - np.linalg.eigvalsh(a)[::-1]).max() <= 1e-12 and (np.diff(values) <= 0).all()
+        assert np.abs(vectors.T @ vectors - np.eye(len(a))).max() < 1e-13
+        assert np.abs(a @ vectors - vectors * values).max() <= 1e-12
+
+
 def test_double_double_keeps_what_doubles_lose():
     rng = random.Random(5)
     a = [rng.choice([1, -1]) * rng.random() * 10.0 ** rng.randint(-8, 8) for _ in range(1000)]
