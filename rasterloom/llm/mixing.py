@@ -204,13 +204,13 @@ def in_mixed_order(
     starts = F.array(*[F.lit(c) for c in range(_CELLS) if c not in joined]) if joined else None
     number = F.col("low") if starts is None else F.element_at(F.filter(starts, lambda c: c <= F.col("low")), -1)
     cells = groups.groupBy(cls, number.cast("long").alias("cell")).agg(F.min(key).alias("key"), F.min("first").alias("first"))
-    listed = cells.groupBy(F.col(cls).alias("cls")).agg(F.sort_array(F.collect_list(F.struct("key", "cell", "first"))).alias("all"))
-    listed = stored(listed.select("cls", F.struct(*[F.col(f"all.{c}").alias(c) for c in ("key", "cell", "first")]).alias(bounds)), "bounds")
+    listed = cells.groupBy(F.col(cls).alias(of_cls)).agg(F.sort_array(F.collect_list(F.struct("key", "cell", "first"))).alias("all"))
+    listed = stored(listed.select(of_cls, F.struct(*[F.col(f"all.{c}").alias(c) for c in ("key", "cell", "first")]).alias(bounds)), "bounds")
     found = F.aggregate(  # the last bound that isn't over the key
         F.array(*[F.lit(1 << k) for k in reversed(range(_CELLS.bit_length()))]), F.lit(0),
         lambda low, step: F.when(F.get(F.col(f"{bounds}.key"), low + step) <= F.col(key), low + step).otherwise(low),
     )
-    dealt = rows.join(F.broadcast(listed), F.col(cls) == F.col("cls")).withColumn(block, found)
+    dealt = rows.join(F.broadcast(listed), F.col(cls) == F.col(of_cls)).withColumn(block, found)
     dealt = dealt.withColumn(cell, F.get(F.col(f"{bounds}.cell"), F.col(block))).withColumn(rank, F.get(F.col(f"{bounds}.first"), F.col(block)))
     dealt = dealt.select(*docs.columns, cls, sh, h, cell, rank).repartitionByRange(cell)
     inside = F.row_number().over(Window.partitionBy(cell, cls).orderBy(h, id_col)) - 1

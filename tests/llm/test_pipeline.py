@@ -57,6 +57,19 @@ def test_the_last_stage_carries_the_order_of_the_mix(spark, docs_of, tmp_path):
     assert [r.doc_id for r in out.orderBy("mix_position").collect()] == order
 
 
+def test_encoding_keeps_the_whole_mix(spark, docs_of, tmp_path):
+    rows = [(k, f"text {k}", f"src{k % 7}") for k in range(90)] + [(None, f"no id {k}", f"src{k % 3}") for k in range(200)]
+    docs = docs_of(rows, "cls")
+    want = [r.text for r in corpus_pipeline.mix(spark, docs, DATA).collect()]
+    corpus_pipeline.mix(spark, docs, DATA).repartition(5).write.parquet(f"{tmp_path}/mixed")
+    out = corpus_pipeline.encode(spark, spark.read.parquet(f"{tmp_path}/mixed"), DATA)
+    library = sentencepiece.SentencePieceProcessor(model_file=default_model())
+    got = out.orderBy("mix_position").collect()
+    assert [list(r.ids) for r in got] == [[*library.encode(t), 2] for t in want]  # rows without an id have their places too
+    assert all(r.mix_release <= r.mix_slot < r.mix_deadline and r.mix_position // 16 == r.mix_slot for r in got)
+    assert {(r.source, r.n_chars, r.cls) for r in got} == {(s, len(t), "mine") for _, t, s in rows}
+
+
 def test_the_rest_works_without_this_subpackage():
     code = (
         "import sys\n"
