@@ -15,11 +15,14 @@ from rasterloom.llm.common import components, cut, fresh_name, let_go, needs, pa
 
 SEED = 42
 BITS = 64
-#: Of the long SimHash that finds candidates by similarity: fields, their bits, and how many of 128 bits may differ.
+#: Of the long SimHash that finds candidates by similarity: fields, their bits, and how many of 128 bits may differ, twice
+#: as many of 256.
 FIELDS, WIDTH, NEAR = 64, 14, 40
+CODES = ["f1", "f2", "f3", "f4"]  # the first 256 bits
 FIRST_FIELDS = 40  # the fields that the first comparisons are taken from
 #: Pairs compared at once, and texts in a batch, which bound a Python worker's memory.
 CHUNK, BATCH = 100_000, 500
+PIVOTS = 64  # rows of a bucket of over as many that meet the others at once
 #: What rows of one bucket share: a field's value and a pair of blocks.
 BUCKET = ["key", "block_i", "block_j"]
 #: What texts that are compared at once share, and about how many of a cluster are in a block.
@@ -236,36 +239,51 @@ def similar(a: set[bytes], b: set[bytes], least: float) -> bool:
     return both + 1e-9 >= least * (len(a) + len(b) - both)
 
 
-def sketch(found: set[bytes]) -> tuple[np.ndarray, int, int]:
-    """The keys of a long SimHash's FIELDS fields of WIDTH bits, and its first 128 bits as two signed integers."""
-    digest = xxhash.xxh64_intdigest
-    base = np.fromiter((digest(x, SEED) for x in found), np.uint64, len(found))
+def _hashes(text: str | None, words: int) -> np.ndarray:
+    """The different hashes of a text's shingles, in order."""
+    parts, digest = _parts(text), xxhash.xxh64_intdigest
+    line = b" ".join(parts)
+    if len(parts) <= words:
+        return np.array([digest(line, SEED)], np.uint64)
+    ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1)
+    starts = np.concatenate(([0], ends[:-words])).tolist()
+    return np.unique(np.array([digest(line[s:e], SEED) for s, e in zip(starts, (ends[words - 1 :] - 1).tolist(), strict=True)], np.uint64))
+
+
+def _sketch(base: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    """The keys of the fields of the long SimHash of shingles' hashes, and its first 256 bits as CODES."""
     ones = np.zeros(FIELDS * WIDTH, np.int64)
-    for at in range(0, len(base), 4096):
-        x = base[at : at + 4096, None] + np.arange(1, FIELDS * WIDTH // 64 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for at in range(0, len(base), 255):  # as many as a byte can count
+        x = base[at : at + 255, None] + np.arange(1, FIELDS * WIDTH // 64 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         x ^= x >> np.uint64(31)
-        ones += np.unpackbits(x.view(np.uint8), axis=1).sum(axis=0, dtype=np.int32)
+        ones += np.add.reduce(np.unpackbits(x.view(np.uint8), axis=1), axis=0, dtype=np.uint8)
     bits = 2 * ones > len(base)
     fields = bits.reshape(FIELDS, WIDTH) @ (1 << np.arange(WIDTH)) + (np.arange(FIELDS) << WIDTH)
-    first, second = np.packbits(bits[:128]).view(np.int64).tolist()
-    return fields.astype(np.int32), first, second
+    return fields.astype(np.int32), np.packbits(bits[:256]).view(np.int64).tolist()
+
+
+def sketch(found: set[bytes]) -> tuple[np.ndarray, int, int]:
+    """The keys of a long SimHash's FIELDS fields of WIDTH bits, and its first 128 bits as two signed integers."""
+    fields, codes = _sketch(np.fromiter((xxhash.xxh64_intdigest(x, SEED) for x in found), np.uint64, len(found)))
+    return fields, *codes[:2]
 
 
 def sketches(text: Column, words: int) -> Column:
-    """A struct of node, a hash of the text's words, and its sketch."""
+    """A struct of node, a hash of the text's words, its sketch, and its number of shingles."""
 
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            rows = [(*sketch(shingles(x, words)), _node(x)) for x in texts]
+            rows = [(_node(x), *_sketch(h), len(h)) for x in texts for h in [_hashes(x, words)]]
+            codes = np.array([r[2] for r in rows], np.int64).reshape(-1, len(CODES))
             yield pd.DataFrame({
-                "node": np.array([r[3] for r in rows], np.int64), "keys": [r[0] for r in rows],
-                "f1": np.array([r[1] for r in rows], np.int64), "f2": np.array([r[2] for r in rows], np.int64),
+                "node": np.array([r[0] for r in rows], np.int64), "keys": [r[1] for r in rows],
+                **dict(zip(CODES, codes.T, strict=True)), "size": np.array([r[3] for r in rows], np.int32),
             })
         let_go()
 
-    return F.pandas_udf(of, "node long, keys array<int>, f1 long, f2 long")(text)
+    return F.pandas_udf(of, f"node long, keys array<int>, {', '.join(f'{c} long' for c in CODES)}, size int")(text)
 
 
 def _node(text: str | None) -> int:
@@ -286,28 +304,64 @@ def _small_batches(spark: SparkSession):
             spark.conf.set(name, value)
 
 
-def _nodes(text: Column) -> Column:
-    @F.pandas_udf("long")
-    def of(texts: pd.Series) -> pd.Series:
-        return pd.Series([_node(x) for x in texts], dtype="int64")
+class _Sketched:
+    """Rows of texts' first bits and, with ``least``, of their further bits and numbers of shingles."""
+
+    def __init__(self, rows: pd.DataFrame, budget: int, least: float | None):
+        self.budget, self.least = budget, least
+        self.first, self.rest = ([rows[c].to_numpy().view(np.uint64) for c in names] for names in (CODES[:2], CODES[2:] if least else []))
+        self.size = rows["size"].to_numpy() if least else None
+
+    @staticmethod
+    def _differ(codes: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return sum(np.bitwise_count(c[a] ^ c[b]) for c in codes)
+
+    def close(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Of pairs near by their first bits, those that by all bits and their sizes may be similar."""
+        if self.least is None or not len(a):
+            return np.ones(len(a), bool)
+        small, large = np.minimum(self.size[a], self.size[b]), np.maximum(self.size[a], self.size[b])
+        return (small + 1e-9 >= self.least * large) & (self._differ(self.first + self.rest, a, b) <= 2 * self.budget)
+
+    def near(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Which of the pairs (a, b) may be similar."""
+        out = self._differ(self.first, a, b) <= self.budget
+        out[out] = self.close(a[out], b[out])
+        return out
+
+    def met(self, rows: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All pairs of rows with others that may be similar, as places in both, by rows."""
+        at, to = np.nonzero(self._differ(self.first, rows[:, None], others) <= self.budget)
+        close = self.close(rows[at], others[to])
+        return at[close], to[close]
 
-    return of(text)
 
+def _ends(codes: _Sketched, lo: int, hi: int, back: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For every row of one bucket, lo to hi, its first near row before it, or with ``back`` its last one after it.
 
-def _ends(codes: np.ndarray, budget: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For every row of one bucket's codes its first near row before it. Rows near an early one leave at once."""
-    todo = np.arange(1, len(codes))
-    for k in range(len(codes) - 1):
-        near = np.bitwise_count(codes[todo] ^ codes[k]).sum(axis=1) <= budget
-        yield np.full(int(near.sum()), k), todo[near]
-        todo = todo[~near]
-        todo = todo[todo > k + 1]
+    PIVOTS rows meet all later ones at once. Rows near an early one leave at once.
+    """
+    todo = np.arange(hi - 2, lo - 1, -1) if back else np.arange(lo + 1, hi)
+    order = np.arange(hi - 1, lo, -1) if back else np.arange(lo, hi - 1)
+    for k in range(0, len(order), PIVOTS):
+        pivots = order[k : k + PIVOTS]
+        at, to = codes.met(todo, pivots)
+        later = (todo[at] < pivots[to]) if back else (todo[at] > pivots[to])
+        at, to = at[later], to[later]
+        at, first = np.unique(at, return_index=True)
+        yield pivots[to[first]], todo[at]
+        open_ = np.ones(len(todo), bool)
+        open_[at] = False
+        todo = todo[open_ & ((todo < pivots[-1] - 1) if back else (todo > pivots[-1] + 1))]
         if not len(todo):
             return
 
 
-def _bucket_pairs(every: bool, budget: int):
-    """Pairs of nodes that share a bucket and differ in at most ``budget`` bits of 128.
+def _bucket_pairs(every: bool, budget: int, least: float | None = None):
+    """Pairs of nodes that share a bucket and differ in at most ``budget`` bits of 128; rows are sorted by bucket and node.
+
+    With ``least`` they differ in at most twice as many of 256, too, and the smaller set of shingles is at least that part of
+    the larger one: no more can be shared.
 
     Without ``every``: each row with its first near row before it and its last one after it. With it: of all that have
     different roots, pairs that connect the same rows. Either way their number is in proportion to the rows.
@@ -315,29 +369,38 @@ def _bucket_pairs(every: bool, budget: int):
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in runs_of(batches, BUCKET, CHUNK // 4):
-            yield from in_runs(rows.sort_values([*BUCKET, "node"], ignore_index=True))
+            yield from in_runs(rows)
 
     def in_runs(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        codes = np.stack([rows.f1.to_numpy(), rows.f2.to_numpy()], axis=1).view(np.uint64)
+        codes = _Sketched(rows, budget, least)
         node, key = rows.node.to_numpy(), rows[BUCKET].to_numpy()
         root = rows.root.to_numpy() if every else node
         run = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]).any(axis=1))))
         end = np.append(run[1:], len(key))
         shared = (end - run > 1) & (np.minimum.reduceat(root, run) != np.maximum.reduceat(root, run))
         run, end = run[shared], end[shared]
-        long = (end - run > 64) & (not every)
+        long = end - run > PIVOTS
+        met = np.arange(len(node))
         for lo, hi in zip(run[long].tolist(), end[long].tolist(), strict=True):
-            for a, b in _ends(codes[lo:hi], budget):
-                yield pd.DataFrame({"a": node[lo + a], "b": node[lo + b]})
-            for b, a in _ends(codes[lo:hi][::-1], budget):
-                yield pd.DataFrame({"a": node[hi - 1 - a], "b": node[hi - 1 - b]})
+            if not every:
+                for a, b in _ends(codes, lo, hi):
+                    yield pd.DataFrame({"a": node[a], "b": node[b]})
+                for b, a in _ends(codes, lo, hi, back=True):
+                    yield pd.DataFrame({"a": node[a], "b": node[b]})
+                continue
+            for k in range(lo, hi, PIVOTS):
+                pivots, others = np.arange(k, min(k + PIVOTS, hi)), np.arange(k, hi)
+                a, b = codes.met(pivots, others)
+                a, b = pivots[a], others[b]
+                apart = root[a] != root[b]
+                if apart.any():  # folded in as they come
+                    met = spanning(met[a[apart]], met[b[apart]], len(met))[met]
         lo = np.concatenate([np.arange(a, b) for a, b in zip(run[~long], end[~long], strict=True)] or [np.array([], np.int64)])
         hi = np.repeat(end[~long], (end - run)[~long])
         size = np.cumsum(hi - lo - 1)
-        met = np.arange(len(node))
         for at in np.split(np.arange(len(lo)), np.searchsorted(size, np.arange(CHUNK, size[-1] if len(size) else 0, CHUNK))):
             a, b = _expand(lo[at], np.ones(len(at), np.int64), lo[at] + 1, (hi - lo)[at] - 1)
-            near = np.bitwise_count(codes[a] ^ codes[b]).sum(axis=1) <= budget
+            near = codes.near(a, b)
             near &= root[a] != root[b]
             a, b = a[near], b[near]
             if not every and len(a):  # a rises, and b within each a
@@ -345,7 +408,7 @@ def _bucket_pairs(every: bool, budget: int):
                 last = np.append(np.flatnonzero(a[1:] != a[:-1]), len(a) - 1)
                 keep = np.union1d(first, last)
                 a, b = a[keep], b[keep]
-            if every and len(a):  # folded in as they come
+            if every and len(a):
                 met = spanning(met[a], met[b], len(met))[met]
             elif len(a):
                 yield pd.DataFrame({"a": node[a], "b": node[b]}).drop_duplicates()
@@ -359,7 +422,7 @@ def _bucket_pairs(every: bool, budget: int):
 def _linked(words: int, least: float, budget: int):
     """Links (a, b) that connect all similar texts of one cluster and block pair whose roots are different.
 
-    Texts that differ in over ``budget`` bits of 128 aren't compared. Overlaps are counted on the shingles' hashes, one
+    Texts that differ in over ``budget`` bits of 128, or twice as many of 256, aren't compared. Overlaps are counted on the shingles' hashes, one
     text against all, and what reaches ``least`` by them is compared by its shingles; a text meets no other that links
     have brought together with it.
     """
@@ -372,18 +435,16 @@ def _linked(words: int, least: float, budget: int):
                     yield pd.DataFrame(found, columns=["a", "b"])
 
     def in_run(rows: pd.DataFrame) -> list[tuple[int, int]]:
-        codes = np.stack([rows.f1.to_numpy(), rows.f2.to_numpy()], axis=1).view(np.uint64)
-        node, block = rows.node.to_numpy(), rows.block.to_numpy()
+        codes = _Sketched(rows, budget, least)
+        node, block, size = rows.node.to_numpy(), rows.block.to_numpy(), rows["size"].to_numpy()
         root = np.unique(rows.root.to_numpy(), return_inverse=True)[1]
-        inner, digest, out = rows.block_i.iloc[0] == rows.block_j.iloc[0], xxhash.xxh64_intdigest, []
-        hashes = [np.unique(np.fromiter((digest(x, SEED) for x in shingles(t, words)), np.uint64)) for t in rows.text]
-        size = np.array([len(h) for h in hashes])
+        inner, out = rows.block_i.iloc[0] == rows.block_j.iloc[0], []
+        hashes = [_hashes(t, words) for t in rows.text]
         end = np.cumsum(size)
         number = np.unique(np.concatenate(hashes), return_inverse=True)[1]
         for k in range(len(rows) - 1):
-            near = (np.bitwise_count(codes[k + 1 :] ^ codes[k]).sum(axis=1) <= budget) & (root[k + 1 :] != root[k]) & ((block[k + 1 :] == block[k]) == inner)
-            near &= np.minimum(size[k + 1 :], size[k]) + 1e-9 >= least * np.maximum(size[k + 1 :], size[k])
-            at = np.flatnonzero(near) + k + 1
+            at = np.flatnonzero((root[k + 1 :] != root[k]) & ((block[k + 1 :] == block[k]) == inner)) + k + 1
+            at = at[codes.near(np.full(len(at), k), at)]
             if not len(at):
                 continue
             own = np.zeros(number.max() + 1, bool)
@@ -406,7 +467,9 @@ def similar_groups(
 
     Two texts are linked if the sets of their shingles of ``words`` words have a Jaccard similarity of ``least`` or
     more. Candidates come from a SimHash of FIELDS x WIDTH bits: two texts that share one of its fields and differ in
-    at most NEAR of its first 128 bits. A pair of long texts at 0.8 is expected to agree on 85 bits of 100, so one in
+    at most NEAR of its first 128 bits and twice as many of its first 256, of sizes that allow the similarity. By 128 bits
+    alone chance brings texts together, as many pairs as the square of a table, until all are one cluster; by 256 it
+    is one in a thousand million of those that share a field. A pair of long texts at 0.8 is expected to agree on 85 bits of 100, so one in
     830 shares no field; at 0.85, one in 25,000; for texts of under ten words at 0.8, one in 40. Each candidate is
     then compared by its shingles themselves. First each text is compared with its outermost candidates, the smallest
     and the largest node that FIRST_FIELDS of the fields give; of all fields the other pairs only where those left them
@@ -419,14 +482,22 @@ def similar_groups(
     needs(docs, id_col, text_col)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     with _small_batches(docs.sparkSession):
-        of = stored(rows.select("id", sketches(F.col("text"), words).alias("s")).select("id", "s.*"), "sketches")
-    codes = of.select("node", "keys", "f1", "f2").dropDuplicates(["node"])
+        made = rows.select("id", F.xxhash64("text").alias("hash"), sketches(F.col("text"), words).alias("s"))
+        of = stored(made.select("id", "hash", "s.*"), "sketches")
+    codes = of.select("node", "keys", *CODES, "size").dropDuplicates(["node"])
 
     def pairs(of_codes: DataFrame, every: bool) -> DataFrame:
         keys = F.col("keys") if every else F.slice("keys", 1, FIRST_FIELDS)
         placed = of_codes.select(F.explode(keys).alias("key"), *[c for c in of_codes.columns if c != "keys"])
         dealt = pair_blocks(placed, ["key"], "node", block_rows).drop("block")
-        return dealt.repartition(*BUCKET).sortWithinPartitions(*BUCKET).mapInPandas(_bucket_pairs(every, NEAR), "a long, b long")
+        return dealt.repartition(*BUCKET).sortWithinPartitions(*BUCKET, "node").mapInPandas(_bucket_pairs(every, NEAR, least), "a long, b long")
+
+    def texts_of(nodes: DataFrame, name: str) -> DataFrame:
+        """(node, text), stored: one text of each of nodes."""
+        named = stored(of.select("node", "hash").join(nodes, "node", "left_semi").dropDuplicates(["node"]), "named")
+        texts = rows.select(F.xxhash64("text").alias("hash"), "text").join(named, "hash").dropDuplicates(["node"])
+        with _small_batches(docs.sparkSession):
+            return stored(texts.select("node", "text"), name)
 
     def verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -439,21 +510,19 @@ def similar_groups(
             yield batch.loc[np.array(ok, bool), ["a", "b"]]
         let_go()
 
-    def links(found: DataFrame) -> DataFrame:
-        ends = stored(found.select(F.col("a").alias("n")).union(found.select("b")).distinct(), "pair-ends")
-        texts = rows.select(_nodes(F.col("text")).alias("n"), "text").join(ends, "n", "left_semi").dropDuplicates(["n"])
+    def links(found: DataFrame, texts: DataFrame) -> DataFrame:
         with _small_batches(docs.sparkSession):
-            texts = stored(texts, "pair-texts")
-            full = found.join(texts.select(F.col("n").alias("b"), F.col("text").alias("y")), "b").join(
-                texts.select(F.col("n").alias("a"), F.col("text").alias("x")), "a"
+            full = found.join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b").join(
+                texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a"
             )
             return stored(full.select("a", "b", "x", "y").mapInPandas(verified, "a long, b long"), "links")
 
-    def inside(members: DataFrame) -> DataFrame:
-        texts = rows.select(_nodes(F.col("text")).alias("node"), "text").join(members.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    def inside(members: DataFrame, texts: DataFrame) -> DataFrame:
+        more = stored(members.select("node").join(texts.select("node"), "node", "left_anti"), "more-nodes")
         dealt = stored(pair_blocks(members, ["cluster"], "node", TEXTS), "cluster-blocks")
+        if not more.isEmpty():
+            texts = texts.unionByName(texts_of(more, "more-texts"))
         with _small_batches(docs.sparkSession):
-            texts = stored(texts, "cluster-texts")
             met = dealt.join(texts, "node").repartition(*CLUSTER).sortWithinPartitions(*CLUSTER)
             return stored(met.mapInPandas(_linked(words, least, NEAR), "a long, b long"), "links")
 
@@ -461,12 +530,14 @@ def similar_groups(
     outer = stored(
         near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b").union(near.groupBy("a").agg(F.max("b").alias("b")).select("a", "b")).distinct(), "pairs"
     )
-    found = links(outer)
+    ends = stored(outer.select(F.col("a").alias("node")).union(outer.select("b")).distinct(), "pair-ends")
+    texts = texts_of(ends, "pair-texts")  # of nearly all that a cluster holds, too
+    found = links(outer, texts)
     roots = components(found).withColumnRenamed("node", "n")
     open_ = stored(codes.select("node").join(roots, F.col("node") == F.col("n"), "left").select("node", F.coalesce("root", "node").alias("root")), "open")
     clusters = components(pairs(codes.join(open_, "node"), True)).withColumnRenamed("root", "cluster")
-    members = stored(codes.select("node", "f1", "f2").join(open_, "node").join(clusters, "node"), "clusters")
-    roots = components(found.unionByName(inside(members)))
+    members = stored(codes.select("node", *CODES, "size").join(open_, "node").join(clusters, "node"), "clusters")
+    roots = components(found.unionByName(inside(members, texts)))
     lows = of.groupBy("node").agg(F.min("id").alias("low"))
     linked = stored(lows.join(roots, "node").select("node", "low", "root"), "linked")
     low = stored(linked.groupBy("root").agg(F.min("low").alias("component_id")), "lowest-ids")
