@@ -37,15 +37,20 @@ Polygon = list[np.ndarray]  # the shell and its holes
 # --- the kernel, on integers ---
 
 
+def _turned(rows: np.ndarray, by: int) -> np.ndarray:
+    """rows from the place ``by`` on, the others after them; np.roll takes many times as long for few rows."""
+    return np.concatenate((rows[by:], rows[:by]))
+
+
 def ring_area(ring: np.ndarray) -> float:
     """The shoelace area, counter-clockwise positive."""
     p = ring - ring[0]
-    q = np.roll(p, -1, axis=0)
+    q = _turned(p, 1)
     return float((p[:, 0] * q[:, 1] - q[:, 0] * p[:, 1]).sum()) / 2
 
 
 def _segments(rings: Rings) -> np.ndarray:
-    parts = [np.hstack([r, np.roll(r, -1, axis=0)]) for r in rings if len(r) > 2]
+    parts = [np.hstack([r, _turned(r, 1)]) for r in rings if len(r) > 2]
     s = np.concatenate(parts) if parts else np.zeros((0, 4), np.int64)
     return s[(s[:, :2] != s[:, 2:]).any(axis=1)]
 
@@ -251,13 +256,13 @@ def chained(edges: np.ndarray) -> Rings:
 
 def straightened(ring: np.ndarray) -> np.ndarray:
     """A ring without the points inside its straight runs."""
-    a, b = ring - np.roll(ring, 1, axis=0), np.roll(ring, -1, axis=0) - ring
+    a, b = ring - _turned(ring, -1), _turned(ring, 1) - ring
     return ring[_cross(a[:, 0], a[:, 1], b[:, 0], b[:, 1]) != 0]
 
 
 def _holds(ring: np.ndarray, x2: int, y2: int) -> bool:
     """Whether a ring holds the point (x2, y2) / 2, which doesn't lie on it."""
-    p, q = ring, np.roll(ring, -1, axis=0)
+    p, q = ring, _turned(ring, 1)
     low = np.where((p[:, :1] <= q[:, :1]), p, q)
     high = np.where((p[:, :1] <= q[:, :1]), q, p)
     over = (2 * low[:, 0] <= x2) & (x2 < 2 * high[:, 0])
@@ -322,7 +327,7 @@ def clipped(ring: np.ndarray, x0: int, y0: int, x1: int, y1: int) -> np.ndarray:
     for axis, limit, keep_above in ((0, x0, True), (0, x1, False), (1, y0, True), (1, y1, False)):
         if not len(ring):
             break
-        p, q = ring, np.roll(ring, -1, axis=0)
+        p, q = ring, _turned(ring, 1)
         inside = p[:, axis] >= limit if keep_above else p[:, axis] <= limit
         if inside.all():
             continue
@@ -352,7 +357,7 @@ def offsets(shapes: list[list[Polygon]], distance: float, quarter: int = 16) ->
     full = [k for k, polygons in enumerate(shapes) if polygons]
     rings = [[r for p in shapes[k] for r in p] for k in full]
     if distance > 0:
-        found = overlays([np.concatenate([_segments(of), *[_borders(r, distance, quarter) for r in of]]) for of in rings], even_odd=False)
+        found = overlays([_segments([_raw_offset(r, distance, quarter) for r in of]) for of in rings], even_odd=False)
     else:
         room, frames, corners = int(math.ceil(-distance)) * 4 + 4, [], []
         for of in rings:
@@ -368,26 +373,121 @@ def offsets(shapes: list[list[Polygon]], distance: float, quarter: int = 16) ->
     return out
 
 
-def _borders(ring: np.ndarray, distance: float, quarter: int) -> np.ndarray:
-    """The segments of what a ring gains on its left: a rectangle along each side and a sector around each corner that
-    sticks out."""
+def _raw_offset(ring: np.ndarray, distance: float, quarter: int) -> np.ndarray:
+    """A closed path that winds around what a ring holds and what it gains on its left: a rectangle along each side and a
+    sector around each corner that sticks out.
+
+    At a corner that points inwards the path goes from one side's rectangle by the corner to the next one's, unless the
+    rectangles of some sides are cut where they meet, see ``_cut_chains``.
+    """
     p = ring.astype(float)
-    there = np.roll(p, -1, axis=0)
-    ahead = there - p
-    normal = np.stack([-ahead[:, 1], ahead[:, 0]], axis=1) / np.hypot(ahead[:, 0], ahead[:, 1])[:, None] * distance
-    sides = np.rint(np.stack([p, p + normal, there + normal, there], axis=1)).astype(np.int64)
-    edges = np.concatenate([sides, np.roll(sides, -1, axis=1)], axis=2).reshape(-1, 4)
-    before = np.roll(normal, 1, axis=0)
+    ahead = _turned(p, 1) - p
+    size = np.hypot(ahead[:, 0], ahead[:, 1])
+    normal = np.stack([-ahead[:, 1], ahead[:, 0]], axis=1) / size[:, None] * distance
+    before = _turned(normal, -1)
     turn = before[:, 0] * normal[:, 1] - before[:, 1] * normal[:, 0]
-    sectors = []
-    for k in np.flatnonzero(turn <= 0).tolist():
-        (bx, by), here = before[k].tolist(), p[k]
-        angle = -abs(math.atan2(turn[k], float(before[k] @ normal[k])))
-        steps = max(1, math.ceil(-angle / (math.pi / 2) * quarter))
-        turned = [(math.cos(angle * i / steps), math.sin(angle * i / steps)) for i in range(1, steps)]
-        arc = [(c * bx - s * by, s * bx + c * by) for c, s in turned]
-        sectors.append(np.rint(np.array([(0.0, 0.0), (bx, by), *arc, tuple(normal[k])]) + here).astype(np.int64))
-    return np.concatenate([edges[(edges[:, :2] != edges[:, 2:]).any(axis=1)], _segments(sectors)])
+    along = (before * normal).sum(axis=1)
+    cut = _cut_chains(p, ahead / size[:, None], size, normal / distance, np.arctan2(turn, along), distance)
+    out: list[tuple[float, float]] = []
+    for k, ((x, y), (bx, by), (nx, ny), turned) in enumerate(zip(p.tolist(), before.tolist(), normal.tolist(), turn.tolist(), strict=True)):
+        if k in cut:
+            out += cut[k]
+        elif turned > 0:
+            out += [(x + bx, y + by), (x, y), (x + nx, y + ny)]
+        else:
+            angle = -abs(math.atan2(turned, float(along[k])))
+            steps = max(1, math.ceil(-angle / (math.pi / 2) * quarter))
+            arc = [(math.cos(angle * i / steps), math.sin(angle * i / steps)) for i in range(1, steps)]
+            out += [(x + bx, y + by), *[(x + c * bx - s * by, y + s * bx + c * by) for c, s in arc], (x + nx, y + ny)]
+    return np.rint(np.array(out)).astype(np.int64)
+
+
+def _cut_chains(p: np.ndarray, way: np.ndarray, size: np.ndarray, up: np.ndarray, turn: np.ndarray, distance: float) -> dict[int, list[tuple[float, float]]]:
+    """The points that the path of ``_raw_offset`` takes at corners in the place of rectangles' ends: at the first corner of a
+    chain all of its points, none at its others.
+
+    A chain is a run of sides whose corners all point inwards and turn by at most a right angle in all. What its rectangles
+    cover is bounded by the lines at their far ends, if no rectangle reaches over the chain's ends: a side whose line lies
+    beyond the crossing of its neighbours' lines drops out. So an arc that is shrunk to its middle is one point, where the
+    ends of all its rectangles would cross each other.
+    """
+    n, half = len(p), math.pi / 2 + 1e-6
+    inward = (turn > 0) & (turn <= half)
+    if not inward.any():
+        return {}
+    slack = 2 + distance / 50  # corners lie on the grid, so the sides' directions are a little off
+    level = (p * up).sum(axis=1) + distance
+    ps, ways, ups, sizes, levels, turns, inwards = p.tolist(), way.tolist(), up.tolist(), size.tolist(), level.tolist(), turn.tolist(), inward.tolist()
+
+    def dot(a, b) -> float:
+        return a[0] * b[0] + a[1] * b[1]
+
+    def meet(a: int, b: int) -> tuple[float, float] | None:
+        (ax, ay), (bx, by) = ups[a], ups[b]
+        det = ax * by - ay * bx
+        return ((levels[a] * by - levels[b] * ay) / det, (ax * levels[b] - bx * levels[a]) / det) if det > 1e-9 else None
+
+    def points(sides: list[int]) -> tuple[list[tuple[float, float]], float, float] | None:
+        """The chain's points, and how far along its first and its last side the first and the last of them lie."""
+        kept, found = [sides[0]], []
+        for k in sides[1:]:
+            at = meet(kept[-1], k)
+            while at and found and dot(ways[kept[-1]], at) <= dot(ways[kept[-1]], found[-1]):
+                kept.pop()
+                found.pop()
+                at = meet(kept[-1], k)
+            if at is None:
+                return None
+            kept.append(k)
+            found.append(at)
+        first, last = sides[0], sides[-1]
+        begin, end = dot(ways[first], found[0]) - dot(ways[first], ps[first]), dot(ways[last], found[-1]) - dot(ways[last], ps[last])
+        if not (-slack <= begin <= sizes[first] + slack and -slack <= end <= sizes[last] + slack):
+            return None
+        low, high = dot(ways[first], ps[first]) - slack, dot(ways[last], ps[last]) + sizes[last] + slack
+        for a, b in zip(sides, sides[1:], strict=False):
+            for k in (a, b):
+                tip = (ps[b][0] + ups[k][0] * distance, ps[b][1] + ups[k][1] * distance)
+                if dot(ways[first], tip) < low or dot(ways[last], tip) > high:
+                    return None
+        return found, begin, end
+
+    begins = [k for k in range(n) if not inwards[k] or sizes[k - 1] >= 2 * distance]
+    shift = begins[0] if begins else 0
+    out: dict[int, list[tuple[float, float]]] = {}
+    ends: dict[int, float] = {}  # of sides that a chain ends with, where
+    opened: dict[int, tuple[float, list[int]]] = {}  # of sides that a chain begins with, where, and its corners
+    k = 0
+    while k < n:
+        corner = (shift + k) % n
+        if not inwards[corner]:
+            k += 1
+            continue
+        corners, total = [corner], turns[corner]
+        while k + len(corners) < n and len(corners) < n - 2 and sizes[corners[-1]] < 2 * distance:
+            following = (corners[-1] + 1) % n
+            if not inwards[following] or total + turns[following] > half:
+                break
+            total += turns[following]
+            corners.append(following)
+        for less in range(min(5, 2 * len(corners) - 1)):  # less of the chain's ends: a side there may be too short
+            for left in range(less + 1):
+                part = corners[left : len(corners) - (less - left)]
+                found = points([(part[0] - 1) % n, *part]) if part else None
+                if found and found[1] >= ends.get((part[0] - 1) % n, -math.inf):
+                    out |= {part[0]: found[0]} | {c: [] for c in part[1:]}
+                    ends[part[-1]] = found[2]
+                    opened[(part[0] - 1) % n] = found[1], part
+                    break
+            else:
+                continue
+            break
+        k += len(corners)
+    for side in set(ends) & set(opened):  # the first chain may begin with the side that the last one ends with
+        if opened[side][0] < ends[side]:
+            for c in opened[side][1]:
+                out.pop(c)
+    return out
 
 
 # --- rings of a column ---

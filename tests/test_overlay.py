@@ -133,6 +133,57 @@ def test_buffers():
                 assert holds(grown) == (holds(shape) or far < 4000)
 
 
+def test_shrinking_what_was_grown_cuts_few_segments(monkeypatch):
+    box = lambda x0, y0, x1, y1: np.array([(x0, y0), (x0, y1), (x1, y1), (x1, y0)], np.int64)
+    grown = overlay.offset(overlay.overlay([box(0, 0, 9000, 9000), box(9512, 0, 18_512, 9000)], False), 768)
+    cut, noded = [], overlay.noded
+    monkeypatch.setattr(overlay, "noded", lambda *a, **k: cut.append(noded(*a, **k)) or cut[-1])
+    (one,) = overlay.offset(grown, -768)
+    assert size([one]) == pytest.approx(18_512 * 9000, rel=1e-3) and max(len(s) for s, _, _ in cut) < 10 * sum(map(len, grown[0]))
+
+
+def test_cut_rectangles_give_the_same_offsets(monkeypatch):
+    rng, cut_chains = np.random.default_rng(12), overlay._cut_chains
+    perimeter = lambda ps: sum(np.hypot(*(r - np.roll(r, 1, axis=0)).T).sum() for p in ps for r in p)
+
+    def both(shape, distance):
+        found = []
+        for of in (cut_chains, lambda *_: {}):
+            monkeypatch.setattr(overlay, "_cut_chains", of)
+            found.append(overlay.offset(shape, distance))
+        assert len(found[0]) == len(found[1]) and size(found[0]) == pytest.approx(size(found[1]), abs=100 + perimeter(found[1]))
+        return found[0]
+
+    cut = 0
+    for k in range(9):
+        if k % 3 == 0:
+            shape = overlay.overlay([rng.integers(0, 20_000, (int(rng.integers(3, 8)), 2))], True)
+        elif k % 3 == 1:
+            angle = np.sort(rng.random(30)) * 2 * np.pi
+            ring = np.stack([np.cos(angle), np.sin(angle)], 1) * (0.6 + 0.4 * rng.random((30, 1))) * 8000 + 9000
+            shape = overlay.overlay([np.rint(ring).astype(np.int64)], True)
+        else:
+            corners = rng.integers(0, 9000, (3, 2))
+            shape = overlay.overlay([np.array([(x, y), (x, y + 4000), (x + 5000, y + 4000), (x + 5000, y)]) for x, y in corners], False)
+        distance = float(rng.integers(100, 1200))
+        grown = both(shape, distance)
+        both(grown, -distance)
+        both(grown, -1.7 * distance)
+        if less := both(shape, -distance):
+            both(less, distance)
+        cut += sum(bool(cut_chains(*parts)) for parts in _chains(grown, distance))
+    assert cut >= 5
+
+
+def _chains(polygons, distance):
+    for ring in (r[::-1] for p in polygons for r in p):
+        ahead = np.roll(ring, -1, axis=0) - ring.astype(float)
+        length = np.hypot(ahead[:, 0], ahead[:, 1])
+        up = np.stack([-ahead[:, 1], ahead[:, 0]], axis=1) / length[:, None]
+        before = np.roll(up, 1, axis=0)
+        yield ring.astype(float), ahead / length[:, None], length, up, np.arctan2(before[:, 0] * up[:, 1] - before[:, 1] * up[:, 0], (before * up).sum(axis=1)), distance
+
+
 def rows_of(spark, shapes_by_key):
     point = lambda p: {"x": float(p[0]), "y": float(p[1])}
     rows = [(k, [[point(p) for p in ring] for ring in rings]) for k, rings in shapes_by_key]
